@@ -260,8 +260,10 @@ def interpolate_spline(
 
     splined = known.where("_path = 'spline'").select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
+    # The halo comes from the same rows, so its keys get names of their own.
+    around = _halo(splined, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.block_keys})
     by_block = splined.groupBy(*spec.block_keys).cogroup(
-        _halo(splined, spec).groupBy(*spec.block_keys))
+        around.groupBy(*[f"_near_{k}" for k in spec.block_keys]))
     curved = by_block.applyInArrow(_spline_filler(spec, order), splined.schema)
 
     on_lines = _linear_values(known.where("_path = 'linear'").select(*rows.columns), spec)
