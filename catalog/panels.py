@@ -71,15 +71,15 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Monthly order value of every nation, in units of ``scale``.
-def monthly_sql(scale: float = 1.0, digits: int = 2) -> str:
+def monthly_sql(scale: float = 1.0) -> str:
     return f"""p AS (
   SELECT n_name AS g, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS t,
-         round(sum(o_totalprice) / {scale:.1f}, {digits}) AS v
+         round(sum(o_totalprice), 2) / {scale:.1f} AS v
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY 1, 2)"""
 
 
-def monthly(spark: SparkSession, sf_dir: str, scale: float = 1.0, digits: int = 2) -> DataFrame:
+def monthly(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -87,7 +87,7 @@ def monthly(spark: SparkSession, sf_dir: str, scale: float = 1.0, digits: int =
         orders.join(customers, orders.o_custkey == customers.c_custkey)
         .join(nations, customers.c_nationkey == nations.n_nationkey)
         .groupBy(F.col("n_name").alias("g"), month_of("o_orderdate").alias("t"))
-        .agg(F.round(F.sum("o_totalprice") / F.lit(float(scale)), digits).alias("v"))
+        .agg((F.round(F.sum("o_totalprice"), 2) / F.lit(float(scale))).alias("v"))
     )
 
 

@@ -5,10 +5,15 @@ to know about the rest of its series is computed on a *block table*: one row per
 (group, block), made by a partial aggregation, windowed per group, and joined back
 on (group, block).  The block table is smaller than the panel by the number of rows
 per block, so a group that holds a third of all rows is still spread evenly.
+
+In a panel with a declared time range a series is one piece, and the same facts are
+window expressions over it, with no block table and no join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,23 +26,42 @@ RANGE_STEP = 65_536
 
 
 def add_block(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows ready to be shuffled by ``spec.task_keys``."""
+    time = F.col(spec.time)
+    if spec.bounded:
+        first, last = spec.time_range
+        outside = F.raise_error(F.concat(
+            F.lit(f"period outside {first}..{last}: "), time.cast("string")))
+        return df.withColumn(
+            spec.time, F.when((time < first) | (time > last), outside).otherwise(time))
     number = F.expr(f"cast(`{spec.time}` as bigint) div {spec.block}L")
     return df.withColumn(BLOCK, F.coalesce(number, F.lit(NO_TIME_BLOCK).cast("bigint")))
 
 
-def join_blocks(rows: DataFrame, blocks: DataFrame, spec: PanelSpec, how: str = "left") -> DataFrame:
-    """Join facts of the block table to the rows of each block."""
-    return rows.join(blocks, spec.block_keys, how)
+def with_facts(
+    rows: DataFrame, spec: PanelSpec,
+    by_block: Callable[[], DataFrame], bounded: dict[str, Column],
+) -> DataFrame:
+    """Add what rows have to know of their series.
+
+    ``by_block`` makes the block table with these facts; ``bounded`` has the same facts
+    as expressions for a series that is in one piece.
+    """
+    if spec.bounded:
+        return rows.withColumns(bounded)
+    return rows.join(by_block(), spec.task_keys, "left")
 
 
 def spread(rows: DataFrame, facts: DataFrame, spec: PanelSpec, how: str = "left") -> DataFrame:
-    """Join facts (one row per group) to blocked rows without gathering a group.
+    """Join facts (one row per group) to rows without gathering a long group.
 
     The facts are first joined to the distinct blocks of each group, then to the
     rows on (group, block), so the join keys of a long series are spread as well.
     """
-    blocks = rows.select(*spec.block_keys).distinct().join(facts, spec.groups, "inner")
-    return join_blocks(rows, blocks, spec, how)
+    if spec.bounded:
+        return rows.join(facts, spec.groups, how)
+    blocks = rows.select(*spec.task_keys).distinct().join(facts, spec.groups, "inner")
+    return rows.join(blocks, spec.task_keys, how)
 
 
 def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -46,7 +70,7 @@ def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
     group = F.concat_ws(", ", *[F.col(g).cast("string") for g in spec.groups])
     message = F.concat(F.lit("duplicate period in panel: "), group, F.lit(" @ "),
                        F.coalesce(time.cast("string"), F.lit("null")))
-    window = spec.in_block()
+    window = spec.in_order()
     seen = (F.row_number().over(window) > 1) & time.eqNullSafe(F.lag(spec.time).over(window))
     return df.withColumn(spec.time, F.when(seen, F.raise_error(message)).otherwise(time))
 
@@ -66,12 +90,7 @@ def explode_range(df: DataFrame, start: Column, stop: Column, name: str) -> Data
     )
     first = F.col("_start") + F.col("_step") * step
     last = F.least(first + step - 1, F.col("_stop"))
-    return (
-        cut.withColumn("_first", first)
-        .withColumn("_last", last)
-        .withColumn(name, F.explode(F.sequence("_first", "_last")))
-        .drop("_start", "_stop", "_step", "_first", "_last")
-    )
+    return cut.withColumn(name, F.explode(F.sequence(first, last))).drop("_start", "_stop", "_step")
 
 
 def period_lists(
@@ -86,16 +105,21 @@ def period_lists(
     """
     parts = (
         add_block(periods.where(spec.has_key()), spec)
-        .groupBy(*spec.block_keys)
+        .groupBy(*spec.task_keys)
         .agg(F.sort_array(F.collect_set(spec.time)).alias("_part"))
     )
-    running = F.sum(F.size("_part")).over(
-        spec.over_blocks().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    too_long = F.raise_error(F.lit(
-        f"a period list has more than {limit} entries; use the one-row-per-period form"))
-    checked = parts.withColumn("_running", running).withColumn(
-        "_part", F.when(F.col("_running") > limit, too_long).otherwise(F.col("_part")))
-    listed = F.sort_array(F.flatten(F.collect_list("_part")))
+    listed = F.col("_part")
+    if not spec.bounded:
+        running = F.sum(F.size("_part")).over(
+            spec.over_blocks().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        too_long = F.raise_error(F.lit(
+            f"a period list has more than {limit} entries; use the one-row-per-period form"))
+        parts = (
+            parts.withColumn("_running", running)
+            .withColumn("_part", F.when(F.col("_running") > limit, too_long).otherwise(F.col("_part")))
+            .groupBy(*spec.groups)
+            .agg(F.sort_array(F.flatten(F.collect_list("_part"))).alias("_part"))
+        )
     if as_text:
         listed = F.array_join(listed.cast("array<string>"), ", ")
-    return checked.groupBy(*spec.groups).agg(listed.alias(name))
+    return parts.select(*spec.groups, listed.alias(name))

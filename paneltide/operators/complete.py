@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, join_blocks
+from paneltide.functions.blocks import add_block, with_facts
 from paneltide.spec import PanelSpec
 
 
 def filter_complete_series(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Rows of the groups that have no null value; gaps do not matter."""
     rows = add_block(df.where(spec.has_group()), spec)
-    blocks = rows.groupBy(*spec.block_keys).agg(
-        F.count_if(F.col(spec.value).isNull()).alias("_nulls"))
-    complete = (
-        blocks.withColumn("_nulls", F.sum("_nulls").over(spec.all_blocks()))
-        .where("_nulls = 0").select(*spec.block_keys)
+    nulls = F.count_if(F.col(spec.value).isNull())
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(nulls.alias("_own"))
+        return blocks.select(*spec.task_keys, F.sum("_own").over(spec.whole()).alias("_nulls"))
+
+    return (
+        with_facts(rows, spec, by_block, {"_nulls": nulls.over(spec.whole())})
+        .where("_nulls = 0").select(*df.columns)
     )
-    return join_blocks(rows, complete, spec, "left_semi").select(*df.columns)

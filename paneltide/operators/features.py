@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, join_blocks
+from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
 from paneltide.operators.status import add_d_flag, add_status_flag
 from paneltide.spec import PanelSpec
 
@@ -31,26 +31,30 @@ def add_time_features(
         return df
     names = [f"lag_{n}" for n in lags] + [f"roll_mean_{w}" for w in windows]
     columns = [c for c in df.columns if c not in names]
-    value, window = F.col(spec.value), spec.in_block()
+    value, window = F.col(spec.value), spec.in_order()
     rows = add_block(df.where(spec.has_group()), spec)
 
-    numbered = rows.select(*spec.block_keys, spec.time, spec.value).select(
-        *spec.block_keys, spec.value,
-        F.row_number().over(window).alias("_rank"),
-        F.row_number().over(spec.in_block_backwards()).alias("_rank_from_end"))
-    tails = (
-        numbered.where(F.col("_rank_from_end") <= max(depth, 1))
-        .groupBy(*spec.block_keys)
-        .agg(F.sort_array(F.collect_list(
-            F.struct((-F.col("_rank_from_end")).alias("at"), value.alias("v")))).alias("_tail"))
-    )
-    # Every block has a row, so the last `depth` blocks hold the last `depth` values.
-    before = F.flatten(F.collect_list("_tail").over(
-        spec.over_blocks().rowsBetween(-max(depth, 1), -1)))
-    history = tails.select(
-        *spec.block_keys,
-        F.transform(before, lambda x: x["v"]).alias("_history"))
-    known = join_blocks(rows.withColumn("_rank", F.row_number().over(window)), history, spec)
+    def by_block() -> DataFrame:
+        numbered = rows.select(
+            *spec.task_keys, spec.value,
+            F.row_number().over(spec.backwards()).alias("_rank_from_end"))
+        item = F.struct((-F.col("_rank_from_end")).alias("at"), value.alias("v"))
+        tails = (
+            numbered.where(F.col("_rank_from_end") <= max(depth, 1))
+            .groupBy(*spec.task_keys)
+            .agg(F.sort_array(F.collect_list(item)).alias("_tail"))
+        )
+        # Every block has a row, so the last `depth` blocks hold the last `depth` values.
+        before = F.flatten(F.collect_list("_tail").over(
+            spec.over_blocks().rowsBetween(-max(depth, 1), -1)))
+        return tails.select(
+            *spec.task_keys, F.transform(before, lambda x: x["v"]).alias("_history"))
+
+    kind = df.schema[spec.value].dataType.simpleString()
+    checked = reject_duplicates(rows, spec) if spec.bounded else rows
+    known = with_facts(
+        checked.withColumn("_rank", F.row_number().over(window)), spec, by_block,
+        {"_history": F.array().cast(f"array<{kind}>")})
     rank, past = F.col("_rank"), F.col("_history")
 
     out = known

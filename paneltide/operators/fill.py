@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, join_blocks, reject_duplicates
+from paneltide.functions.blocks import add_block, reject_duplicates, spread, with_facts
 from paneltide.functions.bspline import HALO, interpolate
 from paneltide.spec import PanelSpec
 
@@ -15,38 +15,43 @@ MAX_ORDER = 5
 
 
 def _linear_values(rows: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Blocked rows with ``_linear``: the value on the line between the neighbours.
+    """Rows with ``_linear``: the value on the line between the neighbours.
 
     Places are counted in rows, not in periods.  Before the first value and after the
     last one that value itself is taken.
     """
-    value = F.col(spec.value)
-    window, back = spec.in_block(), spec.in_block_backwards()
-    ranked = rows.select(*spec.block_keys, spec.time, spec.value).withColumn(
-        "_rank", F.row_number().over(window))
-    valued = F.when(value.isNotNull(), F.col("_rank"))
-    edges = ranked.groupBy(*spec.block_keys).agg(
-        F.count("*").alias("_rows"),
-        F.min(valued).alias("_first_at"), F.min_by(spec.value, valued).alias("_first"),
-        F.max(valued).alias("_last_at"), F.max_by(spec.value, valued).alias("_last"),
-    )
-    earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
-    later = spec.over_blocks_backwards().rowsBetween(Window.unboundedPreceding, -1)
-
-    def place(at: str, v: str) -> Column:
-        return F.when(F.col(v).isNotNull(), F.struct(
-            (F.col("_offset") + F.col(at)).alias("at"), F.col(v).alias("v")))
-
-    facts = (
-        edges.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_before", F.last(place("_last_at", "_last"), True).over(earlier))
-        .withColumn("_after", F.last(place("_first_at", "_first"), True).over(later))
-        .select(*spec.block_keys, "_offset", "_before", "_after")
-    )
+    value, window, back = F.col(spec.value), spec.in_order(), spec.backwards()
+    rank = F.row_number().over(window)
+    point = f"struct<at:bigint,v:{rows.schema[spec.value].dataType.simpleString()}>"
+
+    def by_block() -> DataFrame:
+        ranked = rows.select(*spec.task_keys, spec.value, rank.alias("_rank"))
+        valued = F.when(value.isNotNull(), F.col("_rank"))
+        edges = ranked.groupBy(*spec.task_keys).agg(
+            F.count("*").alias("_rows"),
+            F.min(valued).alias("_first_at"), F.min_by(spec.value, valued).alias("_first"),
+            F.max(valued).alias("_last_at"), F.max_by(spec.value, valued).alias("_last"),
+        )
+        earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
+        later = spec.over_blocks_backwards().rowsBetween(Window.unboundedPreceding, -1)
+
+        def place(at: str, v: str) -> Column:
+            return F.when(F.col(v).isNotNull(), F.struct(
+                (F.col("_offset") + F.col(at)).alias("at"), F.col(v).alias("v")))
+
+        return (
+            edges.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+            .withColumn("_before", F.last(place("_last_at", "_last"), True).over(earlier))
+            .withColumn("_after", F.last(place("_first_at", "_first"), True).over(later))
+            .select(*spec.task_keys, "_offset", "_before", "_after")
+        )
+
     to_here = (Window.unboundedPreceding, Window.currentRow)
     own = F.when(value.isNotNull(), F.struct(F.col("_at").alias("at"), value.alias("v")))
+    nothing = F.lit(None).cast(point)
     near = (
-        join_blocks(rows.withColumn("_rank", F.row_number().over(window)), facts, spec)
+        with_facts(rows.withColumn("_rank", rank), spec, by_block, {
+            "_offset": F.lit(0).cast("bigint"), "_before": nothing, "_after": nothing})
         .withColumn("_at", F.col("_offset") + F.col("_rank"))
         .withColumn("_own", own)
         .withColumn("_p", F.coalesce(F.last("_own", True).over(window.rowsBetween(*to_here)), "_before"))
@@ -91,30 +96,27 @@ def _legendre(x: Column, order: int) -> list[Column]:
     return basis[:order + 1]
 
 
-def _fit_polynomials(points: DataFrame, spec: PanelSpec, order: int) -> DataFrame:
-    """Least-squares polynomial per group from one aggregation: coefficients and residual.
+def _products(order: int) -> dict[str, Column]:
+    """Sums of products of the basis ``_b<i>`` with itself and with ``_y``."""
+    terms = range(order + 1)
+    return {
+        "_yy": F.sum(F.col("_y") * F.col("_y")),
+        **{f"_r{i}": F.sum(F.col(f"_b{i}") * F.col("_y")) for i in terms},
+        **{f"_g{i}{j}": F.sum(F.col(f"_b{i}") * F.col(f"_b{j}")) for i in terms for j in range(i + 1)},
+    }
+
+
+def _solve(sums: DataFrame, order: int) -> DataFrame:
+    """Adds the coefficients ``_c<i>`` of the least-squares polynomial, and ``_path``.
 
-    ``points`` has ``_x`` in [-1, 1] and the centred ``_y``.  The sums of products of the
-    basis combine map-side; the normal equations are solved on one row per group.
-    Terms above ``_degree`` are left out.
+    The normal equations are solved by a Cholesky factor l and the forward solution z,
+    column by column.  Terms above ``_degree`` are left out.
     """
     terms = range(order + 1)
-    based = points.select(
-        *spec.groups, "_y", "_degree", "_n",
-        *[b.alias(f"_b{i}") for i, b in enumerate(_legendre(F.col("_x"), order))])
-    sums = based.groupBy(*spec.groups).agg(
-        F.max("_degree").alias("_degree"),
-        F.max("_n").alias("_n"),
-        F.sum(F.col("_y") * F.col("_y")).alias("_yy"),
-        *[F.sum(F.col(f"_b{i}") * F.col("_y")).alias(f"_r{i}") for i in terms],
-        *[F.sum(F.col(f"_b{i}") * F.col(f"_b{j}")).alias(f"_g{i}{j}")
-          for i in terms for j in range(i + 1)],
-    )
 
     def total(columns: list[Column]) -> Column:
         return sum(columns[1:], columns[0]) if columns else F.lit(0.0)
 
-    # Cholesky factor l and forward solution z, column by column.
     for j in terms:
         used = F.col("_degree") >= j
         pivot = F.col(f"_g{j}{j}") - total([F.col(f"_l{j}{k}") * F.col(f"_l{j}{k}") for k in range(j)])
@@ -135,25 +137,23 @@ def _fit_polynomials(points: DataFrame, spec: PanelSpec, order: int) -> DataFram
         sums = sums.withColumn(f"_c{j}", F.when(
             F.col("_degree") >= j, (F.col(f"_z{j}") - higher) / F.col(f"_l{j}{j}")).otherwise(0.0))
     residual = F.col("_yy") - total([F.col(f"_z{j}") * F.col(f"_z{j}") for j in terms])
-    exact = F.col("_n") <= F.col("_degree") + 1
-    return sums.select(
-        *spec.groups, *[f"_c{j}" for j in terms],
-        F.when(exact | (residual <= F.col("_n")), "poly").otherwise("spline").alias("_fit"))
+    smooth = (F.col("_count") <= F.col("_degree") + 1) | (residual <= F.col("_count"))
+    return sums.withColumn("_path", F.when(smooth, "poly").otherwise("spline"))
 
 
 def _halo(rows: DataFrame, spec: PanelSpec) -> DataFrame:
     """Up to HALO values right before and right after every block, one row per block."""
     ends = rows.select(
-        *spec.block_keys, spec.time, spec.value,
-        F.count(spec.value).over(spec.in_block()).alias("_nth"),
-        F.count(spec.value).over(spec.in_block_backwards()).alias("_nth_back"))
+        *spec.task_keys, spec.time, spec.value,
+        F.count(spec.value).over(spec.in_order()).alias("_nth"),
+        F.count(spec.value).over(spec.backwards()).alias("_nth_back"))
     valued = F.col(spec.value).isNotNull()
     point = F.struct(F.col(spec.time).cast("double").alias("t"), F.col(spec.value).alias("v"))
-    blocks = ends.groupBy(*spec.block_keys).agg(
+    blocks = ends.groupBy(*spec.task_keys).agg(
         F.collect_list(F.when(valued & (F.col("_nth") <= HALO), point)).alias("_head"),
         F.collect_list(F.when(valued & (F.col("_nth_back") <= HALO), point)).alias("_tail"))
 
-    def neighbours(part: str, blocks_in_order) -> Column:
+    def neighbours(part: str, blocks_in_order: str) -> Column:
         # Blocks without a value share the count of the nearest one that has some.
         near = Window.partitionBy(*spec.groups).orderBy(blocks_in_order)
         return F.when(
@@ -166,32 +166,48 @@ def _halo(rows: DataFrame, spec: PanelSpec) -> DataFrame:
         .withColumn("_down", F.count(filled).over(spec.over_blocks_backwards()))
         .withColumn("_before", F.sort_array(neighbours("_tail", "_up")))
         .withColumn("_after", F.sort_array(neighbours("_head", "_down")))
-        .select(*spec.block_keys,
+        .select(*spec.task_keys,
                 F.slice("_before", F.greatest(F.size("_before") - HALO + 1, F.lit(1)), HALO).alias("_before"),
                 F.slice("_after", 1, HALO).alias("_after"))
     )
 
 
 def _spline_filler(spec: PanelSpec, order: int):
-    """Fills the nulls of one block from its values and those around it."""
+    """Fills the nulls of one series, or of one block from its values and those around it."""
     time, value = spec.time, spec.value
 
-    def fill(block: pa.Table, around: pa.Table) -> pa.Table:
-        t = block[time].cast(pa.float64()).to_numpy()
-        v = block[value].cast(pa.float64()).to_numpy(zero_copy_only=False)
+    def fill(rows: pa.Table, around: pa.Table | None = None) -> pa.Table:
+        if rows.num_rows == 0:
+            return rows
+        t = rows[time].cast(pa.float64()).to_numpy()
+        v = rows[value].cast(pa.float64()).to_numpy()
         known = ~np.isnan(v)
-        outside = [p for side in ("_before", "_after") for p in around[side][0].as_py()]
+        halo = around.to_pylist() if around is not None else []
+        outside = [p for row in halo for side in ("_before", "_after") for p in row[side]]
         x = np.concatenate([t[known], [p["t"] for p in outside]])
         y = np.concatenate([v[known], [p["v"] for p in outside]])
         by_time = np.argsort(x)
         v = v.copy()
         v[~known] = interpolate(x[by_time], y[by_time], order, t[~known])
-        place = block.schema.get_field_index(value)
-        return block.set_column(place, block.schema.field(place), pa.array(v, block.schema.field(place).type))
+        place = rows.schema.get_field_index(value)
+        field = rows.schema.field(place)
+        return rows.set_column(place, field, pa.array(v, field.type))
 
     return fill
 
 
+def _through_all_values(rows: DataFrame, spec: PanelSpec, order: int) -> DataFrame:
+    """Nulls replaced by the spline through the values; the one step that runs in Python."""
+    if spec.bounded:
+        one_piece = _spline_filler(spec, order)
+        return rows.groupBy(*spec.groups).applyInArrow(lambda piece: one_piece(piece), rows.schema)
+    # The halo comes from the same rows, so its keys get names of their own.
+    around = _halo(rows, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.task_keys})
+    pieces = rows.groupBy(*spec.task_keys).cogroup(
+        around.groupBy(*[f"_near_{k}" for k in spec.task_keys]))
+    return pieces.applyInArrow(_spline_filler(spec, order), rows.schema)
+
+
 def interpolate_spline(
     df: DataFrame, spec: PanelSpec, order: int = 3, too_few: str = "linear"
 ) -> DataFrame:
@@ -200,8 +216,8 @@ def interpolate_spline(
     ``poly``: the least-squares polynomial of degree ``min(order, values - 1)`` if its
     squared residuals sum up to at most the number of values, which is where a smoothing
     spline with that allowance stops as well.  ``spline``: else the spline through all
-    values.  ``linear``: groups with a row without a period, and groups of one value if
-    ``too_few`` is ``linear``; with ``none`` these stay null.
+    values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``.
+    Rows without a period have no place on a curve and stay null (``none``).
     """
     if not 1 <= order <= MAX_ORDER:
         raise ValueError(f"order must be between 1 and {MAX_ORDER}")
@@ -209,68 +225,70 @@ def interpolate_spline(
         raise ValueError("too_few must be 'linear' or 'none'")
     value, here = F.col(spec.value), F.col(spec.time).cast("double")
     rows = add_block(df.where(spec.has_group()), spec)
-    when_valued = F.when(value.isNotNull(), here)
-    whole = spec.all_blocks()
-    blocks = (
-        rows.groupBy(*spec.block_keys)
-        .agg(
-            F.count_if(value.isNull()).alias("_nulls"), F.count(spec.value).alias("_n"),
-            F.min(when_valued).alias("_lo"), F.max(when_valued).alias("_hi"),
-            F.sum(spec.value).alias("_sum"),
-            F.count_if(here.isNull()).alias("_timeless"),
-        )
-        .select(
-            *spec.block_keys,
-            F.sum("_nulls").over(whole).alias("_nulls"), F.sum("_n").over(whole).alias("_n"),
-            F.min("_lo").over(whole).alias("_lo"), F.max("_hi").over(whole).alias("_hi"),
-            F.sum("_sum").over(whole).alias("_sum"),
-            F.sum("_timeless").over(whole).alias("_timeless"),
-        )
-        .select(
-            *spec.block_keys, "_n",
-            ((F.col("_lo") + F.col("_hi")) / 2).alias("_middle"),
-            F.greatest((F.col("_hi") - F.col("_lo")) / 2, F.lit(0.5)).alias("_half"),
-            F.try_divide("_sum", "_n").alias("_mean"),
-            F.least(F.lit(order), F.col("_n") - 1).alias("_degree"),
-            F.when(F.col("_nulls") == 0, "none")
-            .when(F.col("_timeless") > 0, "linear")
-            .when(F.col("_n") < 2, too_few)
-            .otherwise("curve").alias("_plan"),
-        )
-    )
-    scaled = (here - F.col("_middle")) / F.col("_half")
-    points = (
-        join_blocks(rows.where(value.isNotNull()).select(*spec.block_keys, spec.time, spec.value),
-                    blocks.where("_plan = 'curve'"), spec, "inner")
-        .withColumn("_x", scaled)
-        .withColumn("_y", value - F.col("_mean"))
+    usable = value.isNotNull() & here.isNotNull()
+    when_usable, whole = F.when(usable, here), spec.whole()
+    facts = {
+        "_nulls": F.count_if(value.isNull()),
+        "_count": F.count(when_usable),
+        "_lo": F.min(when_usable), "_hi": F.max(when_usable),
+        "_sum": F.sum(F.when(usable, value)),
+    }
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(*[e.alias(n) for n, e in facts.items()])
+        combine = {"_lo": F.min, "_hi": F.max}
+        return blocks.select(*spec.task_keys, *[
+            combine.get(n, F.sum)(n).over(whole).alias(n) for n in facts])
+
+    known = (
+        with_facts(reject_duplicates(rows, spec), spec, by_block,
+                   {n: e.over(whole) for n, e in facts.items()})
+        .withColumns({
+            "_x": (here - (F.col("_lo") + F.col("_hi")) / 2)
+            / F.greatest((F.col("_hi") - F.col("_lo")) / 2, F.lit(0.5)),
+            "_mean": F.try_divide("_sum", "_count"),
+            "_degree": F.least(F.lit(order), F.col("_count") - 1),
+        })
+        .withColumn("_curved", (F.col("_nulls") > 0) & (F.col("_count") >= 2))
     )
-    fits = _fit_polynomials(points, spec, order)
-    facts = blocks.join(fits, spec.groups, "left").withColumn(
-        "_path", F.coalesce("_fit", "_plan"))
-    known = join_blocks(reject_duplicates(rows, spec), facts, spec)
-
+    based = known.withColumns({
+        "_y": F.when(usable, value - F.col("_mean")),
+        **{f"_b{i}": b for i, b in enumerate(_legendre(F.col("_x"), order))},
+    })
+    coefficients = [f"_c{i}" for i in range(order + 1)]
+    if spec.bounded:
+        # Products with a null value count as nothing, like values that are not there.
+        masked = based.withColumns({
+            f"_b{i}": F.when(usable, F.col(f"_b{i}")) for i in range(order + 1)})
+        sums = masked.withColumns({n: e.over(whole) for n, e in _products(order).items()})
+        # Window results are taken as they are, so the solution is not worked out again in
+        # every expression that uses it.
+        solved = _solve(sums, order).withColumns({
+            n: F.max(n).over(whole) for n in (*coefficients, "_path")})
+    else:
+        points = based.where(usable & F.col("_curved"))
+        per_group = points.groupBy(*spec.groups).agg(
+            F.max("_degree").alias("_degree"), F.max("_count").alias("_count"),
+            *[e.alias(n) for n, e in _products(order).items()])
+        solved = spread(
+            known, _solve(per_group, order).select(*spec.groups, *coefficients, "_path"), spec)
+
+    unknown = value.isNull() & here.isNotNull()
+    single = F.lit(too_few == "linear") & (F.col("_nulls") > 0) & (F.col("_count") == 1)
+    path = F.when(F.col("_curved"), F.col("_path")).when(single, "linear").otherwise("none")
     curve = F.col("_mean") + sum(
-        (F.col(f"_c{i}") * b for i, b in enumerate(_legendre(scaled, order))), F.lit(0.0))
-    unknown = value.isNull()
-    direct = known.where("_path in ('poly', 'none')").select(
-        *[F.when(unknown & (F.col("_path") == "poly"), curve).otherwise(value).alias(c)
-          if c == spec.value else F.col(c) for c in df.columns],
-        F.when(unknown, F.col("_path")).otherwise("none").alias("fill_path"))
-
-    splined = known.where("_path = 'spline'").select(
+        (F.col(c) * b for c, b in zip(coefficients, _legendre(F.col("_x"), order))), F.lit(0.0))
+    planned = solved.withColumn("_plan", path)
+    direct = planned.where("_plan != 'spline'").select(
+        *[F.when(unknown & (F.col("_plan") == "poly"), curve)
+          .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
+          .otherwise(value).alias(c) if c == spec.value else F.col(c) for c in df.columns],
+        F.when(unknown, F.col("_plan")).otherwise("none").alias("fill_path"))
+    splined = planned.where("_plan = 'spline'").select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
-    # The halo comes from the same rows, so its keys get names of their own.
-    around = _halo(splined, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.block_keys})
-    by_block = splined.groupBy(*spec.block_keys).cogroup(
-        around.groupBy(*[f"_near_{k}" for k in spec.block_keys]))
-    curved = by_block.applyInArrow(_spline_filler(spec, order), splined.schema)
-
-    on_lines = _linear_values(known.where("_path = 'linear'").select(*rows.columns), spec)
-    lined = on_lines.select(
-        *[F.col("_linear").alias(c) if c == spec.value else F.col(c) for c in df.columns],
-        F.when(unknown & F.col("_linear").isNotNull(), "linear").otherwise("none").alias("fill_path"))
-    result = direct.union(curved.select(*direct.columns)).union(lined)
+    timeless = splined.where(here.isNull())
+    curved = _through_all_values(splined.where(here.isNotNull()), spec, order)
+    result = direct.union(curved.select(*direct.columns)).union(timeless.select(*direct.columns))
     return result.withColumn("was_filled", F.col("fill_path") != "none")
 
 

@@ -10,38 +10,35 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.blocks import (
     add_block,
     explode_range,
-    join_blocks,
     period_lists,
     reject_duplicates,
     spread,
+    with_facts,
 )
 from paneltide.functions.scalars import safe_ratio
-from paneltide.spec import BLOCK, PanelSpec
+from paneltide.spec import PanelSpec
 
 # Entries that one cell of a period list may have.
 LIST_LIMIT = 1_000_000
 
 
-def periods(df: DataFrame, spec: PanelSpec, duplicates: str = "merge") -> DataFrame:
+def _number(name: str) -> Column:
+    return F.col(name).cast("bigint")
+
+
+def periods(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Distinct (group, time) with ``has_value``: no row of the period has a null value."""
-    if duplicates not in ("merge", "error"):
-        raise ValueError("duplicates must be 'merge' or 'error'")
-    found = (
+    return (
         df.where(spec.has_key())
         .groupBy(*spec.keys)
-        .agg(F.min(F.col(spec.value).isNotNull()).alias("has_value"), F.count("*").alias("_rows"))
+        .agg(F.min(F.col(spec.value).isNotNull()).alias("has_value"))
     )
-    if duplicates == "error":
-        failure = F.raise_error(F.lit("duplicate period in panel")).cast("boolean")
-        found = found.withColumn(
-            "has_value", F.when(F.col("_rows") > 1, failure).otherwise(F.col("has_value")))
-    return found.drop("_rows")
 
 
 def spans(found: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -54,62 +51,91 @@ def spans(found: DataFrame, spec: PanelSpec) -> DataFrame:
             F.count("*").alias("observed_periods"),
             F.count_if("has_value").alias("valued_periods"),
         )
-        .withColumn(
-            "series_length",
-            F.col("last_year").cast("bigint") - F.col("first_year").cast("bigint") + 1)
+        .withColumn("series_length", _number("last_year") - _number("first_year") + 1)
     )
 
 
-def _holes(marks: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The ranges of periods strictly between neighbouring marks of a group."""
-    blocked = add_block(marks.select(*spec.keys), spec)
-    here = F.col(spec.time).cast("bigint")
-    within = blocked.select(
-        *spec.groups,
-        (F.lag(here).over(spec.in_block()) + 1).alias("run_start"),
-        (here - 1).alias("run_end"),
-    )
-    edges = blocked.groupBy(*spec.block_keys).agg(
-        F.min(here).alias("_first"), F.max(here).alias("_last"))
-    across = edges.select(
-        *spec.groups,
-        (F.col("_last") + 1).alias("run_start"),
-        (F.lead("_first").over(spec.over_blocks()) - 1).alias("run_end"),
-    )
+def _run_ends(df: DataFrame, spec: PanelSpec, nulls_too: bool) -> DataFrame:
+    """Rows that end a run of missing periods, and the last row of every series.
+
+    A run ends before a period that is not missing, and with the last period of its
+    series.  ``series_length`` is set in the last row only, so it can be summed up.
+    """
+    rows = add_block(df.where(spec.has_key()).select(*spec.keys, spec.value), spec)
+    here = _number(spec.time)
+    present = F.col(spec.value).isNotNull() if nulls_too else F.lit(True)
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(
+            F.min(here).alias("_lo"), F.max(here).alias("_hi"),
+            F.max(F.when(present, here)).alias("_last_present"))
+        earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
+        return blocks.select(
+            *spec.task_keys,
+            F.min("_lo").over(spec.whole()).alias("_first"),
+            F.max("_hi").over(spec.whole()).alias("_last"),
+            F.max("_last_present").over(earlier).alias("_before"))
+
+    in_front = spec.in_order().rowsBetween(Window.unboundedPreceding, -1)
+    known = with_facts(reject_duplicates(rows, spec), spec, by_block, {
+        "_first": F.min(here).over(spec.whole()),
+        "_last": F.max(here).over(spec.whole()),
+        "_before": F.lit(None).cast("bigint"),
+    }).withColumn("_present", present).withColumn(
+        "_previous",
+        F.coalesce(F.max(F.when(present, here)).over(in_front), "_before", F.col("_first") - 1))
+    is_last = here == F.col("_last")
     return (
-        within.union(across)
-        .where("run_start <= run_end")
+        known.where(F.col("_present") | is_last)
+        .select(
+            *spec.groups,
+            (F.col("_previous") + 1).alias("run_start"),
+            F.when(F.col("_present"), here - 1).otherwise(here).alias("run_end"),
+            F.when(is_last, F.col("_last") - F.col("_first") + 1).alias("series_length"),
+        )
         .withColumn("run_length", F.expr("run_end - run_start + 1"))
     )
 
 
-def missing_runs(
-    df: DataFrame, spec: PanelSpec, nulls_too: bool = True, duplicates: str = "error"
-) -> DataFrame:
+def missing_runs(df: DataFrame, spec: PanelSpec, nulls_too: bool = True) -> DataFrame:
     """One row per maximal run of missing periods: start, end and length."""
-    found = periods(df, spec, duplicates)
-    if not nulls_too:
-        return _holes(found, spec)
-    # Leading and trailing nulls are runs too: a mark just outside the span closes them.
-    ends = spans(found, spec).select(
-        *spec.groups,
-        F.explode(F.array(
-            F.col("first_year").cast("bigint") - 1, F.col("last_year").cast("bigint") + 1
-        )).alias(spec.time),
-    )
-    valued = found.where("has_value").select(
-        *spec.groups, F.col(spec.time).cast("bigint").alias(spec.time))
-    return _holes(valued.union(ends), spec)
+    return _run_ends(df, spec, nulls_too).where("run_length > 0").drop("series_length")
 
 
 def missing_periods(
     df: DataFrame, spec: PanelSpec, nulls_too: bool = True, duplicates: str = "merge"
 ) -> DataFrame:
-    """One row per (group, missing period); the form without a length bound."""
-    runs = missing_runs(df, spec, nulls_too, duplicates)
+    """One row per (group, missing period); the form without a length bound.
+
+    With ``duplicates='merge'`` a period with several rows counts once, and as null if
+    any of them is null; with ``'error'`` it stops the query.
+    """
+    if duplicates not in ("merge", "error"):
+        raise ValueError("duplicates must be 'merge' or 'error'")
+    if duplicates == "merge":
+        df = periods(df, spec).withColumn(spec.value, F.when(F.col("has_value"), 1.0))
+    runs = missing_runs(df, spec, nulls_too)
     return explode_range(runs, F.col("run_start"), F.col("run_end"), spec.time).select(*spec.keys)
 
 
+def _bounded_gap_summary(df: DataFrame, spec: PanelSpec, nulls_too: bool) -> DataFrame:
+    """The summary with arrays, from sets that the time range bounds, in one shuffle."""
+    rows = add_block(df.where(spec.has_key()), spec)
+    nulls = F.when(F.col(spec.value).isNull(), F.col(spec.time))
+    gathered = rows.groupBy(*spec.groups).agg(
+        F.collect_set(spec.time).alias("_observed"), F.collect_set(nulls).alias("_null"))
+    first, last = F.array_min("_observed"), F.array_max("_observed")
+    missing = F.array_except(F.sequence(first, last), F.col("_observed"))
+    if nulls_too:
+        missing = F.array_sort(F.array_union(missing, F.col("_null")))
+    return gathered.select(
+        *spec.groups, first.alias("first_year"), last.alias("last_year"),
+        F.size("_observed").cast("bigint").alias("observed_periods"),
+        (last.cast("bigint") - first.cast("bigint") + 1).alias("series_length"),
+        missing.alias("missing_years"),
+    ).withColumn("missing_count", F.size("missing_years").cast("bigint"))
+
+
 def gap_summary(
     df: DataFrame,
     spec: PanelSpec,
@@ -124,20 +150,24 @@ def gap_summary(
     """
     if lists not in (None, "array", "text"):
         raise ValueError("lists must be None, 'array' or 'text'")
-    present = "valued_periods" if nulls_too else "observed_periods"
-    summary = (
-        spans(periods(df, spec), spec)
-        .withColumn("missing_count", F.col("series_length") - F.col(present))
-        .where("missing_count > 0")
-        .withColumn("missing_quote", F.col("missing_count") / F.col("series_length"))
-        .drop("valued_periods")
-    )
-    if lists is None:
-        return summary
-    listed = period_lists(
-        missing_periods(df, spec, nulls_too), spec, "missing_years",
-        as_text=lists == "text", limit=list_limit)
-    return summary.join(listed, spec.groups, "left")
+    if spec.bounded:
+        summary = _bounded_gap_summary(df, spec, nulls_too)
+        if lists is None:
+            summary = summary.drop("missing_years")
+        if lists == "text":
+            summary = summary.withColumn(
+                "missing_years", F.array_join(F.col("missing_years").cast("array<string>"), ", "))
+    else:
+        present = "valued_periods" if nulls_too else "observed_periods"
+        summary = spans(periods(df, spec), spec).withColumn(
+            "missing_count", F.col("series_length") - F.col(present)).drop("valued_periods")
+        if lists is not None:
+            listed = period_lists(
+                missing_periods(df, spec, nulls_too), spec, "missing_years",
+                as_text=lists == "text", limit=list_limit)
+            summary = summary.where("missing_count > 0").join(listed, spec.groups, "left")
+    return summary.where("missing_count > 0").withColumn(
+        "missing_quote", F.col("missing_count") / F.col("series_length"))
 
 
 def gap_overview(df: DataFrame, spec: PanelSpec, **options: object) -> DataFrame:
@@ -147,9 +177,9 @@ def gap_overview(df: DataFrame, spec: PanelSpec, **options: object) -> DataFrame
 
 def missing_ratio_isolated(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """One row: missing periods without a missing neighbour, as a share of all spans."""
-    total = spans(periods(df, spec, "error"), spec).agg(F.sum("series_length"))
-    single = missing_runs(df, spec).agg(F.count_if(F.col("run_length") == 1).alias("n"))
-    return single.select(safe_ratio(F.col("n"), total.scalar()).alias("missing_ratio_isolated"))
+    single = F.count_if(F.col("run_length") == 1)
+    return _run_ends(df, spec, True).agg(
+        safe_ratio(single, F.sum("series_length")).alias("missing_ratio_isolated"))
 
 
 def missing_ratio_sequential(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -157,14 +187,15 @@ def missing_ratio_sequential(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
     Of several longest runs the one of the first group in sort order counts.
     """
-    total = spans(periods(df, spec, "error"), spec).agg(F.sum("series_length"))
-    long_runs = missing_runs(df, spec).where("run_length > 1")
-    found = long_runs.agg(
-        F.sum("run_length").alias("n"),
-        F.min(F.struct((-F.col("run_length")).alias("rank"), *spec.groups)).alias("top"),
+    length = F.when(F.col("run_length") > 1, F.col("run_length"))
+    rank = F.struct((-length).alias("rank"), *spec.groups)
+    found = _run_ends(df, spec, True).agg(
+        safe_ratio(F.coalesce(F.sum(length), F.lit(0)), F.sum("series_length"))
+        .alias("missing_ratio_sequential"),
+        F.min(F.when(length.isNotNull(), rank)).alias("top"),
     )
     return found.select(
-        safe_ratio(F.coalesce("n", F.lit(0)), total.scalar()).alias("missing_ratio_sequential"),
+        "missing_ratio_sequential",
         *[F.col(f"top.{g}").alias(f"longest_{g}") for g in spec.groups],
         (-F.col("top.rank")).alias("longest_run_length"),
     )
@@ -178,20 +209,25 @@ def densify(df: DataFrame, spec: PanelSpec, duplicates: str = "error") -> DataFr
     """
     columns, kind = df.columns, df.schema[spec.time].dataType
     rows = add_block(df.where(spec.has_key()), spec)
-    starts = rows.groupBy(*spec.block_keys).agg(F.min(spec.time).alias("_first"))
-    following = starts.select(
-        *spec.block_keys, F.lead("_first").over(spec.over_blocks()).alias("_next_first"))
+
+    def by_block() -> DataFrame:
+        starts = rows.groupBy(*spec.task_keys).agg(F.min(spec.time).alias("_first"))
+        return starts.select(
+            *spec.task_keys, F.lead("_first").over(spec.over_blocks()).alias("_next_first"))
+
     if duplicates == "error":
-        rows = reject_duplicates(rows, spec)
-    rows = rows.withColumn("_next", F.lead(spec.time).over(spec.in_block()))
+        rows_checked = reject_duplicates(rows, spec)
+    else:
+        rows_checked = rows
+    ahead = with_facts(
+        rows_checked.withColumn("_next", F.lead(spec.time).over(spec.in_order())),
+        spec, by_block, {"_next_first": F.lit(None).cast(kind)})
     stop = F.coalesce("_next", "_next_first", F.col(spec.time) + 1) - 1
-    filled = explode_range(
-        join_blocks(rows, following, spec), F.col(spec.time), stop, "_period")
+    filled = explode_range(ahead, F.col(spec.time), stop, "_period")
     observed = F.col("_period") == F.col(spec.time)
-    kept = {*spec.groups, spec.time}
     return filled.select(*[
         F.col("_period").cast(kind).alias(c) if c == spec.time
-        else F.col(c) if c in kept
+        else F.col(c) if c in spec.groups
         else F.when(observed, F.col(c)).alias(c)
         for c in columns
     ])
@@ -223,6 +259,44 @@ class Trimmed:
     removed_years: DataFrame
 
 
+def _with_rest(df: DataFrame, spec: PanelSpec, threshold: float) -> DataFrame:
+    """Rows with ``_above`` (their group is to be cut) and ``_may_start`` (the time of a
+    value from which on the rest misses few enough periods)."""
+    rows = add_block(df.where(spec.has_key()), spec)
+    here, value = _number(spec.time), F.col(spec.value)
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(
+            F.min(here).alias("_lo"), F.max(here).alias("_hi"),
+            F.count("*").alias("_rows"), F.count(spec.value).alias("_values"))
+        earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
+        whole = spec.whole()
+        return blocks.select(
+            *spec.task_keys,
+            F.min("_lo").over(whole).alias("_first"),
+            F.max("_hi").over(whole).alias("_last"),
+            F.sum("_rows").over(whole).alias("_observed"),
+            F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_before"))
+
+    known = with_facts(reject_duplicates(rows, spec), spec, by_block, {
+        "_first": F.min(here).over(spec.whole()),
+        "_last": F.max(here).over(spec.whole()),
+        "_observed": F.count("*").over(spec.whole()),
+        "_before": F.lit(0).cast("bigint"),
+    })
+    in_front = spec.in_order().rowsBetween(Window.unboundedPreceding, -1)
+    length = F.col("_last") - F.col("_first") + 1
+    offset = here - F.col("_first")
+    return (
+        known.withColumn("_length", length)
+        .withColumn("_gaps", F.col("_length") - F.col("_observed"))
+        .withColumn("_above", F.col("_gaps") / F.col("_length") > threshold)
+        .withColumn("_front", F.col("_before") + F.count(spec.value).over(in_front))
+        .withColumn("_share", (F.col("_gaps") - offset + F.col("_front")) / (F.col("_length") - offset))
+        .withColumn("_may_start", F.when(value.isNotNull() & (F.col("_share") <= threshold), here))
+    )
+
+
 def trim_cuts(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFrame:
     """Where each group whose share of gaps is above the threshold has to be cut.
 
@@ -234,39 +308,14 @@ def trim_cuts(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFra
     if no part can be kept.  Gaps alone decide whether a group is cut, while nulls count
     as missing when they are removed.
     """
-    rows = add_block(df.where(spec.has_key()).select(*spec.keys, spec.value), spec)
-    here = F.col(spec.time).cast("bigint")
-    blocks = rows.groupBy(*spec.block_keys).agg(
-        F.min(here).alias("_lo"), F.max(here).alias("_hi"),
-        F.count("*").alias("_rows"), F.count(spec.value).alias("_values"))
-    whole = spec.all_blocks()
-    earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
-    facts = (
-        blocks.select(
-            *spec.block_keys,
-            F.min("_lo").over(whole).alias("_first"),
-            F.max("_hi").over(whole).alias("_last"),
-            F.sum("_rows").over(whole).alias("_observed"),
-            F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_before"),
-        )
-        .withColumn("_length", F.expr("_last - _first + 1"))
-        .withColumn("_gaps", F.expr("_length - _observed"))
-        .where(F.col("_gaps") / F.col("_length") > threshold)
-    )
-    in_front = spec.in_block().rowsBetween(Window.unboundedPreceding, -1)
-    offset = here - F.col("_first")
-    values_before = F.col("_before") + F.count(spec.value).over(in_front)
-    share = (F.col("_gaps") - offset + values_before) / (F.col("_length") - offset)
     return (
-        join_blocks(rows, facts, spec, "inner")
-        .withColumn("_share", share)
+        _with_rest(df.select(*spec.keys, spec.value), spec, threshold)
+        .where("_above")
         .groupBy(*spec.groups)
         .agg(
             F.min("_first").alias("from_year"),
             F.max("_last").alias("_end"),
-            F.min(F.when(
-                F.col(spec.value).isNotNull() & (F.col("_share") <= threshold), here
-            )).alias("keep_from"),
+            F.min("_may_start").alias("keep_from"),
         )
         .withColumn("to_year", F.coalesce(F.col("keep_from") - 1, F.col("_end")))
         .select(*spec.groups, "from_year", "to_year", "keep_from")
@@ -288,11 +337,16 @@ def emptied_groups(cuts: DataFrame, spec: PanelSpec) -> DataFrame:
     return cuts.where("keep_from is null").select(*spec.groups)
 
 
-def apply_cuts(df: DataFrame, cuts: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Rows that stay, with the gaps of every remaining series filled by null rows."""
-    rows = add_block(df.where(spec.has_key()), spec)
-    kept = spread(rows, cuts, spec).where(
-        F.col("to_year").isNull() | (F.col(spec.time) > F.col("to_year")))
+def trim_panel(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFrame:
+    """Rows that trimming keeps, with the gaps of every remaining series as null rows."""
+    if spec.bounded:
+        start = F.min("_may_start").over(spec.whole())
+        kept = _with_rest(df, spec, threshold).withColumn("_start", start).where(
+            ~F.col("_above") | (_number(spec.time) >= F.col("_start")))
+    else:
+        rows = add_block(df.where(spec.has_key()), spec)
+        kept = spread(rows, trim_cuts(df, spec, threshold), spec).where(
+            F.col("to_year").isNull() | (F.col(spec.time) > F.col("to_year")))
     return densify(kept.select(*df.columns), spec)
 
 
@@ -301,7 +355,7 @@ def trim_by_missing_ratio(
 ) -> Trimmed:
     cuts = trim_cuts(df, spec, threshold)
     return Trimmed(
-        panel=apply_cuts(df, cuts, spec),
+        panel=trim_panel(df, spec, threshold),
         cuts=cuts,
         above_threshold=gap_summary(df, spec, list_limit=list_limit).where(
             F.col("missing_quote") > threshold),

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, join_blocks
+from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
+from paneltide.functions.materialize import cut
 from paneltide.operators.complete import filter_complete_series
 from paneltide.operators.fill import interpolate_linear, interpolate_spline
 from paneltide.spec import PanelSpec
@@ -181,13 +182,16 @@ def mask_sequential(
 def add_position(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Adds ``position``, the place of a row in its series, from 0."""
     rows = add_block(df.where(spec.has_group()), spec)
-    earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*spec.block_keys).agg(F.count("*").alias("_n"))
-        .select(*spec.block_keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    ranked = rows.withColumn("_rank", F.row_number().over(spec.in_block()))
-    return join_blocks(ranked, offsets, spec).select(
+
+    def by_block() -> DataFrame:
+        earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
+        sizes = rows.groupBy(*spec.task_keys).agg(F.count("*").alias("_n"))
+        return sizes.select(
+            *spec.task_keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+
+    ranked = reject_duplicates(rows, spec).withColumn(
+        "_rank", F.row_number().over(spec.in_order()))
+    return with_facts(ranked, spec, by_block, {"_offset": F.lit(0).cast("bigint")}).select(
         *df.columns, (F.col("_offset") + F.col("_rank") - 1).alias("position"))
 
 
@@ -231,9 +235,10 @@ def masking_errors(
 ) -> DataFrame:
     """Error of each method at the masked values: (trial, kind, method, group, position, error).
 
-    Of a run of masked values only the first is scored, unless ``score_all`` is set.
+    Of a run of masked values only the first is scored, unless ``score_all`` is set.  The
+    targets and the masked series are read several times, so each is written once.
     """
-    masked = masked_panel(df, spec, targets)
+    masked = cut(masked_panel(df, spec, cut(targets)))
     series = spec.with_(group=("trial", "kind", *spec.groups), value="masked_value")
     scored = "is_masked" if score_all else "is_target"
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, period_lists, spread
+from paneltide.functions.blocks import add_block, period_lists, spread, with_facts
 from paneltide.functions.scalars import any_of, normalize, safe_ratio, split_periods, strip
 from paneltide.operators.gaps import LIST_LIMIT, missing_periods, periods, spans
 from paneltide.spec import PanelSpec
@@ -186,10 +186,17 @@ def cut_at_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFram
     Rows without a group have no series to cut and stay; rows without a period stay
     only in groups without a break.
     """
-    rows = add_block(df, spec)
-    later = F.col("last_break").isNull() | F.coalesce(
-        F.col(spec.time) > F.col("last_break"), F.lit(False))
-    kept = spread(rows.where(spec.has_group()), last_breaks(df, spec, flag), spec).where(later)
+    rows = add_block(df.where(spec.has_group()), spec)
+    is_break = status_mask(df, spec.status, (flag,))
+    last = F.max(F.when(is_break, F.col(spec.time)))
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(last.alias("_own"))
+        return blocks.select(*spec.task_keys, F.max("_own").over(spec.whole()).alias("_last_break"))
+
+    later = F.col("_last_break").isNull() | F.coalesce(
+        F.col(spec.time) > F.col("_last_break"), F.lit(False))
+    kept = with_facts(rows, spec, by_block, {"_last_break": last.over(spec.whole())}).where(later)
     return kept.select(*df.columns).union(df.where(~spec.has_group()))
 
 
