@@ -72,7 +72,10 @@ def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
                        F.coalesce(time.cast("string"), F.lit("null")))
     window = spec.in_order()
     seen = (F.row_number().over(window) > 1) & time.eqNullSafe(F.lag(spec.time).over(window))
-    return df.withColumn(spec.time, F.when(seen, F.raise_error(message)).otherwise(time))
+    # A filter leaves the time column and so the sort order as they are.
+    checked = df.withColumn("_seen", seen).where(
+        F.when(F.col("_seen"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.drop("_seen")
 
 
 def explode_range(df: DataFrame, start: Column, stop: Column, name: str) -> DataFrame:

@@ -16,12 +16,13 @@ CORONA_YEARS = (2020, 2021)
 
 
 def add_time_features(
-    df: DataFrame, spec: PanelSpec, lags: Sequence[int] = (), windows: Sequence[int] = ()
+    df: DataFrame, spec: PanelSpec, lags: Sequence[int] = (), windows: Sequence[int] = (),
+    keep_groupless: bool = True,
 ) -> DataFrame:
     """``lag_<n>`` and ``roll_mean_<w>`` per group, counted in rows, from one shuffle.
 
     A rolling mean takes the row itself and the rows before it and skips nulls.  Rows
-    without a group get null.  The first rows of a block look back into the last values
+    without a group get null; they are left out if ``keep_groupless`` is off.  The first rows of a block look back into the last values
     of earlier blocks, which travel as one short array per block.
     """
     if any(n < 1 for n in (*lags, *windows)):
@@ -73,9 +74,12 @@ def add_time_features(
             carried, F.lit(0.0), lambda a, x: a + x)
         out = out.withColumn(
             f"roll_mean_{w}", F.try_divide(total, F.count(value).over(frame) + F.size(carried)))
+    out = out.select(*columns, *names)
+    if not keep_groupless:
+        return out
     without_group = df.where(~spec.has_group()).select(
         *columns, *[F.lit(None).cast("double").alias(n) for n in names])
-    return out.select(*columns, *names).union(without_group)
+    return out.union(without_group)
 
 
 def add_lag_features(df: DataFrame, spec: PanelSpec, lags: Sequence[int] = (1, 2)) -> DataFrame:
@@ -95,12 +99,13 @@ def add_period_flag(
     return df.withColumn(flag_col, inside.cast("int"))
 
 
-def build_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def build_features(df: DataFrame, spec: PanelSpec, keep_groupless: bool = True) -> DataFrame:
     """Definition flag, status flag, lags 1 and 2, and the rolling mean over 3 rows."""
     return (
         df.transform(add_d_flag, spec)
         .transform(add_status_flag, spec)
-        .transform(add_time_features, spec, lags=(1, 2), windows=(3,))
+        .transform(add_time_features, spec, lags=(1, 2), windows=(3,),
+                   keep_groupless=keep_groupless)
     )
 
 

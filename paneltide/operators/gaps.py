@@ -201,26 +201,30 @@ def missing_ratio_sequential(df: DataFrame, spec: PanelSpec) -> DataFrame:
     )
 
 
-def densify(df: DataFrame, spec: PanelSpec, duplicates: str = "error") -> DataFrame:
+def densify(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Add a row for every gap; other columns of added rows are null.
 
     Each row brings forth the gap rows up to the next period of its group, so the
     panel is shuffled once and never joined to a grid.
     """
-    columns, kind = df.columns, df.schema[spec.time].dataType
     rows = add_block(df.where(spec.has_key()), spec)
+    return _densify(reject_duplicates(rows, spec), rows, spec, df.columns)
+
+
+def _densify(
+    rows: DataFrame, unchecked: DataFrame, spec: PanelSpec, columns: list[str]
+) -> DataFrame:
+    """``densify`` for rows that have their block and are known to be unique; the block
+    table is made from the rows before that check."""
+    kind = rows.schema[spec.time].dataType
 
     def by_block() -> DataFrame:
-        starts = rows.groupBy(*spec.task_keys).agg(F.min(spec.time).alias("_first"))
+        starts = unchecked.groupBy(*spec.task_keys).agg(F.min(spec.time).alias("_first"))
         return starts.select(
             *spec.task_keys, F.lead("_first").over(spec.over_blocks()).alias("_next_first"))
 
-    if duplicates == "error":
-        rows_checked = reject_duplicates(rows, spec)
-    else:
-        rows_checked = rows
     ahead = with_facts(
-        rows_checked.withColumn("_next", F.lead(spec.time).over(spec.in_order())),
+        rows.withColumn("_next", F.lead(spec.time).over(spec.in_order())),
         spec, by_block, {"_next_first": F.lit(None).cast(kind)})
     stop = F.coalesce("_next", "_next_first", F.col(spec.time) + 1) - 1
     filled = explode_range(ahead, F.col(spec.time), stop, "_period")
@@ -343,11 +347,12 @@ def trim_panel(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFr
         start = F.min("_may_start").over(spec.whole())
         kept = _with_rest(df, spec, threshold).withColumn("_start", start).where(
             ~F.col("_above") | (_number(spec.time) >= F.col("_start")))
-    else:
-        rows = add_block(df.where(spec.has_key()), spec)
-        kept = spread(rows, trim_cuts(df, spec, threshold), spec).where(
-            F.col("to_year").isNull() | (F.col(spec.time) > F.col("to_year")))
-    return densify(kept.select(*df.columns), spec)
+        # The rows have been checked for repeated periods, and are still in time order.
+        return _densify(kept, kept, spec, df.columns)
+    rows = add_block(df.where(spec.has_key()), spec)
+    kept = spread(rows, trim_cuts(df, spec, threshold), spec).where(
+        F.col("to_year").isNull() | (F.col(spec.time) > F.col("to_year")))
+    return _densify(reject_duplicates(kept, spec), kept, spec, df.columns)
 
 
 def trim_by_missing_ratio(

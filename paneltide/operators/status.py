@@ -180,11 +180,13 @@ def last_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFrame:
     )
 
 
-def cut_at_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFrame:
+def cut_at_breaks(
+    df: DataFrame, spec: PanelSpec, flag: str = BREAK, keep_groupless: bool = True
+) -> DataFrame:
     """Rows after the last break of their group; groups without one stay whole.
 
-    Rows without a group have no series to cut and stay; rows without a period stay
-    only in groups without a break.
+    Rows without a group have no series to cut and stay, unless ``keep_groupless`` is
+    off; rows without a period stay only in groups without a break.
     """
     rows = add_block(df.where(spec.has_group()), spec)
     is_break = status_mask(df, spec.status, (flag,))
@@ -197,7 +199,8 @@ def cut_at_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFram
     later = F.col("_last_break").isNull() | F.coalesce(
         F.col(spec.time) > F.col("_last_break"), F.lit(False))
     kept = with_facts(rows, spec, by_block, {"_last_break": last.over(spec.whole())}).where(later)
-    return kept.select(*df.columns).union(df.where(~spec.has_group()))
+    kept = kept.select(*df.columns)
+    return kept.union(df.where(~spec.has_group())) if keep_groupless else kept
 
 
 def break_summary(

@@ -31,10 +31,11 @@ def prepare_panel(df: DataFrame, spec: PanelSpec, settings: Settings = Settings(
     if settings.method not in ("linear", "spline"):
         raise ValueError("method must be 'linear' or 'spline'")
     between = (lambda panel: panel) if spec.bounded else cut
-    unbroken = between(cut_at_breaks(df, spec, settings.break_flag))
+    # Rows without a group would not outlast trimming.
+    unbroken = between(cut_at_breaks(df, spec, settings.break_flag, keep_groupless=False))
     trimmed = between(trim_panel(unbroken, spec, settings.threshold))
     if settings.method == "linear":
         filled = fill_linear(trimmed, spec)
     else:
         filled = fill_spline(trimmed, spec, settings.order)
-    return build_features(between(filled), spec)
+    return build_features(between(filled), spec, keep_groupless=False)

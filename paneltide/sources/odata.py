@@ -59,15 +59,17 @@ def parse_responses(responses: DataFrame, spec: PanelSpec) -> DataFrame:
 
     field = F.coalesce(*[if_present(name) for name in VALUE_FIELDS])
     missing = F.raise_error(F.concat(F.lit("no value field in "), F.col("source"))).cast("string")
-    chosen = parsed.where(F.size("_items") > 0).withColumn("_field", F.coalesce(field, missing))
-    rows = chosen.select("indicator", "source", "_field", F.posexplode("_items").alias("position", "_item"))
-    item = F.col("_item")
+    chosen = parsed.withColumn(
+        "_field", F.coalesce(field, F.when(F.size("_items") > 0, missing)))
+    items = F.transform("_items", lambda m: F.struct(
+        m[FILTER_FIELD].alias("dim1"), m[GROUP_FIELD].alias("group"), m[TIME_FIELD].alias("time"),
+        m[F.col("_field")].alias("number")))
+    rows = chosen.select("indicator", "source", F.posexplode(items).alias("position", "_item"))
     return rows.select(
-        "indicator", "source", "position",
-        item[FILTER_FIELD].alias("dim1"),
-        item[GROUP_FIELD].alias(spec.groups[0]),
-        to_period(item[TIME_FIELD]).alias(spec.time),
-        to_number(item[F.col("_field")]).alias(spec.value))
+        "indicator", "source", "position", F.col("_item.dim1").alias("dim1"),
+        F.col("_item.group").alias(spec.groups[0]),
+        to_period(F.col("_item.time")).alias(spec.time),
+        to_number(F.col("_item.number")).alias(spec.value))
 
 
 def tidy_indicator(df: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -95,27 +95,32 @@ def parse_messages(
     time = F.get(dimensions["observation"], F.lit(0))
     first_set = F.get(data["dataSets"], F.lit(0))["series"]
 
-    def observation(entry: Column, series_parts: Column, dimension_parts: Column) -> Column:
+    def series(entry: Column) -> Column:
+        return F.struct(
+            _dimensions(dimensions["series"], entry["key"]).alias("d"),
+            _attributes(attributes["series"], entry["value"]["attributes"]).alias("s"),
+            F.map_entries(entry["value"]["observations"]).alias("observations"))
+
+    def observation(entry: Column, of: Column) -> Column:
         period = F.get(time["values"], entry["key"].try_cast("int"))
         cells = entry["value"]
         others = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
         return F.when(period.isNotNull(), F.struct(
-            dimension_parts.alias("d"), series_parts.alias("s"),
+            of["d"].alias("d"), of["s"].alias("s"),
             _attributes(attributes["observation"], others).alias("o"),
             time["id"].alias("time_name"), period["id"].alias("time"),
             F.get(cells, F.lit(0)).alias("number")))
 
-    def series(entry: Column) -> Column:
-        fits = F.size(F.split(entry["key"], ":")) == F.size(dimensions["series"])
-        observations = F.map_entries(entry["value"]["observations"])
-        dimension_parts = _dimensions(dimensions["series"], entry["key"])
-        series_parts = _attributes(attributes["series"], entry["value"]["attributes"])
-        return F.when(fits, F.filter(
-            F.transform(observations, lambda o: observation(o, series_parts, dimension_parts)),
-            lambda o: o.isNotNull()))
+    def fits(entry: Column) -> Column:
+        return F.size(F.split(entry["key"], ":")) == F.size(dimensions["series"])
 
+    # Series are looked up once each, before their observations are.
     parsed = messages.select(F.from_json(F.col(text), MESSAGE).alias("_m"))
-    by_series = F.filter(F.transform(F.map_entries(first_set), series), lambda s: s.isNotNull())
+    all_series = F.transform(F.filter(F.map_entries(first_set), fits), series)
+    by_series = F.transform(
+        F.filter(all_series, lambda s: s["observations"].isNotNull()),
+        lambda s: F.filter(
+            F.transform(s["observations"], lambda o: observation(o, s)), lambda o: o.isNotNull()))
     rows = parsed.select(F.explode(F.flatten(by_series)).alias("_o")).select("_o.*")
 
     def column(name: str) -> Column:
