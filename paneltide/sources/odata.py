@@ -38,7 +38,7 @@ INDICATORS = (
 
 def read_responses(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Response texts from folders ``indicator=<code>``: (indicator, source, value)."""
-    files = spark.read.option("wholetext", not one_per_line).text(path)
+    files = spark.read.text(path, wholetext=not one_per_line)
     return files.select(
         F.col("indicator").cast("string").alias("indicator"),
         F.col("_metadata.file_path").alias("source"), "value")

@@ -43,7 +43,7 @@ _ENTRIES = "array<struct<key:string,value:string>>"
 
 def read_messages(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Message texts as column ``value``: one per file, or one per line (then files split)."""
-    return spark.read.option("wholetext", not one_per_line).text(path)
+    return spark.read.text(path, wholetext=not one_per_line)
 
 
 def _entry(key: Column, value: Column) -> Column:
