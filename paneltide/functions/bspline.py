@@ -6,8 +6,9 @@ import numpy as np
 
 # Points solved together, and points on either side that only steady the solution.  The
 # pull of a point on a spline fades by a constant factor per point (0.27 for cubic, 0.43
-# for degree five, on even spacing), so after 64 points it is below double precision.
-WINDOW = 512
+# for degree five, on even spacing; 0.5 at most for cubic on any), so after 64 points it is
+# below double precision.
+WINDOW = 96
 HALO = 64
 
 

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneltide.functions import bspline
 from paneltide.functions.blocks import add_block, reject_duplicates, spread, with_facts
 from paneltide.functions.bspline import HALO, interpolate
 from paneltide.spec import PanelSpec
 
 MAX_ORDER = 5
 
+# Executors get the spline code with the task, so they need not have this package.
+cloudpickle.register_pickle_by_value(bspline)
+
 
 def _linear_values(rows: DataFrame, spec: PanelSpec) -> DataFrame:
     """Rows with ``_linear``: the value on the line between the neighbours.

@@ -72,10 +72,13 @@ def _accepted(
 
     A position with the lowest priority among all that are too close to it is taken for
     certain, and then neither side of it has a say in the other.  So a series falls into
-    short stretches between such positions, and each stretch is decided on its own.  Rows
-    are generated from the series lengths, POSITIONS places at a time, with no shuffle.
+    short stretches between such positions, and each stretch is decided on its own.
+    Positions are generated from the series lengths, POSITIONS at a time.  Only the rows
+    that say which ones are shuffled, so that a long series is worked on by many tasks;
+    their number is fixed, as these rows are small but the work on them is not.
     """
     near = kind.distance
+    tasks = int(lengths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def priority(position: Column) -> Column:
         parts = [F.lit(str(seed)), F.col("trial").cast("string"),
@@ -86,6 +89,7 @@ def _accepted(
         _eligible(lengths, kind)
         .withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
         .withColumn("_piece", F.explode(F.expr(f"sequence(0L, (_last - 1) div {POSITIONS}L)")))
+        .repartition(tasks, "trial", *spec.groups, "_piece")
         .withColumn("_lo", F.col("_piece") * POSITIONS + 1)
         .withColumn("_hi", F.least(F.col("_lo") + POSITIONS - 1, "_last"))
         .withColumn("_from", F.greatest(F.col("_lo") - near + 1, F.lit(1)))
@@ -203,31 +207,45 @@ def masked_panel(df: DataFrame, spec: PanelSpec, targets: DataFrame) -> DataFram
     """
     cell = F.expr(f"position div {POSITIONS}L")
     width = F.when(F.col("kind") == SEQUENTIAL.name, SEQUENTIAL.width).otherwise(ISOLATED.width)
-    series = ["trial", "kind", *spec.groups]
+    run = F.struct("trial", "kind")
     covered = targets.select(
-        *series,
+        "trial", "kind", *spec.groups,
         F.col("position").alias("_start"),
         F.explode(F.sequence(F.col("position"), F.col("position") + width - 1)).alias("position"),
+    ).withColumn("_cell", cell)
+    # A cell is a range of positions and runs are few, which bounds the lists.
+    starts = F.collect_set(F.when(F.col("position") == F.col("_start"), F.col("position")))
+    by_cell = (
+        covered.groupBy("trial", "kind", *spec.groups, "_cell")
+        .agg(F.collect_set("position").alias("masked"), starts.alias("starts"))
+        .groupBy(*spec.groups, "_cell")
+        .agg(F.map_from_entries(F.collect_list(F.struct(run, F.struct("masked", "starts")))).alias("_masks"))
     )
-    # At most POSITIONS entries each, since the cell is a range of positions.
-    by_cell = covered.withColumn("_cell", cell).groupBy(*series, "_cell").agg(
-        F.collect_set("position").alias("_masked"),
-        F.collect_set(F.when(F.col("position") == F.col("_start"), F.col("position"))).alias("_starts"))
+    runs = targets.groupBy(*spec.groups).agg(F.collect_set(run).alias("_runs"))
     rows = add_position(
         filter_complete_series(df.select(*spec.keys, spec.value), spec), spec
     ).withColumn("_cell", cell)
-    cells = rows.select(*spec.groups, "_cell").distinct()
+    # Cells are multiplied by the runs once they are spread over tasks, like the rows.
     wanted = (
-        targets.select(*series).distinct()
-        .join(cells, spec.groups, "inner")
-        .join(by_cell, [*series, "_cell"], "left")
+        rows.select(*spec.groups, "_cell").distinct()
+        .join(runs, spec.groups, "inner")
+        .join(by_cell, [*spec.groups, "_cell"], "left")
+        .withColumn("_run", F.explode("_runs"))
+        .select(*spec.groups, "_cell", "_run", F.try_element_at("_masks", F.col("_run")).alias("_mask"))
+    )
+
+    def among(positions: str) -> Column:
+        return F.coalesce(F.array_contains(F.col("_mask")[positions], F.col("position")), F.lit(False))
+
+    return (
+        rows.join(wanted, [*spec.groups, "_cell"], "inner")
+        .withColumn("is_masked", among("masked"))
+        .select(
+            F.col("_run.trial").alias("trial"), F.col("_run.kind").alias("kind"), *spec.groups,
+            spec.time, "position", spec.value,
+            F.when(~F.col("is_masked"), F.col(spec.value)).alias("masked_value"),
+            "is_masked", among("starts").alias("is_target"))
     )
-    masked = F.coalesce(F.array_contains("_masked", F.col("position")), F.lit(False))
-    return rows.join(wanted, [*spec.groups, "_cell"], "inner").select(
-        *series, spec.time, "position", spec.value,
-        F.when(~masked, F.col(spec.value)).alias("masked_value"),
-        masked.alias("is_masked"),
-        F.coalesce(F.array_contains("_starts", F.col("position")), F.lit(False)).alias("is_target"))
 
 
 def masking_errors(

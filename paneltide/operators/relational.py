@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneltide.functions.blocks import add_block, spread
 from paneltide.spec import PanelSpec
 
 # Columns of the observation table that the analysis has no use for.
@@ -96,12 +97,13 @@ def in_group_range(rows: DataFrame, keys: DataFrame, spec: PanelSpec) -> DataFra
     """Rows between the first and last key period of their group.
 
     Rows are reduced by a semi join on (group, period) afterwards, so this is only for
-    sources that filter by range.  The bounds are one small row per group.
+    sources that filter by range.
     """
     bounds = keys.groupBy(*spec.groups).agg(
         F.min(spec.time).alias("_first"), F.max(spec.time).alias("_last"))
+    blocked = add_block(rows.where(spec.has_key()), spec)
     return (
-        rows.join(bounds, spec.groups, "inner")
+        spread(blocked, bounds, spec, "inner")
         .where(F.col(spec.time).between(F.col("_first"), F.col("_last")))
         .select(*rows.columns)
     )
