@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions import bspline
-from paneltide.functions.blocks import add_block, reject_duplicates, spread, with_facts
+from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
 from paneltide.functions.bspline import HALO, interpolate
+from paneltide.functions.materialize import cut
 from paneltide.spec import PanelSpec
 
 MAX_ORDER = 5
@@ -223,6 +224,9 @@ def interpolate_spline(
     spline with that allowance stops as well.  ``spline``: else the spline through all
     values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``.
     Rows without a period have no place on a curve and stay null (``none``).
+
+    Without a declared time range two small tables, of one row per block, are written when
+    this is called.
     """
     if not 1 <= order <= MAX_ORDER:
         raise ValueError(f"order must be between 1 and {MAX_ORDER}")
@@ -245,38 +249,40 @@ def interpolate_spline(
         return blocks.select(*spec.task_keys, *[
             combine.get(n, F.sum)(n).over(whole).alias(n) for n in facts])
 
-    known = (
-        with_facts(reject_duplicates(rows, spec), spec, by_block,
-                   {n: e.over(whole) for n, e in facts.items()})
-        .withColumns({
+    def scaled(known: DataFrame) -> DataFrame:
+        return known.withColumns({
             "_x": (here - (F.col("_lo") + F.col("_hi")) / 2)
             / F.greatest((F.col("_hi") - F.col("_lo")) / 2, F.lit(0.5)),
             "_mean": F.try_divide("_sum", "_count"),
             "_degree": F.least(F.lit(order), F.col("_count") - 1),
+        }).withColumn("_curved", (F.col("_nulls") > 0) & (F.col("_count") >= 2))
+
+    def based(known: DataFrame) -> DataFrame:
+        """The basis and the centred value; null, and so no part of a sum, without a value."""
+        return known.withColumns({
+            "_y": F.when(usable, value - F.col("_mean")),
+            **{f"_b{i}": F.when(usable, b) for i, b in enumerate(_legendre(F.col("_x"), order))},
         })
-        .withColumn("_curved", (F.col("_nulls") > 0) & (F.col("_count") >= 2))
-    )
-    based = known.withColumns({
-        "_y": F.when(usable, value - F.col("_mean")),
-        **{f"_b{i}": b for i, b in enumerate(_legendre(F.col("_x"), order))},
-    })
+
     coefficients = [f"_c{i}" for i in range(order + 1)]
+    checked = reject_duplicates(rows, spec)
     if spec.bounded:
-        # Products with a null value count as nothing, like values that are not there.
-        masked = based.withColumns({
-            f"_b{i}": F.when(usable, F.col(f"_b{i}")) for i in range(order + 1)})
-        sums = masked.withColumns({n: e.over(whole) for n, e in _products(order).items()})
+        known = scaled(checked.withColumns({n: e.over(whole) for n, e in facts.items()}))
+        sums = based(known).withColumns({n: e.over(whole) for n, e in _products(order).items()})
         # Window results are taken as they are, so the solution is not worked out again in
         # every expression that uses it.
         solved = _solve(sums, order).withColumns({
             n: F.max(n).over(whole) for n in (*coefficients, "_path")})
     else:
-        points = based.where(usable & F.col("_curved"))
-        per_group = points.groupBy(*spec.groups).agg(
+        # Each branch below needs the facts of every block, so this small table is written.
+        blocks = cut(by_block())
+        points = scaled(rows.join(blocks, spec.task_keys, "inner").where(usable)).where("_curved")
+        per_group = based(points).groupBy(*spec.groups).agg(
             F.max("_degree").alias("_degree"), F.max("_count").alias("_count"),
             *[e.alias(n) for n, e in _products(order).items()])
-        solved = spread(
-            known, _solve(per_group, order).select(*spec.groups, *coefficients, "_path"), spec)
+        fits = _solve(per_group, order).select(*spec.groups, *coefficients, "_path")
+        block_facts = cut(blocks.join(fits, spec.groups, "left"))
+        solved = scaled(checked.join(block_facts, spec.task_keys, "left"))
 
     unknown = value.isNull() & here.isNotNull()
     single = F.lit(too_few == "linear") & (F.col("_nulls") > 0) & (F.col("_count") == 1)
@@ -284,16 +290,16 @@ def interpolate_spline(
     curve = F.col("_mean") + sum(
         (F.col(c) * b for c, b in zip(coefficients, _legendre(F.col("_x"), order))), F.lit(0.0))
     planned = solved.withColumn("_plan", path)
-    direct = planned.where("_plan != 'spline'").select(
+    on_spline = (F.col("_plan") == "spline") & here.isNotNull()
+    direct = planned.where(~on_spline).select(
         *[F.when(unknown & (F.col("_plan") == "poly"), curve)
           .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
           .otherwise(value).alias(c) if c == spec.value else F.col(c) for c in df.columns],
         F.when(unknown, F.col("_plan")).otherwise("none").alias("fill_path"))
-    splined = planned.where("_plan = 'spline'").select(
+    splined = planned.where(on_spline).select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
-    timeless = splined.where(here.isNull())
-    curved = _through_all_values(splined.where(here.isNotNull()), spec, order)
-    result = direct.union(curved.select(*direct.columns)).union(timeless.select(*direct.columns))
+    curved = _through_all_values(splined, spec, order)
+    result = direct.union(curved.select(*direct.columns))
     return result.withColumn("was_filled", F.col("fill_path") != "none")
 
 

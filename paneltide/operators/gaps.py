@@ -21,6 +21,7 @@ from paneltide.functions.blocks import (
     spread,
     with_facts,
 )
+from paneltide.functions.materialize import cut
 from paneltide.functions.scalars import safe_ratio
 from paneltide.spec import PanelSpec
 
@@ -341,8 +342,14 @@ def emptied_groups(cuts: DataFrame, spec: PanelSpec) -> DataFrame:
     return cuts.where("keep_from is null").select(*spec.groups)
 
 
-def trim_panel(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFrame:
-    """Rows that trimming keeps, with the gaps of every remaining series as null rows."""
+def trim_panel(
+    df: DataFrame, spec: PanelSpec, threshold: float = 0.2, cuts: DataFrame | None = None
+) -> DataFrame:
+    """Rows that trimming keeps, with the gaps of every remaining series as null rows.
+
+    Without a declared time range the cuts are read more than once.  They are written
+    when this is called, unless they are passed in.
+    """
     if spec.bounded:
         start = F.min("_may_start").over(spec.whole())
         kept = _with_rest(df, spec, threshold).withColumn("_start", start).where(
@@ -350,7 +357,9 @@ def trim_panel(df: DataFrame, spec: PanelSpec, threshold: float = 0.2) -> DataFr
         # The rows have been checked for repeated periods, and are still in time order.
         return _densify(kept, kept, spec, df.columns)
     rows = add_block(df.where(spec.has_key()), spec)
-    kept = spread(rows, trim_cuts(df, spec, threshold), spec).where(
+    if cuts is None:
+        cuts = cut(trim_cuts(df, spec, threshold))
+    kept = spread(rows, cuts, spec).where(
         F.col("to_year").isNull() | (F.col(spec.time) > F.col("to_year")))
     return _densify(reject_duplicates(kept, spec), kept, spec, df.columns)
 
@@ -359,8 +368,10 @@ def trim_by_missing_ratio(
     df: DataFrame, spec: PanelSpec, threshold: float = 0.2, list_limit: int = LIST_LIMIT
 ) -> Trimmed:
     cuts = trim_cuts(df, spec, threshold)
+    if not spec.bounded:
+        cuts = cut(cuts)
     return Trimmed(
-        panel=trim_panel(df, spec, threshold),
+        panel=trim_panel(df, spec, threshold, cuts),
         cuts=cuts,
         above_threshold=gap_summary(df, spec, list_limit=list_limit).where(
             F.col("missing_quote") > threshold),
