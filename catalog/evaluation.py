@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.panels import (
-    SPEC as ANY_LENGTH, YEARLY, linear_sql, monthly, monthly_sql, polynomial_sql, yearly,
+    SPEC as ANY_LENGTH, YEARLY, linear_sql, monthly, monthly_sql, polynomial_sql, spline_sql, yearly,
 )
 from catalog.registry import query
 from paneltide.operators import masking
@@ -67,7 +67,11 @@ def _targets(panel):
 
 
 KEYS = "trial, kind, g"
-MASKED = f"""WITH {monthly_sql(SCALE)}, {targets_sql('isolated', RATIOS[0], TRIALS, '_i')},
+
+
+def masked_sql(scale: float) -> str:
+    """CTEs that end in ``k``: the series that hold a target, with the masked value as v."""
+    return f"""{monthly_sql(scale)}, {targets_sql('isolated', RATIOS[0], TRIALS, '_i')},
 {targets_sql('sequential', RATIOS[1], TRIALS, '_s')},
 t0 AS (SELECT *, position AS at FROM mask_i UNION ALL
   SELECT trial, kind, g, position, position + unnest([0, 1, 2]) AS at FROM mask_s),
@@ -78,6 +82,9 @@ k AS (SELECT h.trial, h.kind, x.g, x.t, x.position, x.v AS original,
   coalesce(t0.position = t0.at, false) AS is_target
   FROM held h JOIN rows x ON x.g = h.g
   LEFT JOIN t0 ON t0.trial = h.trial AND t0.kind = h.kind AND t0.g = x.g AND t0.at = x.position)"""
+
+
+MASKED = f"WITH {masked_sql(SCALE)}"
 ERRORS = f"""{MASKED}, {linear_sql('k', KEYS)}, {polynomial_sql('k', KEYS)},
 err AS (SELECT trial, kind, 'linear' AS method, g, position, is_target, original - w AS error FROM f WHERE is_masked
   UNION ALL SELECT trial, kind, 'spline', g, position, is_target, original - fit FROM q WHERE is_masked AND rss <= n)"""
@@ -119,18 +126,30 @@ def _(spark, sf_dir):
         "mae": F.round("mae", 7), "rmse": F.round("rmse", 7)})
 
 
-# Pooled over trials as weighted by the number of scored values.
-@query("g6_a13_compare_methods", f"""{ERRORS}, m AS (SELECT trial, kind, method, {METRICS} FROM err WHERE is_target GROUP BY ALL),
+def pooled_sql(errors: str) -> str:
+    """Errors pooled over trials by the number of scored values."""
+    return f"""{errors}, m AS (SELECT trial, kind, method, {METRICS} FROM err WHERE is_target GROUP BY ALL),
 w AS (SELECT method, round(sum(mae * count) / sum(count), 2) AS mae,
   round(sqrt(sum(rmse * rmse * count) / sum(count)), 2) AS rmse FROM m GROUP BY method)
 SELECT max(mae) FILTER (WHERE method = 'linear') AS mae_linear, max(rmse) FILTER (WHERE method = 'linear') AS rmse_linear,
   max(mae) FILTER (WHERE method = 'spline') AS mae_spline, max(rmse) FILTER (WHERE method = 'spline') AS rmse_spline,
-  CAST({TRIALS} AS INTEGER) AS runs FROM w""")
+  CAST({TRIALS} AS INTEGER) AS runs FROM w"""
+
+
+@query("g6_a13_compare_methods", pooled_sql(ERRORS))
 def _(spark, sf_dir):
     return masking.compare_methods(_panel(spark, sf_dir), SPEC, *RATIOS, TRIALS, SEED)
 
 
-# In full units the monthly series go through the spline; its errors have no SQL form.
-@query("g6_compare_methods_spline")
+# In smaller units the values are large enough for the spline.
+LARGE = 123_456.7
+SPLINE_ERRORS = f"""WITH RECURSIVE {masked_sql(LARGE)}, {linear_sql('k', KEYS)}, {polynomial_sql('k', KEYS)},
+one AS (SELECT trial || '/' || kind || '/' || g AS g, t, v FROM k), {spline_sql('one')},
+err AS (SELECT trial, kind, 'linear' AS method, is_target, original - w AS error FROM f
+  UNION ALL SELECT trial, kind, 'spline', is_target, original - CASE WHEN rss <= n THEN fit ELSE spline END
+  FROM q LEFT JOIN sp ON sp.g = trial || '/' || kind || '/' || q.g AND sp.t = q.t)"""
+
+
+@query("g6_compare_methods_spline", pooled_sql(SPLINE_ERRORS))
 def _(spark, sf_dir):
-    return masking.compare_methods(monthly(spark, sf_dir), SPEC, *RATIOS, TRIALS, SEED)
+    return masking.compare_methods(monthly(spark, sf_dir, LARGE), SPEC, *RATIOS, TRIALS, SEED)

@@ -180,3 +180,36 @@ def polynomial_sql(source: str, keys: str = "g", order: int = 3) -> str:
   res - c{k} * CASE WHEN n > {k} THEN a{k} ELSE 0 END AS res FROM u{k})""")
     ctes.append(f"q AS (SELECT *, sum(res * res) {over} AS rss FROM e{order})")
     return ",\n".join(ctes)
+
+
+def spline_sql(source: str) -> str:
+    """CTEs that end in ``sp``: (g, t, spline) for the rows of ``source`` without a value, by
+    the cubic spline through all values of the group, if it has five or more.
+
+    Second derivatives m at the values follow from a tridiagonal system, solved by a sweep
+    forwards and one backwards; at both ends the first two pieces are one cubic.
+    """
+    return f"""kn AS (SELECT g, t AS x, v AS y, row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY g) - 1 AS m,
+  lead(t) OVER o - t AS h, t - lag(t) OVER o AS hb, (lead(v) OVER o - v) / (lead(t) OVER o - t) AS dv
+  FROM {source} WHERE v IS NOT NULL WINDOW o AS (PARTITION BY g ORDER BY t)),
+eq AS (SELECT *, 6 * (dv - lag(dv) OVER (PARTITION BY g ORDER BY i)) AS rhs,
+  CASE WHEN i = m - 1 THEN hb - h * h / hb ELSE hb END AS lo,
+  2 * (hb + h) + CASE WHEN i = 1 THEN hb * (1 + hb / h) WHEN i = m - 1 THEN h * (1 + h / hb) ELSE 0 END AS di,
+  CASE WHEN i = 1 THEN h - hb * hb / h ELSE h END AS up FROM kn WHERE m >= 4),
+fw AS (SELECT g, i, m, up / di AS c, rhs / di AS r FROM eq WHERE i = 1
+  UNION ALL SELECT eq.g, eq.i, eq.m, eq.up / (eq.di - eq.lo * fw.c), (eq.rhs - eq.lo * fw.r) / (eq.di - eq.lo * fw.c)
+  FROM fw JOIN eq ON eq.g = fw.g AND eq.i = fw.i + 1 WHERE eq.i < eq.m),
+bw AS (SELECT g, i, m, r AS d2 FROM fw WHERE i = m - 1
+  UNION ALL SELECT fw.g, fw.i, fw.m, fw.r - fw.c * bw.d2 FROM bw JOIN fw ON fw.g = bw.g AND fw.i = bw.i - 1),
+en AS (SELECT g, i, d2 FROM bw
+  UNION ALL SELECT a.g, 0, (1 + k0.h / k1.h) * a.d2 - k0.h / k1.h * b.d2 FROM bw a
+    JOIN bw b ON b.g = a.g AND b.i = 2 JOIN kn k0 ON k0.g = a.g AND k0.i = 0 JOIN kn k1 ON k1.g = a.g AND k1.i = 1
+    WHERE a.i = 1
+  UNION ALL SELECT a.g, a.m, (1 + k0.h / k1.h) * a.d2 - k0.h / k1.h * b.d2 FROM bw a
+    JOIN bw b ON b.g = a.g AND b.i = a.m - 2 JOIN kn k0 ON k0.g = a.g AND k0.i = a.m - 1
+    JOIN kn k1 ON k1.g = a.g AND k1.i = a.m - 2 WHERE a.i = a.m - 1),
+pc AS (SELECT k.g, k.i, k.m, k.x, k.h, k.y, z.y AS yn, z.x AS xn, a.d2 AS a2, b.d2 AS b2 FROM kn k
+  JOIN kn z ON z.g = k.g AND z.i = k.i + 1 JOIN en a ON a.g = k.g AND a.i = k.i JOIN en b ON b.g = k.g AND b.i = k.i + 1),
+sp AS (SELECT s.g, s.t, a2 * (xn - t) ** 3 / (6 * h) + b2 * (t - x) ** 3 / (6 * h)
+    + (y / h - a2 * h / 6) * (xn - t) + (yn / h - b2 * h / 6) * (t - x) AS spline
+  FROM {source} s JOIN pc ON pc.g = s.g AND (s.t > x OR i = 0) AND (s.t < xn OR i = m - 1) WHERE s.v IS NULL)"""
