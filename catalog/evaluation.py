@@ -8,6 +8,7 @@ from catalog.panels import (
     SPEC as ANY_LENGTH, YEARLY, linear_sql, monthly, monthly_sql, polynomial_sql, spline_sql, yearly,
 )
 from catalog.registry import query
+from paneltide.functions.materialize import cut
 from paneltide.operators import masking
 
 SEED = 42
@@ -62,8 +63,9 @@ def _panel(spark, sf_dir):
 
 
 def _targets(panel):
-    return masking.mask_isolated(panel, SPEC, RATIOS[0], SEED, TRIALS).union(
-        masking.mask_sequential(panel, SPEC, RATIOS[1], SEED, TRIALS))
+    lengths = cut(masking.complete_lengths(panel, SPEC))
+    return masking.mask_isolated(panel, SPEC, RATIOS[0], SEED, TRIALS, lengths).union(
+        masking.mask_sequential(panel, SPEC, RATIOS[1], SEED, TRIALS, lengths))
 
 
 KEYS = "trial, kind, g"

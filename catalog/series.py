@@ -9,7 +9,7 @@ from catalog.panels import (
     spline_sql, yearly, yearly_status,
 )
 from catalog.registry import query
-from paneltide.operators import complete, features, fill, gaps
+from paneltide.operators import complete, features, fill, gaps, relational
 
 # Time axes of the yearly and daily panels, and blocks that cut their series in pieces.
 YEARS, DAYS = (1900, 2100), (0, 40_000)
@@ -98,6 +98,13 @@ FROM cuts JOIN p ON p.g = cuts.g AND p.t BETWEEN from_year AND to_year GROUP BY
         lambda spark, sf_dir, b=panel, x=threshold: gaps.emptied_groups(
             gaps.trim_cuts(b(spark, sf_dir), SPEC, x), SPEC))
 
+query("o4_by_missing_quote", f"""WITH {YEARLY}, {DENSE}, m AS (SELECT g, count(*) AS k FROM d WHERE NOT has_row GROUP BY g)
+SELECT s.g, k AS missing_count, k / (b - a + 1) AS missing_quote FROM s JOIN m ON s.g = m.g
+ORDER BY missing_quote DESC, s.g LIMIT 25""")(
+    lambda spark, sf_dir: relational.ordered(
+        gaps.gap_summary(yearly(spark, sf_dir), SPEC, lists=None), ["missing_quote", "g"], ["missing_quote"])
+    .limit(25).select("g", "missing_count", "missing_quote"))
+
 query("p6_above_threshold", f"""WITH {YEARLY}, {DENSE}, m AS (SELECT g, count(*) AS k FROM d WHERE NOT has_row GROUP BY g)
 SELECT s.g, k AS missing_count, k / (b - a + 1) AS missing_quote FROM s JOIN m ON s.g = m.g
 WHERE k / (b - a + 1) > 0.2""")(

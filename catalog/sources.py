@@ -252,6 +252,14 @@ def _(spark, sf_dir):
     return relational.group_periods(rows, SPEC)
 
 
+@query("s9_group_period_lists", """SELECT o_custkey AS g, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ', '
+  ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS periods FROM orders GROUP BY 1""")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("g"), F.year("o_orderdate").alias("t"))
+    return relational.group_period_lists(rows, SPEC).withColumn(
+        "periods", F.array_join(F.col("periods").cast("array<string>"), ", "))
+
+
 ENRICHED = f"""{BY_PRIORITY}, b AS (SELECT DISTINCT g, t FROM x WHERE t <> 1999),
 u AS (SELECT g, t, spend FROM x WHERE dim1 = '1-URGENT'),
 o AS (SELECT g, t, arg_min(n, dim1) AS n FROM x WHERE t % 3 <> 0 GROUP BY g, t),

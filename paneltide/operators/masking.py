@@ -143,14 +143,17 @@ def _accepted(
 
 
 def mask_targets(
-    df: DataFrame, spec: PanelSpec, kind: MaskKind, ratio: float, seed: int, trials: int = 1
+    df: DataFrame, spec: PanelSpec, kind: MaskKind, ratio: float, seed: int, trials: int = 1,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """Chosen mask starts as (trial, kind, group, position); positions count rows from 0.
 
-    The first ``target`` by priority are found per leading digits of the priority: their
+    Only the lengths of the series are needed of the panel.  They are read several times,
+    so they are written when this is called, unless they are passed in.  The first ``target`` by priority are found per leading digits of the priority: their
     counts tell how many of each to keep, so no trial is sorted as a whole.
     """
-    lengths = complete_lengths(df, spec)
+    if lengths is None:
+        lengths = cut(complete_lengths(df, spec))
     taken = _accepted(lengths, spec, kind, seed, trials).withColumn(
         "_bucket", F.substring("priority", 1, 4))
     target = mask_target(lengths, kind, ratio).select("target").scalar()
@@ -172,15 +175,19 @@ def mask_targets(
 
 
 def mask_isolated(
-    df: DataFrame, spec: PanelSpec, ratio: float, seed: int = 42, trials: int = 1
+    df: DataFrame, spec: PanelSpec, ratio: float, seed: int = 42, trials: int = 1,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
-    return mask_targets(df, spec, ISOLATED, ratio, seed, trials)
+    """Single values to mask, no two of them neighbours."""
+    return mask_targets(df, spec, ISOLATED, ratio, seed, trials, lengths)
 
 
 def mask_sequential(
-    df: DataFrame, spec: PanelSpec, ratio: float, seed: int = 42, trials: int = 1
+    df: DataFrame, spec: PanelSpec, ratio: float, seed: int = 42, trials: int = 1,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
-    return mask_targets(df, spec, SEQUENTIAL, ratio, seed, trials)
+    """Starts of runs of three values to mask; runs may touch, but not overlap."""
+    return mask_targets(df, spec, SEQUENTIAL, ratio, seed, trials, lengths)
 
 
 def add_position(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -308,6 +315,7 @@ def compare_methods(
     All trials are one job, with the trial as a column.  Both kinds use the same
     priorities in a trial and start from the unmasked panel.
     """
-    targets = mask_isolated(df, spec, ratio_isolated, base_seed, trials).union(
-        mask_sequential(df, spec, ratio_sequential, base_seed, trials))
+    lengths = cut(complete_lengths(df, spec))
+    targets = mask_isolated(df, spec, ratio_isolated, base_seed, trials, lengths).union(
+        mask_sequential(df, spec, ratio_sequential, base_seed, trials, lengths))
     return pooled_metrics(masking_errors(df, spec, targets, order, score_all), trials)

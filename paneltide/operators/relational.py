@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, spread
+from paneltide.functions.blocks import add_block, period_lists, spread
 from paneltide.spec import PanelSpec
 
 # Columns of the observation table that the analysis has no use for.
@@ -89,6 +89,11 @@ def group_periods(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.select(*spec.keys).dropna().distinct()
 
 
+def group_period_lists(df: DataFrame, spec: PanelSpec, limit: int = 1_000_000) -> DataFrame:
+    """The sorted distinct periods of every group as one array, ``periods``."""
+    return period_lists(df.select(*spec.keys), spec, "periods", as_text=False, limit=limit)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct()
 
