@@ -28,6 +28,8 @@ RANGE_STEP = 65_536
 def add_block(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Rows ready to be shuffled by ``spec.task_keys``."""
     time = F.col(spec.time)
+    if spec.bounded and spec.checked:
+        return df
     if spec.bounded:
         first, last = spec.time_range
         outside = F.raise_error(F.concat(
@@ -66,6 +68,8 @@ def spread(rows: DataFrame, facts: DataFrame, spec: PanelSpec, how: str = "left"
 
 def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Fail, when the rows are read, if a (group, time) occurs twice.  Needs ``add_block``."""
+    if spec.checked:
+        return df
     time = F.col(spec.time)
     group = F.concat_ws(", ", *[F.col(g).cast("string") for g in spec.groups])
     message = F.concat(F.lit("duplicate period in panel: "), group, F.lit(" @ "),
@@ -78,22 +82,28 @@ def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return checked.drop("_seen")
 
 
-def explode_range(df: DataFrame, start: Column, stop: Column, name: str) -> DataFrame:
+def explode_range(
+    df: DataFrame, start: Column, stop: Column, name: str, spec: PanelSpec
+) -> DataFrame:
     """One row for every integer from ``start`` to ``stop``; none if stop < start.
 
-    Long ranges are cut into steps first, so no array is longer than RANGE_STEP.
+    Ranges that may be long are cut into steps first, so no array is longer than RANGE_STEP.
     """
-    step = F.lit(RANGE_STEP).cast("bigint")
-    cut = (
+    ranges = (
         df.withColumn("_start", start.cast("bigint"))
         .withColumn("_stop", stop.cast("bigint"))
         .where(F.col("_start") <= F.col("_stop"))
-        .withColumn("_step", F.explode(F.expr(
+    )
+    if spec.bounded and spec.time_range[1] - spec.time_range[0] < RANGE_STEP:
+        return ranges.withColumn(name, F.explode(F.sequence("_start", "_stop"))).drop("_start", "_stop")
+    first = F.col("_start") + F.col("_step") * F.lit(RANGE_STEP).cast("bigint")
+    last = F.least(first + RANGE_STEP - 1, F.col("_stop"))
+    return (
+        ranges.withColumn("_step", F.explode(F.expr(
             f"sequence(0L, (_stop - _start) div {RANGE_STEP}L)")))
+        .withColumn(name, F.explode(F.sequence(first, last)))
+        .drop("_start", "_stop", "_step")
     )
-    first = F.col("_start") + F.col("_step") * step
-    last = F.least(first + step - 1, F.col("_stop"))
-    return cut.withColumn(name, F.explode(F.sequence(first, last))).drop("_start", "_stop", "_step")
 
 
 def period_lists(

@@ -14,13 +14,18 @@ NULL_WORDS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
+# Fixed value: white space that is taken off at both ends of a text.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Fixed value: what counts as a number in text (no hex, no underscores, no type suffix).
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def null_words(text: Column) -> Column:
@@ -64,13 +69,13 @@ def any_of(conditions: Iterable[Column]) -> Column:
 
 def not_blank(text: Column) -> Column:
     """The text itself, or null if it has nothing but white space."""
-    return F.when(text.rlike(r"\S"), text)
+    return F.when(F.length(strip(text)) > 0, text)
 
 
 def label_of(meta: Column) -> Column:
     """Label of a coded value: its name, else English, else the first non-blank name."""
     names = meta["names"]
-    others = F.filter(F.map_values(names), lambda n: F.coalesce(n.rlike(r"\S"), F.lit(False)))
+    others = F.filter(F.map_values(names), lambda n: not_blank(n).isNotNull())
     return F.coalesce(
         not_blank(meta["name"]),
         not_blank(F.try_element_at(names, F.lit("en"))),

@@ -116,7 +116,7 @@ def missing_periods(
     if duplicates == "merge":
         df = periods(df, spec).withColumn(spec.value, F.when(F.col("has_value"), 1.0))
     runs = missing_runs(df, spec, nulls_too)
-    return explode_range(runs, F.col("run_start"), F.col("run_end"), spec.time).select(*spec.keys)
+    return explode_range(runs, F.col("run_start"), F.col("run_end"), spec.time, spec).select(*spec.keys)
 
 
 def _bounded_gap_summary(df: DataFrame, spec: PanelSpec, nulls_too: bool) -> DataFrame:
@@ -228,7 +228,7 @@ def _densify(
         rows.withColumn("_next", F.lead(spec.time).over(spec.in_order())),
         spec, by_block, {"_next_first": F.lit(None).cast(kind)})
     stop = F.coalesce("_next", "_next_first", F.col(spec.time) + 1) - 1
-    filled = explode_range(ahead, F.col(spec.time), stop, "_period")
+    filled = explode_range(ahead, F.col(spec.time), stop, "_period", spec)
     observed = F.col("_period") == F.col(spec.time)
     return filled.select(*[
         F.col("_period").cast(kind).alias(c) if c == spec.time
@@ -249,7 +249,7 @@ def global_grid(
     else:
         first, last = (F.lit(bound) for bound in period_range)
     groups = df.where(spec.has_group()).select(*spec.groups).distinct()
-    grid = explode_range(groups, first, last, spec.time).withColumn(
+    grid = explode_range(groups, first, last, spec.time, spec.with_(time_range=None)).withColumn(
         spec.time, F.col(spec.time).cast(kind))
     return grid.join(df.where(spec.has_key()), spec.keys, "left").select(*df.columns)
 

@@ -34,8 +34,10 @@ def prepare_panel(df: DataFrame, spec: PanelSpec, settings: Settings = Settings(
     # Rows without a group would not outlast trimming.
     unbroken = between(cut_at_breaks(df, spec, settings.break_flag, keep_groupless=False))
     trimmed = between(trim_panel(unbroken, spec, settings.threshold))
+    # Trimming has checked the rows and made the time axis dense.
+    known = spec.with_(checked=True)
     if settings.method == "linear":
-        filled = fill_linear(trimmed, spec)
+        filled = fill_linear(trimmed, known)
     else:
-        filled = fill_spline(trimmed, spec, settings.order)
-    return build_features(between(filled), spec, keep_groupless=False)
+        filled = fill_spline(trimmed, known, settings.order)
+    return build_features(between(filled), known, keep_groupless=False)

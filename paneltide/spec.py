@@ -34,6 +34,8 @@ class PanelSpec:
     status: tuple[str, ...] = ("OBS_STATUS", "OBS_STATUS2", "OBS_STATUS3")
     time_range: tuple[int, int] | None = None
     block: int = 65_536
+    # Rows are known to be unique and in range, as after filling the time axis.
+    checked: bool = False
 
     def __post_init__(self) -> None:
         if self.block < 1:

@@ -113,7 +113,7 @@ def test_number_parsing(spark):
 
 
 def test_text_helpers(spark):
-    row = spark.createDataFrame([("\t a b \n", "2001, 2004, x,")], "a string, b string").select(
+    row = spark.createDataFrame([("\t\u2003 a b\xa0\n", "2001, 2004, x,")], "a string, b string").select(
         strip(F.col("a")).alias("a"), split_periods(F.col("b")).alias("b")).first()
     assert (row.a, row.b) == ("a b", [2001, 2004])
 
