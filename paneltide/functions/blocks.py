@@ -82,6 +82,28 @@ def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return checked.drop("_seen")
 
 
+def nearest_items(
+    blocks: DataFrame, spec: PanelSpec, items: str, n: int, later: bool = False
+) -> DataFrame:
+    """Replace the sorted list ``items`` of every block by the last n items up to its end.
+
+    With ``later``, by the first n items from its start on.  Every block must have an item,
+    so n blocks are enough; they are combined pairwise, in steps of 1, 2, 4, ... blocks.
+    """
+    window = spec.over_blocks_backwards() if later else spec.over_blocks()
+    step = 1
+    while step < n:
+        other = F.lag(items, step).over(window)
+        blocks = blocks.withColumn("_other", other)
+        pair = ("_other", items) if not later else (items, "_other")
+        both = F.when(F.col("_other").isNull(), F.col(items)).otherwise(F.concat(*pair))
+        first = F.lit(1) if later else F.greatest(F.size("_both") - n + 1, F.lit(1))
+        blocks = blocks.withColumn("_both", both).withColumn(
+            items, F.slice("_both", first, F.lit(n))).drop("_other", "_both")
+        step *= 2
+    return blocks
+
+
 def explode_range(
     df: DataFrame, start: Column, stop: Column, name: str, spec: PanelSpec
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
+from paneltide.functions.blocks import add_block, nearest_items, reject_duplicates, with_facts
 from paneltide.operators.status import add_d_flag, add_status_flag
 from paneltide.spec import PanelSpec
 
@@ -45,11 +45,10 @@ def add_time_features(
             .groupBy(*spec.task_keys)
             .agg(F.sort_array(F.collect_list(item)).alias("_tail"))
         )
-        # Every block has a row, so the last `depth` blocks hold the last `depth` values.
-        before = F.flatten(F.collect_list("_tail").over(
-            spec.over_blocks().rowsBetween(-max(depth, 1), -1)))
-        return tails.select(
-            *spec.task_keys, F.transform(before, lambda x: x["v"]).alias("_history"))
+        nearest = nearest_items(tails, spec, "_tail", max(depth, 1))
+        before = F.lag("_tail", 1).over(spec.over_blocks())
+        return nearest.select(*spec.task_keys, F.coalesce(
+            F.transform(before, lambda x: x["v"]), F.array()).alias("_history"))
 
     kind = df.schema[spec.value].dataType.simpleString()
     checked = reject_duplicates(rows, spec) if spec.bounded else rows

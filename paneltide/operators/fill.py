@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions import bspline
-from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
+from paneltide.functions.blocks import add_block, nearest_items, reject_duplicates, with_facts
 from paneltide.functions.bspline import HALO, interpolate
 from paneltide.functions.materialize import cut
 from paneltide.spec import PanelSpec
@@ -155,27 +155,19 @@ def _halo(rows: DataFrame, spec: PanelSpec) -> DataFrame:
         F.count(spec.value).over(spec.backwards()).alias("_nth_back"))
     valued = F.col(spec.value).isNotNull()
     point = F.struct(F.col(spec.time).cast("double").alias("t"), F.col(spec.value).alias("v"))
-    blocks = ends.groupBy(*spec.task_keys).agg(
-        F.collect_list(F.when(valued & (F.col("_nth") <= HALO), point)).alias("_head"),
-        F.collect_list(F.when(valued & (F.col("_nth_back") <= HALO), point)).alias("_tail"))
-
-    def neighbours(part: str, blocks_in_order: str) -> Column:
-        # Blocks without a value share the count of the nearest one that has some.
-        near = Window.partitionBy(*spec.groups).orderBy(blocks_in_order)
-        return F.when(
-            F.size(part) == 0, F.flatten(F.collect_list(part).over(near.rangeBetween(-HALO, 0)))
-        ).otherwise(F.flatten(F.collect_list(part).over(near.rangeBetween(-HALO, -1))))
-
-    filled = F.when(F.size("_head") > 0, 1)
-    return (
-        blocks.withColumn("_up", F.count(filled).over(spec.over_blocks()))
-        .withColumn("_down", F.count(filled).over(spec.over_blocks_backwards()))
-        .withColumn("_before", F.sort_array(neighbours("_tail", "_up")))
-        .withColumn("_after", F.sort_array(neighbours("_head", "_down")))
-        .select(*spec.task_keys,
-                F.slice("_before", F.greatest(F.size("_before") - HALO + 1, F.lit(1)), HALO).alias("_before"),
-                F.slice("_after", 1, HALO).alias("_after"))
-    )
+    blocks = cut(ends.groupBy(*spec.task_keys).agg(
+        F.sort_array(F.collect_list(F.when(valued & (F.col("_nth") <= HALO), point))).alias("_head"),
+        F.sort_array(F.collect_list(F.when(valued & (F.col("_nth_back") <= HALO), point))).alias("_tail")))
+    # Blocks without a value take no part in the lists, but get the nearest ones.
+    filled, empty = blocks.where(F.size("_head") > 0), blocks.where(F.size("_head") == 0)
+    nearest = nearest_items(nearest_items(filled, spec, "_tail", HALO), spec, "_head", HALO, later=True)
+    nothing = F.lit(None).cast(blocks.schema["_head"].dataType)
+    every = nearest.union(empty.select(*spec.task_keys, nothing, nothing))
+    others = (Window.unboundedPreceding, -1)
+    before = F.last("_tail", True).over(spec.over_blocks().rowsBetween(*others))
+    after = F.last("_head", True).over(spec.over_blocks_backwards().rowsBetween(*others))
+    return every.select(*spec.task_keys, *[
+        F.coalesce(side, F.array()).alias(name) for side, name in ((before, "_before"), (after, "_after"))])
 
 
 def _spline_filler(spec: PanelSpec, order: int):
@@ -225,8 +217,8 @@ def interpolate_spline(
     values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``.
     Rows without a period have no place on a curve and stay null (``none``).
 
-    Without a declared time range two small tables, of one row per block, are written when
-    this is called.
+    Without a declared time range small tables, of one row per block, are written when this
+    is called.
     """
     if not 1 <= order <= MAX_ORDER:
         raise ValueError(f"order must be between 1 and {MAX_ORDER}")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.functions.scalars import null_words, strip, to_number, to_period
+from paneltide.functions.scalars import nan_to_null, null_words, strip, to_number, to_period
 from paneltide.operators.relational import group_periods, ordered
 from paneltide.spec import PanelSpec
 
@@ -55,8 +55,10 @@ def write_table(df: DataFrame, path: str, code: str = "PHARMACEUTICAL", overwrit
         "overwrite" if overwrite else "errorifexists").partitionBy(code).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, spec: PanelSpec | None = None) -> DataFrame:
+    """Parquet observations; with ``spec``, values that are not a number become null."""
+    df = spark.read.parquet(path)
+    return df if spec is None else df.withColumn(spec.value, nan_to_null(F.col(spec.value)))
 
 
 def read_group_periods(spark: SparkSession, path: str, spec: PanelSpec) -> DataFrame:

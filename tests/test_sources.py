@@ -140,6 +140,9 @@ def test_table_is_pruned_by_code(spark, tmp_path):
     df = spark.createDataFrame([("J01", "AT", 2000, 1.0), ("J02", "AT", 2000, 2.0)],
                                "PHARMACEUTICAL string, REF_AREA string, TIME_PERIOD int, OBS_VALUE double")
     observations.write_table(df, str(tmp_path / "t"))
+    nan = df.withColumn("OBS_VALUE", F.lit(float("nan")))
+    observations.write_table(nan, str(tmp_path / "n"))
+    assert {r.OBS_VALUE for r in observations.read_table(spark, str(tmp_path / "n"), SPEC).collect()} == {None}
     part = observations.read_table(spark, str(tmp_path / "t")).where("PHARMACEUTICAL = 'J02'")
     assert part.first().OBS_VALUE == 2.0
     assert len(part.inputFiles()) >= 1
