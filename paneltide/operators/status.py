@@ -23,10 +23,18 @@ def status_mask(
     df: DataFrame, columns: Sequence[str], values: Sequence[str], how: str = "none"
 ) -> Column:
     """True if any of the columns that exist has one of the values; never null."""
+    shortest = min((len(v) for v in values), default=0)
+
+    def hit(column: Column) -> Column:
+        if how == "none":
+            return column.isin(*values)
+        # A text no longer than the values has nothing to strip if it is to equal one.
+        short = F.upper(column) if how == "strip_upper" else column
+        return F.when(F.length(column) <= shortest, short.isin(*values)).otherwise(
+            normalize(column, how).isin(*values))
+
     return any_of(
-        F.coalesce(normalize(F.col(c), how).isin(*values), F.lit(False))
-        for c in columns if c in df.columns
-    )
+        F.coalesce(hit(F.col(c)), F.lit(False)) for c in columns if c in df.columns)
 
 
 def status_report(
