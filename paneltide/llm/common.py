@@ -33,6 +33,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str | Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
@@ -109,7 +117,7 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.select(F.col("a").alias("node"), "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, lower-cased by ASCII letters only, as an array."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(low, WHITE), lambda w: w != "")
+def split_words(text: Column) -> Column:
+    """The words of a text in lower case, as an array; select it before using it twice."""
+    bare = F.btrim(F.lower(text), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WHITE))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paneltide.llm import packing, sharding, simhash
-from paneltide.llm.common import table
+from paneltide.llm import decontamination, line_dedup, packing, quality, secrets, sharding, simhash, sketches, toxicity, warc
+from paneltide.llm.common import split_words, table, text_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,101 @@ SELECT doc_id, size, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shar
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"))
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op4_secret_scans", """
+WITH rules(kind, place, pattern, grp, least) AS (VALUES
+  ('assign', 0, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  ('access', 1, 'AKIA[A-Z0-9]+', 0, 20), ('hex', 2, '[0-9a-f]+', 0, 24)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+  SELECT r, kind, place, least, 
+    CASE place WHEN 0 THEN regexp_extract_all(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0)
+      WHEN 1 THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0) ELSE regexp_extract_all(t, '[0-9a-f]+', 0) END AS m,
+    CASE place WHEN 0 THEN regexp_extract_all(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)
+      WHEN 1 THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0) ELSE regexp_extract_all(t, '[0-9a-f]+', 0) END AS v,
+    CASE place WHEN 0 THEN regexp_split_to_array(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+      WHEN 1 THEN regexp_split_to_array(t, 'AKIA[A-Z0-9]+') ELSE regexp_split_to_array(t, '[0-9a-f]+') END AS g
+  FROM docs, rules),
+each AS (SELECT r, kind, place, least, unnest(m) AS m, unnest(v) AS v, unnest(list_slice(g, 1, len(m))) AS g, unnest(range(len(m))) AS pos FROM found),
+ends AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY r, place ORDER BY pos ROWS UNBOUNDED PRECEDING) AS e FROM each),
+spans AS (SELECT r, kind, place, e - length(m) AS s, e FROM ends WHERE length(v) >= least),
+listed AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s, place) AS spans FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (r)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def many(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    text = F.concat_ws(",", F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    rows = found.withColumnRenamed("spans", "found").withColumn("spans", text)
+    return rows.select("doc_id", many("assign"), many("access"), many("hex"), F.sha2(F.col("spans"), 256).alias("base_sha256"), "spans")
+
+
+def next_ids(ids: DataFrame) -> DataFrame:
+    """(doc_id, half, next_id): the next smaller id, and the largest after the smallest; a null id is the smallest."""
+    rows = written(ids.repartitionByRange(F.col("doc_id").desc_nulls_last()).withColumn("part", F.spark_partition_id()), "ids")
+    order = F.col("doc_id").desc_nulls_last()
+    top = F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("less"), F.col("doc_id").alias("id"))).alias("top")
+    firsts = rows.groupBy("part").agg(top)  # one row a partition
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = F.coalesce(F.lead("top").over(Window.orderBy("part")), F.first("top").over(every))
+    firsts = written(firsts.select("part", after.alias("after")), "firsts")
+    return rows.join(firsts, "part").select(
+        "doc_id", "half",
+        F.coalesce(F.lead(F.struct(F.col("doc_id").alias("id"))).over(Window.partitionBy("part").orderBy(order)), F.struct("after.id")).getField("id").alias("next_id"))
+
+
+@query("op7_document_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_of("text").alias("text"))
+    ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
+    nexts = written(next_ids(ids), "next")
+    # The next document gives the start of its text and its sketch; rows of one id give the least of theirs.
+    givers = docs.join(nexts.select(F.col("doc_id").alias("taker"), "half", "next_id"), F.col("doc_id").eqNullSafe(F.col("next_id")))
+    givers = givers.select("taker", "half", "text", split_words(F.col("text")).alias("words"))
+    given = givers.select("taker", F.struct(F.left("text", "half").alias("filler"), sketches.sketch("words").alias("next_sketch")).alias("given"))
+    given = given.groupBy("taker").agg(F.min("given").alias("given"))
+    rows = docs.join(given, F.col("doc_id").eqNullSafe(F.col("taker"))).select(
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"), "given.filler", "given.next_sketch")
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    edited = F.concat(F.left("text", (F.col("n_chars") - half).cast("int")), F.left("filler", half))
+    rows = rows.select("doc_id", "text", "n_chars", "next_sketch", edited.alias("edited"))
+    rows = rows.select("doc_id", "n_chars", "next_sketch", F.sha2(F.col("edited"), 256).alias("edited_sha256"), split_words(F.col("text")).alias("words"), split_words(F.col("edited")).alias("edited_words"))
+    own = rows.select("doc_id", "n_chars", "edited_sha256", "next_sketch", sketches.sketch("words").alias("own"), sketches.sketch("edited_words").alias("edited"))
+    return own.select(
+        "doc_id", "n_chars", "edited_sha256", sketches.as_text(F.col("own")).alias("fingerprint"), sketches.as_text(F.col("edited")).alias("edited_fingerprint"),
+        sketches.resemblance(F.col("own"), F.col("edited")).alias("near_edited"), sketches.resemblance(F.col("own"), F.col("next_sketch")).alias("near_next"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_removed"), F.col("_removed").alias("removed"))

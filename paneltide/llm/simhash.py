@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import by_value, components, join_hot, text_of, written
+from paneltide.llm.common import by_value, components, fresh, join_hot, text_of, written
 
 SLICE = 8192
 
@@ -153,8 +153,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, seed:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the text that near_duplicates names, once."""
     groups = near_duplicates(docs, **options)
-    kept = groups.select(F.col("component_id").alias("_id"), F.col("first_hash").alias("_hash")).distinct()
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    match = F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_text_hash").eqNullSafe(F.col("_hash"))
-    return hashed.join(kept, match, "left_semi").dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    own, first, first_hash = fresh(docs, "_text_hash"), fresh(docs, "_id"), fresh(docs, "_hash")
+    kept = groups.select(F.col("component_id").alias(first), F.col("first_hash").alias(first_hash)).distinct()
+    hashed = docs.withColumn(own, F.xxhash64(text_of(text_col)))
+    match = F.col(id_col).eqNullSafe(F.col(first)) & F.col(own).eqNullSafe(F.col(first_hash))
+    return hashed.join(kept, match, "left_semi").dropDuplicates([id_col, own]).drop(own)
