@@ -1,0 +1,97 @@
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from paneltide.llm import quality, toxicity
+from paneltide.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def area(scores, labels):
+    """Share of pairs of a 1 and a 0 that the scores put in order."""
+    ones = [s for s, v in zip(scores, labels, strict=True) if v]
+    zeros = [s for s, v in zip(scores, labels, strict=True) if not v]
+    return np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in zeros])
+
+
+@pytest.mark.parametrize("name, label, folds, fold, least", [("op5_toxicity", "toxic", 4, 2, 0.75), ("op9_quality", "quality", 5, 0, 0.98)])
+def test_held_out_labels(spark, name, label, folds, fold, least):
+    rows = {r.doc_id: r for r in QUERIES[name](spark, SF).collect()}
+    assert len(rows) == 1000
+    for r in rows.values():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+    known = [(d, v) for d, v in duckdb.sql(f"SELECT doc_id, {label} FROM '{SF}/labels.parquet'").fetchall() if rows[d].held_out]
+    assert area([rows[d].score for d, _ in known], [v for _, v in known]) >= least
+
+
+def subsequences(word):
+    from collections import defaultdict
+
+    word, out = "^" + word, defaultdict(float)
+    for i in range(len(word)):
+        for j in range(i + 1, len(word)):
+            for k in range(j + 1, min(len(word), i + toxicity.SPAN)):
+                out[word[i] + word[j] + word[k]] += toxicity.DECAY ** (k - i - 2)
+    return out
+
+
+def test_kernel_equals_a_sum_over_subsequences():
+    words = ["idiot", "idxiot", "worthless", "ab", "a", "aaaa", "moron", "loweient"]
+    got = toxicity.Kernel(words[:3] + words[-2:]).values(words)
+    for i, x in enumerate(words):
+        for j, y in enumerate(words[:3] + words[-2:]):
+            def norm(w):
+                w = "^" + w
+                return sum(max(0, len(w) - b) * (b - 1) * toxicity.DECAY ** (2 * (b - 2)) for b in range(2, toxicity.SPAN))
+
+            a, b = subsequences(x), subsequences(y)
+            want = sum(v * b[s] for s, v in a.items() if s in b) / np.sqrt(max(norm(x), 1e-9) * norm(y))
+            assert got[i, j] == pytest.approx(want, abs=1e-4)
+    assert got[1, 0] > 0.5 > got[2, 0]
+
+
+def test_words_are_read_through_signs_and_gaps():
+    assert [toxicity.bare(w) for w in ["i.d.i.o.t!", "m0r*n,", "***", "über", "12"]] == ["idiot", "morn", "", "über", ""]
+    assert toxicity.words_of("An I D I O T he is") == ["an", "idiot", "he", "is"]
+
+
+def test_changed_insults_are_caught():
+    rng = random.Random(0)
+    plain = lambda: " ".join("".join(rng.choices("aeioulnrst", k=rng.randint(2, 8))) for _ in range(40)) + "."
+    insults = ["worthless", "pathetic", "disgusting", "moron", "idiot", "clown"]
+    texts, labels = [], []
+    for k in range(400):
+        words = plain().split()
+        if k % 5 == 0:
+            words.insert(rng.randrange(40), rng.choice(insults))
+        texts.append(" ".join(words))
+        labels.append(int(k % 5 == 0))
+    model = toxicity.Model(texts, labels, [1.0] * 400)
+    bad = ["p.a.t.h.e.t.i.c", "patthetic", "worthlexss", "m o r o n", "disgustingly", "worthless!!"]
+    assert (model.scores([f"{plain()} you {w} one. {plain()}" for w in bad]) >= 0.3).mean() >= 0.8
+    assert (model.scores([plain() for _ in range(200)]) < 0.3).mean() > 0.95
+
+
+@pytest.mark.parametrize("operator", [toxicity, quality])
+def test_odd_and_empty(spark, operator, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 0, 1), (4, 1, 0), (5, None, None), (None, 1, 1), (5, 1, 0), (5, 0, 1), (99, 0, 1)], "doc_id long, toxic int, quality int")
+    for given in (labels, labels.limit(0), labels.filter("doc_id = 1")):
+        rows = operator.classify(odd_docs, given).collect()
+        assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+        same = [r.score for r in rows if r.doc_id in (5, 7)]
+        assert len(set(same)) == 1
+        assert all(r.held_out is not None for r in rows)
+    assert operator.classify(no_docs, labels).collect() == []
+    if operator is quality:
+        assert quality.accepted(odd_docs, labels.limit(0)).count() == odd_docs.count()
+        assert quality.accepted(odd_docs, labels).columns == odd_docs.columns
+
+
+def test_shapes_and_terms():
+    assert quality.shape("Éxyz,,9") == "Xx,9"
+    assert quality.counts(["", "a a a", "A b"]).sum(axis=1).tolist() == [0, 7, 3]
