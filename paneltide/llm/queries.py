@@ -24,10 +24,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def vocabulary() -> str:
+def vocabulary() -> packing.Vocabulary:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 @query("op1_packing")
