@@ -4,27 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.panels import SPEC, YEARLY_STATUS, linear_sql, yearly_status
+from catalog.panels import SPEC, YEARLY_BREAKS, linear_sql, yearly_breaks
 from catalog.registry import query
 from paneltide.plans.prepare import Settings, prepare_panel
 
 BOUNDED = SPEC.with_(time_range=(1900, 2100))
 
-# Cut at the last break (status P), fill the axis, trim, interpolate, add features.
-PREPARED = f"""WITH raw AS ({YEARLY_STATUS[len('p AS ('):-1]}),
-k AS (SELECT g, max(t) AS last_break FROM raw WHERE s1 = 'P' AND t < 1997 GROUP BY g),
-p AS (SELECT raw.* REPLACE (CASE WHEN raw.s1 = 'P' AND raw.t >= 1997 THEN 'E' ELSE raw.s1 END AS s1)
-  FROM raw LEFT JOIN k ON raw.g = k.g WHERE last_break IS NULL OR t > last_break),
+# Cut at the last break, fill the axis, trim, interpolate, add features.
+PREPARED = f"""WITH raw AS ({YEARLY_BREAKS[len('p AS ('):-1]}),
+k AS (SELECT g, max(t) AS last_break FROM raw WHERE s2 = 'B' GROUP BY g),
+p AS (SELECT raw.* FROM raw LEFT JOIN k ON raw.g = k.g WHERE last_break IS NULL OR t > last_break),
 s AS (SELECT g, min(t) AS a, max(t) AS b, count(*) AS n FROM p GROUP BY g),
 grid AS (SELECT g, CAST(unnest(range(a, b + 1)) AS INTEGER) AS t FROM s),
-d AS (SELECT grid.g, grid.t, p.v, p.s1 FROM grid LEFT JOIN p ON p.g = grid.g AND p.t = grid.t),
+d AS (SELECT grid.g, grid.t, p.v, p.s1, p.s2 FROM grid LEFT JOIN p ON p.g = grid.g AND p.t = grid.t),
 h AS (SELECT d.*, d.t - a AS k, b - a + 1 - n AS m0, b - a + 1 AS len, coalesce(sum(CAST(v IS NULL AS INTEGER)) OVER (
   PARTITION BY d.g ORDER BY d.t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS np FROM d JOIN s ON d.g = s.g),
 k1 AS (SELECT g, min(k) AS k1 FROM h WHERE (m0 - np) / (len - k) <= 0.2 GROUP BY g),
 k2 AS (SELECT h.g, min(k) AS k2 FROM h JOIN k1 ON h.g = k1.g WHERE k >= k1 AND v IS NOT NULL GROUP BY h.g),
-kept AS (SELECT h.g, h.t, h.v, h.s1 FROM h LEFT JOIN k2 ON h.g = k2.g WHERE m0 / len <= 0.2 OR k >= k2),
+kept AS (SELECT h.g, h.t, h.v, h.s1, h.s2 FROM h LEFT JOIN k2 ON h.g = k2.g WHERE m0 / len <= 0.2 OR k >= k2),
 {linear_sql('kept')}
-SELECT g, t, round(w, 4) AS v, s1, v IS NULL AS was_filled, CAST(coalesce(upper(trim(s1)) = 'D', false) AS INTEGER) AS "D-Flag",
+SELECT g, t, round(w, 4) AS v, s1, s2, v IS NULL AS was_filled, CAST(coalesce(upper(trim(s1)) = 'D', false) AS INTEGER) AS "D-Flag",
   CAST(coalesce(trim(s1) IN ('P', 'E', 'D'), false) AS INTEGER) AS "Status-Flag",
   round(lag(w, 1) OVER o, 4) AS lag_1, round(lag(w, 2) OVER o, 4) AS lag_2,
   round(avg(w) OVER (PARTITION BY g ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS roll_mean_3
@@ -32,11 +31,7 @@ FROM f WINDOW o AS (PARTITION BY g ORDER BY t)"""
 
 
 def _prepared(spark, sf_dir, spec):
-    raw = yearly_status(spark, sf_dir)
-    # Only breaks before 1997 are taken as such, or hardly a row would be left.
-    late = (F.col("s1") == "P") & (F.col("t") >= 1997)
-    panel = raw.withColumn("s1", F.when(late, "E").otherwise(F.col("s1")))
-    features = prepare_panel(panel, spec, Settings(break_flag="P"))
+    features = prepare_panel(yearly_breaks(spark, sf_dir), spec, Settings())
     return features.withColumns({c: F.round(c, 4) for c in ("v", "lag_1", "lag_2", "roll_mean_3")})
 
 

@@ -55,18 +55,43 @@ def yearly_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Daily purchases of every user: a day with other events only has a null value.
-DAILY = """p AS (
+# The same with a second status: a break, in the rare years with a very large order.
+YEARLY_BREAKS = YEARLY_STATUS.replace("ELSE 'P' END AS s1", """ELSE 'P' END AS s1,
+         CASE WHEN max(o_totalprice) > 480000 THEN 'B' END AS s2""")
+
+
+def yearly_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.min("o_orderstatus")
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").alias("g"), F.year("o_orderdate").alias("t"))
+        .agg(
+            F.round(F.sum("o_totalprice"), 2).alias("v"),
+            F.when(status == "F", " d ").when(status == "O", "E ").otherwise("P").alias("s1"),
+            F.when(F.max("o_totalprice") > 480000, "B").alias("s2"))
+    )
+
+
+# Daily value of every user's events of some kind: a day with other events only has a null value.
+def daily_sql(kind: str) -> str:
+    return f"""p AS (
   SELECT user_id AS g, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS t,
-         round(sum(CASE WHEN event_type = 'purchase' THEN value END), 2) AS v
+         round(sum(CASE WHEN {kind} THEN value END), 2) AS v
   FROM events GROUP BY 1, 2)"""
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+PURCHASES = "event_type = 'purchase'"
+# So rare that some users have no value at all, and so frequent that some have one every day.
+LARGE_PURCHASES = "event_type = 'purchase' AND value > 150"
+OTHER_EVENTS = "event_type <> 'purchase'"
+DAILY = daily_sql(PURCHASES)
+
+
+def daily(spark: SparkSession, sf_dir: str, kind: str = PURCHASES) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.col("user_id").alias("g"), F.unix_date(F.to_date("ts")).alias("t"))
-        .agg(F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), 2).alias("v"))
+        .agg(F.round(F.sum(F.when(F.expr(kind), F.col("value"))), 2).alias("v"))
     )
 
 

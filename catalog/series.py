@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.panels import (
-    DAILY, DENSE, RUNS, SPEC, YEARLY, YEARLY_STATUS, daily, linear_sql, polynomial_sql,
-    spline_sql, yearly, yearly_status,
+    DAILY, DENSE, LARGE_PURCHASES, OTHER_EVENTS, RUNS, SPEC, YEARLY, YEARLY_STATUS, daily, daily_sql,
+    linear_sql, polynomial_sql, spline_sql, yearly, yearly_status,
 )
 from catalog.registry import query
 from paneltide.operators import complete, features, fill, gaps, relational
@@ -33,7 +33,7 @@ SELECT s.g, a AS first_year, b AS last_year, n AS observed_periods, CAST(b - a +
 
 
 def _gap_summary(panel, spec):
-    return gaps.gap_summary(panel, spec).withColumn(
+    return gaps.gap_summary(panel, spec, lists="array").withColumn(
         "missing_years", F.array_join(F.col("missing_years").cast("array<string>"), ", "))
 
 
@@ -100,10 +100,10 @@ FROM cuts JOIN p ON p.g = cuts.g AND p.t BETWEEN from_year AND to_year GROUP BY
 
 query("o4_by_missing_quote", f"""WITH {YEARLY}, {DENSE}, m AS (SELECT g, count(*) AS k FROM d WHERE NOT has_row GROUP BY g)
 SELECT s.g, k AS missing_count, k / (b - a + 1) AS missing_quote FROM s JOIN m ON s.g = m.g
-ORDER BY missing_quote DESC, s.g LIMIT 25""")(
+ORDER BY missing_quote DESC, s.g""")(
     lambda spark, sf_dir: relational.ordered(
         gaps.gap_summary(yearly(spark, sf_dir), SPEC, lists=None), ["missing_quote", "g"], ["missing_quote"])
-    .limit(25).select("g", "missing_count", "missing_quote"))
+    .select("g", "missing_count", "missing_quote"))
 
 query("p6_above_threshold", f"""WITH {YEARLY}, {DENSE}, m AS (SELECT g, count(*) AS k FROM d WHERE NOT has_row GROUP BY g)
 SELECT s.g, k AS missing_count, k / (b - a + 1) AS missing_quote FROM s JOIN m ON s.g = m.g
@@ -111,8 +111,13 @@ WHERE k / (b - a + 1) > 0.2""")(
     lambda spark, sf_dir: gaps.trim_by_missing_ratio(yearly(spark, sf_dir), SPEC, 0.2)
     .above_threshold.select("g", "missing_count", "missing_quote"))
 
-both("g5_complete_series", f"""WITH {DAILY} SELECT p.* FROM p
-WHERE g NOT IN (SELECT g FROM p WHERE v IS NULL)""", complete.filter_complete_series, daily, SPLIT_DAYS)
+both("w7_emptied_groups_rare", f"{_trim(daily_sql(LARGE_PURCHASES), 0.05)} SELECT g FROM cuts WHERE keep_from IS NULL",
+     lambda df, spec: gaps.emptied_groups(gaps.trim_cuts(df, spec, 0.05), spec),
+     lambda spark, sf_dir: daily(spark, sf_dir, LARGE_PURCHASES), SPLIT_DAYS)
+
+both("g5_complete_series", f"""WITH {daily_sql(OTHER_EVENTS)} SELECT p.* FROM p
+WHERE g NOT IN (SELECT g FROM p WHERE v IS NULL)""", complete.filter_complete_series,
+     lambda spark, sf_dir: daily(spark, sf_dir, OTHER_EVENTS), SPLIT_DAYS)
 both("g5_complete_series_yearly", f"""WITH {YEARLY}, {DENSE} SELECT g, t, v FROM d
 WHERE g NOT IN (SELECT g FROM d WHERE v IS NULL)""",
      lambda df, spec: complete.filter_complete_series(gaps.densify(df, spec), spec), yearly)

@@ -193,8 +193,7 @@ BY_PRIORITY = """x AS (SELECT CAST(o_custkey AS VARCHAR) AS g, CAST(year(o_order
 
 
 def _responses(spark, sf_dir):
-    """Responses for blocks of 500 customers, so that their size does not grow with the
-    data; every third year is missing from ORDERS."""
+    """Responses for blocks of 500 customers, so that their size does not grow with the data."""
     rows = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey", F.year("o_orderdate").alias("t"), "o_orderpriority")
@@ -210,25 +209,30 @@ def _responses(spark, sf_dir):
             F.lit(code).alias("indicator"), F.to_json(F.struct("value")).alias("value"))
 
     texts = message("SPEND", rows, F.col("spend").alias("NumericValue")).union(
-        message("ORDERS", rows.where("t % 3 != 0"), F.col("n").alias("numericValue")))
+        message("ORDERS", rows, F.col("n").alias("numericValue")))
     folder = new_folder(spark, "responses")
     texts.write.partitionBy("indicator").text(folder)
     return odata.read_responses(spark, folder, one_per_line=True)
 
 
 def _base(spark, sf_dir):
-    return yearly(spark, sf_dir).withColumn("g", F.col("g").cast("string")).where("t != 1999")
+    """Customers and the years that their items were shipped in: other keys than those of the
+    responses, some of them without any."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", F.year("l_shipdate").alias("t"))
+    return orders.join(items, orders.o_orderkey == items.l_orderkey).groupBy(
+        F.col("o_custkey").cast("string").alias("g"), "t").agg(F.count("*").cast("double").alias("v"))
 
 
 @query("s7_p8_indicator_rows", f"""WITH {BY_PRIORITY} SELECT 'SPEND' AS indicator, g, t, dim1, spend AS v FROM x
-UNION ALL SELECT 'ORDERS', g, t, dim1, n FROM x WHERE t % 3 <> 0""")
+UNION ALL SELECT 'ORDERS', g, t, dim1, n FROM x""")
 def _(spark, sf_dir):
-    return odata.parse_responses(_responses(spark, sf_dir), KEYED).drop("source", "position")
+    return odata.parse_responses(_responses(spark, sf_dir), KEYED).drop("source", "line", "position")
 
 
 @query("p7_p11_select_indicators", f"""WITH {BY_PRIORITY}
 SELECT 'spend_urgent' AS col, g, t, spend AS v FROM x WHERE dim1 = '1-URGENT'
-UNION ALL SELECT 'orders_first', g, t, arg_min(n, dim1) FROM x WHERE t % 3 <> 0 GROUP BY g, t""")
+UNION ALL SELECT 'orders_first', g, t, arg_min(n, dim1) FROM x GROUP BY g, t""")
 def _(spark, sf_dir):
     return odata.select_indicators(odata.parse_responses(_responses(spark, sf_dir), KEYED), KEYED, INDICATORS)
 
@@ -240,10 +244,38 @@ def _(spark, sf_dir):
     return relational.in_group_range(panel, panel.where("v > 500000").select("g", "t"), SPEC)
 
 
-@query("j3_in_key_periods", f"""WITH {YEARLY} SELECT * FROM p WHERE v > 500000""")
+@query("j3_in_key_periods", f"""WITH {YEARLY} SELECT p.* FROM p SEMI JOIN (
+  SELECT o_custkey, year(l_shipdate) AS y FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R') k
+  ON p.g = k.o_custkey AND p.t = k.y""")
 def _(spark, sf_dir):
-    panel = yearly(spark, sf_dir)
-    return relational.in_key_periods(panel, panel.where("v > 500000").select("g", "t"), SPEC)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("g"))
+    items = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", F.year("l_shipdate").alias("t"))
+    keys = orders.join(items, orders.o_orderkey == items.l_orderkey).select("g", "t")
+    return relational.in_key_periods(yearly(spark, sf_dir), keys, SPEC)
+
+
+@query("p11_first_arrival", """WITH x AS (SELECT CAST(o_custkey AS VARCHAR) AS g, CAST(year(o_orderdate) AS INTEGER) AS t,
+  o_orderkey // 100 AS part, o_orderpriority AS dim1, round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY 1, 2, 3, 4)
+SELECT 'first_spend' AS col, g, t, arg_min(spend, (part, dim1)) AS v FROM x GROUP BY g, t
+UNION ALL SELECT 'first_urgent', g, t, arg_min(spend, part) FROM x WHERE dim1 = '1-URGENT' GROUP BY g, t""")
+def _(spark, sf_dir):
+    """Lines for every 100 orders, many to a file, in which the keys come back again and again."""
+    rows = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", F.year("o_orderdate").alias("t"), F.expr("o_orderkey div 100").alias("part"), "o_orderpriority")
+        .agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
+    )
+    item = F.struct(
+        F.col("o_custkey").cast("string").alias("SpatialDim"), F.col("t").alias("TimeDim"),
+        F.col("o_orderpriority").alias("Dim1"), F.col("spend").alias("NumericValue"))
+    lines = rows.groupBy("part").agg(F.sort_array(F.collect_list(item)).alias("value")).select(
+        "part", F.lit("SPEND").alias("indicator"), F.to_json(F.struct("value")).alias("value"))
+    folder = new_folder(spark, "arrivals")
+    in_order = lines.repartitionByRange(4, "part").sortWithinPartitions("indicator", "part")
+    in_order.select("indicator", "value").write.partitionBy("indicator").text(folder)
+    responses = odata.read_responses(spark, folder, one_per_line=True)
+    return odata.select_indicators(odata.parse_responses(responses, SPEC), SPEC, (
+        odata.Indicator("SPEND", "first_spend"), odata.Indicator("SPEND", "first_urgent", "1-URGENT")))
 
 
 @query("j11_group_periods", """SELECT DISTINCT o_custkey AS g, CAST(year(o_orderdate) AS INTEGER) AS t FROM orders""")
@@ -260,9 +292,10 @@ def _(spark, sf_dir):
         "periods", F.array_join(F.col("periods").cast("array<string>"), ", "))
 
 
-ENRICHED = f"""{BY_PRIORITY}, b AS (SELECT DISTINCT g, t FROM x WHERE t <> 1999),
+ENRICHED = f"""{BY_PRIORITY}, b AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS g, CAST(year(l_shipdate) AS INTEGER) AS t
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 u AS (SELECT g, t, spend FROM x WHERE dim1 = '1-URGENT'),
-o AS (SELECT g, t, arg_min(n, dim1) AS n FROM x WHERE t % 3 <> 0 GROUP BY g, t),
+o AS (SELECT g, t, arg_min(n, dim1) AS n FROM x GROUP BY g, t),
 e AS (SELECT b.g, b.t, u.spend AS spend_urgent, o.n AS orders_first, CAST(NULL AS DOUBLE) AS absent
   FROM b LEFT JOIN u ON u.g = b.g AND u.t = b.t LEFT JOIN o ON o.g = b.g AND o.t = b.t)"""
 

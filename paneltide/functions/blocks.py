@@ -129,14 +129,13 @@ def explode_range(
 
 
 def period_lists(
-    periods: DataFrame, spec: PanelSpec, name: str, *, as_text: bool, limit: int
+    periods: DataFrame, spec: PanelSpec, name: str, *, as_text: bool
 ) -> DataFrame:
     """Sorted distinct periods per group as one array or as ``"a, b, c"`` text.
 
     Sets are built per (group, block), which bounds them by the block width and
-    removes copies before the shuffle.  A group whose list would pass ``limit``
-    entries stops the query before its list is put together; the long form that the
-    caller listed from has no such bound.
+    removes copies before the shuffle.  The cell of a group is as long as its list, so
+    callers that need no cell take the one-row-per-period form that is listed here.
     """
     parts = (
         add_block(periods.where(spec.has_key()), spec)
@@ -145,16 +144,8 @@ def period_lists(
     )
     listed = F.col("_part")
     if not spec.bounded:
-        running = F.sum(F.size("_part")).over(
-            spec.over_blocks().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        too_long = F.raise_error(F.lit(
-            f"a period list has more than {limit} entries; use the one-row-per-period form"))
-        parts = (
-            parts.withColumn("_running", running)
-            .withColumn("_part", F.when(F.col("_running") > limit, too_long).otherwise(F.col("_part")))
-            .groupBy(*spec.groups)
-            .agg(F.sort_array(F.flatten(F.collect_list("_part"))).alias("_part"))
-        )
+        parts = parts.groupBy(*spec.groups).agg(
+            F.sort_array(F.flatten(F.collect_list("_part"))).alias("_part"))
     if as_text:
         listed = F.array_join(listed.cast("array<string>"), ", ")
     return parts.select(*spec.groups, listed.alias(name))

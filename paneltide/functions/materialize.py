@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for shared data.
-
-    Only a local session may go without one; it gets a temporary folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="paneltide-"))
-    return context.getCheckpointDir()
+    """The folder that the cluster names for shared data, or else one below its warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder of its own below the shared one; it goes when the session ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _forget_at_end(spark, folder)
+    return folder
+
+
+def _forget_at_end(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,4 +30,5 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
+        _forget_at_end(df.sparkSession, context.getCheckpointDir())
     return df.checkpoint(eager=True)

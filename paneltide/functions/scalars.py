@@ -25,7 +25,7 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def null_words(text: Column) -> Column:

@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, with_facts
+from paneltide.functions.blocks import add_block
+from paneltide.functions.skew import give_back
 from paneltide.spec import PanelSpec
 
 
-def filter_complete_series(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Rows of the groups that have no null value; gaps do not matter."""
+def filter_complete_series(df: DataFrame, spec: PanelSpec, unique: bool = False) -> DataFrame:
+    """Rows of the groups that have no null value; gaps do not matter.
+
+    A period may have any number of rows: nulls are counted by an aggregate, and the counts
+    go back to rows that need not be gathered by group.  With ``unique`` the caller knows
+    that it has one, and if a time range is declared the filter then shares the shuffle of
+    the steps around it.
+    """
     rows = add_block(df.where(spec.has_group()), spec)
     nulls = F.count_if(F.col(spec.value).isNull())
-
-    def by_block() -> DataFrame:
-        blocks = rows.groupBy(*spec.task_keys).agg(nulls.alias("_own"))
-        return blocks.select(*spec.task_keys, F.sum("_own").over(spec.whole()).alias("_nulls"))
-
-    return (
-        with_facts(rows, spec, by_block, {"_nulls": nulls.over(spec.whole())})
-        .where("_nulls = 0").select(*df.columns)
-    )
+    if unique and spec.bounded:
+        known = rows.withColumn("_nulls", nulls.over(spec.whole()))
+    else:
+        facts = df.where(spec.has_group()).groupBy(*spec.groups).agg(
+            nulls.alias("_nulls"), F.count("*").alias("_n"))
+        known = give_back(rows, facts, spec.groups, "_n")
+    return known.where("_nulls = 0").select(*df.columns)

@@ -14,6 +14,7 @@ from paneltide.functions.bspline import HALO, interpolate
 from paneltide.functions.materialize import cut
 from paneltide.spec import PanelSpec
 
+# Above this degree smoothing splines are not defined, and the line is taken instead.
 MAX_ORDER = 5
 
 # Executors get the spline code with the task, so they need not have this package.
@@ -214,14 +215,16 @@ def interpolate_spline(
     ``poly``: the least-squares polynomial of degree ``min(order, values - 1)`` if its
     squared residuals sum up to at most the number of values, which is where a smoothing
     spline with that allowance stops as well.  ``spline``: else the spline through all
-    values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``.
+    values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``; and
+    the line by position if ``order`` and the values ask for a degree above MAX_ORDER.
     Rows without a period have no place on a curve and stay null (``none``).
 
     Without a declared time range small tables, of one row per block, are written when this
     is called.
     """
-    if not 1 <= order <= MAX_ORDER:
-        raise ValueError(f"order must be between 1 and {MAX_ORDER}")
+    if order < 1:
+        raise ValueError("order must be at least 1")
+    too_high, order = order > MAX_ORDER, min(order, MAX_ORDER)
     if too_few not in ("linear", "none"):
         raise ValueError("too_few must be 'linear' or 'none'")
     value, here = F.col(spec.value), F.col(spec.time).cast("double")
@@ -258,6 +261,8 @@ def interpolate_spline(
 
     coefficients = [f"_c{i}" for i in range(order + 1)]
     checked = reject_duplicates(rows, spec)
+    if too_high:
+        checked = _linear_values(checked, spec).select(*rows.columns, "_linear")
     if spec.bounded:
         known = scaled(checked.withColumns({n: e.over(whole) for n, e in facts.items()}))
         sums = based(known).withColumns({n: e.over(whole) for n, e in _products(order).items()})
@@ -278,7 +283,9 @@ def interpolate_spline(
 
     unknown = value.isNull() & here.isNotNull()
     single = F.lit(too_few == "linear") & (F.col("_nulls") > 0) & (F.col("_count") == 1)
-    path = F.when(F.col("_curved"), F.col("_path")).when(single, "linear").otherwise("none")
+    by_line = F.lit(too_high) & F.col("_curved") & (F.col("_count") > MAX_ORDER + 1)
+    path = F.when(by_line, "line").when(F.col("_curved"), F.col("_path")).when(single, "linear").otherwise("none")
+    line = F.col("_linear") if too_high else F.lit(None).cast("double")
     curve = F.col("_mean") + sum(
         (F.col(c) * b for c, b in zip(coefficients, _legendre(F.col("_x"), order))), F.lit(0.0))
     planned = solved.withColumn("_plan", path)
@@ -286,8 +293,9 @@ def interpolate_spline(
     direct = planned.where(~on_spline).select(
         *[F.when(unknown & (F.col("_plan") == "poly"), curve)
           .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
+          .when(unknown & (F.col("_plan") == "line"), line)
           .otherwise(value).alias(c) if c == spec.value else F.col(c) for c in df.columns],
-        F.when(unknown, F.col("_plan")).otherwise("none").alias("fill_path"))
+        F.when(unknown, F.when(F.col("_plan") == "line", "linear").otherwise(F.col("_plan"))).otherwise("none").alias("fill_path"))
     splined = planned.where(on_spline).select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
     curved = _through_all_values(splined, spec, order)

@@ -25,9 +25,6 @@ from paneltide.functions.materialize import cut
 from paneltide.functions.scalars import safe_ratio
 from paneltide.spec import PanelSpec
 
-# Entries that one cell of a period list may have.
-LIST_LIMIT = 1_000_000
-
 
 def _number(name: str) -> Column:
     return F.col(name).cast("bigint")
@@ -141,20 +138,18 @@ def gap_summary(
     df: DataFrame,
     spec: PanelSpec,
     nulls_too: bool = False,
-    lists: str | None = "array",
-    list_limit: int = LIST_LIMIT,
+    lists: str | None = None,
 ) -> DataFrame:
     """Span, observed and missing periods of every group that misses at least one.
 
     ``nulls_too`` also counts periods with a null value as missing.  ``lists`` adds
-    ``missing_years`` as an ``array`` or as ``text``; None leaves the list out.
+    ``missing_years`` as an ``array`` or as ``text``, of any length; None leaves the list
+    out, and ``missing_periods`` has it as one row per period.
     """
     if lists not in (None, "array", "text"):
         raise ValueError("lists must be None, 'array' or 'text'")
-    if spec.bounded:
+    if spec.bounded and lists is not None:
         summary = _bounded_gap_summary(df, spec, nulls_too)
-        if lists is None:
-            summary = summary.drop("missing_years")
         if lists == "text":
             summary = summary.withColumn(
                 "missing_years", F.array_join(F.col("missing_years").cast("array<string>"), ", "))
@@ -165,7 +160,7 @@ def gap_summary(
         if lists is not None:
             listed = period_lists(
                 missing_periods(df, spec, nulls_too), spec, "missing_years",
-                as_text=lists == "text", limit=list_limit)
+                as_text=lists == "text")
             summary = summary.where("missing_count > 0").join(listed, spec.groups, "left")
     return summary.where("missing_count > 0").withColumn(
         "missing_quote", F.col("missing_count") / F.col("series_length"))
@@ -365,7 +360,7 @@ def trim_panel(
 
 
 def trim_by_missing_ratio(
-    df: DataFrame, spec: PanelSpec, threshold: float = 0.2, list_limit: int = LIST_LIMIT
+    df: DataFrame, spec: PanelSpec, threshold: float = 0.2
 ) -> Trimmed:
     cuts = trim_cuts(df, spec, threshold)
     if not spec.bounded:
@@ -373,9 +368,9 @@ def trim_by_missing_ratio(
     return Trimmed(
         panel=trim_panel(df, spec, threshold, cuts),
         cuts=cuts,
-        above_threshold=gap_summary(df, spec, list_limit=list_limit).where(
+        above_threshold=gap_summary(df, spec).where(
             F.col("missing_quote") > threshold),
         removed_years=period_lists(
             removed_periods(df, cuts, spec), spec, "removed_years",
-            as_text=True, limit=list_limit),
+            as_text=True),
     )

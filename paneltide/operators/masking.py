@@ -18,8 +18,8 @@ from paneltide.operators.complete import filter_complete_series
 from paneltide.operators.fill import interpolate_linear, interpolate_spline
 from paneltide.spec import PanelSpec
 
-# Positions that one row chooses from, and how far it looks ahead for the next position
-# that is taken for certain.
+# Positions that one row chooses from, and how far it looks ahead at first for the next
+# position that is taken for certain.
 POSITIONS = 1_024
 
 
@@ -230,7 +230,7 @@ def masked_panel(df: DataFrame, spec: PanelSpec, targets: DataFrame) -> DataFram
     )
     runs = targets.groupBy(*spec.groups).agg(F.collect_set(run).alias("_runs"))
     rows = add_position(
-        filter_complete_series(df.select(*spec.keys, spec.value), spec), spec
+        filter_complete_series(df.select(*spec.keys, spec.value), spec, unique=True), spec
     ).withColumn("_cell", cell)
     # Cells are multiplied by the runs once they are spread over tasks, like the rows.
     wanted = (

@@ -89,9 +89,9 @@ def group_periods(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.select(*spec.keys).dropna().distinct()
 
 
-def group_period_lists(df: DataFrame, spec: PanelSpec, limit: int = 1_000_000) -> DataFrame:
+def group_period_lists(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """The sorted distinct periods of every group as one array, ``periods``."""
-    return period_lists(df.select(*spec.keys), spec, "periods", as_text=False, limit=limit)
+    return period_lists(df.select(*spec.keys), spec, "periods", as_text=False)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, period_lists, spread, with_facts
+from paneltide.functions.blocks import add_block, period_lists
+from paneltide.functions.skew import give_back
 from paneltide.functions.scalars import any_of, normalize, safe_ratio, split_periods, strip
-from paneltide.operators.gaps import LIST_LIMIT, missing_periods, periods, spans
+from paneltide.operators.gaps import missing_periods
 from paneltide.spec import PanelSpec
 
 # The flags that the status columns carry.
@@ -23,18 +24,9 @@ def status_mask(
     df: DataFrame, columns: Sequence[str], values: Sequence[str], how: str = "none"
 ) -> Column:
     """True if any of the columns that exist has one of the values; never null."""
-    shortest = min((len(v) for v in values), default=0)
-
-    def hit(column: Column) -> Column:
-        if how == "none":
-            return column.isin(*values)
-        # A text no longer than the values has nothing to strip if it is to equal one.
-        short = F.upper(column) if how == "strip_upper" else column
-        return F.when(F.length(column) <= shortest, short.isin(*values)).otherwise(
-            normalize(column, how).isin(*values))
-
     return any_of(
-        F.coalesce(hit(F.col(c)), F.lit(False)) for c in columns if c in df.columns)
+        F.coalesce(normalize(F.col(c), how).isin(*values), F.lit(False))
+        for c in columns if c in df.columns)
 
 
 def status_report(
@@ -126,22 +118,23 @@ def coverage(
     df: DataFrame, spec: PanelSpec,
     break_flag: str = BREAK, difference_flag: str = DEFINITION_DIFFERS,
 ) -> DataFrame:
-    """First and last period, rows with a period, flagged rows and gaps per group."""
-    counted = (
-        df.where(spec.has_group())
-        .groupBy(*spec.groups)
-        .agg(
-            F.min(spec.time).alias("min_year"),
-            F.max(spec.time).alias("max_year"),
-            F.count(spec.time).alias("n_periods"),
-            F.count_if(status_mask(df, spec.status, (break_flag,))).alias("time_break_rows"),
-            F.count_if(status_mask(df, spec.status, (difference_flag,))).alias("defdiff_rows"),
-        )
-    )
-    gaps = spans(periods(df, spec), spec).select(
-        *spec.groups, (F.col("series_length") - F.col("observed_periods")).alias("gaps"))
-    return counted.join(gaps, spec.groups, "left").withColumn(
-        "missing_years", F.coalesce("gaps", F.lit(0))).drop("gaps")
+    """First and last period, rows with a period, flagged rows and gaps per group.
+
+    Rows are first counted per (group, period), on the map side too, so the input is read
+    once and a group is as large as its periods.
+    """
+    counted = df.where(spec.has_group()).groupBy(*spec.keys).agg(
+        F.count(spec.time).alias("_rows"),
+        F.count_if(status_mask(df, spec.status, (break_flag,))).alias("_breaks"),
+        F.count_if(status_mask(df, spec.status, (difference_flag,))).alias("_differences"))
+    span = F.max(spec.time).cast("bigint") - F.min(spec.time).cast("bigint") + 1
+    return counted.groupBy(*spec.groups).agg(
+        F.min(spec.time).alias("min_year"),
+        F.max(spec.time).alias("max_year"),
+        F.sum("_rows").alias("n_periods"),
+        F.sum("_breaks").alias("time_break_rows"),
+        F.sum("_differences").alias("defdiff_rows"),
+        F.coalesce(span - F.count(spec.time), F.lit(0)).alias("missing_years"))
 
 
 def group_count(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -149,13 +142,11 @@ def group_count(df: DataFrame, spec: PanelSpec) -> DataFrame:
         F.count_distinct(*spec.groups).alias("num_groups"))
 
 
-def coverage_missing_lists(
-    df: DataFrame, spec: PanelSpec, list_limit: int = LIST_LIMIT
-) -> DataFrame:
+def coverage_missing_lists(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Gap periods of every group as an array; empty where there is none."""
     listed = period_lists(
         missing_periods(df, spec, nulls_too=False), spec, "missing_years",
-        as_text=False, limit=list_limit)
+        as_text=False)
     groups = df.where(spec.has_group()).select(*spec.groups).distinct()
     kind = df.schema[spec.time].dataType.simpleString()
     return groups.join(listed, spec.groups, "left").withColumn(
@@ -189,44 +180,59 @@ def last_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFrame:
 
 
 def cut_at_breaks(
-    df: DataFrame, spec: PanelSpec, flag: str = BREAK, keep_groupless: bool = True
+    df: DataFrame, spec: PanelSpec, flag: str = BREAK, keep_groupless: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows after the last break of their group; groups without one stay whole.
 
     Rows without a group have no series to cut and stay, unless ``keep_groupless`` is
-    off; rows without a period stay only in groups without a break.
+    off; rows without a period stay only in groups without a break.  A period may have any
+    number of rows: the last breaks are found by an aggregate, and go back to rows that
+    need not be gathered by group.  With ``unique`` the caller knows that it has one, and
+    if a time range is declared the cut then shares the shuffle of the steps after it.
     """
-    rows = add_block(df.where(spec.has_group()), spec)
     is_break = status_mask(df, spec.status, (flag,))
     last = F.max(F.when(is_break, F.col(spec.time)))
-
-    def by_block() -> DataFrame:
-        blocks = rows.groupBy(*spec.task_keys).agg(last.alias("_own"))
-        return blocks.select(*spec.task_keys, F.max("_own").over(spec.whole()).alias("_last_break"))
-
+    rows = add_block(df if keep_groupless else df.where(spec.has_group()), spec)
+    if unique and spec.bounded:
+        known = rows.withColumn("_last_break", F.when(spec.has_group(), last.over(spec.whole())))
+    else:
+        facts = df.where(spec.has_group()).groupBy(*spec.groups).agg(
+            last.alias("_last_break"), F.count("*").alias("_n"))
+        known = give_back(rows, facts, spec.groups, "_n")
     later = F.col("_last_break").isNull() | F.coalesce(
         F.col(spec.time) > F.col("_last_break"), F.lit(False))
-    kept = with_facts(rows, spec, by_block, {"_last_break": last.over(spec.whole())}).where(later)
-    kept = kept.select(*df.columns)
-    return kept.union(df.where(~spec.has_group())) if keep_groupless else kept
+    return known.where(later).select(*df.columns)
 
 
-def break_summary(
-    df: DataFrame, spec: PanelSpec, flag: str = BREAK, list_limit: int = LIST_LIMIT
-) -> DataFrame:
-    """Last break, all break periods as text, and the number of rows cut, per group."""
-    breaks = last_breaks(df, spec, flag)
-    rows = add_block(df.where(spec.has_key()).select(*spec.keys), spec)
-    cut = (
-        spread(rows, breaks, spec, "inner")
-        .where(F.col(spec.time) <= F.col("last_break"))
-        .groupBy(*spec.groups)
-        .agg(F.max("last_break").alias("last_break"), F.count("*").alias("rows_cut"))
-    )
-    listed = period_lists(
-        break_periods(df, spec, flag), spec, "years_with_breaks", as_text=True, limit=list_limit)
-    return cut.join(listed, spec.groups, "inner").select(
-        *spec.groups, "last_break", "years_with_breaks", "rows_cut")
+def break_summary(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFrame:
+    """Last break, all break periods as text, and the number of rows cut, per group.
+
+    Rows are first counted per (group, period), on the map side too; the rest works on
+    that table, by block, and on one row per block.
+    """
+    counted = add_block(df.where(spec.has_key()), spec).groupBy(
+        *dict.fromkeys([*spec.task_keys, spec.time])
+    ).agg(F.count("*").alias("_rows"), F.max(status_mask(df, spec.status, (flag,))).alias("_break"))
+    own = F.max(F.when(F.col("_break"), F.col(spec.time)))
+    here = Window.partitionBy(*spec.task_keys)
+    blocks = counted.withColumn("_own", own.over(here)).groupBy(*spec.task_keys).agg(
+        F.max("_own").alias("_own"), F.sum("_rows").alias("_all"),
+        F.sum(F.when(F.col(spec.time) <= F.col("_own"), F.col("_rows"))).alias("_cut"),
+        F.sort_array(F.collect_list(F.when(F.col("_break"), F.col(spec.time)))).alias("_list"))
+    if spec.bounded:
+        found = blocks.where("_own is not null").select(
+            *spec.groups, F.col("_own").alias("last_break"), "_list", F.col("_cut").alias("rows_cut"))
+    else:
+        earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
+        up_to = F.col("_cut") + F.coalesce(F.sum("_all").over(earlier), F.lit(0))
+        found = blocks.withColumn("_cut", up_to).where("_own is not null").groupBy(*spec.groups).agg(
+            F.max("_own").alias("last_break"),
+            F.sort_array(F.flatten(F.collect_list("_list"))).alias("_list"),
+            F.max_by("_cut", "_own").alias("rows_cut"))
+    return found.select(
+        *spec.groups, "last_break",
+        F.array_join(F.col("_list").cast("array<string>"), ", ").alias("years_with_breaks"), "rows_cut")
 
 
 def handle_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> BreakCut:

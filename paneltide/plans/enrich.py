@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paneltide.operators.relational import (
-    group_periods, in_key_periods, join_indicators, non_null_cells,
+    group_periods, join_indicators, non_null_cells,
 )
 from paneltide.sources.odata import INDICATORS, Indicator, parse_responses, select_indicators
 from paneltide.spec import PanelSpec
@@ -23,9 +23,8 @@ def enrich(
     All indicators go through one scan, one reduction to the first row per key, one
     pivot and one join; an indicator without data is a null column.
     """
-    base = group_periods(panel, spec)
     rows = select_indicators(parse_responses(responses, spec), spec, indicators)
-    return join_indicators(base, in_key_periods(rows, base, spec), spec, [i.col for i in indicators])
+    return join_indicators(group_periods(panel, spec), rows, spec, [i.col for i in indicators])
 
 
 def enrichment_report(enriched: DataFrame, indicators: Sequence[Indicator] = INDICATORS) -> DataFrame:

@@ -32,7 +32,7 @@ def prepare_panel(df: DataFrame, spec: PanelSpec, settings: Settings = Settings(
         raise ValueError("method must be 'linear' or 'spline'")
     between = (lambda panel: panel) if spec.bounded else cut
     # Rows without a group would not outlast trimming.
-    unbroken = between(cut_at_breaks(df, spec, settings.break_flag, keep_groupless=False))
+    unbroken = between(cut_at_breaks(df, spec, settings.break_flag, keep_groupless=False, unique=True))
     trimmed = between(trim_panel(unbroken, spec, settings.threshold))
     # Trimming has checked the rows and made the time axis dense.
     known = spec.with_(checked=True)

@@ -37,22 +37,32 @@ INDICATORS = (
 
 
 def read_responses(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Response texts from folders ``indicator=<code>``: (indicator, source, value)."""
+    """Response texts from folders ``indicator=<code>``: (indicator, source, line, value).
+
+    ``line`` puts the lines of a file in order: where their part of the file starts, and
+    their place in that part, which one task reads from its start to its end.  The numbers
+    themselves depend on the tasks, their order does not.
+    """
     files = spark.read.text(path, wholetext=not one_per_line)
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     return files.select(
         F.col("indicator").cast("string").alias("indicator"),
-        F.col("_metadata.file_path").alias("source"), "value")
+        F.col("_metadata.file_path").alias("source"), place.alias("line"), "value")
 
 
 def parse_responses(responses: DataFrame, spec: PanelSpec) -> DataFrame:
-    """One row per element: (indicator, source, position, dim1, group, time, value).
+    """One row per element: (indicator, source, line, position, dim1, group, time, value).
 
-    ``position`` keeps the order of a response.  The value field is chosen per response:
+    ``position`` keeps the order of a response, and ``line`` that of the responses of a file.  The value field is chosen per response:
     the first of the candidates that any element has.  A response with elements but
     without a value field stops the query.
     """
+    # Responses that were not read from lines are alone in their source.
+    line = F.col("line") if "line" in responses.columns else F.lit(0)
     parsed = responses.select(
-        "indicator", "source", F.from_json("value", "value array<map<string,string>>")["value"].alias("_items"))
+        "indicator", "source", line.alias("line"),
+        F.from_json("value", "value array<map<string,string>>")["value"].alias("_items"))
 
     def if_present(name: str) -> Column:
         return F.when(F.exists("_items", lambda m: F.map_contains_key(m, name)), F.lit(name))
@@ -64,18 +74,18 @@ def parse_responses(responses: DataFrame, spec: PanelSpec) -> DataFrame:
     items = F.transform("_items", lambda m: F.struct(
         m[FILTER_FIELD].alias("dim1"), m[GROUP_FIELD].alias("group"), m[TIME_FIELD].alias("time"),
         m[F.col("_field")].alias("number")))
-    rows = chosen.select("indicator", "source", F.posexplode(items).alias("position", "_item"))
+    rows = chosen.select("indicator", "source", "line", F.posexplode(items).alias("position", "_item"))
     return rows.select(
-        "indicator", "source", "position", F.col("_item.dim1").alias("dim1"),
+        "indicator", "source", "line", "position", F.col("_item.dim1").alias("dim1"),
         F.col("_item.group").alias(spec.groups[0]),
         to_period(F.col("_item.time")).alias(spec.time),
         to_number(F.col("_item.number")).alias(spec.value))
 
 
-def tidy_indicator(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def tidy_indicator(df: DataFrame, spec: PanelSpec, order: str) -> DataFrame:
     """A frame with response fields as columns to (group, time, value), first row per key.
 
-    The value column is the first of the candidates that exists.  Two of them differ only
+    The column ``order`` says which row of a key is the first.  The value column is the first of the candidates that exists.  Two of them differ only
     by case, so columns are picked by position.
     """
     chosen = next((n for n in VALUE_FIELDS if n in df.columns), None)
@@ -83,8 +93,8 @@ def tidy_indicator(df: DataFrame, spec: PanelSpec) -> DataFrame:
         raise ValueError(f"none of {VALUE_FIELDS} in {df.columns}")
     names = {GROUP_FIELD: spec.groups[0], TIME_FIELD: spec.time, chosen: spec.value}
     renamed = df.toDF(*[names.get(c, f"_{i}") for i, c in enumerate(df.columns)])
-    tidy = renamed.select(*spec.keys, spec.value, F.monotonically_increasing_id().alias("_at"))
-    return first_rows(tidy, spec.keys, ["_at"]).drop("_at")
+    at = f"_{df.columns.index(order)}"
+    return first_rows(renamed.select(*spec.keys, spec.value, at), spec.keys, [at]).drop(at)
 
 
 def select_indicators(
@@ -92,12 +102,13 @@ def select_indicators(
 ) -> DataFrame:
     """Rows of the listed indicators as (col, group, time, value), first row per key.
 
-    Where an indicator names a value of Dim1, only rows with it count.
+    The first is by file, line and position.  Where an indicator names a value of Dim1, only rows with it count.
     """
     wanted = rows.sparkSession.createDataFrame(
         [(i.code, i.col, i.dim1_filter) for i in indicators],
         "indicator string, col string, dim1_filter string")
     kept = rows.join(wanted, "indicator", "inner").where(
         F.col("dim1_filter").isNull() | (F.col("dim1") == F.col("dim1_filter")))
-    tidy = kept.select("col", *spec.keys, spec.value, "source", "position")
-    return first_rows(tidy, ["col", *spec.keys], ["source", "position"]).drop("source", "position")
+    arrival = ["source", "line", "position"]
+    tidy = kept.select("col", *spec.keys, spec.value, *arrival)
+    return first_rows(tidy, ["col", *spec.keys], arrival).drop(*arrival)

@@ -50,7 +50,7 @@ def test_trim_keeps_other_columns_on_observed_rows(panel, spec):
 
 def test_summary_and_overview(panel, spec):
     df = panel([("A", 2000, 1.0), ("A", 2001, None), ("A", 2003, 1.0)])
-    summary = gaps.gap_summary(df, spec).first()
+    summary = gaps.gap_summary(df, spec, lists="array").first()
     assert (summary.missing_years, summary.missing_count, summary.missing_quote) == ([2002], 1, 0.25)
     overview = gaps.gap_overview(df, spec).first()
     assert (overview.missing_years, overview.missing_count, overview.observed_periods,

@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from paneltide import PanelSpec
-from paneltide.operators import charts, features, fill, gaps, masking, relational, status
+from paneltide.operators import charts, complete, features, fill, gaps, masking, relational, status
+from paneltide.plans.enrich import enrich
 from paneltide.plans.prepare import Settings, prepare_panel
+from paneltide.sources import odata
 
 SPEC = PanelSpec("g", "t", "v", status=("s",))
 BOUNDED = SPEC.with_(time_range=(0, 3000))
@@ -48,7 +51,7 @@ def test_no_plan_gathers_or_multiplies(table, name, spec):
         assert not re.search(r"\], \[\](,|$)", window) or "RANGE" in window
 
 
-@pytest.mark.parametrize("name", ["densify", "runs", "linear", "trim", "cuts", "isolated", "position", "breaks", "features"])
+@pytest.mark.parametrize("name", ["densify", "runs", "linear", "trim", "cuts", "isolated", "position", "features"])
 def test_rows_of_long_series_are_shuffled_by_block(table, name):
     """Only block tables, marked by their aggregates, may be shuffled by the group alone."""
     plan = plan_of(OPERATORS[name](table.where("g is not null").drop("other"), SPEC))
@@ -68,6 +71,39 @@ def test_bounded_series_are_shuffled_once(table, name):
     assert count("FileScan", plan) == 1
 
 
+@pytest.mark.parametrize("spec", [SPEC, BOUNDED], ids=["blocks", "bounded"])
+def test_reports_read_their_input_once(table, spec):
+    for df in (status.coverage(table, spec), status.break_summary(table, spec)):
+        assert count("FileScan", plan_of(df)) == 1
+
+
+def test_enrichment_reads_the_panel_and_the_responses_once(spark, table, tmp_path):
+    (tmp_path / "indicator=I").mkdir()
+    (tmp_path / "indicator=I" / "a.json").write_text('{"value":[]}')
+    responses = odata.read_responses(spark, str(tmp_path))
+    plan = plan_of(enrich(table, responses, SPEC, [odata.Indicator("I", "i")]))
+    assert (count("FileScan parquet", plan), count("FileScan text", plan)) == (1, 1)
+
+
+@pytest.mark.parametrize("spec", [SPEC, BOUNDED], ids=["blocks", "bounded"])
+@pytest.mark.parametrize("name", ["breaks", "complete"])
+def test_a_hot_group_of_raw_rows_is_dealt_out(spark, name, spec):
+    """Two thirds of all rows are one group with few periods; broadcasts are off."""
+    rows = spark.range(300_000).selectExpr(
+        "case when id % 3 < 2 then 'hot' when id % 1000 = 2 then null else concat('g', id % 4001) end g",
+        "cast(2000 + id % 10 as int) t", "cast(id as double) v", "case when id % 3 = 2 and id % 4001 = 5 and id % 10 = 3 then 'B' end s")
+    operator = {"breaks": status.cut_at_breaks, "complete": complete.filter_complete_series}[name]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("16", "-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        sizes = sorted(r["count"] for r in operator(rows, spec).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) > 290_000 and len(sizes) == 16 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
 def test_prepare_is_one_shuffle(table):
     plan = plan_of(prepare_panel(table.drop("other"), BOUNDED, Settings()))
     assert (count("Exchange", plan), count("FileScan", plan), count("Join", plan)) == (1, 1, 0)

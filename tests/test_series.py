@@ -69,7 +69,7 @@ def test_ratios_add_up_to_the_missing_share(panel, spec, random_panel):
 @pytest.mark.parametrize("nulls_too", [False, True])
 def test_gap_summary(panel, spec, random_panel, nulls_too):
     got = {r.g: (r.first_year, r.last_year, r.observed_periods, r.series_length, r.missing_count, r.missing_years)
-           for r in gaps.gap_summary(panel(naive.rows(random_panel)), spec, nulls_too).collect()}
+           for r in gaps.gap_summary(panel(naive.rows(random_panel)), spec, nulls_too, lists="array").collect()}
     want = {}
     for g, s in random_panel.items():
         missing = [t for t, v in naive.dense(s).items() if (v is None if nulls_too else t not in s)]
@@ -170,11 +170,31 @@ def test_null_groups_and_times(panel, spec):
     assert {(r.t, r.v) for r in filled.collect()} == {(1, 1.0), (3, 5.0), (None, 9.0)}
 
 
-def test_list_limit_stops_the_query_instead_of_cutting(panel):
-    df = panel([("a", 1, 1.0), ("a", 50, 1.0)])
-    with pytest.raises(Exception, match="more than 10 entries"):
-        gaps.gap_summary(df, SPECS["blocks_of_4"], list_limit=10).collect()
-    assert gaps.missing_periods(df, SPECS["blocks_of_4"]).count() == 48
+def test_lists_have_no_limit_and_are_the_same_in_both_modes(panel):
+    df = panel([("a", 1, 1.0), ("a", 1_200_000, 1.0), ("b", 1, 1.0), ("b", 3, 2.0)])
+    for spec in (BASE, BASE.with_(time_range=(0, 2_000_000))):
+        rows = gaps.gap_summary(df, spec, lists="array").selectExpr(
+            "g", "size(missing_years) n", "missing_years[0] a", "element_at(missing_years, -1) z", "missing_count").collect()
+        assert sorted(map(tuple, rows)) == [("a", 1_199_998, 2, 1_199_999, 1_199_998), ("b", 1, 2, 2, 1)]
+        assert "missing_years" not in gaps.gap_summary(df, spec).columns
+
+
+def test_triggers_with_white_space_never_match_a_stripped_cell(spark):
+    df = spark.createDataFrame([("D",), (" D",), ("x",), (None,)], "s string")
+    got = df.select(status.status_mask(df, ["s"], [" D"], "strip").alias("a"), status.status_mask(df, ["s"], ["D"], "strip").alias("b"))
+    assert [tuple(r) for r in got.collect()] == [(False, True), (False, True), (False, False), (False, False)]
+
+
+def test_high_orders_fall_back_to_the_line(panel, spec):
+    rows = [("long", t, None if t in (4, 7, 8) else float(t * t)) for t in range(1, 11)]
+    rows += [("short", t, None if t == 3 else float(t * t)) for t in range(1, 6)] + [("one", 1, 5.0), ("one", 2, None)]
+    for order in (6, 9):
+        filled = fill.interpolate_spline(panel(rows), spec, order)
+        got = {(r.g, r.t): (r.v, r.fill_path) for r in filled.where("was_filled").collect()}
+        assert got["long", 4] == (17.0, "linear") and got["long", 7][0] == pytest.approx(36 + 45 / 3)
+        assert got["short", 3][1] == "poly" and got["short", 3][0] == pytest.approx(9.0)
+        assert got["one", 2] == (5.0, "linear")
+    assert ("one", 2) not in {(r.g, r.t) for r in fill.fill_spline(panel(rows), spec, 6).collect()}
 
 
 def test_long_gap_is_expanded_in_steps(panel):

@@ -189,13 +189,34 @@ def test_value_field_is_chosen_per_response(spark):
 
 
 def test_tidy_indicator(spark):
-    df = spark.createDataFrame([("AT", 2000, 5.0, 9.0), ("AT", 2000, 6.0, 9.0)],
-                               "SpatialDim string, TimeDim int, NumericValue double, value double")
-    assert [tuple(r) for r in odata.tidy_indicator(df, SPEC).collect()] == [("AT", 2000, 5.0)]
-    both = spark.createDataFrame([(2000, "AT", 1.0, 2.0)], ["TimeDim", "SpatialDim", "NumericValue", "numericValue"])
-    assert tuple(odata.tidy_indicator(both, SPEC).first()) == ("AT", 2000, 2.0)
+    df = spark.createDataFrame([("AT", 2000, 6.0, 9.0, 2), ("AT", 2000, 5.0, 9.0, 1)],
+                               "SpatialDim string, TimeDim int, NumericValue double, value double, at int")
+    assert [tuple(r) for r in odata.tidy_indicator(df, SPEC, "at").collect()] == [("AT", 2000, 5.0)]
+    both = spark.createDataFrame([(2000, "AT", 1.0, 2.0, 0)], ["TimeDim", "SpatialDim", "NumericValue", "numericValue", "at"])
+    assert tuple(odata.tidy_indicator(both, SPEC, "at").first()) == ("AT", 2000, 2.0)
     with pytest.raises(ValueError, match="numericValue"):
-        odata.tidy_indicator(df.select("SpatialDim", "TimeDim"), SPEC)
+        odata.tidy_indicator(df.select("SpatialDim", "TimeDim", "at"), SPEC, "at")
+
+
+@pytest.mark.parametrize("partitions", ["1", "64"])
+@pytest.mark.parametrize("bytes_per_task", ["1k", "128m"])
+def test_first_line_of_a_file_wins(spark, tmp_path, partitions, bytes_per_task):
+    folder = tmp_path / "indicator=I1"
+    folder.mkdir()
+    lines = [json.dumps({"value": [item("AT", 2000, NumericValue=n), item("DE", n % 7, NumericValue=n)]}) for n in range(300)]
+    (folder / "a.json").write_text("\n".join(lines))
+    (folder / "b.json").write_text(json.dumps({"value": [item("AT", 2000, NumericValue=-1), item("FR", 1, NumericValue=5)]}))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_per_task)
+        rows = odata.parse_responses(odata.read_responses(spark, str(tmp_path), one_per_line=True), SPEC)
+        found = odata.select_indicators(rows, SPEC, [odata.Indicator("I1", "x")]).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {(r[SPEC.groups[0]], r[SPEC.time]): r[SPEC.value] for r in found}
+    assert got == {("AT", 2000): 0.0, ("FR", 1): 5.0, **{("DE", n): float(n) for n in range(7)}}
 
 
 def test_responses_in_folders(spark, tmp_path):
