@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -68,5 +69,5 @@ def numbered(texts: list[list[str]]):
         different.update(dict.fromkeys(words))
     vocabulary = list(different)
     different.update(zip(vocabulary, range(len(vocabulary)), strict=True))
-    places = np.fromiter((different[w] for words in texts for w in words), np.int64, int(counts.sum()))
+    places = np.fromiter(map(different.__getitem__, chain.from_iterable(texts)), np.int64, int(counts.sum()))
     return vocabulary, places, counts

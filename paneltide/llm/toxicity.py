@@ -8,11 +8,13 @@ as letters, and letters spaced out one by one are joined, before words are compa
 
 Landmarks are words: those whose document frequencies differ most between the two labels,
 picked by pivoted Cholesky steps of the kernel matrix so that no two are much alike, and some
-usual words. A sentence has, for each landmark, the largest kernel value of its words; the
-inverse root of the landmarks' kernel matrix turns these values into Nyström features. Labels
-are given for documents, so the machine is trained on the sentence of each document that it
-finds most toxic, and the choice is made anew after each training. A document scores as its
-most toxic sentence, through a logistic curve fitted on the same sample.
+usual words. The inverse root of the landmarks' kernel matrix turns kernel values with the
+landmarks into Nyström features, on which a linear machine is trained. A sentence is as toxic
+as its most toxic word, and a document as its most toxic sentence. Labels are given for
+documents, so the machine learns from the words of each toxic document that it finds toxic,
+one at least, and the worst few of each other document; the choice is made anew after each
+training. A
+logistic curve fitted on the same sample turns its value into the score.
 
 Results for odd input: null and empty texts score as a sentence without words; repeated rows
 score alike; without any labelled row every score is 0, with labels of one class only every
@@ -23,7 +25,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,25 +35,44 @@ from paneltide.llm import labelled
 from paneltide.llm.common import by_value, text_of
 
 DECAY, SPAN, LONGEST = 0.6, 6, 24
-WORD_LANDMARKS, USUAL_LANDMARKS = 56, 16
+WORD_LANDMARKS, USUAL_LANDMARKS = 40, 2
+TELLING, LEAST_GAP, LEAST_SHARE = 600, 20.0, 0.05  # among 100,000 words chance alone brings gaps of 12
 LETTERS = 41
+TRAIN_WORDS = 20_000
+ENDS = ".,;:!?\"'()[]{}*#$%&|-_"
 LOOKALIKES = str.maketrans("013457@$", "oieastas")
 SPACED = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){3,}(?!\S)")
 
 
 def bare(word: str) -> str:
     """The letters of a lower-case word, without what stands before and after them."""
-    if word.isalpha():
-        return word
-    inner = re.sub(r"^[\W_]+|[\W_]+$", "", word)
+    inner = word.strip(ENDS)
+    if inner.isalpha():
+        return inner
+    inner = re.sub(r"^[\W_]+|[\W_]+$", "", inner)
     if any(c.isalpha() for c in inner):
         inner = inner.translate(LOOKALIKES)
     return "".join(c for c in inner if c.isalpha())
 
 
-def words_of(text: str) -> list[str]:
-    text = text.lower()
-    return SPACED.sub(lambda m: m[0].replace(" ", ""), text).split()
+def words_of(texts: list[str]):
+    """(different words without signs, place of each word among them, first word of each text).
+
+    Letters spaced out one by one are joined. A text has one word at least, be it empty.
+    """
+    import numpy as np
+
+    split = [t.lower().split() or [""] for t in texts]
+    vocabulary, places, counts = labelled.numbered(split)
+    single = np.fromiter((len(w) == 1 for w in vocabulary), bool, len(vocabulary))[places]
+    if len(single) > 3 and (run := single[:-3] & single[1:-2] & single[2:-1] & single[3:]).any():
+        for k in np.unique(np.searchsorted(np.cumsum(counts), np.flatnonzero(run), side="right")):
+            split[k] = SPACED.sub(lambda m: m[0].replace(" ", ""), " ".join(split[k])).split()
+        vocabulary, places, counts = labelled.numbered(split)
+    letters = [bare(w) for w in vocabulary]
+    different = {w: k for k, w in enumerate(dict.fromkeys(letters))}
+    places = np.fromiter((different[w] for w in letters), np.int64, len(letters))[places]
+    return list(different), places, np.cumsum(counts) - counts
 
 
 class Kernel:
@@ -104,15 +124,32 @@ class Kernel:
             return none, none, none.astype(np.float32), norms
         return (*(np.concatenate(c) for c in zip(*found, strict=True)), norms)
 
+    @staticmethod
+    def pieces(words: list[str]) -> tuple[list[str], list[int]]:
+        """Words, long ones as overlapping parts, and the place of each one's first part."""
+        pieces, first = [], []
+        for word in words:
+            first.append(len(pieces))
+            if len(word) <= LONGEST:
+                pieces.append(word)
+            else:
+                pieces += [word[at:at + LONGEST] for at in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+        return pieces, first
+
+    def sums(self, words: list[str], weights):
+        """The weighted sum of the values with all landmarks for each word, without working out each."""
+        import numpy as np
+
+        pieces, first = self.pieces(words)
+        triples, rows, parts, norms = self.triples(pieces, self.slots)
+        found = np.bincount(rows, parts * (self.table @ weights)[self.slots[triples]], len(pieces))
+        return np.maximum.reduceat(found / np.sqrt(np.maximum(norms, 1e-9)), first)
+
     def values(self, words: list[str]):
         """One row for each word, one column for each landmark; 0 to about 1."""
         import numpy as np
 
-        pieces, owner = [], []
-        for k, word in enumerate(words):
-            for at in range(0, max(1, len(word) - LONGEST // 2), LONGEST // 2) if len(word) > LONGEST else (0,):
-                pieces.append(word[at:at + LONGEST])
-                owner.append(k)
+        pieces, first_piece = self.pieces(words)
         triples, rows, weights, norms = self.triples(pieces, self.slots)
         out = np.zeros((len(pieces), len(self.landmarks)), np.float32)
         if len(triples):
@@ -124,55 +161,26 @@ class Kernel:
             out /= np.sqrt(np.maximum(norms, 1e-9)).astype(np.float32)[:, None]
         if len(pieces) == len(words):
             return out
-        return np.maximum.reduceat(out, np.flatnonzero(np.diff(np.array(owner), prepend=-1)), axis=0)
-
+        return np.maximum.reduceat(out, first_piece, axis=0)
 
-def sentences(texts: list[str], kernel: Kernel, rows: int = 200_000):
-    """(features, first sentence of each text): largest kernel values; a text has one sentence at least."""
-    import numpy as np
 
-    split = [words_of(t) or [""] for t in texts]
-    vocabulary, places, counts = labelled.numbered(split)
-    letters = [bare(w) for w in vocabulary]
-    different = {w: k for k, w in enumerate(dict.fromkeys(letters))}
-    values = kernel.values(list(different))
-    values = values[np.fromiter((different[w] for w in letters), np.int64, len(letters))]
-    stops = np.fromiter((w.endswith((".", "!", "?")) and not w.endswith("!!") for w in vocabulary), bool, len(vocabulary))
-    begins = np.zeros(len(places), bool)
-    begins[1:] = stops[places[:-1]]
-    begins[np.cumsum(counts) - counts] = True
-    starts = np.flatnonzero(begins)
-    out = np.empty((len(starts), values.shape[1]), np.float32)
-    at = 0
-    while at < len(starts):  # some words at a time: a row of values for every word would be large
-        until = max(at + 1, int(np.searchsorted(starts, starts[at] + rows)))
-        end = starts[until] if until < len(starts) else len(places)
-        out[at:until] = np.maximum.reduceat(values[places[starts[at]:end]], starts[at:until] - starts[at], axis=0)
-        at = until
-    return out, np.searchsorted(starts, np.cumsum(counts) - counts)
-
-
-def _landmarks(texts: list[str], labels: list[int]) -> list[str]:
-    """Words that tell the labels apart, unlike one another, and usual words."""
+def _landmarks(words: list[str], held: list, labels: list[int]) -> tuple[list[str], int]:
+    """Words that tell the labels apart, unlike one another, then usual words; and how many the first are."""
     import numpy as np
 
-    seen: list[Counter] = [Counter(), Counter()]
-    for text, label in zip(texts, labels, strict=True):
-        seen[label].update({b for w in words_of(text) if len(b := bare(w)) >= 3})
-    n = [max(1, labels.count(v)) for v in (0, 1)]
-
-    def gap(word: str) -> float:
-        p, q = (seen[1][word] + 0.5) / (n[1] + 1), (seen[0][word] + 0.5) / (n[0] + 1)
-        return seen[1][word] * math.log(p / q)
-
-    telling = sorted((w for w in seen[1] if seen[1][w] >= 2), key=lambda w: (-gap(w), w))[:600]
-    telling = [w for w in telling if gap(w) > 3]
-    usual = sorted(seen[0], key=lambda w: (-seen[0][w], w))[:USUAL_LANDMARKS] or ["word"]
+    seen = [np.bincount(np.concatenate([h for h, v in zip(held, labels, strict=True) if v == label]), minlength=len(words)) for label in (0, 1)]
+    n = [labels.count(v) for v in (0, 1)]
+    gap = seen[1] * np.log((seen[1] + 0.5) / (n[1] + 1) / ((seen[0] + 0.5) / (n[0] + 1)))
+    long = np.fromiter((len(w) >= 3 for w in words), bool, len(words))
+    least = max(LEAST_GAP, LEAST_SHARE * gap.max(initial=0))  # a few copies of one document make no telling words
+    telling = [k for k in np.argsort(-gap, kind="stable")[:TELLING].tolist() if gap[k] > least and seen[1][k] > 1 and long[k]]
+    usual = [words[k] for k in np.argsort(-seen[0] * long, kind="stable")[:USUAL_LANDMARKS].tolist()]
+    picked: list[int] = []
     if telling:
-        matrix = Kernel(telling).values(telling).astype(float)
-        worth = np.sqrt([gap(w) for w in telling])
-        rest, picked, columns = np.diag(matrix).copy(), [], []
-        for _ in range(min(WORD_LANDMARKS, len(telling))):
+        names = [words[k] for k in telling]
+        matrix = Kernel(names).values(names).astype(float)
+        worth, rest, columns = np.sqrt(gap[telling]), np.diag(matrix).copy(), []
+        while len(picked) < min(WORD_LANDMARKS, len(telling)):
             k = int(np.argmax(rest * worth))
             if rest[k] < 0.05:
                 break
@@ -180,11 +188,11 @@ def _landmarks(texts: list[str], labels: list[int]) -> list[str]:
             columns.append(column / math.sqrt(rest[k]))
             rest = np.maximum(rest - columns[-1] ** 2, 0)
             picked.append(k)
-        return [telling[k] for k in picked] + usual
-    return usual
+        picked = [telling[k] for k in picked]
+    return [words[k] for k in picked] + usual, len(picked)
 
 
-def _machine(x, y, weights, penalty: float = 1e-3):
+def _machine(x, y, weights, penalty: float = 1e-4):
     """Weights of a linear machine under the squared hinge loss, by Newton steps; the last is the bias."""
     import numpy as np
 
@@ -223,35 +231,43 @@ class Model:
         self.constant = None if len(set(labels)) == 2 else float(labels[0]) if labels else 0.0
         if self.constant is not None:
             return
-        self.kernel = Kernel(_landmarks(texts, labels))
-        x, first = sentences(texts, self.kernel)
-        m = self.kernel.values(self.kernel.landmarks).astype(float)
+        words, places, first = words_of(texts)
+        ends = [*first[1:], len(places)]
+        held = [np.unique(places[a:b]) for a, b in zip(first, ends, strict=True)]
+        landmarks, telling = _landmarks(words, held, labels)
+        self.kernel = Kernel(landmarks)
+        x = np.concatenate([self.kernel.values(words[a:a + TRAIN_WORDS]) for a in range(0, len(words), TRAIN_WORDS)])
+        m = self.kernel.values(landmarks).astype(float)
         value, vector = np.linalg.eigh((m + m.T) / 2)
         good = value > 1e-3
         root = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
-        features = x @ root
+        features = x @ root.astype(np.float32)
         y, weights = np.array(labels), np.array(weights)
-        ends = [*first[1:], len(x)]
-        telling = len(self.kernel.landmarks) - USUAL_LANDMARKS
         f = x[:, :max(1, telling)].max(axis=1)  # before any training: likeness to a telling word
+        least = 0.9
         for _ in range(rounds):
-            worst = np.array([a + int(np.argmax(f[a:b])) for a, b in zip(first, ends, strict=True)])
-            others = np.array([a for a, b, v in zip(first, ends, labels, strict=True) if v == 0], int)
-            rows = np.concatenate([worst, others])
-            sign = np.concatenate([2.0 * y - 1, -np.ones(len(others))])
-            each = np.concatenate([weights, weights[y == 0]])
-            w = _machine(features[rows], sign, each / each.mean())
-            f = features @ w[:-1] + w[-1]
+            rows, sign = [], []
+            for of, label in zip(held, labels, strict=True):
+                top = of[np.argsort(-f[of], kind="stable")[:4]]
+                if label:
+                    top = of[f[of] >= min(least, f[top[0]])]
+                rows.append(top)
+                sign += [2.0 * label - 1] * len(top)
+            sign, least = np.array(sign), 0.0
+            each = np.where(sign > 0, 0.5 / (sign > 0).sum(), 0.5 / (sign < 0).sum())
+            w = _machine(features[np.concatenate(rows)].astype(float), sign, each)
+            f = features @ w[:-1].astype(np.float32) + np.float32(w[-1])
         self.weights, self.bias = (root @ w[:-1]).astype(np.float32), float(w[-1])
-        self.slope, self.offset = _curve(np.maximum.reduceat(f, first), y, weights / weights.mean())
+        top = np.array([f[of].max() for of in held])
+        self.slope, self.offset = _curve(top, y, weights / weights.mean())
 
     def scores(self, texts: list[str]):
         import numpy as np
 
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        x, first = sentences(texts, self.kernel)
-        f = np.maximum.reduceat(x @ self.weights + self.bias, first)
+        words, places, first = words_of(texts)
+        f = np.maximum.reduceat((self.kernel.sums(words, self.weights) + self.bias)[places], first)
         return 1 / (1 + np.exp(-np.clip(self.slope * f.astype(float) + self.offset, -30, 30)))
 
 

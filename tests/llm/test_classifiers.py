@@ -57,7 +57,8 @@ def test_kernel_equals_a_sum_over_subsequences():
 
 def test_words_are_read_through_signs_and_gaps():
     assert [toxicity.bare(w) for w in ["i.d.i.o.t!", "m0r*n,", "***", "über", "12"]] == ["idiot", "morn", "", "über", ""]
-    assert toxicity.words_of("An I D I O T he is") == ["an", "idiot", "he", "is"]
+    words, places, first = toxicity.words_of(["An I D I O T he is", "", "a b c x he"])
+    assert [words[k] for k in places] == ["an", "idiot", "he", "is", "", "abcx", "he"] and first.tolist() == [0, 4, 5]
 
 
 def test_changed_insults_are_caught():
