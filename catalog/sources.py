@@ -130,6 +130,17 @@ def _(spark, sf_dir):
     return rows.drop("attributes")
 
 
+@query("s2_repeated_names", SDMX_ROWS.replace("CASE n % 3 WHEN 0 THEN 'Normal'", "CASE WHEN n % 2 = 0 THEN 'n' || n WHEN n % 3 = 0 THEN 'Normal'")
+       .replace("WHEN 1 THEN 'Provisoire' END", "WHEN n % 3 = 1 THEN 'Provisoire' END")
+       .replace("""CASE WHEN n % 2 = 0 THEN 'n' || n END AS "OBS_NOTE", """, ""))
+def _(spark, sf_dir):
+    """The note is named like the label of the status, and comes after it."""
+    renamed = _landed(spark, sf_dir).withColumn(
+        "value", F.replace("value", F.lit('{"id":"OBS_NOTE"}'), F.lit('{"id":"OBS_STATUS_LABEL"}')))
+    columns = [c for c in SDMX_COLUMNS if c != "OBS_NOTE"]
+    return observations.typed(sdmx.parse_messages(renamed, columns), OBSERVATIONS).drop("attributes")
+
+
 @query("f9_other_attributes", f"""WITH {SDMX_PANEL} SELECT "PHARMACEUTICAL", "REF_AREA", "TIME_PERIOD",
   CASE n % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'P' ELSE '2' END AS status, '0' AS unit,
   CAST(CASE WHEN n % 2 = 0 THEN 7 ELSE 6 END - CASE WHEN n % 3 = 2 THEN 1 ELSE 0 END AS INTEGER) AS n_others FROM p""")
@@ -147,7 +158,7 @@ WHERE "PHARMACEUTICAL" IN ('NATION_3', 'NATION_11') QUALIFY row_number() OVER (
 def _(spark, sf_dir):
     return sdmx.load_observations(
         _landed(spark, sf_dir), OBSERVATIONS, SDMX_COLUMNS, codes=["NATION_3", "NATION_11"],
-        series=["PHARMACEUTICAL", "REF_AREA"], last_n=24,
+        series=["PHARMACEUTICAL", "REF_AREA"], last_n=24, folder="code",
     ).select("PHARMACEUTICAL", "REF_AREA", "TIME_PERIOD", "OBS_VALUE")
 
 

@@ -222,7 +222,7 @@ def _densify(
     ahead = with_facts(
         rows.withColumn("_next", F.lead(spec.time).over(spec.in_order())),
         spec, by_block, {"_next_first": F.lit(None).cast(kind)})
-    stop = F.coalesce("_next", "_next_first", F.col(spec.time) + 1) - 1
+    stop = _guarded(F.col(spec.time), F.coalesce("_next", "_next_first", F.col(spec.time) + 1) - 1, spec)
     filled = explode_range(ahead, F.col(spec.time), stop, "_period", spec)
     observed = F.col("_period") == F.col(spec.time)
     return filled.select(*[
@@ -233,6 +233,13 @@ def _densify(
     ])
 
 
+def _guarded(first: Column, last: Column, spec: PanelSpec) -> Column:
+    """``last``, unless it is too far from ``first`` to make all periods between them."""
+    far = F.raise_error(F.concat(
+        F.lit("periods too far apart to fill in: "), first.cast("string"), F.lit(".."), last.cast("string")))
+    return F.when(last.cast("bigint") - first.cast("bigint") >= spec.max_span, far.cast("bigint")).otherwise(last)
+
+
 def global_grid(
     df: DataFrame, spec: PanelSpec, period_range: tuple[int, int] | None = None
 ) -> DataFrame:
@@ -244,7 +251,7 @@ def global_grid(
     else:
         first, last = (F.lit(bound) for bound in period_range)
     groups = df.where(spec.has_group()).select(*spec.groups).distinct()
-    grid = explode_range(groups, first, last, spec.time, spec.with_(time_range=None)).withColumn(
+    grid = explode_range(groups, first, _guarded(first, last, spec), spec.time, spec.with_(time_range=None)).withColumn(
         spec.time, F.col(spec.time).cast(kind))
     return grid.join(df.where(spec.has_key()), spec.keys, "left").select(*df.columns)
 

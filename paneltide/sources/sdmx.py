@@ -58,6 +58,14 @@ def _coded(name: Column, meta: Column) -> Column:
         F.array(value, _entry(F.concat(name, F.lit("_LABEL")), label)))
 
 
+def _named(pairs: Column) -> Column:
+    """Entries by name; of entries with the same name the last one counts."""
+    entries = F.flatten(F.filter(pairs, lambda p: p.isNotNull()))
+    names = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~F.array_contains(
+        F.slice(names, i + 2, F.greatest(F.size(names) - i - 1, F.lit(0))), e["key"])))
+
+
 def _attributes(definitions: Column, cells: Column) -> Column:
     """Attribute cells by name: an index into the values of its definition, or a raw value."""
     def resolve(definition: Column, cell: Column) -> Column:
@@ -67,8 +75,7 @@ def _attributes(definitions: Column, cells: Column) -> Column:
         return F.when(definition["id"].isNotNull() & cell.isNotNull(), found)
 
     nothing = F.array().cast(f"array<{_ENTRIES}>")
-    pairs = F.coalesce(F.zip_with(definitions, cells, resolve), nothing)
-    return F.map_from_entries(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))
+    return _named(F.coalesce(F.zip_with(definitions, cells, resolve), nothing))
 
 
 def _dimensions(definitions: Column, key: Column) -> Column:
@@ -76,8 +83,7 @@ def _dimensions(definitions: Column, key: Column) -> Column:
         meta = F.get(definition["values"], index.try_cast("int"))
         return F.when(meta.isNotNull(), _coded(definition["id"], meta))
 
-    pairs = F.zip_with(definitions, F.split(key, ":"), resolve)
-    return F.map_from_entries(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))
+    return _named(F.zip_with(definitions, F.split(key, ":"), resolve))
 
 
 def parse_messages(
@@ -89,39 +95,31 @@ def parse_messages(
     else of an observation is in the map ``attributes``.  Messages without data give no
     rows.
     """
-    data = F.col("_m.data")
-    structure = data["structure"]
-    dimensions, attributes = structure["dimensions"], structure["attributes"]
+    # One row per series with its dimensions and attributes, then one per observation.
+    parsed = messages.select(F.from_json(F.col(text), MESSAGE)["data"].alias("_data"))
+    entries = parsed.select(
+        F.col("_data.structure").alias("_structure"),
+        F.explode(F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"])).alias("_entry"))
+    dimensions, attributes = F.col("_structure.dimensions"), F.col("_structure.attributes")
+    fits = F.size(F.split("_entry.key", ":")) == F.size(dimensions["series"])
     time = F.get(dimensions["observation"], F.lit(0))
-    first_set = F.get(data["dataSets"], F.lit(0))["series"]
 
-    def series(entry: Column) -> Column:
-        return F.struct(
-            _dimensions(dimensions["series"], entry["key"]).alias("d"),
-            _attributes(attributes["series"], entry["value"]["attributes"]).alias("s"),
-            F.map_entries(entry["value"]["observations"]).alias("observations"))
-
-    def observation(entry: Column, of: Column) -> Column:
+    def observation(entry: Column) -> Column:
         period = F.get(time["values"], entry["key"].try_cast("int"))
         cells = entry["value"]
         others = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
         return F.when(period.isNotNull(), F.struct(
-            of["d"].alias("d"), of["s"].alias("s"),
             _attributes(attributes["observation"], others).alias("o"),
-            time["id"].alias("time_name"), period["id"].alias("time"),
-            F.get(cells, F.lit(0)).alias("number")))
-
-    def fits(entry: Column) -> Column:
-        return F.size(F.split(entry["key"], ":")) == F.size(dimensions["series"])
+            period["id"].alias("time"), F.get(cells, F.lit(0)).alias("number")))
 
-    # Series are looked up once each, before their observations are.
-    parsed = messages.select(F.from_json(F.col(text), MESSAGE).alias("_m"))
-    all_series = F.transform(F.filter(F.map_entries(first_set), fits), series)
-    by_series = F.transform(
-        F.filter(all_series, lambda s: s["observations"].isNotNull()),
-        lambda s: F.filter(
-            F.transform(s["observations"], lambda o: observation(o, s)), lambda o: o.isNotNull()))
-    rows = parsed.select(F.explode(F.flatten(by_series)).alias("_o")).select("_o.*")
+    found = F.transform(F.map_entries(F.col("_entry.value.observations")), observation)
+    series = entries.where(fits).select(
+        _dimensions(dimensions["series"], F.col("_entry.key")).alias("d"),
+        _attributes(attributes["series"], F.col("_entry.value.attributes")).alias("s"),
+        time["id"].alias("time_name"),
+        F.filter(found, lambda o: o.isNotNull()).alias("_observations"))
+    rows = series.select("d", "s", "time_name", F.explode("_observations").alias("_o")).select(
+        "d", "s", "time_name", "_o.*")
 
     def column(name: str) -> Column:
         if name == VALUE_COLUMN:
@@ -161,13 +159,19 @@ def load_observations(
     messages: DataFrame, spec: PanelSpec, columns: Sequence[str] = COLUMNS,
     codes: Sequence[str] | None = None, codelist: DataFrame | None = None,
     code: str = "PHARMACEUTICAL", series: Sequence[str] = SERIES,
-    last_n: int | None = LAST_OBSERVATIONS,
+    last_n: int | None = LAST_OBSERVATIONS, folder: str | None = None,
 ) -> DataFrame:
     """Typed observations of all messages, for the requested codes.
 
     One-letter codes stand for all codes of the list that start so.  ``last_n`` keeps
-    the newest observations of every series.
+    the newest observations of every series.  ``folder`` names the column of the messages
+    that has their code, if they lie in folders by code: the others are not read then.
     """
+    if codes is not None and folder is not None:
+        letters = [c for c in codes if len(c) == 1]
+        messages = messages.where(
+            F.col(folder).isin(*codes) | F.substring(folder, 1, 1).isin(*letters) if letters
+            else F.col(folder).isin(*codes))
     rows = typed(parse_messages(messages, columns), spec)
     if codes is not None:
         if any(len(c) == 1 for c in codes):

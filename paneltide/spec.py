@@ -34,6 +34,9 @@ class PanelSpec:
     status: tuple[str, ...] = ("OBS_STATUS", "OBS_STATUS2", "OBS_STATUS3")
     time_range: tuple[int, int] | None = None
     block: int = 65_536
+    # Longest gap that is filled with rows, and longest axis of a grid; a longer one, as from a
+    # mistyped period, stops the query.
+    max_span: int = 10_000_000
     # Rows are known to be unique and in range, as after filling the time axis.
     checked: bool = False
 

@@ -203,6 +203,15 @@ def test_long_gap_is_expanded_in_steps(panel):
     assert (result.count(), result.distinct().count()) == (200_006, 200_006)
 
 
+def test_an_outlier_period_stops_the_fill(panel, spec):
+    df = panel([("a", 2000, 1.0), ("a", 2002, 1.0), ("b", 2001, 1.0), ("b", 2090, 2.0)])
+    narrow = spec.with_(max_span=50)
+    for fill_in in (gaps.densify, gaps.global_grid):
+        with pytest.raises(Exception, match="too far apart"):
+            fill_in(df, narrow).collect()
+        assert fill_in(df.where("t < 2050"), narrow).count() >= 4
+
+
 def test_empty_panel(panel, spec):
     df = panel([])
     assert gaps.gap_summary(df, spec).count() == 0

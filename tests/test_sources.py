@@ -225,3 +225,14 @@ def test_responses_in_folders(spark, tmp_path):
     (folder / "AT.json").write_text(json.dumps({"value": [item("AT", 2000, NumericValue=5)]}, indent=1))
     read = odata.read_responses(spark, str(tmp_path))
     assert odata.parse_responses(read, SPEC).select("indicator", "REF_AREA", F.col("OBS_VALUE")).first() == ("I1", "AT", 5.0)
+
+
+def test_only_requested_folders_are_read(spark, tmp_path):
+    for code in ("A01", "B02"):
+        (tmp_path / f"code={code}").mkdir()
+        (tmp_path / f"code={code}" / "m.json").write_text("{}")
+    messages = sdmx.read_messages(spark, str(tmp_path))
+    for codes, codelist in ((["A01"], None), (["A"], spark.createDataFrame([("A01",)], "id string"))):
+        rows = sdmx.load_observations(messages, PanelSpec(), codes=codes, codelist=codelist, folder="code", last_n=None)
+        assert "PartitionFilters: [" in (plan := rows._jdf.queryExecution().executedPlan().toString())
+        assert "code#" in plan.split("PartitionFilters: [")[1].split("]")[0]
