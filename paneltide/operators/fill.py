@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,11 +196,54 @@ def _spline_filler(spec: PanelSpec, order: int):
     return fill
 
 
+def _series_by_series(spec: PanelSpec, order: int):
+    """Fills the nulls of all series whose rows are marked ``_spline``, in rows sorted by group."""
+    time, value, groups = spec.time, spec.value, spec.groups
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        changed = np.zeros(rows.num_rows, bool)
+        changed[:1] = True
+        for group in groups:
+            keys = rows[group].combine_chunks()
+            changed[1:] |= pc.fill_null(pc.not_equal(keys[1:], keys[:-1]), True).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(changed)
+
+    def filled(rows: pa.Table, at: np.ndarray) -> pa.Table:
+        marked = rows["_spline"].to_numpy()
+        if marked.any():
+            t = rows[time].cast(pa.float64()).to_numpy()
+            v = rows[value].cast(pa.float64()).to_numpy().copy()
+            for a, z in zip(at, [*at[1:], rows.num_rows]):
+                here = a + np.flatnonzero(marked[a:z])
+                known = here[~np.isnan(v[here])]
+                unknown = here[np.isnan(v[here])]
+                if len(unknown):
+                    v[unknown] = interpolate(t[known], v[known], order, t[unknown])
+            place = rows.schema.get_field_index(value)
+            field = rows.schema.field(place)
+            rows = rows.set_column(place, field, pa.array(v, field.type, from_pandas=True))
+        return rows.drop_columns(["_spline"])
+
+    def task(batches):
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            if rows.num_rows == 0:
+                continue
+            at = starts(rows)
+            # The last series may go on in the next batch.
+            rest = rows.slice(at[-1])
+            if at[-1]:
+                yield from filled(rows.slice(0, at[-1]), at[:-1]).to_batches()
+        if rest is not None and rest.num_rows:
+            yield from filled(rest, np.array([0])).to_batches()
+
+    return task
+
+
 def _through_all_values(rows: DataFrame, spec: PanelSpec, order: int) -> DataFrame:
-    """Nulls replaced by the spline through the values; the one step that runs in Python."""
-    if spec.bounded:
-        one_piece = _spline_filler(spec, order)
-        return rows.groupBy(*spec.groups).applyInArrow(lambda piece: one_piece(piece), rows.schema)
+    """Nulls replaced by the spline through the values, block by block."""
     # The halo comes from the same rows, so its keys get names of their own.
     around = _halo(rows, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.task_keys})
     pieces = rows.groupBy(*spec.task_keys).cogroup(
@@ -290,12 +334,19 @@ def interpolate_spline(
         (F.col(c) * b for c, b in zip(coefficients, _legendre(F.col("_x"), order))), F.lit(0.0))
     planned = solved.withColumn("_plan", path)
     on_spline = (F.col("_plan") == "spline") & here.isNotNull()
-    direct = planned.where(~on_spline).select(
-        *[F.when(unknown & (F.col("_plan") == "poly"), curve)
-          .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
-          .when(unknown & (F.col("_plan") == "line"), line)
-          .otherwise(value).alias(c) if c == spec.value else F.col(c) for c in df.columns],
-        F.when(unknown, F.when(F.col("_plan") == "line", "linear").otherwise(F.col("_plan"))).otherwise("none").alias("fill_path"))
+    columns = [
+        F.when(unknown & (F.col("_plan") == "poly"), curve)
+        .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
+        .when(unknown & (F.col("_plan") == "line"), line)
+        .otherwise(value).cast(df.schema[c].dataType).alias(c) if c == spec.value else F.col(c) for c in df.columns]
+    named = F.when(unknown, F.when(F.col("_plan") == "line", "linear").otherwise(F.col("_plan"))).otherwise("none")
+    if spec.bounded:
+        # One pass: the windows have put every series together, in order of time.
+        marked = planned.select(*columns, named.alias("fill_path"), on_spline.alias("_spline")).sortWithinPartitions(
+            *spec.groups, F.col(spec.time).asc_nulls_last())
+        result = marked.mapInArrow(_series_by_series(spec, order), marked.drop("_spline").schema)
+        return result.withColumn("was_filled", F.col("fill_path") != "none")
+    direct = planned.where(~on_spline).select(*columns, named.alias("fill_path"))
     splined = planned.where(on_spline).select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
     curved = _through_all_values(splined, spec, order)

@@ -66,7 +66,8 @@ def mask_target(lengths: DataFrame, kind: MaskKind, ratio: float) -> DataFrame:
 
 
 def _accepted(
-    lengths: DataFrame, spec: PanelSpec, kind: MaskKind, seed: int, trials: int
+    lengths: DataFrame, spec: PanelSpec, kind: MaskKind, seed: int, trials: int,
+    ahead: int = POSITIONS,
 ) -> DataFrame:
     """Positions taken in priority order, per trial and series, without the target.
 
@@ -93,9 +94,10 @@ def _accepted(
         .withColumn("_lo", F.col("_piece") * POSITIONS + 1)
         .withColumn("_hi", F.least(F.col("_lo") + POSITIONS - 1, "_last"))
         .withColumn("_from", F.greatest(F.col("_lo") - near + 1, F.lit(1)))
-        .withColumn("_to", F.least(F.col("_hi") + POSITIONS, "_last"))
+        .withColumn("_to", F.least(F.col("_hi") + ahead, "_last"))
         .withColumn("_pr", F.transform(F.sequence("_from", "_to"), priority))
     )
+    none = F.array().cast("array<bigint>")
 
     def at(position: Column) -> Column:
         return F.get("_pr", (position - F.col("_from")).cast("int"))
@@ -109,21 +111,28 @@ def _accepted(
             result = result & (rival.isNull() | (own < rival))
         return result
 
-    at_end = F.col("_to") == F.col("_last")
-    judged_to = F.when(at_end, F.col("_to")).otherwise(F.col("_to") - near + 1)
-    none = F.array().cast("array<bigint>")
-    before = F.when(F.col("_lo") == 1, F.array(F.lit(1 - near).cast("bigint"))).otherwise(none)
-    after = F.when(at_end, F.array(F.col("_last") + near)).otherwise(none)
-    certain = pieces.withColumn("_marks", F.concat(
-        before, F.filter(F.sequence(F.col("_lo"), judged_to), lowest), after))
+    def marks() -> Column:
+        at_end = F.col("_to") == F.col("_last")
+        judged_to = F.when(at_end, F.col("_to")).otherwise(F.col("_to") - near + 1)
+        before = F.when(F.col("_lo") == 1, F.array(F.lit(1 - near).cast("bigint"))).otherwise(none)
+        after = F.when(at_end, F.array(F.col("_last") + near)).otherwise(none)
+        return F.concat(before, F.filter(F.sequence(F.col("_lo"), judged_to), lowest), after)
+
+    # A piece that sees no certain position behind it looks on to the end of its series.
+    certain = pieces.withColumn("_marks", marks()).withColumn(
+        "_blind", (F.col("_to") < F.col("_last")) & ~F.coalesce(F.array_max("_marks") > F.col("_hi"), F.lit(False)))
+    certain = (
+        certain.withColumn("_to", F.when(F.col("_blind"), F.col("_last")).otherwise(F.col("_to")))
+        .withColumn("_pr", F.when(
+            F.col("_blind"), F.transform(F.sequence("_from", "_last"), priority)).otherwise(F.col("_pr")))
+        .withColumn("_marks", F.when(F.col("_blind"), marks()).otherwise(F.col("_marks")))
+    )
     stretches = F.transform(
         F.filter("_marks", lambda m: m <= F.col("_hi")),
         lambda m, i: F.struct(m.alias("a"), F.get("_marks", i + 1).alias("z")))
     cut = certain.withColumn("_stretch", F.explode(stretches)).select(
         "trial", *spec.groups, "_from", "_pr",
-        F.col("_stretch.a").alias("_a"),
-        F.coalesce("_stretch.z", F.raise_error(F.lit(
-            "no certain position in sight")).cast("bigint")).alias("_z"))
+        F.col("_stretch.a").alias("_a"), F.col("_stretch.z").alias("_z"))
 
     inner = F.when(
         F.col("_a") + near <= F.col("_z") - near,
@@ -149,13 +158,14 @@ def mask_targets(
     """Chosen mask starts as (trial, kind, group, position); positions count rows from 0.
 
     Only the lengths of the series are needed of the panel.  They are read several times,
-    so they are written when this is called, unless they are passed in.  The first ``target`` by priority are found per leading digits of the priority: their
+    so they are written when this is called, unless they are passed in; and so are the positions
+    that may be masked, which are counted before they are chosen from.  The first ``target`` by priority are found per leading digits of the priority: their
     counts tell how many of each to keep, so no trial is sorted as a whole.
     """
     if lengths is None:
         lengths = cut(complete_lengths(df, spec))
-    taken = _accepted(lengths, spec, kind, seed, trials).withColumn(
-        "_bucket", F.substring("priority", 1, 4))
+    taken = cut(_accepted(lengths, spec, kind, seed, trials).withColumn(
+        "_bucket", F.substring("priority", 1, 4)))
     target = mask_target(lengths, kind, ratio).select("target").scalar()
     in_order = Window.partitionBy("trial").orderBy("_bucket")
     buckets = (

@@ -34,6 +34,20 @@ def test_series_longer_than_one_piece(spark, kind, width):
     assert got == naive.greedy({"long": length}, 0.3, 1, 0, width)
 
 
+@pytest.mark.parametrize("kind", [masking.ISOLATED, masking.SEQUENTIAL])
+def test_positions_do_not_depend_on_how_far_a_piece_looks_ahead(spark, kind):
+    lengths = spark.createDataFrame([("long", 3 * masking.POSITIONS + 5), ("short", 9)], "g string, _rows long")
+    near, far = ({tuple(r) for r in masking._accepted(lengths, SPEC, kind, 1, 20, ahead).collect()} for ahead in (4, masking.POSITIONS))
+    assert near == far and len(near) > 15_000
+
+
+def test_priorities_are_worked_out_once(spark, full):
+    """What follows the greedy choice reads its result."""
+    targets = masking.mask_isolated(full, SPEC, 0.3)
+    plan = targets._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in plan and "ExistingRDD" in plan
+
+
 def test_masks_keep_their_distance_and_leave_the_ends(full):
     iso = masking.mask_isolated(full, SPEC, 1.0, trials=3).collect()
     seq = masking.mask_sequential(full, SPEC, 1.0, trials=3).collect()

@@ -104,6 +104,12 @@ def test_a_hot_group_of_raw_rows_is_dealt_out(spark, name, spec):
     assert sum(sizes) > 290_000 and len(sizes) == 16 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
 
 
+def test_bounded_splines_are_one_pass(table):
+    plan = plan_of(fill.fill_spline(table.drop("other"), BOUNDED))
+    assert (count("Exchange", plan), count("FileScan", plan), count(r"Window \[sum", plan), count("MapInArrow", plan)) == (1, 1, 1, 1)
+    assert "Union" not in plan and "FlatMapGroups" not in plan
+
+
 def test_prepare_is_one_shuffle(table):
     plan = plan_of(prepare_panel(table.drop("other"), BOUNDED, Settings()))
     assert (count("Exchange", plan), count("FileScan", plan), count("Join", plan)) == (1, 1, 0)
