@@ -43,12 +43,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op3_sharding", """
-WITH sized AS (
-  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size FROM documents),
+WITH steps AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+octets AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM documents),
+sized AS (
+  SELECT doc_id, CAST(len(b) + 8 AS BIGINT) AS size,
+    xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM octets, steps),
 placed AS (
-  SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS at, sum(size) OVER () AS whole FROM sized),
-cut AS (SELECT *, CAST(at * 24 // whole AS INTEGER) AS shard FROM placed)
-SELECT doc_id, size, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+  SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS begins, sum(size) OVER () AS whole FROM sized),
+cut AS (SELECT *, CAST(begins * 24 // whole AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
   CAST(NULL AS INTEGER) AS grown_shard FROM cut
 """)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +132,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketches.resemblance(F.col("own"), F.col("edited")).alias("near_edited"), sketches.resemblance(F.col("own"), F.col("next_sketch")).alias("near_next"))
 
 
-@query("op8_warc")
+@query("op8_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+d AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(digest, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest FROM p)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
