@@ -25,12 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a table in the shared folder, written now; it goes when the session ends."""
-    spark = df.sparkSession
-    folder = new_folder(spark, name)
+    folder = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -72,11 +69,12 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
     """left joined with right, which has one row per key and in `weight` the left rows of the key.
 
     A key with more than 1 / 1,024 of all left rows is spread over `pieces` keys. There are
-    fewer than 1,024 such keys, so the list of them is broadcast. `weight` is dropped.
+    fewer than 1,024 such keys, so the list of them is broadcast. The piece of a row comes from the
+    row itself, so a task that runs again deals out the same. `weight` is dropped.
     """
     hot = (F.col(weight) * BLOCK > F.lit(total)) & (F.col(weight) > 1000)
     keys = F.broadcast(right.filter(hot).select(F.col(key).alias("_hot")))
-    spread = F.when(F.col("_hot").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(pieces))).otherwise(0)
+    spread = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.lit(pieces))).otherwise(0)
     salted = left.join(keys, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn("_salt", spread.cast("int")).drop("_hot")
     every = F.sequence(F.lit(0), F.lit(pieces - 1))
     copies = right.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))).drop(weight)

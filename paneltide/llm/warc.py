@@ -30,6 +30,7 @@ from paneltide.llm.common import by_value, join_hot, text_of, written
 LEAST = 0
 SEGMENT = 32 << 10
 CHUNK = 8 << 10
+RECORDS = 10_000  # of an archive, so with segments of 32 KB one has some hundred MB at most
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "kind string, record_id string, origin_id string, page_id long, refers_to long, digest string, segment int, total long, length long, block binary"
@@ -112,7 +113,7 @@ def write(pages: DataFrame, folder: str, segment: int = SEGMENT, least: int = LE
     again = (F.octet_length("payload") >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = ranked.select("page_id", "url", "digest", "first", again.alias("revisit"), F.when(~again, F.col("payload")).alias("payload"))
     records = rows.mapInArrow(_records(segment), "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", 50_000).text(folder)
+    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(folder)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +197,6 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write(pages, folder, **options)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     responses, revisits = read(spark, folder)
     sized = written(responses.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest")), "payloads")
     again = written(revisits.select("page_id", "refers_to", F.col("digest").alias("payload_digest")), "revisits")
