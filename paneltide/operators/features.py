@@ -21,9 +21,11 @@ def add_time_features(
 ) -> DataFrame:
     """``lag_<n>`` and ``roll_mean_<w>`` per group, counted in rows, from one shuffle.
 
-    A rolling mean takes the row itself and the rows before it and skips nulls.  Rows
-    without a group get null; they are left out if ``keep_groupless`` is off.  The first rows of a block look back into the last values
-    of earlier blocks, which travel as one short array per block.
+    A rolling mean takes the row itself and the rows before it and skips nulls.  A period that
+    occurs twice in a group stops the query: which of its rows is before the other is not
+    defined.  Rows without a group get null; they are left out if ``keep_groupless`` is off.  The
+    first rows of a block look back into the last values of earlier blocks, which travel as one
+    short array per block.
     """
     if any(n < 1 for n in (*lags, *windows)):
         raise ValueError("lags and windows must be at least 1")
@@ -51,9 +53,8 @@ def add_time_features(
             F.transform(before, lambda x: x["v"]), F.array()).alias("_history"))
 
     kind = df.schema[spec.value].dataType.simpleString()
-    checked = reject_duplicates(rows, spec) if spec.bounded else rows
     known = with_facts(
-        checked.withColumn("_rank", F.row_number().over(window)), spec, by_block,
+        reject_duplicates(rows, spec).withColumn("_rank", F.row_number().over(window)), spec, by_block,
         {"_history": F.array().cast(f"array<{kind}>")})
     rank, past = F.col("_rank"), F.col("_history")
 
