@@ -87,9 +87,11 @@ k AS (SELECT h.trial, h.kind, x.g, x.t, x.position, x.v AS original,
 
 
 MASKED = f"WITH {masked_sql(SCALE)}"
-ERRORS = f"""{MASKED}, {linear_sql('k', KEYS)}, {polynomial_sql('k', KEYS)},
+ERRORS = f"""{MASKED.replace("WITH", "WITH RECURSIVE", 1)}, {linear_sql('k', KEYS)}, {polynomial_sql('k', KEYS)},
+ks AS (SELECT concat_ws('|', trial, kind, g) AS g, t, v FROM k), {spline_sql('ks')},
 err AS (SELECT trial, kind, 'linear' AS method, g, position, is_target, original - w AS error FROM f WHERE is_masked
-  UNION ALL SELECT trial, kind, 'spline', g, position, is_target, original - fit FROM q WHERE is_masked AND rss <= n)"""
+  UNION ALL SELECT trial, kind, 'spline', q.g, position, is_target, original - CASE WHEN rss <= n THEN fit ELSE spline END
+  FROM q LEFT JOIN sp ON sp.g = concat_ws('|', trial, kind, q.g) AND sp.t = q.t WHERE is_masked)"""
 
 
 def _errors(spark, sf_dir, score_all=False):

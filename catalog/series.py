@@ -147,10 +147,10 @@ def _scaled_gaps(df, spec):
     return gaps.densify(df.withColumn("v", F.col("v") / 7654321.0), spec)
 
 
-both("w12_polynomial_yearly", f"""WITH {SCALED}, {DENSE}, {polynomial_sql('d')}
-SELECT g, t, round(CASE WHEN v IS NULL AND n >= 2 AND rss <= n THEN fit ELSE v END, 8) AS v,
-  CASE WHEN v IS NULL THEN 'poly' ELSE 'none' END AS fill_path, v IS NULL AS was_filled FROM q
-WHERE v IS NOT NULL OR n >= 2""",
+both("w12_polynomial_yearly", f"""WITH RECURSIVE {SCALED}, {DENSE}, {polynomial_sql('d')}, {spline_sql('d')}
+SELECT q.g, q.t, round(CASE WHEN v IS NOT NULL THEN v WHEN rss <= n THEN fit ELSE spline END, 8) AS v,
+  CASE WHEN v IS NOT NULL THEN 'none' WHEN rss <= n THEN 'poly' ELSE 'spline' END AS fill_path, v IS NULL AS was_filled
+FROM q LEFT JOIN sp ON sp.g = q.g AND sp.t = q.t WHERE v IS NOT NULL OR n >= 2""",
      lambda df, spec: _rounded(fill.fill_spline(_scaled_gaps(df, spec), spec), "v", digits=8), yearly)
 both("w10_quadratic_yearly", f"""WITH {SCALED}, {DENSE}, {polynomial_sql('d', order=2)}
 SELECT g, t, round(CASE WHEN v IS NULL AND n >= 2 AND rss <= n THEN fit ELSE v END, 8) AS v,
