@@ -173,19 +173,21 @@ def _halo(rows: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def _spline_filler(spec: PanelSpec, order: int):
-    """Fills the nulls of one series, or of one block from its values and those around it."""
+    """Fills the nulls of one block from its values and those around it."""
     time, value = spec.time, spec.value
 
-    def fill(rows: pa.Table, around: pa.Table | None = None) -> pa.Table:
+    def fill(rows: pa.Table, around: pa.Table) -> pa.Table:
         if rows.num_rows == 0:
             return rows
         t = rows[time].cast(pa.float64()).to_numpy()
         v = rows[value].cast(pa.float64()).to_numpy()
         known = ~np.isnan(v)
-        halo = around.to_pylist() if around is not None else []
-        outside = [p for row in halo for side in ("_before", "_after") for p in row[side]]
-        x = np.concatenate([t[known], [p["t"] for p in outside]])
-        y = np.concatenate([v[known], [p["v"] for p in outside]])
+        x, y = [t[known]], [v[known]]
+        for side in ("_before", "_after"):
+            points = around[side].combine_chunks().flatten()
+            x.append(points.field("t").to_numpy(zero_copy_only=False))
+            y.append(points.field("v").cast(pa.float64()).to_numpy(zero_copy_only=False))
+        x, y = np.concatenate(x), np.concatenate(y)
         by_time = np.argsort(x)
         v = v.copy()
         v[~known] = interpolate(x[by_time], y[by_time], order, t[~known])
@@ -246,8 +248,11 @@ def _through_all_values(rows: DataFrame, spec: PanelSpec, order: int) -> DataFra
     """Nulls replaced by the spline through the values, block by block."""
     # The halo comes from the same rows, so its keys get names of their own.
     around = _halo(rows, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.task_keys})
-    pieces = rows.groupBy(*spec.task_keys).cogroup(
-        around.groupBy(*[f"_near_{k}" for k in spec.task_keys]))
+    near = [f"_near_{k}" for k in spec.task_keys]
+    # The work is heavy for its bytes, so its tasks are not put together by their size.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = rows.repartition(tasks, *spec.task_keys).groupBy(*spec.task_keys).cogroup(
+        around.repartition(tasks, *near).groupBy(*near))
     return pieces.applyInArrow(_spline_filler(spec, order), rows.schema)
 
 
