@@ -5,7 +5,7 @@ digits written as one sign each, other signs as they are), pairs of neighbouring
 whether a word repeats the one before; shapes hold in every language. Terms are hashed into
 TERMS columns, weighted by logarithmic counts and inverse document frequencies, and projected
 on the strongest singular directions of the labelled sample. The labelled vectors go along with
-every task: they are bounded by the sample, VECTORS x DIMENSIONS numbers. Every document gets its
+every task: they are bounded by the sample, two times SAMPLE_ROWS rows of DIMENSIONS numbers. Every document gets its
 exact cosines with all of them, block by block as a matrix product, and the labels of its
 nearest neighbours vote with the fourth power of their cosines.
 
