@@ -7,8 +7,8 @@ in between, stay alike. Signs within a word are left out, look-alike digits and
 as letters, and letters spaced out one by one are joined, before words are compared.
 
 Landmarks are words: those whose document frequencies differ most between the two labels,
-picked by pivoted Cholesky steps of the kernel matrix so that no two are much alike, and some
-usual words. The inverse root of the landmarks' kernel matrix turns kernel values with the
+picked by pivoted Cholesky steps of the kernel matrix until every such word is close to what is
+picked, and some usual words. The inverse root of the landmarks' kernel matrix turns kernel values with the
 landmarks into Nyström features, on which a linear machine is trained. A sentence is as toxic
 as its most toxic word, and a document as its most toxic sentence. Labels are given for
 documents, so the machine learns from the words of each toxic document that it finds toxic,
@@ -35,10 +35,10 @@ from paneltide.llm import labelled
 from paneltide.llm.common import by_value, text_of
 
 DECAY, SPAN, LONGEST = 0.6, 6, 24
-WORD_LANDMARKS, USUAL_LANDMARKS = 40, 2
-TELLING, LEAST_GAP, LEAST_SHARE = 600, 20.0, 0.05  # among 100,000 words chance alone brings gaps of 12
+USUAL_LANDMARKS, RESIDUAL = 2, 0.05
+LEAST_GAP, LEAST_SHARE = 20.0, 0.05  # among 100,000 words chance alone brings gaps of 12
 LETTERS = 41
-TRAIN_WORDS = 20_000
+TRAIN_CELLS = 1_000_000  # of the kernel matrix at a time
 ENDS = ".,;:!?\"'()[]{}*#$%&|-_"
 LOOKALIKES = str.maketrans("013457@$", "oieastas")
 SPACED = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){3,}(?!\S)")
@@ -173,36 +173,39 @@ def _landmarks(words: list[str], held: list, labels: list[int]) -> tuple[list[st
     gap = seen[1] * np.log((seen[1] + 0.5) / (n[1] + 1) / ((seen[0] + 0.5) / (n[0] + 1)))
     long = np.fromiter((len(w) >= 3 for w in words), bool, len(words))
     least = max(LEAST_GAP, LEAST_SHARE * gap.max(initial=0))  # a few copies of one document make no telling words
-    telling = [k for k in np.argsort(-gap, kind="stable")[:TELLING].tolist() if gap[k] > least and seen[1][k] > 1 and long[k]]
+    telling = [k for k in np.argsort(-gap, kind="stable").tolist() if gap[k] > least and seen[1][k] > 1 and long[k]]
     usual = [words[k] for k in np.argsort(-seen[0] * long, kind="stable")[:USUAL_LANDMARKS].tolist()]
     picked: list[int] = []
     if telling:
         names = [words[k] for k in telling]
-        matrix = Kernel(names).values(names).astype(float)
-        worth, rest, columns = np.sqrt(gap[telling]), np.diag(matrix).copy(), []
-        while len(picked) < min(WORD_LANDMARKS, len(telling)):
-            k = int(np.argmax(rest * worth))
-            if rest[k] < 0.05:
-                break
-            column = matrix[:, k] - sum((c * c[k] for c in columns), np.zeros(len(telling)))
-            columns.append(column / math.sqrt(rest[k]))
-            rest = np.maximum(rest - columns[-1] ** 2, 0)
-            picked.append(k)
-        picked = [telling[k] for k in picked]
+        worth = np.sqrt(gap[telling])
+        rest, columns = np.ones(len(names)), np.zeros((len(names), 0))
+        rest[:] = [Kernel([n]).values([n])[0, 0] for n in names]
+        while (rest >= RESIDUAL).any():
+            k = int(np.argmax(np.where(rest >= RESIDUAL, rest * worth, -1)))
+            column = Kernel([names[k]]).values(names)[:, 0].astype(float) - columns @ columns[k]
+            columns = np.hstack([columns, (column / math.sqrt(rest[k]))[:, None]])
+            rest = np.maximum(rest - columns[:, -1] ** 2, 0)
+            rest[k] = 0
+            picked.append(telling[k])
     return [words[k] for k in picked] + usual, len(picked)
 
 
-def _machine(x, y, weights, penalty: float = 1e-4):
-    """Weights of a linear machine under the squared hinge loss, by Newton steps; the last is the bias."""
+def _machine(x, rows, y, weights, penalty: float = 1e-4):
+    """Weights of a linear machine under the squared hinge loss, by Newton steps; the last is the bias.
+
+    Examples are rows of x, which may be used more than once.
+    """
     import numpy as np
 
     x = np.hstack([x, np.ones((len(x), 1))])
     ridge = penalty * weights.sum() * np.eye(x.shape[1])
-    w, active = np.zeros(x.shape[1]), np.ones(len(x), bool)
+    w, active = np.zeros(x.shape[1]), np.ones(len(rows), bool)
     for _ in range(30):
-        part = x[active] * weights[active, None]
-        w = np.linalg.solve(part.T @ x[active] + ridge, part.T @ y[active])
-        now = y * (x @ w) < 1
+        each = np.bincount(rows[active], weights[active], len(x))
+        signed = np.bincount(rows[active], weights[active] * y[active], len(x))
+        w = np.linalg.solve((x * each[:, None]).T @ x + ridge, x.T @ signed)
+        now = y * (x @ w)[rows] < 1
         if (now == active).all():
             break
         active = now
@@ -236,14 +239,18 @@ class Model:
         held = [np.unique(places[a:b]) for a, b in zip(first, ends, strict=True)]
         landmarks, telling = _landmarks(words, held, labels)
         self.kernel = Kernel(landmarks)
-        x = np.concatenate([self.kernel.values(words[a:a + TRAIN_WORDS]) for a in range(0, len(words), TRAIN_WORDS)])
         m = self.kernel.values(landmarks).astype(float)
         value, vector = np.linalg.eigh((m + m.T) / 2)
         good = value > 1e-3
         root = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
-        features = x @ root.astype(np.float32)
         y, weights = np.array(labels), np.array(weights)
-        f = x[:, :max(1, telling)].max(axis=1)  # before any training: likeness to a telling word
+        step = max(1, TRAIN_CELLS // len(landmarks))
+
+        def each_part(work, of):
+            return np.concatenate([work(of[a:a + step]) for a in range(0, len(of), step)])
+
+        # Before any training: likeness to a telling word.
+        f = each_part(lambda part: self.kernel.values(part)[:, :max(1, telling)].max(axis=1), words)
         least = 0.9
         for _ in range(rounds):
             rows, sign = [], []
@@ -255,8 +262,10 @@ class Model:
                 sign += [2.0 * label - 1] * len(top)
             sign, least = np.array(sign), 0.0
             each = np.where(sign > 0, 0.5 / (sign > 0).sum(), 0.5 / (sign < 0).sum())
-            w = _machine(features[np.concatenate(rows)].astype(float), sign, each)
-            f = features @ w[:-1].astype(np.float32) + np.float32(w[-1])
+            used, where = np.unique(np.concatenate(rows), return_inverse=True)
+            features = each_part(lambda part: self.kernel.values(part) @ root.astype(np.float32), [words[k] for k in used])
+            w = _machine(features.astype(float), where, sign, each)
+            f = each_part(lambda part: self.kernel.sums(part, (root @ w[:-1]).astype(np.float32)), words) + w[-1]
         self.weights, self.bias = (root @ w[:-1]).astype(np.float32), float(w[-1])
         top = np.array([f[of].max() for of in held])
         self.slope, self.offset = _curve(top, y, weights / weights.mean())

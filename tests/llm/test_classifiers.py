@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from paneltide.llm import quality, toxicity
+from paneltide.llm import labelled, quality, toxicity
 from paneltide.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -96,3 +96,45 @@ def test_odd_and_empty(spark, operator, odd_docs, no_docs):
 def test_shapes_and_terms():
     assert quality.shape("Éxyz,,9") == "Xx,9"
     assert quality.counts(["", "a a a", "A b"]).sum(axis=1).tolist() == [0, 7, 3]
+
+
+def plain_words(rng, n):
+    return ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 8))) for _ in range(n)]
+
+
+def test_copies_of_one_toxic_document_leave_the_insults(spark):
+    rng = random.Random(3)
+    insults = ["worthless", "pathetic", "disgusting", "moron", "idiot", "clown"]
+    copied = " ".join("".join(rng.choices("bcdfghjkmpqvwxyz", k=9)) for _ in range(900))
+    docs, labels = [], []
+    for k in range(300):
+        words = plain_words(rng, 40)
+        bad = k % 3 == 0
+        if bad:
+            words.insert(rng.randrange(40), insults[k // 3 % 6])
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(bad)))
+    docs += [(1000 + k, copied) for k in range(100)]
+    labels += [(1000 + k, 1) for k in range(100)]
+    docs += [(2000 + k, " ".join([*plain_words(rng, 20), w, *plain_words(rng, 20)])) for k, w in enumerate(insults * 5)]
+    found = toxicity.classify(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    rows = {r.doc_id: r.predicted for r in found.collect()}
+    assert sum(rows[2000 + k] for k in range(30)) >= 27
+    assert sum(rows[k] for k in range(300) if k % 3) <= 10
+
+
+def test_sample_merges_equal_texts_before_its_limit(spark):
+    docs = spark.createDataFrame([(k, "the same" if k < 60 else f"text {k}") for k in range(90)] + [(90, f"row {k}") for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(91)], "doc_id long, toxic int")
+    texts, known, weights = labelled.sample(docs, labels, "toxic", 4, 9, rows=100)
+    assert len(texts) == len(set(texts)) == 1 + 30 + 50 and set(known) == {1} and set(weights) == {1.0}
+    assert len(labelled.sample(docs, labels, "toxic", 4, 9, rows=30)[0]) == 30
+
+
+def test_every_telling_word_is_close_to_a_landmark():
+    rng = random.Random(5)
+    telling = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(90)]
+    words = [*telling, *plain_words(rng, 50)]
+    held = [np.array([k % 90, (k + 1) % 90, 90 + k % 50]) for k in range(900)] + [np.array([90 + k % 50]) for k in range(900)]
+    landmarks, n = toxicity._landmarks(words, held, [1] * 900 + [0] * 900)
+    assert n > 40 and set(landmarks[:n]) >= set(telling)
