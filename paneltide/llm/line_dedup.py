@@ -6,7 +6,9 @@ documents and one found in millions give one pair for each document that has it,
 pairs together are no more than the lines. The two documents of a pair are aligned by patience
 diff: common ends first, then lines that occur once in both, in their longest increasing order,
 and the same between these. Aligned lines that stand together in both documents form a
-block; a block of `words` words or more is deleted from the later document. Whatever is
+block; a block of `words` words or more is deleted from the later document. Lines that are
+left are then held to the whole owner: a run of `words` words or more that stands anywhere in
+it goes too, so passages in another order and repeated ones leave nothing. Whatever is
 deleted from a document stands in an earlier one, and the owner's copy of a line stays.
 
 Results for odd input: a null text is an empty one; rows with the same id count as one
@@ -20,6 +22,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,15 +83,82 @@ def align(a: list, b: list) -> list[tuple[int, int, int]]:
     return blocks
 
 
+def longest_runs(a: list, b: list) -> list[tuple[int, int]]:
+    """(first, until) of all runs of a that stand somewhere in b and cannot be longer, by a suffix automaton of b."""
+    steps, link, length, last = [{}], [-1], [0], 0
+    for x in b:
+        now = len(steps)
+        steps.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        p, last = last, now
+        while p >= 0 and x not in steps[p]:
+            steps[p][x] = now
+            p = link[p]
+        if p < 0:
+            continue
+        q = steps[p][x]
+        if length[p] + 1 < length[q]:
+            copy = len(steps)
+            steps.append(dict(steps[q]))
+            link.append(link[q])
+            length.append(length[p] + 1)
+            while p >= 0 and steps[p].get(x) == q:
+                steps[p][x] = copy
+                p = link[p]
+            link[q] = q = copy
+        link[now] = q
+    runs, state, n = [], 0, 0
+    for k, x in enumerate(a):
+        while state and x not in steps[state]:
+            state = link[state]
+            n = length[state]
+        state, n = (steps[state][x], n + 1) if x in steps[state] else (0, 0)
+        if n and runs and runs[-1][0] == k + 1 - n:
+            runs[-1] = (k + 1 - n, k + 1)
+        elif n:
+            runs.append((k + 1 - n, k + 1))
+    return runs
+
+
+def stretches(flags) -> list[tuple[int, int]]:
+    """(first, until) of neighbouring true flags."""
+    out, k = [], 0
+    for value, same in groupby(flags, bool):
+        n = sum(1 for _ in same)
+        if value:
+            out.append((k, k + n))
+        k += n
+    return out
+
+
+def common(a: list, sizes: list[int], b: list, least: int) -> list[tuple[int, int]]:
+    """(first, until) of the lines of a to delete: aligned blocks of `least` words or more, then what they
+    leave of other runs of that size that stand anywhere in b, moved or repeated."""
+    before = [0, *accumulate(sizes)]
+    out = [(i, i + n) for i, _, n in align(a, b) if before[i + n] - before[i] >= least]
+    left = [True] * len(a)
+    for i, until in out:
+        left[i:until] = [False] * (until - i)
+    held = set(b)
+    if any(any(left[i:until]) and before[until] - before[i] >= least for i, until in stretches(x in held for x in a)):
+        edges = [0] * (len(a) + 1)
+        for i, until in longest_runs(a, b):
+            if before[until] - before[i] >= least:
+                edges[i] += 1
+                edges[until] -= 1
+        out += stretches(n > 0 and rest for n, rest in zip(accumulate(edges), left))
+    return sorted(out)
+
+
 def _align(least: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for key, text_hash, a, sizes, owner, b in zip(*batch.columns, strict=True):
                 sizes = sizes.as_py()
-                for i, _, n in align(a.as_py(), b.as_py()):
-                    if sum(sizes[i:i + n]) >= least:
-                        out.append((key.as_py(), text_hash.as_py(), owner.as_py(), i, i + n))
+                for i, until in common(a.as_py(), sizes, b.as_py(), least):
+                    out.append((key.as_py(), text_hash.as_py(), owner.as_py(), i, until))
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "text_hash", "owner", "first", "until"])

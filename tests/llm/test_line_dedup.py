@@ -88,3 +88,26 @@ def test_odd_and_empty(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in odd_docs.collect() if not (r.doc_id is None and r.text))
     assert line_dedup.rest(no_docs).collect() == []
+
+
+def test_moved_and_repeated_passages_leave_nothing(docs):
+    rng = random.Random(8)
+    passages = [[f"passage {p} line {k} with quite a few words" if k % 2 else f"p {p} {k}" for k in range(6)] for p in range(6)]
+    texts = ["\n".join(sum(passages, []) + passages[2])]
+    for d in range(60):
+        parts = [rng.choice(passages) for _ in range(5)] + [[f"own line {d} {k} of this document"] for k in range(2)]
+        rng.shuffle(parts)
+        texts.append("\n".join(sum(parts, [])))
+    rows = {r.doc_id: r.text for r in line_dedup.dedup(docs(*texts)).collect()}
+    assert rows[0] == texts[0]
+    for d in range(60):
+        assert sorted(rows[d + 1].split("\n")) == [f"own line {d} {k} of this document" for k in range(2)]
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.sampled_from("abcd"), max_size=14), st.integers(1, 4))
+def test_common_lines_are_those_in_runs_of_the_owner(a, b, least):
+    def stands(run):
+        return any(b[j:j + len(run)] == run for j in range(len(b)))
+
+    want = {k for i in range(len(a)) for until in range(i + least, len(a) + 1) if stands(a[i:until]) for k in range(i, until)}
+    assert {k for i, until in line_dedup.common(a, [1] * len(a), b, least) for k in range(i, until)} == want
