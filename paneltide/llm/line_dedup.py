@@ -11,6 +11,10 @@ left are then held to the whole owner: a run of `words` words or more that stand
 it goes too, so passages in another order and repeated ones leave nothing. Whatever is
 deleted from a document stands in an earlier one, and the owner's copy of a line stays.
 
+With `short_runs` the owned keys are runs instead: from each line on, the shortest run that
+has `words` words. So documents are also paired through passages of shorter lines. Letters of
+scripts without spaces count as words, and so do each CHARS characters of a line without any.
+
 Results for odd input: a null text is an empty one; rows with the same id count as one
 document and are not compared with one another; a null id is later than any other; an empty
 text has one empty line, which is never deleted; empty tables give no rows; other columns are
@@ -25,12 +29,14 @@ from collections.abc import Iterator
 from itertools import accumulate, groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneltide.llm.common import by_value, fresh, join_hot, text_of, written
 
 WORDS = 5
+CHARS = 5  # of a line without spaces that count as a word
+SCRIPTS = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"  # Thai, Lao, Myanmar, Khmer, kana, Han
 LAST = (1 << 63) - 1
 
 
@@ -166,18 +172,49 @@ def _align(least: int):
     return task
 
 
-def blocks(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def apart(text: Column) -> Column:
+    """The text with spaces around each letter of a script that has none between words."""
+    return F.when(text.rlike(SCRIPTS), F.regexp_replace(text, f"({SCRIPTS})", " $1 ")).otherwise(text)
+
+
+def size(line: Column) -> Column:
+    """How many words a line counts as: a line without spaces has one for each CHARS characters, or one."""
+    bare = F.trim(line)
+    return F.when(bare.rlike(r"\s"), F.size(F.split(bare, r"\s+"))).otherwise(F.greatest(F.lit(1), F.floor(F.length(bare) / CHARS).cast("int")))
+
+
+def windows(words: int) -> Column:
+    """For each line the hash of the shortest run from it that has `words` words; null where the text ends before.
+
+    A line that has them alone has its own hash. Every line counts as a word at least, so a
+    run has `words` lines at most. A shared run of that size has the key of its first line.
+    """
+    def key(h: Column, i: Column) -> Column:
+        sizes, hashes = [F.get("sizes", i)], [h]
+        found = F.when(sizes[0] >= words, h)
+        for n in range(1, words):
+            sizes.append(sizes[-1] + F.get("sizes", i + n))
+            hashes.append(F.get("hashes", i + n))
+            found = found.when(sizes[-1] >= words, F.xxhash64(*hashes))
+        return found
+
+    return F.transform("hashes", key)
+
+
+def blocks(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False) -> DataFrame:
     """(key, text_hash, removed): removed lists (first, until, owner), the lines to delete and who keeps them.
 
     key is the id, or the largest integer for a null id.
     """
     by_value(__name__)
     text = text_of(text_col)
-    lines = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("text_hash"), F.split(text, "\n", -1).alias("lines"))
-    sized = F.transform("lines", lambda x: F.size(F.split(F.trim(x), r"\s+")))
-    hashed = lines.select("key", "text_hash", F.transform("lines", lambda x: F.xxhash64(F.trim(x))).alias("hashes"), sized.alias("sizes"))
+    lines = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("text_hash"), F.split(text, "\n", -1).alias("lines"), F.transform(F.split(apart(text), "\n", -1), size).alias("sizes"))
+    hashed = lines.select("key", "text_hash", F.transform("lines", lambda x: F.xxhash64(F.trim(x))).alias("hashes"), "sizes")
     sequences = written(hashed, "sequences")
-    each = sequences.select("key", F.explode(F.arrays_zip("hashes", "sizes")).alias("x")).filter(F.col("x.sizes") >= words).select("key", F.col("x.hashes").alias("h"))
+    if short_runs:
+        each = sequences.select("key", F.explode(windows(words)).alias("h")).filter("h is not null")
+    else:
+        each = sequences.select("key", F.explode(F.arrays_zip("hashes", "sizes")).alias("x")).filter(F.col("x.sizes") >= words).select("key", F.col("x.hashes").alias("h"))
     owners = written(each.groupBy("h").agg(F.min("key").alias("owner"), F.max("key").alias("last"), F.count("*").alias("n")).filter("owner <> last").drop("last"), "owners")
     total = owners.agg(F.sum("n")).first()[0] or 0
     pairs = written(join_hot(each, owners, "h", "n", total).filter("key <> owner").select("key", "owner").distinct(), "pairs")
@@ -215,10 +252,10 @@ def _delete(place: int, names: list[str]):
     return task
 
 
-def dedup(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False) -> DataFrame:
     """`docs` with shorter texts, and _lines, _gone (counts of lines) and _removed (see blocks; null if none)."""
     key, text_hash, removed, own, own_hash = (fresh(docs, n) for n in ("_key", "_hash", "_removed", "_own", "_own_hash"))
-    found = written(blocks(docs, words, id_col, text_col), "removed").withColumnsRenamed({"key": key, "text_hash": text_hash, "removed": removed})
+    found = written(blocks(docs, words, id_col, text_col, short_runs), "removed").withColumnsRenamed({"key": key, "text_hash": text_hash, "removed": removed})
     keyed = docs.withColumns({own: F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), own_hash: F.xxhash64(text_of(text_col))})
     joined = keyed.join(found, (F.col(own) == F.col(key)) & (F.col(own_hash) == F.col(text_hash)), "left").select(*docs.columns, removed)
     kind = "array<struct<first:int,until:int,owner:long>>"

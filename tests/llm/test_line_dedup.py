@@ -111,3 +111,43 @@ def test_common_lines_are_those_in_runs_of_the_owner(a, b, least):
 
     want = {k for i in range(len(a)) for until in range(i + least, len(a) + 1) if stands(a[i:until]) for k in range(i, until)}
     assert {k for i, until in line_dedup.common(a, [1] * len(a), b, least) for k in range(i, until)} == want
+
+
+def test_passages_of_short_lines_pair_documents(docs):
+    verse = "\n".join(["so it goes", "on and on", "till", "the end", "comes"])
+    menu = "\n".join(["soup of day", "a sea fish", "tea"])
+    chinese = "这是一行没有空格的文字"
+    code = "for(i=0;i<n;i++){total+=values[i];}"
+    texts = [verse, menu, chinese, code, f"first line\n{verse}\nlast", f"{menu}\nmine", f"{chinese}\n独有", f"x = 1\n{code}\ny = 2", "tea\nsoup of day"]
+    texts += ["a line of more than five words", "short one\nother\na line of more than five words", "new\nshort one\nother\na line of more than five words"]
+    rows = {r.doc_id: r.text for r in line_dedup.dedup(docs(*texts), short_runs=True).collect()}
+    assert [rows[k] for k in range(4)] == texts[:4]
+    assert [rows[k] for k in range(4, 9)] == ["first line\nlast", "mine", "独有", "x = 1\ny = 2", "tea\nsoup of day"]
+    assert [rows[k] for k in range(9, 12)] == [texts[9], "short one\nother", "new"]
+
+
+def test_short_runs_equal_brute_force(spark):
+    rng = random.Random(6)
+    pool = [" ".join(rng.choices(["la", "le", "lo"], k=rng.randint(1, 6))) for _ in range(40)]
+    rows = [(d, "\n".join(pool[at] if rng.random() < 0.9 else f"own {d}" for at in range(a, a + rng.randint(1, 6)))) for d, a in ((d, rng.randrange(34)) for d in range(100))]
+    lines = {d: t.split("\n") for d, t in rows}
+
+    def runs(own):
+        for i in range(len(own)):
+            n = next((n for n in range(i + 1, len(own) + 1) if sum(len(x.split()) for x in own[i:n]) >= 5), None)
+            if n:
+                yield tuple(own[i:n])
+
+    owner = {}
+    for d in sorted(lines):
+        for run in runs(lines[d]):
+            owner.setdefault(run, d)
+    want = {}
+    for d, own in lines.items():
+        gone = set()
+        for o in {owner[run] for run in runs(own)} - {d}:
+            for i, until in line_dedup.common(own, [len(x.split()) for x in own], lines[o], 5):
+                gone.update(range(i, until))
+        want[d] = "\n".join(x for k, x in enumerate(own) if k not in gone)
+    got = {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), short_runs=True).collect()}
+    assert got == want and sum(t != dict(rows)[d] for d, t in got.items()) > 40
