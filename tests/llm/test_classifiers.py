@@ -138,3 +138,10 @@ def test_every_telling_word_is_close_to_a_landmark():
     held = [np.array([k % 90, (k + 1) % 90, 90 + k % 50]) for k in range(900)] + [np.array([90 + k % 50]) for k in range(900)]
     landmarks, n = toxicity._landmarks(words, held, [1] * 900 + [0] * 900)
     assert n > 40 and set(landmarks[:n]) >= set(telling)
+
+
+def test_sample_of_a_repeated_id_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"row {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    texts, known, _ = labelled.sample(docs, labels, "toxic", 4, 9, rows=20)
+    assert len(texts) == 21 and known.count(1) == 20
