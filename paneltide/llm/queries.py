@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paneltide.llm import decontamination, line_dedup, packing, quality, secrets, sharding, simhash, sketches, toxicity, warc
+from paneltide.llm import decontamination, line_dedup, manifest, packing, quality, secrets, sharding, simhash, sketches, toxicity, warc
 from paneltide.llm.common import split_words, table, text_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,55 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def _manifest_sql(levels: int, upper: int) -> str:
+    """Trees level by level: `levels` for a source, `upper` over the sources, enough for three to that power."""
+    ctes = [
+        "steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), "
+        "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i)))",
+        "odd AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x))), "
+        "lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 2 AS keeps FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), steps)",
+        "f AS (SELECT d.doc_id, source, text, CASE WHEN keeps = 0 THEN replace(text, chr(10), '') ELSE text END AS later, concat("
+        + ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("d.doc_id", "source", "lang", "n_chars"))
+        + ") AS head FROM documents d LEFT JOIN odd ON odd.doc_id = d.doc_id)",
+        "h AS (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(later) || ':' || later, '-')) AS now FROM f)",
+        "l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, "
+        "coalesce('=' || source, '') AS tree FROM h)",
+        "a0 AS (SELECT tree, i, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM l)",
+    ]
+
+    def level(a: str, k: int) -> None:
+        ctes.append(
+            f"{a}{k + 1} AS (SELECT tree, i // 3 AS i, CASE WHEN max(n) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, "
+            f"CAST(ceil(max(n) / 3) AS BIGINT) AS n FROM {a}{k} GROUP BY tree, i // 3)")
+        ctes.append(
+            f"{a}s{k} AS (SELECT x.tree, x.i, string_agg(y.d, '' ORDER BY y.i) FILTER (y.i < x.i) AS lo, string_agg(y.d, '' ORDER BY y.i) FILTER (y.i > x.i) AS hi, max(x.n) AS n "
+            f"FROM {a}{k} x JOIN {a}{k} y ON y.tree = x.tree AND y.i // 3 = x.i // 3 GROUP BY x.tree, x.i)")
+
+    def walk(a: str, k: int, p: str, q: str, tree: str) -> None:
+        ctes.append(
+            f"{q} AS (SELECT p.* EXCLUDE (now, proof), proof || coalesce(s.lo, '') || coalesce(s.hi, '') AS proof, "
+            f"CASE WHEN s.n = 1 THEN now ELSE sha256(coalesce(s.lo, '') || now || coalesce(s.hi, '')) END AS now "
+            f"FROM {p} p JOIN {a}s{k} s ON s.tree = {tree} AND s.i = p.{'i' if a == 'a' else 'j'} // {3 ** k})")
+
+    for k in range(levels):
+        level("a", k)
+    ctes.append(f"b0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, tree AS key, d, count(*) OVER () AS n FROM a{levels})")
+    for k in range(upper):
+        level("b", k)
+    ctes.append("w0 AS (SELECT l.doc_id, l.leaf, l.tree, l.i, b0.i AS j, b0.d AS subroot, now, '' AS proof FROM l JOIN b0 ON b0.key = l.tree)")
+    for k in range(levels):
+        walk("a", k, f"w{k}", f"w{k + 1}", "p.tree")
+    for k in range(upper):
+        walk("b", k, f"w{levels + k}", f"w{levels + k + 1}", "''")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = r.d AS verified FROM w{levels + upper}, b{upper} r"
+
+
+@query("op13_merkle_manifest", _manifest_sql(12, 6))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    later = {"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}
+    return manifest.manifest(table(spark, sf_dir, "documents"), altered=later, is_altered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
