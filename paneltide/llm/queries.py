@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paneltide.llm import decontamination, line_dedup, manifest, packing, quality, secrets, sharding, simhash, sketches, toxicity, warc
+from paneltide.llm import decontamination, line_dedup, manifest, packing, periodic, quality, secrets, sharding, simhash, sketches, toxicity, warc
 from paneltide.llm.common import split_words, table, text_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), with_planted=True))
+
+
 def _manifest_sql(levels: int, upper: int) -> str:
     """Trees level by level: `levels` for a source, `upper` over the sources, enough for three to that power."""
     ctes = [
