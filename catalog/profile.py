@@ -190,6 +190,15 @@ def _(spark, sf_dir):
     return lists.withColumn("missing_years", F.array_join(F.col("missing_years").cast("array<string>"), ", "))
 
 
+@query("a4_coverage_gaps", f"""WITH {ORDER_ROWS}, {GAPS},
+x AS (SELECT g, CAST(unnest(range(a, b + 1)) AS INTEGER) AS t FROM s),
+m AS (SELECT x.g, x.t, x.t - row_number() OVER (PARTITION BY x.g ORDER BY x.t) AS island
+      FROM x ANTI JOIN y ON x.g = y.g AND x.t = y.t)
+SELECT g, min(t) AS run_start, max(t) AS run_end FROM m GROUP BY g, island""")
+def _(spark, sf_dir):
+    return status.coverage_gaps(order_rows(spark, sf_dir), SPEC.with_(block=2))
+
+
 @query("a4_group_count", f"WITH {ORDER_ROWS} SELECT count(DISTINCT g) AS num_groups FROM p")
 def _(spark, sf_dir):
     return status.group_count(order_rows(spark, sf_dir), SPEC)
@@ -204,7 +213,13 @@ BREAKS = """k AS (SELECT g, max(t) AS last_break,
 SELECT k.g, last_break, years_with_breaks, count(*) AS rows_cut
 FROM k JOIN p ON p.g = k.g AND p.t <= last_break GROUP BY ALL""")
 def _(spark, sf_dir):
-    return status.break_summary(order_rows(spark, sf_dir), SPEC, "P")
+    return status.break_summary(order_rows(spark, sf_dir), SPEC, "P", lists="text")
+
+
+@query("a5_last_breaks", f"""WITH {ORDER_ROWS}, {BREAKS}
+SELECT k.g, last_break, count(*) AS rows_cut FROM k JOIN p ON p.g = k.g AND p.t <= last_break GROUP BY ALL""")
+def _(spark, sf_dir):
+    return status.break_summary(order_rows(spark, sf_dir), SPEC.with_(block=2), "P")
 
 
 @query("a5_total_cut", f"""WITH {ORDER_ROWS}, {BREAKS}
@@ -215,8 +230,7 @@ def _(spark, sf_dir):
 
 @query("a5_break_periods", f"WITH {ORDER_ROWS} SELECT DISTINCT g, t FROM p WHERE s1 = 'P'")
 def _(spark, sf_dir):
-    return status.break_periods_from_summary(
-        status.break_summary(order_rows(spark, sf_dir), SPEC, "P"), SPEC)
+    return status.break_periods(order_rows(spark, sf_dir), SPEC, "P")
 
 
 CUT = f"""WITH {ORDER_ROWS}, {BREAKS}

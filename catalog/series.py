@@ -38,7 +38,8 @@ def _gap_summary(panel, spec):
 
 
 both("a1_gap_summary", _summary(False, YEARLY), _gap_summary, yearly)
-both("a2_gap_overview", _summary(True, DAILY), gaps.gap_overview, daily, SPLIT_DAYS)
+both("a2_gap_overview", _summary(True, DAILY),
+     lambda df, spec: gaps.gap_overview(df, spec, lists="text"), daily, SPLIT_DAYS)
 both("u2_missing_periods", f"WITH {DAILY}, {DENSE} SELECT g, CAST(t AS BIGINT) AS t FROM d WHERE v IS NULL",
      gaps.missing_periods, daily, SPLIT_DAYS)
 both("w1_missing_runs", f"WITH {DAILY}, {RUNS} SELECT * FROM r", gaps.missing_runs, daily, SPLIT_DAYS)
@@ -94,6 +95,14 @@ WHERE to_year IS NULL OR d.t > to_year""",
 SELECT cuts.g, string_agg(CAST(p.t AS VARCHAR), ', ' ORDER BY p.t) AS removed_years
 FROM cuts JOIN p ON p.g = cuts.g AND p.t BETWEEN from_year AND to_year GROUP BY cuts.g""",
          lambda df, spec, x=threshold: gaps.trim_by_missing_ratio(df, spec, x).removed_years, panel, split)
+    both(f"w6_removed_runs_{panel_name}", f"""{trim},
+x AS (SELECT p.g, p.t, p.t - row_number() OVER (PARTITION BY p.g ORDER BY p.t) AS island
+  FROM cuts JOIN p ON p.g = cuts.g AND p.t BETWEEN from_year AND to_year),
+r AS (SELECT g, island, min(t) AS a, max(t) AS z FROM x GROUP BY g, island)
+SELECT g, string_agg(a || '-' || z, ' ' ORDER BY a) AS removed_runs FROM r GROUP BY g""",
+         lambda df, spec, x=threshold: gaps.trim_by_missing_ratio(df, spec, x).removed_runs.withColumn(
+             "removed_runs", F.array_join(F.transform("removed_runs", lambda r: F.concat_ws("-", r["start"], r["end"])), " ")),
+         panel, split)
     query(f"w7_emptied_groups_{panel_name}", f"{trim} SELECT g FROM cuts WHERE keep_from IS NULL")(
         lambda spark, sf_dir, b=panel, x=threshold: gaps.emptied_groups(
             gaps.trim_cuts(b(spark, sf_dir), SPEC, x), SPEC))

@@ -9,6 +9,7 @@ from catalog.panels import (
 )
 from catalog.registry import query
 from paneltide import PanelSpec
+from paneltide.functions.intervals import period_runs
 from paneltide.functions.materialize import new_folder
 from paneltide.operators import relational
 from paneltide.plans.enrich import enrich, enrichment_report
@@ -303,6 +304,14 @@ def _(spark, sf_dir):
         "periods", F.array_join(F.col("periods").cast("array<string>"), ", "))
 
 
+@query("s9_group_period_runs", """WITH y AS (SELECT DISTINCT o_custkey AS g, CAST(year(o_orderdate) AS INTEGER) AS t FROM orders),
+x AS (SELECT g, t, t - row_number() OVER (PARTITION BY g ORDER BY t) AS island FROM y)
+SELECT g, min(t) AS run_start, max(t) AS run_end FROM x GROUP BY g, island""")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("g"), F.year("o_orderdate").alias("t"))
+    return period_runs(rows, SPEC.with_(block=2))
+
+
 ENRICHED = f"""{BY_PRIORITY}, b AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS g, CAST(year(l_shipdate) AS INTEGER) AS t
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 u AS (SELECT g, t, spend FROM x WHERE dim1 = '1-URGENT'),

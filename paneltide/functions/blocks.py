@@ -126,26 +126,3 @@ def explode_range(
         .withColumn(name, F.explode(F.sequence(first, last)))
         .drop("_start", "_stop", "_step")
     )
-
-
-def period_lists(
-    periods: DataFrame, spec: PanelSpec, name: str, *, as_text: bool
-) -> DataFrame:
-    """Sorted distinct periods per group as one array or as ``"a, b, c"`` text.
-
-    Sets are built per (group, block), which bounds them by the block width and
-    removes copies before the shuffle.  The cell of a group is as long as its list, so
-    callers that need no cell take the one-row-per-period form that is listed here.
-    """
-    parts = (
-        add_block(periods.where(spec.has_key()), spec)
-        .groupBy(*spec.task_keys)
-        .agg(F.sort_array(F.collect_set(spec.time)).alias("_part"))
-    )
-    listed = F.col("_part")
-    if not spec.bounded:
-        parts = parts.groupBy(*spec.groups).agg(
-            F.sort_array(F.flatten(F.collect_list("_part"))).alias("_part"))
-    if as_text:
-        listed = F.array_join(listed.cast("array<string>"), ", ")
-    return parts.select(*spec.groups, listed.alias(name))

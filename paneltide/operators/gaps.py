@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from paneltide.functions.blocks import (
     add_block,
     explode_range,
-    period_lists,
     reject_duplicates,
     spread,
     with_facts,
 )
+from paneltide.functions.intervals import FORMS, gathered, interval_sets, runs_of, to_form
 from paneltide.functions.materialize import cut
 from paneltide.functions.scalars import safe_ratio
 from paneltide.spec import PanelSpec
@@ -100,6 +100,14 @@ def missing_runs(df: DataFrame, spec: PanelSpec, nulls_too: bool = True) -> Data
     return _run_ends(df, spec, nulls_too).where("run_length > 0").drop("series_length")
 
 
+def _merged_runs(df: DataFrame, spec: PanelSpec, nulls_too: bool) -> DataFrame:
+    """``missing_runs`` with several rows of a period taken as one, null if any of them is."""
+    merged = periods(df, spec).withColumn(spec.value, F.when(F.col("has_value"), 1.0))
+    kind = df.schema[spec.time].dataType
+    return missing_runs(merged, spec, nulls_too).withColumns(
+        {c: F.col(c).cast(kind) for c in ("run_start", "run_end")})
+
+
 def missing_periods(
     df: DataFrame, spec: PanelSpec, nulls_too: bool = True, duplicates: str = "merge"
 ) -> DataFrame:
@@ -110,9 +118,7 @@ def missing_periods(
     """
     if duplicates not in ("merge", "error"):
         raise ValueError("duplicates must be 'merge' or 'error'")
-    if duplicates == "merge":
-        df = periods(df, spec).withColumn(spec.value, F.when(F.col("has_value"), 1.0))
-    runs = missing_runs(df, spec, nulls_too)
+    runs = _merged_runs(df, spec, nulls_too) if duplicates == "merge" else missing_runs(df, spec, nulls_too)
     return explode_range(runs, F.col("run_start"), F.col("run_end"), spec.time, spec).select(*spec.keys)
 
 
@@ -142,33 +148,34 @@ def gap_summary(
 ) -> DataFrame:
     """Span, observed and missing periods of every group that misses at least one.
 
-    ``nulls_too`` also counts periods with a null value as missing.  ``lists`` adds
-    ``missing_years`` as an ``array`` or as ``text``, of any length; None leaves the list
-    out, and ``missing_periods`` has it as one row per period.
+    ``nulls_too`` also counts periods with a null value as missing.  ``missing_runs`` has one
+    row per run of missing periods and ``missing_periods`` one per period.  ``lists`` adds
+    them as a cell ``missing_years``: as ``runs`` (start, end), which grows with the gaps of
+    the group, or with every period as an ``array`` or as ``text``.
     """
-    if lists not in (None, "array", "text"):
-        raise ValueError("lists must be None, 'array' or 'text'")
+    if lists not in (None, *FORMS):
+        raise ValueError(f"lists must be None or one of {FORMS}")
     if spec.bounded and lists is not None:
         summary = _bounded_gap_summary(df, spec, nulls_too)
         if lists == "text":
             summary = summary.withColumn(
                 "missing_years", F.array_join(F.col("missing_years").cast("array<string>"), ", "))
+        elif lists == "runs":
+            summary = summary.withColumn("missing_years", runs_of(F.col("missing_years")))
     else:
         present = "valued_periods" if nulls_too else "observed_periods"
         summary = spans(periods(df, spec), spec).withColumn(
             "missing_count", F.col("series_length") - F.col(present)).drop("valued_periods")
         if lists is not None:
-            listed = period_lists(
-                missing_periods(df, spec, nulls_too), spec, "missing_years",
-                as_text=lists == "text")
+            listed = gathered(_merged_runs(df, spec, nulls_too), spec, "missing_years", lists)
             summary = summary.where("missing_count > 0").join(listed, spec.groups, "left")
     return summary.where("missing_count > 0").withColumn(
         "missing_quote", F.col("missing_count") / F.col("series_length"))
 
 
 def gap_overview(df: DataFrame, spec: PanelSpec, **options: object) -> DataFrame:
-    """``gap_summary`` with null values counted as missing and the list as text."""
-    return gap_summary(df, spec, nulls_too=True, **{"lists": "text", **options})
+    """``gap_summary`` with null values counted as missing, and the runs of missing periods."""
+    return gap_summary(df, spec, nulls_too=True, **{"lists": "runs", **options})
 
 
 def missing_ratio_isolated(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -263,7 +270,17 @@ class Trimmed:
     panel: DataFrame
     cuts: DataFrame
     above_threshold: DataFrame
-    removed_years: DataFrame
+    # One row per observed period that was cut.
+    removed_periods: DataFrame
+    # The same per group, as the runs ``removed_runs``.
+    removed_runs: DataFrame
+
+    @property
+    def removed_years(self) -> DataFrame:
+        """The same with every period in a text, which is as long as the periods."""
+        *groups, _ = self.removed_runs.columns
+        return self.removed_runs.select(
+            *groups, to_form(F.col("removed_runs"), "text").alias("removed_years"))
 
 
 def _with_rest(df: DataFrame, spec: PanelSpec, threshold: float) -> DataFrame:
@@ -372,12 +389,12 @@ def trim_by_missing_ratio(
     cuts = trim_cuts(df, spec, threshold)
     if not spec.bounded:
         cuts = cut(cuts)
+    removed = removed_periods(df, cuts, spec)
     return Trimmed(
         panel=trim_panel(df, spec, threshold, cuts),
         cuts=cuts,
         above_threshold=gap_summary(df, spec).where(
             F.col("missing_quote") > threshold),
-        removed_years=period_lists(
-            removed_periods(df, cuts, spec), spec, "removed_years",
-            as_text=True),
+        removed_periods=removed,
+        removed_runs=interval_sets(removed, spec, "removed_runs"),
     )

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, period_lists, spread
+from paneltide.functions.blocks import add_block, spread
+from paneltide.functions.intervals import interval_sets
 from paneltide.spec import PanelSpec
 
 # Columns of the observation table that the analysis has no use for.
@@ -89,9 +90,13 @@ def group_periods(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.select(*spec.keys).dropna().distinct()
 
 
-def group_period_lists(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The sorted distinct periods of every group as one array, ``periods``."""
-    return period_lists(df.select(*spec.keys), spec, "periods", as_text=False)
+def group_period_lists(df: DataFrame, spec: PanelSpec, form: str = "array") -> DataFrame:
+    """The sorted distinct periods of every group in one cell, ``periods``.
+
+    As ``runs`` (start, end) the cell grows with the gaps of the group; an ``array`` or ``text``
+    has every period, and ``group_periods`` one row for each.
+    """
+    return interval_sets(df, spec, "periods", form)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

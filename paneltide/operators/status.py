@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.functions.blocks import add_block, period_lists
+from paneltide.functions.blocks import add_block
+from paneltide.functions.intervals import FORMS, block_runs, gathered, over_blocks, to_form
 from paneltide.functions.skew import give_back
 from paneltide.functions.scalars import any_of, normalize, safe_ratio, split_periods, strip
-from paneltide.operators.gaps import missing_periods
+from paneltide.operators.gaps import missing_runs, periods
 from paneltide.spec import PanelSpec
 
 # The flags that the status columns carry.
@@ -142,16 +143,25 @@ def group_count(df: DataFrame, spec: PanelSpec) -> DataFrame:
         F.count_distinct(*spec.groups).alias("num_groups"))
 
 
-def coverage_missing_lists(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Gap periods of every group as an array; empty where there is none."""
-    listed = period_lists(
-        missing_periods(df, spec, nulls_too=False), spec, "missing_years",
-        as_text=False)
-    groups = df.where(spec.has_group()).select(*spec.groups).distinct()
+def coverage_gaps(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row per run of gap periods of a group: ``run_start`` and ``run_end``."""
+    kind = df.schema[spec.time].dataType
+    known = periods(df.withColumn(spec.value, F.lit(1.0)), spec).withColumnRenamed("has_value", spec.value)
+    return missing_runs(known, spec, nulls_too=False).select(
+        *spec.groups, *[F.col(c).cast(kind).alias(c) for c in ("run_start", "run_end")])
+
+
+def coverage_missing_lists(df: DataFrame, spec: PanelSpec, form: str = "array") -> DataFrame:
+    """Gap periods of every group in one cell, empty where there is none.
+
+    As ``runs`` the cell grows with the gaps; an ``array`` or ``text`` has every period.
+    ``coverage_gaps`` has one row per run.
+    """
     kind = df.schema[spec.time].dataType.simpleString()
-    return groups.join(listed, spec.groups, "left").withColumn(
-        "missing_years",
-        F.coalesce(F.col("missing_years").cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>")))
+    nothing = F.array().cast(f"array<struct<start:{kind},end:{kind}>>")
+    groups = df.where(spec.has_group()).select(*spec.groups).distinct()
+    return groups.join(gathered(coverage_gaps(df, spec), spec, "missing_years"), spec.groups, "left").withColumn(
+        "missing_years", to_form(F.coalesce("missing_years", nothing), form))
 
 
 @dataclass(frozen=True)
@@ -205,12 +215,18 @@ def cut_at_breaks(
     return known.where(later).select(*df.columns)
 
 
-def break_summary(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFrame:
-    """Last break, all break periods as text, and the number of rows cut, per group.
+def break_summary(
+    df: DataFrame, spec: PanelSpec, flag: str = BREAK, lists: str | None = None
+) -> DataFrame:
+    """Last break and number of rows cut, per group with a break.
 
     Rows are first counted per (group, period), on the map side too; the rest works on
-    that table, by block, and on one row per block.
+    that table, by block, and on one row per block.  ``break_periods`` has the breaks, one row
+    each.  ``lists`` adds them as a cell ``years_with_breaks``: as ``runs`` (start, end), an
+    ``array`` or ``text``.
     """
+    if lists not in (None, *FORMS):
+        raise ValueError(f"lists must be None or one of {FORMS}")
     counted = add_block(df.where(spec.has_key()), spec).groupBy(
         *dict.fromkeys([*spec.task_keys, spec.time])
     ).agg(F.count("*").alias("_rows"), F.max(status_mask(df, spec.status, (flag,))).alias("_break"))
@@ -219,24 +235,24 @@ def break_summary(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> DataFram
     blocks = counted.withColumn("_own", own.over(here)).groupBy(*spec.task_keys).agg(
         F.max("_own").alias("_own"), F.sum("_rows").alias("_all"),
         F.sum(F.when(F.col(spec.time) <= F.col("_own"), F.col("_rows"))).alias("_cut"),
-        F.sort_array(F.collect_list(F.when(F.col("_break"), F.col(spec.time)))).alias("_list"))
+        *([block_runs(F.when(F.col("_break"), F.col(spec.time))).alias("_runs")] if lists else []))
     if spec.bounded:
-        found = blocks.where("_own is not null").select(
-            *spec.groups, F.col("_own").alias("last_break"), "_list", F.col("_cut").alias("rows_cut"))
+        found = blocks.where("_own is not null").withColumnsRenamed({"_own": "last_break", "_cut": "rows_cut"})
     else:
         earlier = spec.over_blocks().rowsBetween(Window.unboundedPreceding, -1)
         up_to = F.col("_cut") + F.coalesce(F.sum("_all").over(earlier), F.lit(0))
         found = blocks.withColumn("_cut", up_to).where("_own is not null").groupBy(*spec.groups).agg(
             F.max("_own").alias("last_break"),
-            F.sort_array(F.flatten(F.collect_list("_list"))).alias("_list"),
-            F.max_by("_cut", "_own").alias("rows_cut"))
-    return found.select(
-        *spec.groups, "last_break",
-        F.array_join(F.col("_list").cast("array<string>"), ", ").alias("years_with_breaks"), "rows_cut")
+            F.max_by("_cut", "_own").alias("rows_cut"),
+            *([over_blocks("_runs").alias("_runs")] if lists else []))
+    listed = [to_form(F.col("_runs"), lists).alias("years_with_breaks")] if lists else []
+    return found.select(*spec.groups, "last_break", *listed, "rows_cut")
 
 
-def handle_breaks(df: DataFrame, spec: PanelSpec, flag: str = BREAK) -> BreakCut:
-    summary = break_summary(df, spec, flag)
+def handle_breaks(
+    df: DataFrame, spec: PanelSpec, flag: str = BREAK, lists: str | None = None
+) -> BreakCut:
+    summary = break_summary(df, spec, flag, lists)
     return BreakCut(
         panel=cut_at_breaks(df, spec, flag),
         summary=summary,

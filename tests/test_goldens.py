@@ -52,7 +52,8 @@ def test_summary_and_overview(panel, spec):
     df = panel([("A", 2000, 1.0), ("A", 2001, None), ("A", 2003, 1.0)])
     summary = gaps.gap_summary(df, spec, lists="array").first()
     assert (summary.missing_years, summary.missing_count, summary.missing_quote) == ([2002], 1, 0.25)
-    overview = gaps.gap_overview(df, spec).first()
+    assert [tuple(r) for r in gaps.gap_overview(df, spec).first().missing_years] == [(2001, 2002)]
+    overview = gaps.gap_overview(df, spec, lists="text").first()
     assert (overview.missing_years, overview.missing_count, overview.observed_periods,
             overview.series_length, overview.missing_quote) == ("2001, 2002", 2, 3, 4, 0.5)
 
@@ -85,7 +86,8 @@ COLUMNS = "g string, t int, v double, s1 string, s2 string"
 
 def test_breaks(panel, spec):
     rows = [("X", y, 1.0, "B" if y == 2001 else None, "B" if y == 2004 else None) for y in range(2000, 2007)]
-    cut = status.handle_breaks(panel([*rows, ("Y", 2000, 1.0, " B", "b")], COLUMNS), spec)
+    assert tuple(status.handle_breaks(panel(rows, COLUMNS), spec).summary.first()) == ("X", 2004, 5)
+    cut = status.handle_breaks(panel([*rows, ("Y", 2000, 1.0, " B", "b")], COLUMNS), spec, lists="text")
     assert tuple(cut.summary.first()) == ("X", 2004, "2001, 2004", 5)
     assert cut.total_cut.first().total_cut == 5
     assert sorted((r.g, r.t) for r in cut.panel.collect()) == [("X", 2005), ("X", 2006), ("Y", 2000)]
