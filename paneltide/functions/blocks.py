@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.spec import BLOCK, PanelSpec
+from paneltide.spec import BLOCK, DEALT, PanelSpec
 
 # Block number of rows without a time: after every real block.
 NO_TIME_BLOCK = 2**63 - 1
@@ -34,8 +34,8 @@ def add_block(df: DataFrame, spec: PanelSpec) -> DataFrame:
         first, last = spec.time_range
         outside = F.raise_error(F.concat(
             F.lit(f"period outside {first}..{last}: "), time.cast("string")))
-        return df.withColumn(
-            spec.time, F.when((time < first) | (time > last), outside).otherwise(time))
+        return df.withColumn(spec.time, F.when(
+            spec.has_group() & ((time < first) | (time > last)), outside).otherwise(time))
     number = F.expr(f"cast(`{spec.time}` as bigint) div {spec.block}L")
     return df.withColumn(BLOCK, F.coalesce(number, F.lit(NO_TIME_BLOCK).cast("bigint")))
 
@@ -67,15 +67,18 @@ def spread(rows: DataFrame, facts: DataFrame, spec: PanelSpec, how: str = "left"
 
 
 def reject_duplicates(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Fail, when the rows are read, if a (group, time) occurs twice.  Needs ``add_block``."""
+    """Fail, when the rows are read, if a (group, time) occurs twice.  Needs ``add_block``.
+
+    Rows without a group may repeat a period.
+    """
     if spec.checked:
         return df
     time = F.col(spec.time)
-    group = F.concat_ws(", ", *[F.col(g).cast("string") for g in spec.groups])
+    group = F.concat_ws(", ", *[F.col(g).cast("string") for g in spec.groups if g != DEALT])
     message = F.concat(F.lit("duplicate period in panel: "), group, F.lit(" @ "),
                        F.coalesce(time.cast("string"), F.lit("null")))
     window = spec.in_order()
-    seen = (F.row_number().over(window) > 1) & time.eqNullSafe(F.lag(spec.time).over(window))
+    seen = spec.has_group() & (F.row_number().over(window) > 1) & time.eqNullSafe(F.lag(spec.time).over(window))
     # A filter leaves the time column and so the sort order as they are.
     checked = df.withColumn("_seen", seen).where(
         F.when(F.col("_seen"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))

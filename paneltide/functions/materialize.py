@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for shared data, or else one below its warehouse."""
+    """The folder that the cluster names for shared data.
+
+    Only a session on one machine may do without; it uses a folder below its warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
 
 

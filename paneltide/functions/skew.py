@@ -15,6 +15,12 @@ PIECES = 256
 SMALL = 10_000
 
 
+def hashable(rows: DataFrame) -> list[Column]:
+    """The columns that a hash of a row can be made of."""
+    return [F.col(f"`{f.name}`") for f in rows.schema
+            if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+
+
 def give_back(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
     """Left join of facts, one row per key, whose column ``weight`` counts the rows of the key.
 
@@ -24,7 +30,6 @@ def give_back(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: st
     """
     total = facts.agg(F.sum(weight)).scalar()
     # The piece comes from the row itself, so a task that runs again deals out the same.
-    plain = [F.col(f"`{f.name}`") for f in rows.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     frequent = (F.col(weight) > SMALL) & (F.col(weight) * SHARE > F.coalesce(total, F.lit(0)))
     named = facts.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     lookup = [f"_key_{k}" for k in keys]
@@ -40,7 +45,7 @@ def give_back(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: st
     null_key = F.lit(False)
     for key in keys:
         null_key = null_key | F.col(key).isNull()
-    piece = F.pmod(F.xxhash64(*plain), F.lit(PIECES)).cast("int")
+    piece = F.pmod(F.xxhash64(*hashable(rows)), F.lit(PIECES)).cast("int")
     dealt = marked.withColumn(
         "_piece", F.when(F.col(hot.columns[0]).isNotNull() | null_key, piece).otherwise(0)).drop(*hot.columns)
     every = F.sequence(F.lit(0), F.lit(PIECES - 1))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.blocks import add_block, nearest_items, reject_duplicates, with_facts
+from paneltide.functions.skew import PIECES, hashable
 from paneltide.operators.status import add_d_flag, add_status_flag
-from paneltide.spec import PanelSpec
+from paneltide.spec import BLOCK, DEALT, PanelSpec
 
 # The years of the pandemic flag, both included.
 CORONA_YEARS = (2020, 2021)
@@ -23,7 +24,8 @@ def add_time_features(
 
     A rolling mean takes the row itself and the rows before it and skips nulls.  A period that
     occurs twice in a group stops the query: which of its rows is before the other is not
-    defined.  Rows without a group get null; they are left out if ``keep_groupless`` is off.  The
+    defined.  Rows without a group get null; they are left out if ``keep_groupless`` is off.  They
+    go through the same pass, dealt out over PIECES by their own hash, as they are no series.  The
     first rows of a block look back into the last values of earlier blocks, which travel as one
     short array per block.
     """
@@ -34,8 +36,19 @@ def add_time_features(
         return df
     names = [f"lag_{n}" for n in lags] + [f"roll_mean_{w}" for w in windows]
     columns = [c for c in df.columns if c not in names]
-    value, window = F.col(spec.value), spec.in_order()
-    rows = add_block(df.where(spec.has_group()), spec)
+    value = F.col(spec.value)
+    known_group = spec.has_group()
+    if keep_groupless:
+        piece = F.pmod(F.xxhash64(*hashable(df)), F.lit(PIECES)).cast("int")
+        if spec.bounded:
+            df = df.withColumn(DEALT, F.when(known_group, 0).otherwise(piece))
+            spec = spec.with_(group=(*spec.groups, DEALT))
+        rows = add_block(df, spec)
+        if not spec.bounded:
+            rows = rows.withColumn(BLOCK, F.when(known_group, F.col(BLOCK)).otherwise(piece))
+    else:
+        rows = add_block(df.where(known_group), spec)
+    window = spec.in_order()
 
     def by_block() -> DataFrame:
         numbered = rows.select(
@@ -74,12 +87,9 @@ def add_time_features(
             carried, F.lit(0.0), lambda a, x: a + x)
         out = out.withColumn(
             f"roll_mean_{w}", F.try_divide(total, F.count(value).over(frame) + F.size(carried)))
-    out = out.select(*columns, *names)
-    if not keep_groupless:
-        return out
-    without_group = df.where(~spec.has_group()).select(
-        *columns, *[F.lit(None).cast("double").alias(n) for n in names])
-    return out.union(without_group)
+    if keep_groupless:
+        out = out.withColumns({n: F.when(known_group, F.col(n)) for n in names})
+    return out.select(*columns, *names)
 
 
 def add_lag_features(df: DataFrame, spec: PanelSpec, lags: Sequence[int] = (1, 2)) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Column that holds the block number of a row while an operator works on it.
 BLOCK = "_block"
+# Column that deals out rows without a group while an operator works on them.
+DEALT = "_dealt"
 
 
 @dataclass(frozen=True)

@@ -120,6 +120,22 @@ def test_lags_and_rolling_means_share_a_window(table):
     assert (count("Exchange", plan), count(" Sort ", plan)) == (1, 1)
 
 
+def test_rows_without_a_group_take_part_in_the_same_pass(table):
+    plan = plan_of(features.build_features(table, BOUNDED))
+    assert (count("FileScan", plan), count("Exchange", plan), count("Union", plan)) == (1, 1, 0)
+
+
+def test_rows_without_a_group_are_dealt_out(spark):
+    """A third of all rows have no group and repeat their periods."""
+    rows = spark.range(60_000).selectExpr(
+        "case when id % 3 > 0 then concat('g', id div 300) end g", "cast(id % 300 as int) t", "cast(id as double) v", "'x' s", "id")
+    for spec in (BOUNDED, SPEC):
+        out = features.build_features(rows, spec)
+        assert out.columns == ["g", "t", "v", "s", "id", "D-Flag", "Status-Flag", "lag_1", "lag_2", "roll_mean_3"]
+        counts = out.agg(F.count("*"), F.count("lag_1"), F.count_if(F.expr("g is null")), F.count_if(F.expr("g is null and roll_mean_3 is not null"))).first()
+        assert tuple(counts) == (60_000, 40_000 - 200, 20_000, 0)
+
+
 def test_scans_read_only_what_is_needed(table):
     plan = plan_of(gaps.missing_runs(table, SPEC))
     assert all(s == "g:string,t:int,v:double" for s in re.findall(r"ReadSchema: struct<(.*?)>", plan))
