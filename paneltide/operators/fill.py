@@ -97,14 +97,20 @@ def filled_points(filled: DataFrame, spec: PanelSpec) -> DataFrame:
     return filled.where("was_filled").select(*spec.keys, spec.value)
 
 
-def _legendre(x: Column, order: int) -> list[Column]:
+def scaled(time: Column) -> Column:
+    """A time as a place between -1 and 1 in its series, from ``_lo`` to ``_hi``."""
+    middle, half = (F.col("_lo") + F.col("_hi")) / 2, F.greatest((F.col("_hi") - F.col("_lo")) / 2, F.lit(0.5))
+    return (time - middle) / half
+
+
+def legendre(x: Column, order: int) -> list[Column]:
     basis = [F.lit(1.0), x]
     for i in range(1, order):
         basis.append(((2 * i + 1) * x * basis[i] - i * basis[i - 1]) / (i + 1))
     return basis[:order + 1]
 
 
-def _products(order: int) -> dict[str, Column]:
+def products(order: int) -> dict[str, Column]:
     """Sums of products of the basis ``_b<i>`` with itself and with ``_y``."""
     terms = range(order + 1)
     return {
@@ -114,7 +120,7 @@ def _products(order: int) -> dict[str, Column]:
     }
 
 
-def _solve(sums: DataFrame, order: int) -> DataFrame:
+def solve(sums: DataFrame, order: int) -> DataFrame:
     """Adds the coefficients ``_c<i>`` of the least-squares polynomial, and ``_path``.
 
     The normal equations are solved by a Cholesky factor l and the forward solution z,
@@ -293,10 +299,9 @@ def interpolate_spline(
         return blocks.select(*spec.task_keys, *[
             combine.get(n, F.sum)(n).over(whole).alias(n) for n in facts])
 
-    def scaled(known: DataFrame) -> DataFrame:
+    def placed(known: DataFrame) -> DataFrame:
         return known.withColumns({
-            "_x": (here - (F.col("_lo") + F.col("_hi")) / 2)
-            / F.greatest((F.col("_hi") - F.col("_lo")) / 2, F.lit(0.5)),
+            "_x": scaled(here),
             "_mean": F.try_divide("_sum", "_count"),
             "_degree": F.least(F.lit(order), F.col("_count") - 1),
         }).withColumn("_curved", (F.col("_nulls") > 0) & (F.col("_count") >= 2))
@@ -305,7 +310,7 @@ def interpolate_spline(
         """The basis and the centred value; null, and so no part of a sum, without a value."""
         return known.withColumns({
             "_y": F.when(usable, value - F.col("_mean")),
-            **{f"_b{i}": F.when(usable, b) for i, b in enumerate(_legendre(F.col("_x"), order))},
+            **{f"_b{i}": F.when(usable, b) for i, b in enumerate(legendre(F.col("_x"), order))},
         })
 
     coefficients = [f"_c{i}" for i in range(order + 1)]
@@ -313,22 +318,22 @@ def interpolate_spline(
     if too_high:
         checked = _linear_values(checked, spec).select(*rows.columns, "_linear")
     if spec.bounded:
-        known = scaled(checked.withColumns({n: e.over(whole) for n, e in facts.items()}))
-        sums = based(known).withColumns({n: e.over(whole) for n, e in _products(order).items()})
+        known = placed(checked.withColumns({n: e.over(whole) for n, e in facts.items()}))
+        sums = based(known).withColumns({n: e.over(whole) for n, e in products(order).items()})
         # Window results are taken as they are, so the solution is not worked out again in
         # every expression that uses it.
-        solved = _solve(sums, order).withColumns({
+        solved = solve(sums, order).withColumns({
             n: F.max(n).over(whole) for n in (*coefficients, "_path")})
     else:
         # Each branch below needs the facts of every block, so this small table is written.
         blocks = cut(by_block())
-        points = scaled(rows.join(blocks, spec.task_keys, "inner").where(usable)).where("_curved")
+        points = placed(rows.join(blocks, spec.task_keys, "inner").where(usable)).where("_curved")
         per_group = based(points).groupBy(*spec.groups).agg(
             F.max("_degree").alias("_degree"), F.max("_count").alias("_count"),
-            *[e.alias(n) for n, e in _products(order).items()])
-        fits = _solve(per_group, order).select(*spec.groups, *coefficients, "_path")
+            *[e.alias(n) for n, e in products(order).items()])
+        fits = solve(per_group, order).select(*spec.groups, *coefficients, "_path")
         block_facts = cut(blocks.join(fits, spec.groups, "left"))
-        solved = scaled(checked.join(block_facts, spec.task_keys, "left"))
+        solved = placed(checked.join(block_facts, spec.task_keys, "left"))
 
     unknown = value.isNull() & here.isNotNull()
     single = F.lit(too_few == "linear") & (F.col("_nulls") > 0) & (F.col("_count") == 1)
@@ -336,7 +341,7 @@ def interpolate_spline(
     path = F.when(by_line, "line").when(F.col("_curved"), F.col("_path")).when(single, "linear").otherwise("none")
     line = F.col("_linear") if too_high else F.lit(None).cast("double")
     curve = F.col("_mean") + sum(
-        (F.col(c) * b for c, b in zip(coefficients, _legendre(F.col("_x"), order))), F.lit(0.0))
+        (F.col(c) * b for c, b in zip(coefficients, legendre(F.col("_x"), order))), F.lit(0.0))
     planned = solved.withColumn("_plan", path)
     on_spline = (F.col("_plan") == "spline") & here.isNotNull()
     columns = [

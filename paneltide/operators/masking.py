@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
+from paneltide.functions.bspline import interpolate
 from paneltide.functions.materialize import cut
+from paneltide.functions.skew import give_back
 from paneltide.operators.complete import filter_complete_series
-from paneltide.operators.fill import interpolate_linear, interpolate_spline
+from paneltide.operators.fill import MAX_ORDER, interpolate_spline, legendre, products, scaled, solve
 from paneltide.spec import PanelSpec
 
 # Positions that one row chooses from, and how far it looks ahead at first for the next
@@ -265,25 +269,239 @@ def masked_panel(df: DataFrame, spec: PanelSpec, targets: DataFrame) -> DataFram
     )
 
 
-def masking_errors(
-    df: DataFrame, spec: PanelSpec, targets: DataFrame, order: int = 3, score_all: bool = False
+def _width() -> Column:
+    return F.when(F.col("kind") == SEQUENTIAL.name, SEQUENTIAL.width).otherwise(ISOLATED.width)
+
+
+def masked_stretches(targets: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Targets with ``first`` and ``last``, the ends of the masked positions without a break around them.
+
+    Masked runs may touch, so a stretch may be longer than a run.  Both ends of a series are
+    never masked, so there are known values at ``first - 1`` and ``last + 1``.
+    """
+    runs = spec.with_(group=("trial", "kind", *spec.groups), time="position", checked=True)
+    width, here = _width(), F.col("position")
+    rows = add_block(targets, runs)
+    forward, back = runs.in_order(), runs.backwards()
+    unknown = F.lit(None).cast("bigint")
+
+    def starts(before: Column) -> Column:
+        return F.when(here - before > width, here)
+
+    def ends(after: Column) -> Column:
+        return F.when(after - here > width, here + width - 1)
+
+    def by_block() -> DataFrame:
+        inner = rows.withColumns({
+            "_start": starts(F.lag("position").over(forward)), "_end": ends(F.lag("position").over(back))})
+        blocks = inner.groupBy(*runs.task_keys).agg(
+            F.min("position").alias("_lo"), F.max("position").alias("_hi"),
+            F.max("_start").alias("_start"), F.min("_end").alias("_end"))
+        order, reverse = runs.over_blocks(), runs.over_blocks_backwards()
+        others = (Window.unboundedPreceding, -1)
+        known = blocks.withColumns({"_before": F.lag("_hi").over(order), "_after": F.lag("_lo").over(reverse)})
+        opens = F.when(F.col("_before").isNull() | (F.col("_lo") - F.col("_before") > width), F.col("_lo"))
+        closes = F.when(F.col("_after").isNull() | (F.col("_after") - F.col("_hi") > width), F.col("_hi") + width - 1)
+        return known.withColumns({
+            "_start": F.coalesce("_start", opens), "_end": F.coalesce("_end", closes)}).select(
+            *runs.task_keys, "_before", "_after",
+            F.max("_start").over(order.rowsBetween(*others)).alias("_carried_start"),
+            F.min("_end").over(reverse.rowsBetween(*others)).alias("_carried_end"))
+
+    known = with_facts(
+        rows.withColumns({"_previous": F.lag("position").over(forward), "_next": F.lag("position").over(back)}), runs, by_block,
+        {name: unknown for name in ("_before", "_after", "_carried_start", "_carried_end")})
+    before, after = F.coalesce("_previous", "_before"), F.coalesce("_next", "_after")
+    marked = known.withColumns({
+        "_start": F.when(before.isNull(), here).otherwise(starts(before)),
+        "_end": F.when(after.isNull(), here + width - 1).otherwise(ends(after))})
+    to_here = (Window.unboundedPreceding, Window.currentRow)
+    return marked.select(
+        *targets.columns,
+        F.coalesce(F.max("_start").over(forward.rowsBetween(*to_here)), "_carried_start").alias("first"),
+        F.coalesce(F.min("_end").over(back.rowsBetween(*to_here)), "_carried_end").alias("last"))
+
+
+def _series_values(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows of complete series with position, and of their series ``_n``, ``_lo``, ``_hi`` and ``_mean``."""
+    rows = add_position(
+        filter_complete_series(df.select(*spec.keys, spec.value), spec, unique=True), spec)
+    here = F.col(spec.time).cast("double")
+    facts = {"_n": F.count("*"), "_lo": F.min(here), "_hi": F.max(here), "_sum": F.sum(spec.value)}
+    rows = add_block(rows, spec.with_(checked=True))
+
+    def by_block() -> DataFrame:
+        blocks = rows.groupBy(*spec.task_keys).agg(*[e.alias(n) for n, e in facts.items()])
+        combine = {"_lo": F.min, "_hi": F.max}
+        return blocks.select(*spec.task_keys, *[
+            combine.get(n, F.sum)(n).over(spec.whole()).alias(n) for n in facts])
+
+    known = with_facts(rows, spec, by_block, {n: e.over(spec.whole()) for n, e in facts.items()})
+    return known.withColumn("_mean", F.col("_sum") / F.col("_n")).drop("_sum")
+
+
+def _looked_up(stretches: DataFrame, values: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Targets with the known values next to their stretch and ``masked``, the values they cover.
+
+    The panel is looked up by (group, position): at most five rows per target, whatever
+    the length of its series.
+    """
+    last = F.col("position") + _width() - 1
+    places = F.array_union(
+        F.array(F.col("first") - 1, F.col("last") + 1), F.sequence(F.col("position"), last))
+    asked = stretches.withColumn("_at", F.explode(places))
+    found = values.select(
+        *spec.groups, F.col("position").alias("_at"), F.col(spec.time).cast("double").alias("_t"),
+        F.col(spec.value).cast("double").alias("_v"), "_n", "_lo", "_hi", "_mean")
+    point = F.struct(F.col("_at").alias("at"), F.col("_t").alias("t"), F.col("_v").alias("v"))
+    covered = F.col("_at").between(F.col("position"), last)
+    return asked.join(found, [*spec.groups, "_at"], "inner").groupBy(
+        "trial", "kind", *spec.groups, "position", "first", "last").agg(
+        F.max(F.when(F.col("_at") == F.col("first") - 1, F.col("_v"))).alias("before"),
+        F.max(F.when(F.col("_at") == F.col("last") + 1, F.col("_v"))).alias("after"),
+        F.sort_array(F.collect_list(F.when(covered, point))).alias("masked"),
+        *[F.first(c).alias(c) for c in ("_n", "_lo", "_hi", "_mean")])
+
+
+def _fits(looked_up: DataFrame, values: DataFrame, spec: PanelSpec, order: int) -> DataFrame:
+    """Least-squares polynomial of every masked series: (trial, kind, group), coefficients and ``_path``.
+
+    The sums of the normal equations are taken once over each whole series; what is masked is
+    taken off them per trial and kind.
+    """
+    def sums(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.withColumns({
+            "_y": F.col("_v") - F.col("_mean"),
+            **{f"_b{i}": b for i, b in enumerate(legendre(scaled(F.col("_t")), order))},
+        }).groupBy(*by).agg(*[e.alias(n) for n, e in products(order).items()], F.count("*").alias("_rows"))
+
+    names = list(products(order))
+    point = values.withColumns({"_t": F.col(spec.time).cast("double"), "_v": F.col(spec.value).cast("double")})
+    whole = sums(point, spec.groups).withColumnsRenamed({n: f"_all{n}" for n in (*names, "_rows")})
+    covered = looked_up.select("*", F.explode("masked").alias("_p")).withColumns(
+        {"_t": F.col("_p.t"), "_v": F.col("_p.v")})
+    off = sums(covered, ["trial", "kind", *spec.groups])
+    left = off.join(whole, spec.groups, "inner").withColumns({
+        **{n: F.col(f"_all{n}") - F.col(n) for n in names},
+        "_masked": F.col("_rows"), "_count": F.col("_all_rows") - F.col("_rows")})
+    left = left.withColumn("_degree", F.least(F.lit(order), F.col("_count") - 1))
+    return solve(left, order).select(
+        "trial", "kind", *spec.groups, "_masked", "_count", "_path", *[f"_c{i}" for i in range(order + 1)])
+
+
+def _curve_errors(spec: PanelSpec, order: int):
+    """Errors of the spline through the values of one series, for all its masks, without a copy of it."""
+    groups = spec.groups
+
+    def errors(series: pa.Table, masks: pa.Table) -> pa.Table:
+        trial, kind, at, width, scored = (masks[c].to_pylist() for c in ("trial", "kind", "position", "_width", "_scored"))
+        by_place = np.argsort(series["position"].to_numpy())
+        t = series["_t"].to_numpy()[by_place]
+        v = series["_v"].to_numpy()[by_place]
+        by_run: dict = {}
+        for k, run in enumerate(zip(trial, kind, strict=True)):
+            by_run.setdefault(run, []).append(k)
+        out = []
+        for (run_trial, run_kind), rows in by_run.items():
+            known = np.ones(len(v), bool)
+            for k in rows:
+                known[at[k]:at[k] + width[k]] = False
+            places = np.array([at[k] + j for k in rows for j in range(scored[k])])
+            curve = interpolate(t[known], v[known], order, t[places])
+            starts = [at[k] for k in rows for _ in range(scored[k])]
+            out += zip([run_trial] * len(places), [run_kind] * len(places), starts, (v[places] - curve).tolist(), strict=True)
+        columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
+        keys = {g: pa.array([series[g][0].as_py()] * len(out), series.schema.field(g).type) for g in groups}
+        return pa.table({
+            "trial": pa.array(columns[0], pa.int32()), "kind": pa.array(columns[1], pa.string()), **keys,
+            "position": pa.array(columns[2], pa.int64()), "error": pa.array(columns[3], pa.float64())})
+
+    return errors
+
+
+def _spline_errors(
+    df: DataFrame, spec: PanelSpec, masks: DataFrame, values: DataFrame, order: int, score_all: bool
 ) -> DataFrame:
-    """Error of each method at the masked values: (trial, kind, method, group, position, error).
+    """Errors of the masked series that no polynomial is close to: (trial, kind, group, position, error).
 
-    Of a run of masked values only the first is scored, unless ``score_all`` is set.  The
-    targets and the masked series are read several times, so each is written once.
+    With a declared time range every series goes to one task, once for all its masks.
+    Without one, series of any length are filled by block, a copy for each trial and kind.
     """
-    masked = cut(masked_panel(df, spec, cut(targets)))
+    if spec.bounded:
+        wide = masks.withColumns({"_width": _width(), "_scored": _width() if score_all else F.lit(1)})
+        series = values.select(
+            *spec.groups, "position", F.col(spec.time).cast("double").alias("_t"), F.col(spec.value).cast("double").alias("_v"))
+        keys = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in spec.groups)
+        # Both come from the same rows, so the keys of one get names of their own.
+        wide = wide.withColumnsRenamed({g: f"_mask_{g}" for g in spec.groups})
+        masked = wide.groupBy(*[f"_mask_{g}" for g in spec.groups])
+        return series.groupBy(*spec.groups).cogroup(masked).applyInArrow(
+            _guarded(_curve_errors(spec, order), spec), f"trial int, kind string, {keys}, position long, error double")
     series = spec.with_(group=("trial", "kind", *spec.groups), value="masked_value")
-    scored = "is_masked" if score_all else "is_target"
+    filled = interpolate_spline(cut(masked_panel(df, spec, masks)), series, order)
+    return filled.where(F.col("is_masked" if score_all else "is_target")).select(
+        "trial", "kind", *spec.groups, "position", (F.col(spec.value) - F.col("masked_value")).alias("error"))
+
+
+def _guarded(function, spec: PanelSpec):
+    """``function``, unless a series has no masks or is not there."""
+    groups = spec.groups
+
+    def call(series: pa.Table, masks: pa.Table) -> pa.Table:
+        if series.num_rows and masks.num_rows:
+            return function(series, masks)
+        keys = {g: pa.array([], series.schema.field(g).type) for g in groups}
+        return pa.table({
+            "trial": pa.array([], pa.int32()), "kind": pa.array([], pa.string()), **keys,
+            "position": pa.array([], pa.int64()), "error": pa.array([], pa.float64())})
 
-    def errors(filled: DataFrame, method: str) -> DataFrame:
-        return filled.where(F.col(scored)).select(
-            "trial", "kind", F.lit(method).alias("method"), *spec.groups, "position",
-            (F.col(spec.value) - F.col("masked_value")).alias("error"))
+    return call
 
-    return errors(interpolate_linear(masked, series), "linear").union(
-        errors(interpolate_spline(masked, series, order), "spline"))
+
+def masking_errors(
+    df: DataFrame, spec: PanelSpec, targets: DataFrame, order: int = 3, score_all: bool = False
+) -> DataFrame:
+    """Error of each method at the masked values: (trial, kind, method, group, position, error).
+
+    Of a run of masked values only the first is scored, unless ``score_all`` is set.  No
+    series is copied for a trial: the line needs the two known values around a masked
+    stretch, and the polynomial the sums over its whole series less those over what is masked, so the
+    work follows the targets.  Only series that need the spline are looked at whole.
+    Targets, values and what was looked up are each written once, when this is called.
+    """
+    if order < 1:
+        raise ValueError("order must be at least 1")
+    too_high, order = order > MAX_ORDER, min(order, MAX_ORDER)
+    targets = cut(targets)
+    values = cut(_series_values(df, spec))
+    looked_up = cut(_looked_up(masked_stretches(targets, spec), values, spec))
+    fits = cut(_fits(looked_up, values, spec, order))
+    run = ["trial", "kind", *spec.groups]
+    fitted = give_back(looked_up, fits, run, "_masked")
+    places = F.col("masked") if score_all else F.slice("masked", 1, 1)
+    scored = fitted.withColumn("_p", F.explode(places))
+    span = F.col("last") - F.col("first") + 2
+    slope = (F.col("after") - F.col("before")) / span
+    line = F.col("before") + slope * (F.col("_p.at") - F.col("first") + 1)
+    curve = F.col("_mean") + sum(
+        (F.col(f"_c{i}") * b for i, b in enumerate(legendre(scaled(F.col("_p.t")), order))), F.lit(0.0))
+    by_line = F.lit(too_high) & (F.col("_count") > MAX_ORDER + 1)
+    smooth = F.when(by_line, line).when(F.col("_path") == "poly", curve)
+    methods = F.array(
+        F.struct(F.lit("linear").alias("method"), line.alias("estimate")),
+        F.struct(F.lit("spline").alias("method"), smooth.alias("estimate")))
+    plain = scored.withColumn("_m", F.explode(methods)).where("_m.estimate is not null").select(
+        "trial", "kind", F.col("_m.method").alias("method"), *spec.groups, "position",
+        (F.col("_p.v") - F.col("_m.estimate")).alias("error"))
+    on_spline = fits.where("_path = 'spline'")
+    if too_high:
+        on_spline = on_spline.where(F.col("_count") <= MAX_ORDER + 1)
+    if not on_spline.take(1):
+        return plain
+    masks = give_back(targets, on_spline.select(*run, "_masked", F.lit(True).alias("_on")), run, "_masked").where("_on").drop("_on")
+    curved = _spline_errors(df, spec, masks, values, order, score_all)
+    return plain.unionByName(curved.select(
+        "trial", "kind", F.lit("spline").alias("method"), *spec.groups, "position", "error"))
 
 
 def error_metrics(errors: DataFrame, *by: str) -> DataFrame:

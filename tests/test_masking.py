@@ -83,6 +83,49 @@ def test_errors_and_pooling(full, spec):
     assert pooled.runs == 2
 
 
+@pytest.mark.parametrize("spec", [SPEC.with_(time_range=(0, 100)), SPEC.with_(block=5)], ids=["bounded", "split"])
+def test_stretches_of_touching_runs(spark, spec):
+    kinds = {"sequential": [1, 4, 7, 11, 14, 20, 31, 34, 37, 40, 43], "isolated": [1, 3, 5, 9]}
+    rows = [(0, k, g, p) for k, ps in kinds.items() for g in "ab" for p in ps if g == "a" or p > 5]
+    got = masking.masked_stretches(spark.createDataFrame(rows, "trial int, kind string, g string, position long"), spec)
+    masked = {}
+    for _, k, g, p in rows:
+        masked.setdefault((k, g), set()).update(range(p, p + (3 if k == "sequential" else 1)))
+    for r in got.collect():
+        first = last = r.position
+        held = masked[r.kind, r.g]
+        while first - 1 in held:
+            first -= 1
+        while last + 1 in held:
+            last += 1
+        assert (r.first, r.last) == (first, last)
+
+
+@pytest.mark.parametrize("spec", [SPEC.with_(time_range=(0, 3000)), SPEC.with_(block=100)], ids=["bounded", "split"])
+def test_work_follows_the_targets(spark, spec, monkeypatch):
+    """A hundred trials on few targets: no copy of a series, and five rows looked up per target at most."""
+    df = spark.range(2_000).selectExpr("concat('g', id % 2) g", "cast(id div 2 as int) t", "(id div 2) * 0.001D + (id % 7) * 0.01D v")
+    lengths = masking.complete_lengths(df, spec)
+    targets = masking.mask_isolated(df, spec, 0.001, 3, 100, lengths).union(masking.mask_sequential(df, spec, 0.001, 3, 100, lengths)).cache()
+    asked = []
+    real = masking._looked_up
+
+    def counted(stretches, values, spec):
+        found = real(stretches, values, spec)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        asked.append((found.count(), "Generate explode(array_union" in plan))
+        return found
+
+    monkeypatch.setattr(masking, "_looked_up", counted)
+    monkeypatch.setattr(masking, "masked_panel", None)
+    monkeypatch.setattr(masking, "_curve_errors", None)
+    errors = masking.masking_errors(df, spec, targets)
+    assert errors.count() == 2 * targets.count() == 800
+    assert asked == [(400, True)]
+    pooled = masking.pooled_metrics(errors, 100).first()
+    assert pooled.mae_linear < 0.05 and pooled.mae_spline < 0.05
+
+
 def test_scoring_all_masked_values(full):
     targets = masking.mask_sequential(full, SPEC, 0.2, 3)
     first = masking.masking_errors(full, SPEC, targets)
