@@ -31,7 +31,8 @@ class Vocabulary:
     """The file of a tokenizer, and if there is one the same vocabulary as ranks with its split pattern.
 
     The tokenizer's file says what the ids are. Byte-level pairs merged by rank are the same ids in a
-    third of the time, so ranks are used where given; each task holds the first text to both.
+    third of the time, so ranks are used where given; each task holds the first text to both,
+    and every text with an added token.
     """
 
     tokenizer: str
@@ -40,22 +41,24 @@ class Vocabulary:
 
 
 class Encoder:
-    """Texts to their ids, as unsigned 32-bit integers; special tokens in a text are plain text."""
+    """Texts to their ids, as unsigned 32-bit integers, those of added tokens in a text included."""
 
     def __init__(self, vocabulary: Vocabulary):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary.tokenizer)
-        self.tokenizer.encode_special_tokens = True
-        self.fast = None
-        if vocabulary.ranks:
+        added = {token.content: (k, token) for k, token in self.tokenizer.get_added_tokens_decoder().items()}
+        # Ranks know no tokens that take white space along or stand for whole words only.
+        plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for _, t in added.values())
+        self.added, self.fast = list(added), None
+        if vocabulary.ranks and plain:
             import base64
 
             import tiktoken
 
             with open(vocabulary.ranks, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+            self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={c: k for c, (k, _) in added.items()})
 
     def whole(self, text: str):
         import numpy as np
@@ -65,8 +68,8 @@ class Encoder:
     def encode(self, text: str, check: bool = False):
         if self.fast is None:
             return self.whole(text)
-        ids = self.fast.encode_to_numpy(text, disallowed_special=())
-        if check and ids.tolist() != self.whole(text).tolist():
+        ids = self.fast.encode_to_numpy(text, allowed_special="all")
+        if (check or any(token in text for token in self.added)) and ids.tolist() != self.whole(text).tolist():
             raise ValueError("the ranks are not those of the tokenizer")
         return ids
 

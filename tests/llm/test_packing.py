@@ -1,6 +1,7 @@
 import duckdb
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from paneltide.llm.packing import Encoder, Vocabulary, pack
 from paneltide.llm.queries import vocabulary
@@ -11,8 +12,24 @@ def encoder():
     return Encoder(vocabulary())
 
 
+@pytest.fixture(scope="module")
+def untouched():
+    """The tokenizer as its file says."""
+    return Tokenizer.from_file(vocabulary().tokenizer)
+
+
 def whole(encoder, text):
-    return list(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids)
+    return list(getattr(encoder, "tokenizer", encoder).encode(text or "", add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "a<|endoftext|", "é<|endoftext|>é" * 50])
+def test_added_tokens_are_read_as_the_file_says(docs, encoder, untouched, text):
+    assert encoder.encode(text).tolist() == whole(untouched, text)
+    assert ids(pack(docs(text), vocabulary()).first().ids) == [*whole(untouched, text), 1]
+
+
+def test_added_tokens_have_ids_of_their_own(untouched):
+    assert whole(untouched, "x <|endoftext|> y") == [87, 220, 50256, 331]
 
 
 def ids(raw):
@@ -22,8 +39,8 @@ def ids(raw):
 @pytest.mark.parametrize("text", [
     "", " ", "\n", "a", " a", "a ", "a \n", "a\n\nb", "a  b", "\ta", "it's we'll\nI'm", "\na\n", "x <|endoftext|> y",
     "é b", "12 345\n6 7", "!!! ???", "a\r\nb", "日本 語\nテ", "a b c"])
-def test_ranks_give_the_ids_of_the_tokenizer(encoder, text):
-    assert encoder.encode(text, check=True).tolist() == whole(encoder, text)
+def test_ranks_give_the_ids_of_the_tokenizer(encoder, untouched, text):
+    assert encoder.encode(text, check=True).tolist() == whole(untouched, text)
 
 
 def test_all_documents_have_the_ids_of_the_tokenizer(encoder):
