@@ -1,7 +1,8 @@
 """Quality: votes of the nearest labelled documents in a latent semantic space.
 
 Terms of a document are the shapes of its words (runs of lower-case letters, capitals and
-digits written as one sign each, other signs as they are), pairs of neighbouring shapes, and
+digits written as one sign each, other signs as they are; a long one counts in overlapping pieces of
+LONGEST signs, down to its end), pairs of neighbouring shapes, and
 whether a word repeats the one before; shapes hold in every language. Terms are hashed into
 TERMS columns, weighted by logarithmic counts and inverse document frequencies, and projected
 on the strongest singular directions of the labelled sample. The labelled vectors go along with
@@ -35,9 +36,11 @@ BLOCK_ROWS = 512
 _RUNS = re.compile(r"(.)\1+", re.DOTALL)
 
 
-def shape(word: str) -> str:
+def shape(word: str) -> list[str]:
+    """The shape of a word, in pieces that overlap by half if it has more than LONGEST signs."""
     signs = "".join("x" if c.islower() else "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
-    return _RUNS.sub(r"\1", signs)[:LONGEST]
+    whole, step = _RUNS.sub(r"\1", signs), LONGEST // 2
+    return [whole[a:a + LONGEST] for a in range(0, max(len(whole) - step, 1), step)]
 
 
 def _column(term: str) -> int:
@@ -50,10 +53,18 @@ def counts(texts: list[str]):
 
     vocabulary, places, lengths = labelled.numbered([t.split() for t in texts])
     shapes = [shape(w) for w in vocabulary]
-    kinds = {s: k for k, s in enumerate(dict.fromkeys(shapes))}
+    pieces = [s for of in shapes for s in of]
+    kinds = {s: k for k, s in enumerate(dict.fromkeys(pieces))}
     names = list(kinds)
-    kind = np.fromiter((kinds[s] for s in shapes), np.int64, len(shapes))[places] if len(places) else places
     row = np.repeat(np.arange(len(texts)), lengths)
+    again = row[1:][(row[1:] == row[:-1]) & (places[1:] == places[:-1])] if len(places) > 1 else row[:0]
+    if len(places):
+        # From words to the pieces of their shapes, in order.
+        many = np.fromiter(map(len, shapes), np.int64, len(shapes))
+        first, each = (np.cumsum(many) - many)[places], many[places]
+        within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        kind = np.fromiter((kinds[s] for s in pieces), np.int64, len(pieces))[np.repeat(first, each) + within]
+        row, places = np.repeat(row, each), kind
     single = np.fromiter(map(_column, names), np.int64, len(names))
     cells = [row * TERMS + single[kind]] if len(places) else []
     if len(places) > 1:
@@ -62,8 +73,7 @@ def counts(texts: list[str]):
         different, which = np.unique(pair, return_inverse=True)
         column = np.fromiter((_column(f"{names[p // len(names)]} {names[p % len(names)]}") for p in different.tolist()), np.int64, len(different))
         cells.append((row[1:] * TERMS + column[which])[inside])
-        again = inside & (places[1:] == places[:-1])
-        cells.append(row[1:][again] * TERMS + _column("again"))
+        cells.append(again * TERMS + _column("again"))
     found = np.bincount(np.concatenate(cells), minlength=len(texts) * TERMS) if cells else np.zeros(len(texts) * TERMS)
     return found.reshape(len(texts), TERMS)
 
