@@ -6,15 +6,16 @@ for each of the others, up to SPAN letters. So words that share a stem, or have
 in between, stay alike. Signs within a word are left out, look-alike digits and signs are read
 as letters, and letters spaced out one by one are joined, before words are compared.
 
-Landmarks are words: those whose document frequencies differ most between the two labels,
-picked by pivoted Cholesky steps of the kernel matrix until every such word is close to what is
+Landmarks are stems (words or their beginnings): those whose document frequencies differ between the two labels by more
+than chance brings among as many stems,
+picked by pivoted Cholesky steps of the kernel matrix until every such stem is close to what is
 picked, and some usual words. The inverse root of the landmarks' kernel matrix turns kernel values with the
-landmarks into Nyström features, on which a linear machine is trained. A sentence is as toxic
-as its most toxic word, and a document as its most toxic sentence. Labels are given for
+landmarks into Nyström features, on which a linear machine is trained. Labels are given for
 documents, so the machine learns from the words of each toxic document that it finds toxic,
 one at least, and the worst few of each other document; the choice is made anew after each
-training. A
-logistic curve fitted on the same sample turns its value into the score.
+training. One
+word may look like an insult by chance, several hardly do, and long texts have more chances: a
+logistic curve over the values of a text's words of ranks TOPS and the logarithm of their number, fitted on the same sample, is the score.
 
 Results for odd input: null and empty texts score as a sentence without words; repeated rows
 score alike; without any labelled row every score is 0, with labels of one class only every
@@ -35,8 +36,10 @@ from paneltide.llm import labelled
 from paneltide.llm.common import by_value, text_of
 
 DECAY, SPAN, LONGEST = 0.6, 6, 24
-USUAL_LANDMARKS, RESIDUAL = 2, 0.05
-LEAST_GAP, LEAST_SHARE = 20.0, 0.05  # among 100,000 words chance alone brings gaps of 12
+USUAL_LANDMARKS, RESIDUAL, LOWEST = 2, 0.05, -2.0
+STEM = 4
+CHANCE = 0.01  # of any stem that tells nothing to be taken for a telling one
+TOPS = (1, 2, 3, 5, 8)  # a text is judged by its words of these ranks, the worst first
 LETTERS = 41
 TRAIN_CELLS = 1_000_000  # of the kernel matrix at a time
 ENDS = ".,;:!?\"'()[]{}*#$%&|-_"
@@ -164,20 +167,49 @@ class Kernel:
         return np.maximum.reduceat(out, first_piece, axis=0)
 
 
+def _likelihood(one, zero, n: list[int]):
+    """How much likelier the counts are with a rate for each label than with one for both; 0 where label 1 has the lower."""
+    import numpy as np
+
+    def part(k, of, rate):
+        return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(of * rate, 1e-9)), 0)
+
+    rate = (one + zero) / max(1, sum(n))
+    gain = part(one, n[1], rate) + part(zero, n[0], rate) + part(n[1] - one, n[1], 1 - rate) + part(n[0] - zero, n[0], 1 - rate)
+    return np.where(one * n[0] > zero * n[1], gain, 0)
+
+
 def _landmarks(words: list[str], held: list, labels: list[int]) -> tuple[list[str], int]:
-    """Words that tell the labels apart, unlike one another, then usual words; and how many the first are."""
+    """Stems that tell the labels apart, unlike one another, then usual words; and how many the first are.
+
+    Stems are the words and all their beginnings of STEM letters or more. One counts as telling if
+    its likelihood gain is beyond what the luckiest of that many stems would reach by chance, so the
+    bar follows from the number of stems tested; one that is too rare to reach the bar is no test.
+    """
     import numpy as np
 
-    seen = [np.bincount(np.concatenate([h for h, v in zip(held, labels, strict=True) if v == label]), minlength=len(words)) for label in (0, 1)]
     n = [labels.count(v) for v in (0, 1)]
-    gap = seen[1] * np.log((seen[1] + 0.5) / (n[1] + 1) / ((seen[0] + 0.5) / (n[0] + 1)))
+    stems: dict[str, int] = {}
+    of_word = [[stems.setdefault(w[:k], len(stems)) for k in range(STEM, min(len(w), LONGEST) + 1)] for w in words]
+    seen = np.zeros((2, len(stems)), np.int64)
+    for h, label in zip(held, labels, strict=True):
+        seen[label, list({s for w in h.tolist() for s in of_word[w]})] += 1
+    gap = _likelihood(seen[1].astype(float), seen[0].astype(float), n)
+    total = seen.sum(axis=0).astype(float)
+    at_most, tested = _likelihood(np.minimum(total, n[1]), np.maximum(total - n[1], 0), n), len(stems)
+    while (fewer := int((at_most > math.log(max(1, tested) / CHANCE)).sum())) < tested:
+        tested = fewer
+    least = math.log(max(1, tested) / CHANCE)
+    names = list(stems)
+    # Of a stem and its continuation in the same documents the longer one stays.
+    shorter = {stems[s[:-1]] for s, k in stems.items() if len(s) > STEM and (seen[:, stems[s[:-1]]] == seen[:, k]).all()}
+    telling = [k for k in np.argsort(-gap, kind="stable").tolist() if gap[k] > least and k not in shorter]
+    common = np.bincount(np.concatenate([h for h, v in zip(held, labels, strict=True) if not v]), minlength=len(words))
     long = np.fromiter((len(w) >= 3 for w in words), bool, len(words))
-    least = max(LEAST_GAP, LEAST_SHARE * gap.max(initial=0))  # a few copies of one document make no telling words
-    telling = [k for k in np.argsort(-gap, kind="stable").tolist() if gap[k] > least and seen[1][k] > 1 and long[k]]
-    usual = [words[k] for k in np.argsort(-seen[0] * long, kind="stable")[:USUAL_LANDMARKS].tolist()]
+    usual = [words[k] for k in np.argsort(-common * long, kind="stable")[:USUAL_LANDMARKS].tolist()]
     picked: list[int] = []
     if telling:
-        names = [words[k] for k in telling]
+        names = [names[k] for k in telling]
         worth = np.sqrt(gap[telling])
         rest, columns = np.ones(len(names)), np.zeros((len(names), 0))
         rest[:] = [Kernel([n]).values([n])[0, 0] for n in names]
@@ -187,8 +219,8 @@ def _landmarks(words: list[str], held: list, labels: list[int]) -> tuple[list[st
             columns = np.hstack([columns, (column / math.sqrt(rest[k]))[:, None]])
             rest = np.maximum(rest - columns[:, -1] ** 2, 0)
             rest[k] = 0
-            picked.append(telling[k])
-    return [words[k] for k in picked] + usual, len(picked)
+            picked.append(k)
+    return [names[k] for k in picked] + usual, len(picked)
 
 
 def _machine(x, rows, y, weights, penalty: float = 1e-4):
@@ -212,17 +244,36 @@ def _machine(x, rows, y, weights, penalty: float = 1e-4):
     return w
 
 
-def _curve(f, y, weights) -> tuple[float, float]:
-    """Slope and offset of the logistic curve with the least loss."""
+def _curve(x, y, weights):
+    """Weights of the logistic curve with the least loss over the columns of x; the last is the offset."""
     import numpy as np
 
-    x, w = np.stack([f, np.ones(len(f))], axis=1), np.zeros(2)
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w, ridge = np.zeros(x.shape[1]), 1e-3 * weights.sum() * np.eye(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weights * (p - y)) + 1e-3 * weights.sum() * w
-        bend = (x * (weights * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-3 * weights.sum() * np.eye(2)
+        slope = x.T @ (weights * (p - y)) + ridge @ w
+        bend = (x * (weights * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge
         w = w - np.linalg.solve(bend, slope)
-    return float(w[0]), float(w[1])
+    return w
+
+
+def _tops(f, first):
+    """For each text the values of its words of ranks TOPS and the logarithm of their number.
+
+    A text with fewer words has the value LOWEST for those it lacks.
+    """
+    import numpy as np
+
+    lengths = np.diff(np.append(first, len(f)))
+    text = np.repeat(np.arange(len(first)), lengths)
+    order = np.lexsort((-f, text))
+    sorted_f = np.maximum(f[order], LOWEST)
+    columns = []
+    for rank in TOPS:
+        at = first + rank - 1
+        columns.append(np.where(rank <= lengths, sorted_f[np.minimum(at, len(f) - 1)], LOWEST))
+    return np.stack([*columns, np.log1p(lengths)], axis=1)
 
 
 class Model:
@@ -267,8 +318,7 @@ class Model:
             w = _machine(features.astype(float), where, sign, each)
             f = each_part(lambda part: self.kernel.sums(part, (root @ w[:-1]).astype(np.float32)), words) + w[-1]
         self.weights, self.bias = (root @ w[:-1]).astype(np.float32), float(w[-1])
-        top = np.array([f[of].max() for of in held])
-        self.slope, self.offset = _curve(top, y, weights / weights.mean())
+        self.curve = _curve(_tops(f[places].astype(float), first), y, weights / weights.mean())
 
     def scores(self, texts: list[str]):
         import numpy as np
@@ -276,8 +326,8 @@ class Model:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
         words, places, first = words_of(texts)
-        f = np.maximum.reduceat((self.kernel.sums(words, self.weights) + self.bias)[places], first)
-        return 1 / (1 + np.exp(-np.clip(self.slope * f.astype(float) + self.offset, -30, 30)))
+        f = (self.kernel.sums(words, self.weights) + self.bias)[places].astype(float)
+        return 1 / (1 + np.exp(-np.clip(_tops(f, first) @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
 def _score(model: Model):

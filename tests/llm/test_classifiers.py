@@ -29,6 +29,24 @@ def test_held_out_labels(spark, name, label, folds, fold, least):
     assert area([rows[d].score for d, _ in known], [v for _, v in known]) >= least
 
 
+def test_toxic_documents_are_found_and_others_left_alone(spark):
+    folder = SF.replace("0.01", "0.1")
+    rows = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, folder).collect()}
+    known = [(rows[d], v) for d, v in duckdb.sql(f"SELECT doc_id, toxic FROM read_parquet('{folder}/labels.parquet') WHERE toxic IS NOT NULL").fetchall() if rows[d].held_out]
+    hits = sum(r.predicted for r, v in known if v)
+    assert hits >= 0.9 * sum(v for _, v in known) and hits >= 0.9 * sum(r.predicted for r, _ in known)
+
+
+def test_the_bar_for_telling_stems_follows_from_their_number():
+    found = []
+    for seed in range(40):  # labels that tell nothing give no landmark but the usual words, whatever the number of words
+        rng = random.Random(seed)
+        words = list(dict.fromkeys(plain_words(rng, (200, 2_000)[seed % 2])))
+        held = [np.unique(np.array([rng.randrange(len(words)) for _ in range(30)])) for _ in range(400)]
+        found.append(toxicity._landmarks(words, held, [k % 2 for k in range(400)])[1])
+    assert sum(found) <= 2
+
+
 def subsequences(word):
     from collections import defaultdict
 
@@ -94,10 +112,57 @@ def test_odd_and_empty(spark, operator, odd_docs, no_docs):
 
 
 def test_shapes_and_terms():
-    assert quality.shape("Éxyz,,9") == "Xx,9"
+    assert quality.shape("Éxyz,,9") == ["Xx,9"] and quality.shape("") == [""]
+    assert quality.shape("aA" * 10) == ["xX" * 6, "xX" * 6, "xX" * 4]
     assert quality.counts(["", "a a a", "A b"]).sum(axis=1).tolist() == [0, 7, 3]
 
 
+def plain_terms(text):
+    """Terms of a text by plain loops."""
+    found, words = [], text.split()
+    for word in words:
+        signs = ""
+        for c in word:
+            sign = "x" if c.islower() else "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
+            signs += sign if not signs.endswith(sign) else ""
+        at = 0
+        while True:
+            found.append(signs[at:at + 12])
+            at += 6
+            if at + 6 >= len(signs):
+                break
+    terms = found + [f"{a} {b}" for a, b in zip(found, found[1:])]
+    return terms + ["again" for a, b in zip(words, words[1:]) if a == b]
+
+
+def test_scores_equal_plain_votes():
+    rng = random.Random(4)
+    make = [lambda: " ".join(plain_words(rng, 30)).capitalize() + ".", lambda: " ".join(rng.choice(["A1", "b", "##", "X9y-9"]) for _ in range(25)),
+            lambda: "".join(rng.choice("aA1-") for _ in range(400)), lambda: "la la la " * rng.randint(1, 9) + "end"]
+    texts = [make[k % 4]() for k in range(160)] + ["", "one"]
+    labels = [int(k % 4 in (0, 3)) for k in range(162)]
+    weights = [1.0 + k % 3 for k in range(162)]
+    model = quality.Model(texts, labels, weights)
+    asked = [make[k % 4]() for k in range(60)] + ["", texts[3]]
+    assert quality.counts(asked).tolist() == [
+        np.bincount([zlib.crc32(t.encode()) % 1024 for t in plain_terms(text)], minlength=1024).tolist() for text in asked]
+
+    def vector(text):
+        count = np.bincount([zlib.crc32(t.encode()) % 1024 for t in plain_terms(text)], minlength=1024)
+        x = np.log1p(count) * model.idf
+        x = (x / max(np.linalg.norm(x), 1e-12)) @ model.basis.astype(float)
+        return x / max(np.linalg.norm(x), 1e-12)
+
+    known = [vector(t) for t in texts]
+    want = []
+    for text in asked:
+        near = sorted(range(162), key=lambda k: -float(vector(text) @ known[k]))[:25]
+        votes = [(max(float(vector(text) @ known[k]), 0.0) ** 4 * weights[k], labels[k]) for k in near]
+        total = sum(v for v, _ in votes)
+        want.append(sum(v for v, y in votes if y) / total if total > 1e-9 else model.prior)
+    assert model.scores(asked) == pytest.approx(want, abs=1e-3)
+
+
 def plain_words(rng, n):
     return ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 8))) for _ in range(n)]
 
