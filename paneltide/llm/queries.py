@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paneltide.functions.materialize import new_folder
 from paneltide.llm import chat, decontamination, line_dedup, manifest, packing, periodic, quality, secrets, sharding, simhash, sketches, toxicity, warc
-from paneltide.llm.common import split_words, table, text_of, written
+from paneltide.llm.common import join_hot, split_words, table, text_of, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,7 +87,10 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (r)
 """)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    ledger = new_folder(spark, "secrets-ledger")
+    secrets.scan(docs, path=ledger)
+    found, _ = secrets.scan(docs, path=ledger)  # every pair is in the ledger by now, so no text is scanned again
 
     def many(kind: str):
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -97,30 +101,31 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
-    """(doc_id, half, next_id): the next smaller id, and the largest after the smallest; a null id is the smallest."""
+    """(doc_id, half, n, next_id, next_n): the next smaller id, and the largest after the smallest; a null id is the smallest."""
     rows = written(ids.repartitionByRange(F.col("doc_id").desc_nulls_last()).withColumn("part", F.spark_partition_id()), "ids")
     order = F.col("doc_id").desc_nulls_last()
-    top = F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("less"), F.col("doc_id").alias("id"))).alias("top")
+    top = F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("less"), F.col("doc_id").alias("id"), F.col("n").alias("n"))).alias("top")
     firsts = rows.groupBy("part").agg(top)  # one row a partition
     every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = F.coalesce(F.lead("top").over(Window.orderBy("part")), F.first("top").over(every))
     firsts = written(firsts.select("part", after.alias("after")), "firsts")
-    return rows.join(firsts, "part").select(
-        "doc_id", "half",
-        F.coalesce(F.lead(F.struct(F.col("doc_id").alias("id"))).over(Window.partitionBy("part").orderBy(order)), F.struct("after.id")).getField("id").alias("next_id"))
+    follows = F.lead(F.struct(F.col("doc_id").alias("id"), F.col("n").alias("n"))).over(Window.partitionBy("part").orderBy(order))
+    found = rows.join(firsts, "part").withColumn("next", F.coalesce(follows, F.struct("after.id", "after.n")))
+    return found.select("doc_id", "half", "n", F.col("next.id").alias("next_id"), F.col("next.n").alias("next_n"))
 
 
 @query("op7_document_fingerprints")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", text_of("text").alias("text"))
-    ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
+    ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"), F.count("*").alias("n"))
     nexts = written(next_ids(ids), "next")
+    total = nexts.agg(F.sum("n")).first()[0] or 0
     # The next document gives the start of its text and its sketch; rows of one id give the least of theirs.
-    givers = docs.join(nexts.select(F.col("doc_id").alias("taker"), "half", "next_id"), F.col("doc_id").eqNullSafe(F.col("next_id")))
-    givers = givers.select("taker", "half", "text", split_words(F.col("text")).alias("words"))
-    given = givers.select("taker", F.struct(F.left("text", "half").alias("filler"), sketches.sketch("words").alias("next_sketch")).alias("given"))
-    given = given.groupBy("taker").agg(F.min("given").alias("given"))
-    rows = docs.join(given, F.col("doc_id").eqNullSafe(F.col("taker"))).select(
+    takers = nexts.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("taker"), "half", F.col("n").alias("taken"), "next_n")
+    givers = join_hot(docs, takers, "doc_id", "next_n", total).select("taker", "taken", "half", "text", split_words(F.col("text")).alias("words"))
+    given = givers.select("taker", "taken", F.struct(F.left("text", "half").alias("filler"), sketches.sketch("words").alias("next_sketch")).alias("given"))
+    given = given.groupBy(F.col("taker").alias("doc_id"), "taken").agg(F.min("given").alias("given"))
+    rows = join_hot(docs, given, "doc_id", "taken", total).select(
         "doc_id", "text", F.length("text").cast("long").alias("n_chars"), "given.filler", "given.next_sketch")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left("text", (F.col("n_chars") - half).cast("int")), F.left("filler", half))

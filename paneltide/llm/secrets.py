@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneltide.llm.common import join_hot, text_of, written
@@ -73,12 +73,20 @@ def _matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return rows.withColumn("end", end).filter("value >= least").select("blob", "rule", (F.col("end") - F.col("wide")).alias("start"), "end").distinct()
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, ledger): (doc_id, spans) of every row, and the ledger with all pairs of this run.
 
-    spans is an array of (start, kind's place among the rules, kind, end) in order.
+    The ledger comes from the table at `path`, where one is named; it is made there by the first run,
+    gets the rows of this one, and outlives the session. spans is an array of (start, kind's place among the rules, kind, end) in order.
     """
     spark = docs.sparkSession
+    if path and ledger is None and _exists(spark, path):
+        ledger = spark.read.schema(LEDGER).parquet(path)
     ledger = spark.createDataFrame([], LEDGER) if ledger is None else ledger
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     current = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
@@ -95,10 +103,15 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     spans = _matches(texts, rules).groupBy("blob", "rule").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
     versioned = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.version)])
+    if todo.isEmpty():  # nothing new: no text is read
+        spans = spark.createDataFrame([], spans.schema)
     scanned = todo.select("blob", F.explode("todo").alias("rule")).withColumn("version", versioned[F.col("rule")])
     added = scanned.join(spans, ["blob", "rule"], "left").select(
         "blob", "rule", "version", F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans"))
+    added = written(added, "added")
     now = written(ledger.select("blob", "rule", "version", "spans").unionByName(added), "ledger")
+    if path:
+        added.write.mode("append").parquet(path)
 
     live = now.filter(F.col("version") == versioned[F.col("rule")]).select("blob", "rule", F.explode("spans").alias("s"))
     one = F.struct(F.col("s.start").alias("start"), order[F.col("rule")].alias("place"), F.col("rule").alias("kind"), F.col("s.end").alias("end"))

@@ -48,6 +48,19 @@ def test_only_unseen_pairs_are_scanned(docs):
     assert last.count() == 2 * 3 + 1
 
 
+def test_a_ledger_on_disk_outlives_the_run(docs, tmp_path):
+    path = f"{tmp_path}/ledger"
+    first, _ = secrets.scan(docs("token = abcdefgh", "nothing"), path=path)
+    before = docs("x").sparkSession.read.parquet(path)
+    assert before.count() == 2 * 3
+    found, ledger = secrets.scan(docs("nothing", "token = abcdefgh", "token: 12345678"), path=path)
+    assert [len(s) for s in spans(found.orderBy("doc_id").collect())] == [0, 1, 1]
+    # Only the new blob was scanned and added.
+    assert ledger.count() == docs("x").sparkSession.read.parquet(path).count() == 3 * 3
+    again, ledger = secrets.scan(docs("token = abcdefgh"), path=path)
+    assert [len(s) for s in spans(again.collect())] == [1] and ledger.count() == 3 * 3
+
+
 def test_odd_and_empty(odd_docs, no_docs):
     found, ledger = secrets.scan(odd_docs)
     assert found.count() == odd_docs.count() and all(s == [] for s in spans(found.collect()))
