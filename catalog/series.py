@@ -181,6 +181,10 @@ SELECT q.g, q.t, round(CASE WHEN v IS NOT NULL THEN v WHEN rss <= n THEN fit ELS
 FROM q LEFT JOIN sp ON sp.g = q.g AND sp.t = q.t WHERE v IS NOT NULL OR n >= 2""",
      lambda df, spec: _rounded(fill.fill_spline(_large(df), spec), "v", digits=3), daily, SPLIT_DAYS)
 
+# The smoothing spline has no SQL; tests hold it against a dense solution in another basis.
+query("w12_smooth_daily")(lambda spark, sf_dir: _rounded(
+    fill.fill_spline(_large(daily(spark, sf_dir)), SPEC.with_(time_range=DAYS), curve="smooth"), "v", digits=3))
+
 LAGS = """lag(v, 1) OVER w AS lag_1, lag(v, 2) OVER w AS lag_2"""
 both("w2_lags", f"WITH {DAILY} SELECT g, t, v, {LAGS} FROM p WINDOW w AS (PARTITION BY g ORDER BY t)",
      features.add_lag_features, daily, SPLIT_DAYS)

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from paneltide.functions import bspline
 from paneltide.functions.blocks import add_block, nearest_items, reject_duplicates, with_facts
-from paneltide.functions.bspline import HALO, interpolate
+from paneltide.functions.bspline import HALO, interpolate, smooth
 from paneltide.functions.materialize import cut
 from paneltide.spec import PanelSpec
 
 # Above this degree smoothing splines are not defined, and the line is taken instead.
 MAX_ORDER = 5
 
+# Curves beyond the polynomial: through all values, or smoothing, as close as the allowance asks for.
+CURVES = {"through": interpolate, "smooth": smooth}
+# Longest series, in rows, that one task smooths where no time range is declared.
+WHOLE = 65_536
+
 # Executors get the spline code with the task, so they need not have this package.
 cloudpickle.register_pickle_by_value(bspline)
 
@@ -204,8 +209,9 @@ def _spline_filler(spec: PanelSpec, order: int):
     return fill
 
 
-def _series_by_series(spec: PanelSpec, order: int):
+def _series_by_series(spec: PanelSpec, order: int, curve: str):
     """Fills the nulls of all series whose rows are marked ``_spline``, in rows sorted by group."""
+    along = CURVES[curve]
     time, value, groups = spec.time, spec.value, spec.groups
 
     def starts(rows: pa.Table) -> np.ndarray:
@@ -226,7 +232,7 @@ def _series_by_series(spec: PanelSpec, order: int):
                 known = here[~np.isnan(v[here])]
                 unknown = here[np.isnan(v[here])]
                 if len(unknown):
-                    v[unknown] = interpolate(t[known], v[known], order, t[unknown])
+                    v[unknown] = along(t[known], v[known], order, t[unknown])
             place = rows.schema.get_field_index(value)
             field = rows.schema.field(place)
             rows = rows.set_column(place, field, pa.array(v, field.type, from_pandas=True))
@@ -263,20 +269,24 @@ def _through_all_values(rows: DataFrame, spec: PanelSpec, order: int) -> DataFra
 
 
 def interpolate_spline(
-    df: DataFrame, spec: PanelSpec, order: int = 3, too_few: str = "linear"
+    df: DataFrame, spec: PanelSpec, order: int = 3, too_few: str = "linear", curve: str = "through"
 ) -> DataFrame:
     """Nulls replaced by a smooth curve over time; ``fill_path`` says which one.
 
     ``poly``: the least-squares polynomial of degree ``min(order, values - 1)`` if its
     squared residuals sum up to at most the number of values, which is where a smoothing
     spline with that allowance stops as well.  ``spline``: else the spline through all
-    values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``; and
+    values; or ``smooth``, if ``curve`` is ``smooth``: the spline with the smallest jumps of
+    its highest derivative whose squared residuals are the number of values.  ``linear``: the only value of its group, unless ``too_few`` is ``none``; and
     the line by position if ``order`` and the values ask for a degree above MAX_ORDER.
     Rows without a period have no place on a curve and stay null (``none``).
 
     Without a declared time range small tables, of one row per block, are written when this
-    is called.
+    is called, and series of more than WHOLE rows are not smoothed: their curve goes through
+    all values.
     """
+    if curve not in CURVES:
+        raise ValueError(f"curve must be one of {tuple(CURVES)}")
     if order < 1:
         raise ValueError("order must be at least 1")
     too_high, order = order > MAX_ORDER, min(order, MAX_ORDER)
@@ -340,30 +350,41 @@ def interpolate_spline(
     by_line = F.lit(too_high) & F.col("_curved") & (F.col("_count") > MAX_ORDER + 1)
     path = F.when(by_line, "line").when(F.col("_curved"), F.col("_path")).when(single, "linear").otherwise("none")
     line = F.col("_linear") if too_high else F.lit(None).cast("double")
-    curve = F.col("_mean") + sum(
+    polynomial = F.col("_mean") + sum(
         (F.col(c) * b for c, b in zip(coefficients, legendre(F.col("_x"), order))), F.lit(0.0))
     planned = solved.withColumn("_plan", path)
     on_spline = (F.col("_plan") == "spline") & here.isNotNull()
     columns = [
-        F.when(unknown & (F.col("_plan") == "poly"), curve)
+        F.when(unknown & (F.col("_plan") == "poly"), polynomial)
         .when(unknown & (F.col("_plan") == "linear"), F.col("_mean"))
         .when(unknown & (F.col("_plan") == "line"), line)
         .otherwise(value).cast(df.schema[c].dataType).alias(c) if c == spec.value else F.col(c) for c in df.columns]
-    named = F.when(unknown, F.when(F.col("_plan") == "line", "linear").otherwise(F.col("_plan"))).otherwise("none")
+    drawn = "smooth" if curve == "smooth" else "spline"
+    named = F.when(unknown, F.when(F.col("_plan") == "line", "linear").when(F.col("_plan") == "spline", drawn)
+                   .otherwise(F.col("_plan"))).otherwise("none")
+
+    def by_series(marked: DataFrame) -> DataFrame:
+        ordered = marked.sortWithinPartitions(*spec.groups, F.col(spec.time).asc_nulls_last())
+        return ordered.mapInArrow(_series_by_series(spec, order, curve), ordered.drop("_spline").schema)
+
     if spec.bounded:
         # One pass: the windows have put every series together, in order of time.
-        marked = planned.select(*columns, named.alias("fill_path"), on_spline.alias("_spline")).sortWithinPartitions(
-            *spec.groups, F.col(spec.time).asc_nulls_last())
-        result = marked.mapInArrow(_series_by_series(spec, order), marked.drop("_spline").schema)
+        result = by_series(planned.select(*columns, named.alias("fill_path"), on_spline.alias("_spline")))
         return result.withColumn("was_filled", F.col("fill_path") != "none")
     direct = planned.where(~on_spline).select(*columns, named.alias("fill_path"))
-    splined = planned.where(on_spline).select(
+    smoothed = (F.lit(curve) == "smooth") & (F.col("_nulls") + F.col("_count") <= WHOLE)
+    splined = planned.where(on_spline & ~smoothed).select(
         *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
     curved = _through_all_values(splined, spec, order)
     result = direct.union(curved.select(*direct.columns))
+    if curve == "smooth":
+        # The work is heavy for its bytes, so its tasks are not put together by their size.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        whole_series = planned.where(on_spline & smoothed).select(*columns, named.alias("fill_path"), on_spline.alias("_spline"))
+        result = result.union(by_series(whole_series.repartition(tasks, *spec.groups)))
     return result.withColumn("was_filled", F.col("fill_path") != "none")
 
 
-def fill_spline(df: DataFrame, spec: PanelSpec, order: int = 3) -> DataFrame:
+def fill_spline(df: DataFrame, spec: PanelSpec, order: int = 3, curve: str = "through") -> DataFrame:
     """``interpolate_spline`` without the rows that stay null; one value fills nothing."""
-    return interpolate_spline(df, spec, order, too_few="none").dropna(subset=[spec.value])
+    return interpolate_spline(df, spec, order, "none", curve).dropna(subset=[spec.value])

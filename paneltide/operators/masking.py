@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions.blocks import add_block, reject_duplicates, with_facts
-from paneltide.functions.bspline import interpolate
 from paneltide.functions.materialize import cut
 from paneltide.functions.skew import give_back
 from paneltide.operators.complete import filter_complete_series
-from paneltide.operators.fill import MAX_ORDER, interpolate_spline, legendre, products, scaled, solve
+from paneltide.operators.fill import CURVES, MAX_ORDER, interpolate_spline, legendre, products, scaled, solve
 from paneltide.spec import PanelSpec
 
 # Positions that one row chooses from, and how far it looks ahead at first for the next
@@ -389,9 +388,9 @@ def _fits(looked_up: DataFrame, values: DataFrame, spec: PanelSpec, order: int)
         "trial", "kind", *spec.groups, "_masked", "_count", "_path", *[f"_c{i}" for i in range(order + 1)])
 
 
-def _curve_errors(spec: PanelSpec, order: int):
-    """Errors of the spline through the values of one series, for all its masks, without a copy of it."""
-    groups = spec.groups
+def _curve_errors(spec: PanelSpec, order: int, curve: str):
+    """Errors of the spline over the values of one series, for all its masks, without a copy of it."""
+    groups, along = spec.groups, CURVES[curve]
 
     def errors(series: pa.Table, masks: pa.Table) -> pa.Table:
         trial, kind, at, width, scored = (masks[c].to_pylist() for c in ("trial", "kind", "position", "_width", "_scored"))
@@ -407,9 +406,9 @@ def _curve_errors(spec: PanelSpec, order: int):
             for k in rows:
                 known[at[k]:at[k] + width[k]] = False
             places = np.array([at[k] + j for k in rows for j in range(scored[k])])
-            curve = interpolate(t[known], v[known], order, t[places])
+            estimate = along(t[known], v[known], order, t[places])
             starts = [at[k] for k in rows for _ in range(scored[k])]
-            out += zip([run_trial] * len(places), [run_kind] * len(places), starts, (v[places] - curve).tolist(), strict=True)
+            out += zip([run_trial] * len(places), [run_kind] * len(places), starts, (v[places] - estimate).tolist(), strict=True)
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         keys = {g: pa.array([series[g][0].as_py()] * len(out), series.schema.field(g).type) for g in groups}
         return pa.table({
@@ -420,7 +419,7 @@ def _curve_errors(spec: PanelSpec, order: int):
 
 
 def _spline_errors(
-    df: DataFrame, spec: PanelSpec, masks: DataFrame, values: DataFrame, order: int, score_all: bool
+    df: DataFrame, spec: PanelSpec, masks: DataFrame, values: DataFrame, order: int, score_all: bool, curve: str
 ) -> DataFrame:
     """Errors of the masked series that no polynomial is close to: (trial, kind, group, position, error).
 
@@ -436,9 +435,9 @@ def _spline_errors(
         wide = wide.withColumnsRenamed({g: f"_mask_{g}" for g in spec.groups})
         masked = wide.groupBy(*[f"_mask_{g}" for g in spec.groups])
         return series.groupBy(*spec.groups).cogroup(masked).applyInArrow(
-            _guarded(_curve_errors(spec, order), spec), f"trial int, kind string, {keys}, position long, error double")
+            _guarded(_curve_errors(spec, order, curve), spec), f"trial int, kind string, {keys}, position long, error double")
     series = spec.with_(group=("trial", "kind", *spec.groups), value="masked_value")
-    filled = interpolate_spline(cut(masked_panel(df, spec, masks)), series, order)
+    filled = interpolate_spline(cut(masked_panel(df, spec, masks)), series, order, curve=curve)
     return filled.where(F.col("is_masked" if score_all else "is_target")).select(
         "trial", "kind", *spec.groups, "position", (F.col(spec.value) - F.col("masked_value")).alias("error"))
 
@@ -459,7 +458,8 @@ def _guarded(function, spec: PanelSpec):
 
 
 def masking_errors(
-    df: DataFrame, spec: PanelSpec, targets: DataFrame, order: int = 3, score_all: bool = False
+    df: DataFrame, spec: PanelSpec, targets: DataFrame, order: int = 3, score_all: bool = False,
+    curve: str = "through",
 ) -> DataFrame:
     """Error of each method at the masked values: (trial, kind, method, group, position, error).
 
@@ -483,10 +483,10 @@ def masking_errors(
     span = F.col("last") - F.col("first") + 2
     slope = (F.col("after") - F.col("before")) / span
     line = F.col("before") + slope * (F.col("_p.at") - F.col("first") + 1)
-    curve = F.col("_mean") + sum(
+    polynomial = F.col("_mean") + sum(
         (F.col(f"_c{i}") * b for i, b in enumerate(legendre(scaled(F.col("_p.t")), order))), F.lit(0.0))
     by_line = F.lit(too_high) & (F.col("_count") > MAX_ORDER + 1)
-    smooth = F.when(by_line, line).when(F.col("_path") == "poly", curve)
+    smooth = F.when(by_line, line).when(F.col("_path") == "poly", polynomial)
     methods = F.array(
         F.struct(F.lit("linear").alias("method"), line.alias("estimate")),
         F.struct(F.lit("spline").alias("method"), smooth.alias("estimate")))
@@ -499,7 +499,7 @@ def masking_errors(
     if not on_spline.take(1):
         return plain
     masks = give_back(targets, on_spline.select(*run, "_masked", F.lit(True).alias("_on")), run, "_masked").where("_on").drop("_on")
-    curved = _spline_errors(df, spec, masks, values, order, score_all)
+    curved = _spline_errors(df, spec, masks, values, order, score_all, curve)
     return plain.unionByName(curved.select(
         "trial", "kind", F.lit("spline").alias("method"), *spec.groups, "position", "error"))
 
@@ -536,7 +536,7 @@ def pooled_metrics(errors: DataFrame, trials: int) -> DataFrame:
 
 def compare_methods(
     df: DataFrame, spec: PanelSpec, ratio_isolated: float, ratio_sequential: float,
-    trials: int = 100, base_seed: int = 42, order: int = 3, score_all: bool = False,
+    trials: int = 100, base_seed: int = 42, order: int = 3, score_all: bool = False, curve: str = "through",
 ) -> DataFrame:
     """Errors of linear and spline imputation over repeated isolated and sequential masking.
 
@@ -546,4 +546,4 @@ def compare_methods(
     lengths = cut(complete_lengths(df, spec))
     targets = mask_isolated(df, spec, ratio_isolated, base_seed, trials, lengths).union(
         mask_sequential(df, spec, ratio_sequential, base_seed, trials, lengths))
-    return pooled_metrics(masking_errors(df, spec, targets, order, score_all), trials)
+    return pooled_metrics(masking_errors(df, spec, targets, order, score_all, curve), trials)

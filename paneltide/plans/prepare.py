@@ -20,6 +20,7 @@ class Settings:
     threshold: float = 0.2
     method: str = "linear"
     order: int = 3
+    curve: str = "through"
 
 
 def prepare_panel(df: DataFrame, spec: PanelSpec, settings: Settings = Settings()) -> DataFrame:
@@ -39,5 +40,5 @@ def prepare_panel(df: DataFrame, spec: PanelSpec, settings: Settings = Settings(
     if settings.method == "linear":
         filled = fill_linear(trimmed, known)
     else:
-        filled = fill_spline(trimmed, known, settings.order)
+        filled = fill_spline(trimmed, known, settings.order, settings.curve)
     return build_features(between(filled), known, keep_groupless=False)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from paneltide import PanelSpec
-from paneltide.functions.bspline import HALO, WINDOW, interpolate
+from paneltide.functions.bspline import HALO, WINDOW, interpolate, smooth
 from paneltide.operators import fill
 
 SPEC = PanelSpec("g", "t", "v")
@@ -108,6 +108,67 @@ def test_long_split_series_agree_with_whole_ones(spark):
         assert split[key] == (pytest.approx(value, rel=1e-9, abs=1e-6), path)
 
 
+def dense_smooth(x, y, at, degree):
+    """The smoothing spline in truncated powers: the jumps are their coefficients; the weight by halving."""
+    x, at = np.asarray(x, float), np.asarray(at, float)
+    middle, scale = x.mean(), np.ptp(x) / 2
+    x, at = (x - middle) / scale, (at - middle) / scale
+    half = (degree + 1) // 2
+    if degree % 2:
+        knots = x[half:len(x) - half]
+    else:
+        knots = ((x[:-1] + x[1:]) / 2)[degree // 2:len(x) - 1 - degree // 2]
+
+    def basis(u):
+        return np.column_stack(
+            [u ** k for k in range(degree + 1)] + [np.clip(u - c, 0, None) ** degree for c in knots])
+
+    b, penalty = basis(x), np.diag([0.0] * (degree + 1) + [1.0] * len(knots))
+    low, high = -40.0, 40.0
+    for _ in range(200):
+        u = (low + high) / 2
+        c = np.linalg.lstsq(np.vstack([b, np.exp(u / 2) * penalty]), np.concatenate([y, np.zeros(len(penalty))]), rcond=None)[0]
+        low, high = (low, u) if ((b @ c - y) ** 2).sum() > len(y) else (u, high)
+    return basis(at) @ c
+
+
+@pytest.mark.parametrize("degree", [1, 2, 3, 4, 5])
+@pytest.mark.parametrize("size", [2.0, 30.0])
+def test_smoothing_spline_in_two_bases(degree, size):
+    rng = np.random.default_rng(degree)
+    x = np.sort(rng.choice(60, 22, replace=False)).astype(float)
+    y = rng.normal(size=22) * size + np.sin(x / 4) * 3 * size
+    at = np.array([x[0] - 0.5, *((x[:-1] + x[1:]) / 2), x[-1] + 0.5])
+    assert smooth(x, y, degree, at) == pytest.approx(dense_smooth(x, y, at, degree), rel=1e-4, abs=1e-4 * size)
+    assert ((smooth(x, y, degree, x) - y) ** 2).sum() == pytest.approx(22, rel=1e-6)
+
+
+@pytest.mark.parametrize("noise", [1.5, 50.0])
+def test_long_series_use_up_the_allowance(noise):
+    rng = np.random.default_rng(3)
+    x = np.cumsum(rng.integers(1, 4, size=5_000)).astype(float)
+    y = np.cumsum(rng.normal(size=5_000)) + rng.normal(size=5_000) * noise
+    assert ((smooth(x, y, 3, x) - y) ** 2).sum() == pytest.approx(5_000, rel=1e-6)
+
+
+def test_smooth_fills_agree_in_all_modes(panel, spec):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for g in range(4):
+        t = np.arange(-2, 30 + g)
+        v = np.sin(t / 3) * 20 + rng.normal(size=len(t)) * 4
+        holes = {0, 7, 8, 9, 20, len(t) - 1}
+        known = [i for i in range(len(t)) if i not in holes]
+        rows += [(f"g{g}", int(t[i]), None if i in holes else float(v[i])) for i in range(len(t))]
+        places = sorted(holes)
+        values = dense_smooth(t[known], v[known], t[places], 3)
+        want |= {(f"g{g}", int(t[i])): float(x) for i, x in zip(places, values)}
+    got = filled(fill.fill_spline(panel(rows), spec, curve="smooth"))
+    assert len(got) == len(rows)
+    for key, value in want.items():
+        assert got[key] == (pytest.approx(value, rel=1e-4, abs=1e-3), "smooth")
+
+
 def test_few_values(panel, spec):
     df = panel([("one", 1, 7.0), ("one", 2, None), ("no", 1, None), ("two", 1, 1.0), ("two", 2, None), ("two", 3, 3.0)])
     kept = filled(fill.fill_spline(df, spec))
