@@ -12,8 +12,18 @@ it goes too, so passages in another order and repeated ones leave nothing. Whate
 deleted from a document stands in an earlier one, and the owner's copy of a line stays.
 
 With `short_runs` the owned keys are runs instead: from each line on, the shortest run that
-has `words` words. So documents are also paired through passages of shorter lines. Letters of
-scripts without spaces count as words, and so do each CHARS characters of a line without any.
+has `words` words. So documents are also paired through passages of shorter lines.
+
+With `anywhere` a line goes if it is in a run of `words` words or more that stands in any earlier
+document, its owners or others. The owned keys are the shortest runs of `words` words that begin or end
+at each line, and the aligner gets the lines of shared runs only, of both documents, with a gap
+wherever others stood between. An owner's lines come with the keys and the places that it has them
+at: its own lines are not sent, and a document goes to the aligner once, with all its owners. So work
+and shuffled rows follow the lines of the later documents, however long an owner is. Runs that the
+alignment leaves, moved or repeated ones, are aligned again with the stretch of the owner
+that they have their keys from.
+
+Letters of scripts without spaces count as words, and so do each CHARS characters of a line without any.
 
 Results for odd input: a null text is an empty one; rows with the same id count as one
 document and are not compared with one another; a null id is later than any other; an empty
@@ -172,6 +182,82 @@ def _align(least: int):
     return task
 
 
+def _gapped(lines: dict[int, int]) -> tuple[list, list[int]]:
+    """Lines by their places, in order, with a line like no other wherever places are left out; and the places."""
+    out, places = [], []
+    for at in sorted(lines):
+        if places and places[-1] + 1 != at:
+            out.append(("gap", id(lines), at))
+            places.append(at - 1)
+        out.append(lines[at])
+        places.append(at)
+    return out, places
+
+
+def shared_blocks(a: list, sizes: list[int], shared: list[tuple[int, int, int]], least: int) -> list[tuple[int, int]]:
+    """(first, until) of the lines of a to delete, given the shared runs (i, n, j): n lines that
+    stand at i in a and at j in its owner."""
+    before = [0, *accumulate(sizes)]
+    shared = sorted(shared)
+    mine, kept = {}, {}
+    for i, n, j in shared:
+        for k in range(n):
+            mine[i + k] = kept[j + k] = a[i + k]
+    x, at = _gapped(mine)
+    y, _ = _gapped(kept)
+    found = [(at[i], at[i] + n) for i, _, n in align(x, y)]
+    out = [(i, until) for i, until in found if before[until] - before[i] >= least]
+    covered = {k for i, until in out for k in range(i, until)}
+    stretch = None  # first line, place in the owner, end
+    again = []
+    for i, n, j in shared:
+        if all(k in covered for k in range(i, i + n)):
+            continue
+        if stretch and i <= stretch[2] and i - stretch[0] == j - stretch[1]:
+            stretch[2] = max(stretch[2], i + n)
+        else:
+            stretch = [i, j, i + n]
+            again.append(stretch)
+    for i, j, until in again:
+        out += [(i + k, i + k + n) for k, _, n in align(a[i:until], [kept[j + k] for k in range(until - i)])]
+    return sorted(set(out))
+
+
+REMOVED = "array<struct<first:int,until:int,owner:long>>"
+
+
+def _align_runs(least: int):
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("until", pa.int32()), ("owner", pa.int64())]))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            removed = []
+            for hashes, sizes, shared in zip(*batch.columns[2:], strict=True):
+                hashes, sizes, by_owner = hashes.as_py(), sizes.as_py(), {}
+                for s in shared.as_py():
+                    by_owner.setdefault(s["owner"], []).append((s["i"], s["n"], s["place"]))
+                found = [(i, until, o) for o, own in by_owner.items() for i, until in shared_blocks(hashes, sizes, own, least)]
+                removed.append([{"first": i, "until": until, "owner": o} for i, until, o in sorted(found)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(removed, kind)], ["key", "text_hash", "removed"])
+
+    return task
+
+
+def _by_runs(sequences: DataFrame, words: int) -> DataFrame:
+    """(key, text_hash, removed) of the documents that share runs with earlier ones."""
+    each = sequences.select("key", "text_hash", F.explode(runs(words)).alias("r")).select("key", "text_hash", "r.*")
+    # A place says which text of an id it is in as well, so texts of one id do not run into one another.
+    place = F.shiftleft("text_hash", 32) + F.col("i")
+    first = each.groupBy("h").agg(F.min("key").alias("owner"), F.max("key").alias("last"), F.min_by(place, "key").alias("place"), F.count("*").alias("rows"))
+    owners = written(first.filter("owner <> last").drop("last"), "owners")
+    total = owners.agg(F.sum("rows")).first()[0] or 0
+    shared = join_hot(each, owners, "h", "rows", total).filter("key <> owner")
+    found = shared.groupBy("key", "text_hash").agg(F.collect_set(F.struct("i", "n", "owner", "place")).alias("shared"))
+    once = sequences.dropDuplicates(["key", "text_hash"])
+    both = once.join(found, ["key", "text_hash"]).select("key", "text_hash", "hashes", "sizes", "shared")
+    return both.mapInArrow(_align_runs(words), f"key long, text_hash long, removed {REMOVED}")
+
+
 def apart(text: Column) -> Column:
     """The text with spaces around each letter of a script that has none between words."""
     return F.when(text.rlike(SCRIPTS), F.regexp_replace(text, f"({SCRIPTS})", " $1 ")).otherwise(text)
@@ -201,7 +287,31 @@ def windows(words: int) -> Column:
     return F.transform("hashes", key)
 
 
-def blocks(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False) -> DataFrame:
+def runs(words: int) -> Column:
+    """(i, n, h) of the shortest runs with `words` words that begin or end at each line; h is the hash of their n lines.
+
+    A line that has them alone has its own hash. Every line counts as a word at least, so a run
+    has `words` lines at most. Any longer run is made of those that begin at its lines and the one
+    that ends with it, so these say whether a line is in a run that stands elsewhere.
+    """
+    def run(i: Column, n: int) -> Column:
+        lines = [F.get("hashes", i + k) for k in range(n)]
+        return F.struct(i.alias("i"), F.lit(n).alias("n"), (F.xxhash64(*lines) if n > 1 else lines[0]).alias("h"))
+
+    def both(_: Column, i: Column) -> Column:
+        size = F.get("sizes", i)
+        begins, ends, ahead, back = F.when(size >= words, run(i, 1)), F.when(size >= words, None), size, size
+        for n in range(2, words + 1):
+            ahead, back = ahead + F.get("sizes", i + n - 1), back + F.get("sizes", i - n + 1)
+            begins = begins.when(ahead >= words, run(i, n))
+            # The shortest run that ends here may be the shortest from its first line, too.
+            ends = ends.when(back >= words, F.when(back - size >= words, run(i - n + 1, n)))
+        return F.array(begins, ends)
+
+    return F.filter(F.flatten(F.transform("hashes", both)), lambda r: r.isNotNull())
+
+
+def blocks(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False, anywhere: bool = False) -> DataFrame:
     """(key, text_hash, removed): removed lists (first, until, owner), the lines to delete and who keeps them.
 
     key is the id, or the largest integer for a null id.
@@ -211,6 +321,8 @@ def blocks(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col
     lines = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("text_hash"), F.split(text, "\n", -1).alias("lines"), F.transform(F.split(apart(text), "\n", -1), size).alias("sizes"))
     hashed = lines.select("key", "text_hash", F.transform("lines", lambda x: F.xxhash64(F.trim(x))).alias("hashes"), "sizes")
     sequences = written(hashed, "sequences")
+    if anywhere:
+        return _by_runs(sequences, words)
     if short_runs:
         each = sequences.select("key", F.explode(windows(words)).alias("h")).filter("h is not null")
     else:
@@ -252,16 +364,15 @@ def _delete(place: int, names: list[str]):
     return task
 
 
-def dedup(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", short_runs: bool = False, anywhere: bool = False) -> DataFrame:
     """`docs` with shorter texts, and _lines, _gone (counts of lines) and _removed (see blocks; null if none)."""
     key, text_hash, removed, own, own_hash = (fresh(docs, n) for n in ("_key", "_hash", "_removed", "_own", "_own_hash"))
-    found = written(blocks(docs, words, id_col, text_col, short_runs), "removed").withColumnsRenamed({"key": key, "text_hash": text_hash, "removed": removed})
+    found = written(blocks(docs, words, id_col, text_col, short_runs, anywhere), "removed").withColumnsRenamed({"key": key, "text_hash": text_hash, "removed": removed})
     keyed = docs.withColumns({own: F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), own_hash: F.xxhash64(text_of(text_col))})
     joined = keyed.join(found, (F.col(own) == F.col(key)) & (F.col(own_hash) == F.col(text_hash)), "left").select(*docs.columns, removed)
-    kind = "array<struct<first:int,until:int,owner:long>>"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = [fresh(docs, "_lines"), fresh(docs, "_gone"), removed]
-    shape = f"{fields}, `{names[0]}` int, `{names[1]}` int, `{names[2]}` {kind}"
+    shape = f"{fields}, `{names[0]}` int, `{names[1]}` int, `{names[2]}` {REMOVED}"
     return joined.mapInArrow(_delete(docs.columns.index(text_col), names), shape)
 
 

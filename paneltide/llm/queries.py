@@ -240,5 +240,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_line_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(table(spark, sf_dir, "documents"), short_runs=True).select(
+    return line_dedup.dedup(table(spark, sf_dir, "documents"), anywhere=True).select(
         "doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_removed"), F.col("_removed").alias("removed"))

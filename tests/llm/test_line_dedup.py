@@ -166,3 +166,62 @@ def test_short_runs_equal_brute_force(spark):
     want = naive(rows, short_runs=True)
     got = {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), short_runs=True).collect()}
     assert got == want and sum(t != dict(rows)[d] for d, t in got.items()) > 40
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.integers(1, 3), min_size=4, max_size=4), st.integers(1, 5))
+def test_blocks_from_shared_runs_are_those_in_runs_of_the_owner(a, b, widths, least):
+    sizes = [widths["abcd".index(x)] for x in a]
+    want, shared = set(), []
+    for i in range(len(a)):
+        for until in range(i + 1, len(a) + 1):
+            j = next((j for j in range(len(b)) if b[j:j + until - i] == a[i:until]), None)
+            if sum(sizes[i:until]) >= least and j is not None:
+                want.update(range(i, until))
+                if sum(sizes[i:until - 1]) < least or sum(sizes[i + 1:until]) < least:
+                    shared.append((i, until - i, j))
+    assert {k for i, until in line_dedup.shared_blocks(a, sizes, shared, least) for k in range(i, until)} == want
+
+
+def test_a_very_long_owner_is_not_sent_to_its_later_documents(docs):
+    import time
+
+    long = [f"line {k} of the very long document here" for k in range(200_000)]
+    texts = ["\n".join(long)] + ["\n".join([f"own {d}", *long[100 * d:100 * d + 20]]) for d in range(1000)]
+    start = time.perf_counter()
+    rows = {r.doc_id: r.text for r in line_dedup.dedup(docs(*texts), anywhere=True).collect()}
+    assert time.perf_counter() - start < 60
+    assert rows[0] == texts[0] and all(rows[d + 1] == f"own {d}" for d in range(1000))
+
+
+def test_texts_of_one_id_do_not_run_into_one_another(spark):
+    one = "\n".join(f"first text line {k} has words" for k in range(6))
+    two = "\n".join(f"second text line {k} has words" for k in range(6))
+    rows = [(1, one), (1, two), (1, one), (2, f"{two}\nmine\n{one}"), (2, f"{two}\nmine\n{one}"), (None, one)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), anywhere=True).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted([("1", one), ("1", two), ("1", one), ("2", "mine"), ("2", "mine"), ("None", "")])
+
+
+def test_anywhere_equals_brute_force(spark):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choices(["la", "le", "lo"], k=rng.randint(1, 6))) for _ in range(40)]
+    rows = [(d, "\n".join(rng.choice(pool[at:at + 2]) if rng.random() < 0.9 else f"own {d}" for at in range(a, a + rng.randint(1, 9)))) for d, a in ((d, rng.randrange(30)) for d in range(120))]
+    rows += [(200, "这是一行没有空格的文字\nla\nle"), (201, "x\n这是一行没有空格的文字\nla"), (202, f"{rows[3][1]}\n{rows[3][1]}\n\n{rows[4][1]}"), (203, None), (204, "")]
+    lines = {d: [x.strip(" ") for x in (t or "").split("\n")] for d, t in rows}
+    want = {}
+    for d, own in lines.items():
+        gone = set()
+        for i in range(len(own)):
+            for until in range(i + 1, len(own) + 1):
+                if sum(map(words_of, own[i:until])) >= 5 and any(
+                        b[j:j + until - i] == own[i:until] for o, b in lines.items() if o < d for j in range(len(b))):
+                    gone.update(range(i, until))
+        want[d] = "\n".join(x for k, x in enumerate((dict(rows)[d] or "").split("\n")) if k not in gone)
+    got = {r.doc_id: r.text or "" for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), anywhere=True).collect()}
+    assert got == want and sum(t != (dict(rows)[d] or "") for d, t in got.items()) > 60
+
+
+def test_anywhere_odd_and_empty(odd_docs, no_docs):
+    rows = line_dedup.dedup(odd_docs, anywhere=True).collect()
+    assert len(rows) == odd_docs.count() and all(r.text == "" for r in rows if r.doc_id is None and r.text is not None)
+    assert line_dedup.rest(no_docs, anywhere=True).collect() == []
+    assert line_dedup.rest(odd_docs, anywhere=True).columns == odd_docs.columns
