@@ -184,7 +184,7 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(responses, revisits): (page_id, digest, payload) and (page_id, refers_to, digest)."""
-    every = records(spark, folder)
+    every = written(records(spark, folder), "records")  # archives are parsed once
     shape = "kind string, record_id string, page_id long, refers_to long, digest string, block binary"
     cut = every.filter(F.col("segment").isNotNull()).groupBy("origin_id").applyInArrow(_joined, shape)
     single = every.filter((F.col("kind") == "response") & F.col("segment").isNull()).select(*cut.columns)
