@@ -21,7 +21,7 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = line_dedup.rest(docs, short_runs=True)
+    rest = line_dedup.rest(docs, anywhere=True)
     return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
