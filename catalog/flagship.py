@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from catalog.panels import SPEC, YEARLY_BREAKS, linear_sql, yearly_breaks
 from catalog.registry import query
+from paneltide.functions.materialize import new_folder
 from paneltide.plans.prepare import Settings, prepare_panel
+from paneltide.sources.clustered import read_clustered, replace_codes, write_clustered
 
 BOUNDED = SPEC.with_(time_range=(1900, 2100))
 
@@ -43,3 +47,15 @@ def _(spark, sf_dir):
 @query("e3_prepare_panel_split", PREPARED)
 def _(spark, sf_dir):
     return _prepared(spark, sf_dir, SPEC.with_(block=2))
+
+
+@query("e3_prepare_panel_clustered", PREPARED)
+def _(spark, sf_dir):
+    """From a clustered table, in which the values of one folder are wrong at first."""
+    name = f"panel_{uuid4().hex}"
+    rows = yearly_breaks(spark, sf_dir).withColumn("part", F.col("t") % 3)
+    wrong = rows.withColumn("v", F.when(F.col("part") == 1, 2 * F.col("v")).otherwise(F.col("v")))
+    write_clustered(wrong, name, new_folder(spark, "clustered"), BOUNDED, buckets=8, code="part")
+    replace_codes(rows.where("part = 1"), name, BOUNDED)
+    features = prepare_panel(read_clustered(spark, name).drop("part"), BOUNDED, Settings())
+    return features.withColumns({c: F.round(c, 4) for c in ("v", "lag_1", "lag_2", "roll_mean_3")})

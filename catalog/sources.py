@@ -13,7 +13,7 @@ from paneltide.functions.intervals import period_runs
 from paneltide.functions.materialize import new_folder
 from paneltide.operators import relational
 from paneltide.plans.enrich import enrich, enrichment_report
-from paneltide.sources import observations, odata, sdmx
+from paneltide.sources import landed, observations, odata, sdmx
 
 OBSERVATIONS = PanelSpec()
 
@@ -204,7 +204,7 @@ BY_PRIORITY = """x AS (SELECT CAST(o_custkey AS VARCHAR) AS g, CAST(year(o_order
   min(o_custkey) AS k FROM orders GROUP BY 1, 2, 3)"""
 
 
-def _responses(spark, sf_dir):
+def _landed_responses(spark, sf_dir):
     """Responses for blocks of 500 customers, so that their size does not grow with the data."""
     rows = (
         table(spark, sf_dir, "orders")
@@ -224,7 +224,11 @@ def _responses(spark, sf_dir):
         message("ORDERS", rows, F.col("n").alias("numericValue")))
     folder = new_folder(spark, "responses")
     texts.write.partitionBy("indicator").text(folder)
-    return odata.read_responses(spark, folder, one_per_line=True)
+    return folder
+
+
+def _responses(spark, sf_dir):
+    return odata.read_responses(spark, _landed_responses(spark, sf_dir), one_per_line=True)
 
 
 def _base(spark, sf_dir):
@@ -256,6 +260,21 @@ def _(spark, sf_dir):
     return relational.in_group_range(panel, panel.where("v > 500000").select("g", "t"), SPEC)
 
 
+@query("s8_needed_files", f"""WITH {BY_PRIORITY}, {YEARLY}, k AS (SELECT CAST(g AS VARCHAR) AS g, min(t) AS a, max(t) AS b FROM p
+  WHERE v > 500000 GROUP BY g)
+SELECT 'SPEND' AS indicator, x.g, t, dim1, spend AS v FROM x JOIN k ON x.g = k.g WHERE t BETWEEN a AND b
+UNION ALL SELECT 'ORDERS', x.g, t, dim1, n FROM x JOIN k ON x.g = k.g WHERE t BETWEEN a AND b""")
+def _(spark, sf_dir):
+    folder = _landed_responses(spark, sf_dir)
+    files = landed.list_files(spark, folder)
+    rows = odata.parse_responses(odata.read_responses(spark, folder, one_per_line=True), KEYED)
+    index = landed.index_files(files, rows, KEYED)
+    wanted = yearly(spark, sf_dir).where("v > 500000").select(F.col("g").cast("string").alias("g"), "t")
+    needed = landed.needed_files(files, index, wanted, KEYED)
+    found = odata.parse_responses(odata.read_responses(spark, folder, one_per_line=True, files=needed), KEYED)
+    return relational.in_group_range(found, wanted, KEYED).drop("source", "line", "position")
+
+
 @query("j3_in_key_periods", f"""WITH {YEARLY} SELECT p.* FROM p SEMI JOIN (
   SELECT o_custkey, year(l_shipdate) AS y FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R') k
   ON p.g = k.o_custkey AND p.t = k.y""")

@@ -36,17 +36,28 @@ INDICATORS = (
 )
 
 
-def read_responses(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def read_responses(
+    spark: SparkSession, path: str, one_per_line: bool = False, files: DataFrame | None = None,
+) -> DataFrame:
     """Response texts from folders ``indicator=<code>``: (indicator, source, line, value).
 
+    ``files`` are the files to read (``landed.needed_files``), all others are left alone.  Their
+    names pass through the driver, as those of a listing do.
+
     ``line`` puts the lines of a file in order: where their part of the file starts, and
     their place in that part, which one task reads from its start to its end.  The numbers
     themselves depend on the tasks, their order does not.
     """
-    files = spark.read.text(path, wholetext=not one_per_line)
+    if files is None:
+        texts = spark.read.text(path, wholetext=not one_per_line)
+    else:
+        names = [r["path"] for r in files.select("path").collect()]
+        reader = spark.read.option("basePath", path)
+        texts = reader.text(names, wholetext=not one_per_line) if names else reader.text(
+            path, wholetext=not one_per_line).where(F.lit(False))
     place = F.struct(
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return files.select(
+    return texts.select(
         F.col("indicator").cast("string").alias("indicator"),
         F.col("_metadata.file_path").alias("source"), place.alias("line"), "value")
 

@@ -9,7 +9,7 @@ from paneltide import PanelSpec
 from paneltide.operators import charts, complete, features, fill, gaps, masking, relational, status
 from paneltide.plans.enrich import enrich
 from paneltide.plans.prepare import Settings, prepare_panel
-from paneltide.sources import odata
+from paneltide.sources import clustered, odata
 
 SPEC = PanelSpec("g", "t", "v", status=("s",))
 BOUNDED = SPEC.with_(time_range=(0, 3000))
@@ -115,6 +115,26 @@ def test_prepare_is_one_shuffle(table):
     assert (count("Exchange", plan), count("FileScan", plan), count("Join", plan)) == (1, 1, 0)
 
 
+def test_prepare_on_a_clustered_table_is_no_shuffle(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "concat('g', id % 50) g", "cast(2000 + id div 50 as int) t", "case when id % 9 = 0 then null else cast(id as double) end v",
+        "case when id = 777 then 'B' end s", "case when id % 2 = 0 then 'even' else 'odd' end code")
+    with pytest.raises(ValueError, match="time range"):
+        clustered.write_clustered(rows, "clustered_t", f"{tmp_path}/t", SPEC, 4)
+    clustered.write_clustered(rows, "clustered_t", f"{tmp_path}/t", BOUNDED, 4, code="code")
+    clustered.replace_codes(rows.where("code = 'odd'").withColumn("v", -F.col("v")), "clustered_t", BOUNDED)
+    table = clustered.read_clustered(spark, "clustered_t")
+    now = rows.withColumn("v", F.when(F.col("code") == "odd", -F.col("v")).otherwise(F.col("v")))
+    assert sorted(map(str, table.select(*rows.columns).collect())) == sorted(map(str, now.collect()))
+    assert table.select(F.input_file_name()).distinct().count() == 8
+    prepared = prepare_panel(table.drop("code"), BOUNDED, Settings())
+    plan = plan_of(prepared)
+    assert (count("Exchange", plan), count("FileScan", plan), count("Join", plan)) == (0, 1, 0)
+    want = prepare_panel(now.drop("code"), BOUNDED, Settings())
+    assert sorted(map(str, prepared.collect())) == sorted(map(str, want.collect()))
+    spark.sql("DROP TABLE clustered_t")
+
+
 def test_lags_and_rolling_means_share_a_window(table):
     plan = plan_of(features.build_features(table.drop("other"), BOUNDED, keep_groupless=False))
     assert (count("Exchange", plan), count(" Sort ", plan)) == (1, 1)

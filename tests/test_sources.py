@@ -236,3 +236,46 @@ def test_only_requested_folders_are_read(spark, tmp_path):
         rows = sdmx.load_observations(messages, PanelSpec(), codes=codes, codelist=codelist, folder="code", last_n=None)
         assert "PartitionFilters: [" in (plan := rows._jdf.queryExecution().executedPlan().toString())
         assert "code#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_only_needed_files_are_read(spark, tmp_path):
+    from paneltide import PanelSpec
+    from paneltide.sources import landed, odata
+
+    spec = PanelSpec("g", "t", "v")
+
+    def land(code, name, items):
+        folder = tmp_path / "landed" / f"indicator={code}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}.json").write_text(json.dumps({"value": [
+            {"SpatialDim": g, "TimeDim": t, "NumericValue": v} for g, t, v in items]}))
+
+    for n in range(12):
+        land(f"I{n % 3}", f"file {n}", [(f"G{n}", 2000 + k, n + k) for k in range(5)] + [(None, 2000, 1)])
+    land("I0", "empty", [])
+    land("I0", "undated", [("G1", None, 3)])
+    path = str(tmp_path / "landed")
+
+    def parsed(files=None):
+        return odata.parse_responses(odata.read_responses(spark, path, files=files), spec)
+
+    def names(df):
+        return sorted(r.path.rsplit("/", 1)[1] for r in df.collect())
+
+    landed.index_files(landed.list_files(spark, path), parsed(), spec).write.parquet(f"{tmp_path}/index")
+    index = spark.read.parquet(f"{tmp_path}/index")
+    wanted = spark.createDataFrame([("G1", 2001), ("G1", 2002), ("G5", 2004), ("G7", 1990), ("G9", None)], "g string, t int")
+    needed = landed.needed_files(landed.list_files(spark, path), index, wanted, spec)
+    # G9 has no period, so nothing can be told apart from it.
+    assert names(needed) == ["file 1.json", "file 5.json", "file 9.json", "undated.json"]
+    assert landed.list_files(spark, path).count() - needed.count() == 10
+    read = parsed(needed)
+    assert read.select("source").distinct().count() == 4
+    assert sorted(read.where("g = 'G5'").select("indicator", "g", "t", "v").collect()) == [("I2", "G5", 2000 + k, 5.0 + k) for k in range(5)]
+    # Files that are new or have changed are read whatever the index says.
+    land("I1", "new", [("G2", 2000, 1)])
+    land("I2", "file 8", [("G1", 2001, 1), ("G1", 2002, 1)])
+    needed = landed.needed_files(landed.list_files(spark, path), index, wanted, spec)
+    assert names(needed) == ["file 1.json", "file 5.json", "file 8.json", "file 9.json", "new.json", "undated.json"]
+    nothing = landed.needed_files(landed.list_files(spark, path), landed.index_files(landed.list_files(spark, path), parsed(), spec), wanted.limit(0), spec)
+    assert nothing.count() == 0 and parsed(nothing).count() == 0
