@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +15,7 @@ from paneltide.functions import bspline
 from paneltide.functions.blocks import add_block, nearest_items, reject_duplicates, with_facts
 from paneltide.functions.bspline import HALO, interpolate, smooth
 from paneltide.functions.materialize import cut
-from paneltide.spec import PanelSpec
+from paneltide.spec import BLOCK, PanelSpec
 
 # Above this degree smoothing splines are not defined, and the line is taken instead.
 MAX_ORDER = 5
@@ -183,42 +185,21 @@ def _halo(rows: DataFrame, spec: PanelSpec) -> DataFrame:
         F.coalesce(side, F.array()).alias(name) for side, name in ((before, "_before"), (after, "_after"))])
 
 
-def _spline_filler(spec: PanelSpec, order: int):
-    """Fills the nulls of one block from its values and those around it."""
-    time, value = spec.time, spec.value
+def _series_by_series(spec: PanelSpec, order: int, curve: str, by: list[str], around: Sequence[str] = ()):
+    """Fills the nulls of all series whose rows are marked ``_spline``, in rows sorted by the columns ``by``.
 
-    def fill(rows: pa.Table, around: pa.Table) -> pa.Table:
-        if rows.num_rows == 0:
-            return rows
-        t = rows[time].cast(pa.float64()).to_numpy()
-        v = rows[value].cast(pa.float64()).to_numpy()
-        known = ~np.isnan(v)
-        x, y = [t[known]], [v[known]]
-        for side in ("_before", "_after"):
-            points = around[side].combine_chunks().flatten()
-            x.append(points.field("t").to_numpy(zero_copy_only=False))
-            y.append(points.field("v").cast(pa.float64()).to_numpy(zero_copy_only=False))
-        x, y = np.concatenate(x), np.concatenate(y)
-        by_time = np.argsort(x)
-        v = v.copy()
-        v[~known] = interpolate(x[by_time], y[by_time], order, t[~known])
-        place = rows.schema.get_field_index(value)
-        field = rows.schema.field(place)
-        return rows.set_column(place, field, pa.array(v, field.type))
-
-    return fill
-
-
-def _series_by_series(spec: PanelSpec, order: int, curve: str):
-    """Fills the nulls of all series whose rows are marked ``_spline``, in rows sorted by group."""
+    With ``around`` they are blocks of series, and the first row of a block has in these columns
+    the values around it.
+    """
     along = CURVES[curve]
-    time, value, groups = spec.time, spec.value, spec.groups
+    time, value = spec.time, spec.value
+    extra = [*around, *[k for k in by if k == BLOCK]]
 
     def starts(rows: pa.Table) -> np.ndarray:
         changed = np.zeros(rows.num_rows, bool)
         changed[:1] = True
-        for group in groups:
-            keys = rows[group].combine_chunks()
+        for key in by:
+            keys = rows[key].combine_chunks()
             changed[1:] |= pc.fill_null(pc.not_equal(keys[1:], keys[:-1]), True).to_numpy(zero_copy_only=False)
         return np.flatnonzero(changed)
 
@@ -232,11 +213,18 @@ def _series_by_series(spec: PanelSpec, order: int, curve: str):
                 known = here[~np.isnan(v[here])]
                 unknown = here[np.isnan(v[here])]
                 if len(unknown):
-                    v[unknown] = along(t[known], v[known], order, t[unknown])
+                    x, y = [t[known]], [v[known]]
+                    for side in around:
+                        points = rows[side].slice(a, 1).combine_chunks().flatten()
+                        x.append(points.field("t").to_numpy(zero_copy_only=False))
+                        y.append(points.field("v").cast(pa.float64()).to_numpy(zero_copy_only=False))
+                    x, y = np.concatenate(x), np.concatenate(y)
+                    in_time = np.argsort(x)
+                    v[unknown] = along(x[in_time], y[in_time], order, t[unknown])
             place = rows.schema.get_field_index(value)
             field = rows.schema.field(place)
             rows = rows.set_column(place, field, pa.array(v, field.type, from_pandas=True))
-        return rows.drop_columns(["_spline"])
+        return rows.drop_columns(["_spline", *extra])
 
     def task(batches):
         rest = None
@@ -256,18 +244,6 @@ def _series_by_series(spec: PanelSpec, order: int, curve: str):
     return task
 
 
-def _through_all_values(rows: DataFrame, spec: PanelSpec, order: int) -> DataFrame:
-    """Nulls replaced by the spline through the values, block by block."""
-    # The halo comes from the same rows, so its keys get names of their own.
-    around = _halo(rows, spec).withColumnsRenamed({k: f"_near_{k}" for k in spec.task_keys})
-    near = [f"_near_{k}" for k in spec.task_keys]
-    # The work is heavy for its bytes, so its tasks are not put together by their size.
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = rows.repartition(tasks, *spec.task_keys).groupBy(*spec.task_keys).cogroup(
-        around.repartition(tasks, *near).groupBy(*near))
-    return pieces.applyInArrow(_spline_filler(spec, order), rows.schema)
-
-
 def interpolate_spline(
     df: DataFrame, spec: PanelSpec, order: int = 3, too_few: str = "linear", curve: str = "through"
 ) -> DataFrame:
@@ -363,25 +339,32 @@ def interpolate_spline(
     named = F.when(unknown, F.when(F.col("_plan") == "line", "linear").when(F.col("_plan") == "spline", drawn)
                    .otherwise(F.col("_plan"))).otherwise("none")
 
-    def by_series(marked: DataFrame) -> DataFrame:
-        ordered = marked.sortWithinPartitions(*spec.groups, F.col(spec.time).asc_nulls_last())
-        return ordered.mapInArrow(_series_by_series(spec, order, curve), ordered.drop("_spline").schema)
+    shape = df.withColumn("fill_path", F.lit("")).schema
+
+    def walked(marked: DataFrame, kind: str, by: list[str], around: Sequence[str] = ()) -> DataFrame:
+        ordered = marked.sortWithinPartitions(*by, F.col(spec.time).asc_nulls_last())
+        return ordered.mapInArrow(_series_by_series(spec, order, kind, by, around), shape)
 
     if spec.bounded:
         # One pass: the windows have put every series together, in order of time.
-        result = by_series(planned.select(*columns, named.alias("fill_path"), on_spline.alias("_spline")))
+        result = walked(planned.select(*columns, named.alias("fill_path"), on_spline.alias("_spline")), curve, spec.groups)
         return result.withColumn("was_filled", F.col("fill_path") != "none")
-    direct = planned.where(~on_spline).select(*columns, named.alias("fill_path"))
-    smoothed = (F.lit(curve) == "smooth") & (F.col("_nulls") + F.col("_count") <= WHOLE)
-    splined = planned.where(on_spline & ~smoothed).select(
-        *rows.columns, F.when(unknown, "spline").otherwise("none").alias("fill_path"))
-    curved = _through_all_values(splined, spec, order)
-    result = direct.union(curved.select(*direct.columns))
+    smoothed = F.coalesce((F.lit(curve) == "smooth") & (F.col("_nulls") + F.col("_count") <= WHOLE), F.lit(False))
+    through = on_spline & ~smoothed
+    # One pass as well: the values around a block come with its facts and stay on its first row.
+    near = _halo(planned.where(through).select(*rows.columns), spec)
+    beside = placed(checked.join(block_facts.join(near, spec.task_keys, "left"), spec.task_keys, "left")).withColumn("_plan", path)
+    first = F.row_number().over(spec.in_order()) == 1
+    sides = ["_before", "_after"]
+    pieces = beside.withColumn("_first", first).where(~(on_spline & smoothed)).select(
+        *columns, BLOCK, F.when(unknown & through, "spline").otherwise(named).alias("fill_path"), through.alias("_spline"),
+        *[F.when(F.col("_first"), F.col(side)).alias(side) for side in sides])
+    result = walked(pieces, "through", spec.task_keys, sides)
     if curve == "smooth":
         # The work is heavy for its bytes, so its tasks are not put together by their size.
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         whole_series = planned.where(on_spline & smoothed).select(*columns, named.alias("fill_path"), on_spline.alias("_spline"))
-        result = result.union(by_series(whole_series.repartition(tasks, *spec.groups)))
+        result = result.union(walked(whole_series.repartition(tasks, *spec.groups), curve, spec.groups))
     return result.withColumn("was_filled", F.col("fill_path") != "none")
 
 

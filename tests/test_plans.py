@@ -190,3 +190,10 @@ def test_prepare_with_splines_and_blocks_agrees(spark):
         for a, b in zip(sorted(want, key=key), sorted(got, key=key)):
             assert tuple(a) == pytest.approx(tuple(b)) or all(
                 x == y or x == pytest.approx(y) for x, y in zip(a, b))
+
+
+def test_splines_of_any_length_are_one_pass(table):
+    """Rows are read and walked once; what crosses a block border comes from tables written before."""
+    plan = plan_of(fill.fill_spline(table.drop("other"), SPEC))
+    assert (count("FileScan", plan), count("MapInArrow", plan)) == (1, 1)
+    assert "CoGroup" not in plan
