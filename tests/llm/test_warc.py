@@ -68,3 +68,10 @@ def test_damage_is_found(spark, tmp_path, damage):
     with pytest.raises(Exception, match="(?s)ends within|not whole|differs|broken chunk|no record"):
         responses, _ = warc.read(spark, f"{tmp_path}/w")
         responses.collect()
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rows = [r for r in pages(2) if r[0] is not None][:20]
+    kind = KIND + ", payload string, digest string, first long, n long, record string, _hot string"
+    wide = spark.createDataFrame([(*r, "p", "d", 7, 8, "r", "h") for r in rows], kind)
+    assert sorted((tuple(r) for r in warc.round_trip(wide).collect()), key=str) == naive(rows)
