@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from catalog.panels import (
     SPEC, YEARLY, month_of, table, yearly,
 )
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from paneltide import PanelSpec
 from paneltide.functions.intervals import period_runs
 from paneltide.functions.materialize import new_folder
 from paneltide.operators import relational
 from paneltide.plans.enrich import enrich, enrichment_report
-from paneltide.sources import landed, observations, odata, sdmx
+from paneltide.sources import landed, observations, odata, pieces, sdmx
 
 OBSERVATIONS = PanelSpec()
 
@@ -111,11 +111,15 @@ def _messages(spark, sf_dir):
     ).alias("value"))
 
 
-def _landed(spark, sf_dir):
-    """Messages written one per file, as a collector lands them, and read again."""
+def _land(spark, sf_dir):
+    """Messages written one per file, as a collector lands them, in folders by code."""
     folder = new_folder(spark, "messages")
     _messages(spark, sf_dir).repartition("code").write.partitionBy("code").text(folder)
-    return sdmx.read_messages(spark, folder)
+    return folder
+
+
+def _landed(spark, sf_dir):
+    return sdmx.read_messages(spark, _land(spark, sf_dir))
 
 
 SDMX_ROWS = f"""WITH {SDMX_PANEL} SELECT "PHARMACEUTICAL", 'Nation' AS "PHARMACEUTICAL_LABEL",
@@ -131,6 +135,12 @@ def _(spark, sf_dir):
     return rows.drop("attributes")
 
 
+@query("s2_sdmx_pieces", SDMX_ROWS)
+def _(spark, sf_dir):
+    read = pieces.read_pieces(spark, _land(spark, sf_dir))
+    return observations.typed(sdmx.parse_pieces(read, SDMX_COLUMNS), OBSERVATIONS).drop("attributes")
+
+
 @query("s2_repeated_names", SDMX_ROWS.replace("CASE n % 3 WHEN 0 THEN 'Normal'", "CASE WHEN n % 2 = 0 THEN 'n' || n WHEN n % 3 = 0 THEN 'Normal'")
        .replace("WHEN 1 THEN 'Provisoire' END", "WHEN n % 3 = 1 THEN 'Provisoire' END")
        .replace("""CASE WHEN n % 2 = 0 THEN 'n' || n END AS "OBS_NOTE", """, ""))
@@ -163,6 +173,14 @@ def _(spark, sf_dir):
     ).select("PHARMACEUTICAL", "REF_AREA", "TIME_PERIOD", "OBS_VALUE")
 
 
+@query("s4_load_pieces", ORACLES["s4_s5_load_observations"])
+def _(spark, sf_dir):
+    return sdmx.load_observations(
+        pieces.read_pieces(spark, _land(spark, sf_dir)), OBSERVATIONS, SDMX_COLUMNS, codes=["NATION_3", "NATION_11"],
+        series=["PHARMACEUTICAL", "REF_AREA"], last_n=24, folder="code", end=pieces.END,
+    ).select("PHARMACEUTICAL", "REF_AREA", "TIME_PERIOD", "OBS_VALUE")
+
+
 def _codelist(spark, sf_dir):
     """Code lists as messages, one per brand and split of its parts: other lists, padded,
     blank and repeated ids, and other field names."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions.scalars import label_of, strip
 from paneltide.operators.relational import expand_codes, last_observations
+from paneltide.sources import pieces as in_pieces
 from paneltide.sources.observations import typed
 from paneltide.spec import PanelSpec
 
@@ -97,9 +98,20 @@ def parse_messages(
     """
     # One row per series with its dimensions and attributes, then one per observation.
     parsed = messages.select(F.from_json(F.col(text), MESSAGE)["data"].alias("_data"))
-    entries = parsed.select(
+    return _observations(parsed.select(
         F.col("_data.structure").alias("_structure"),
-        F.explode(F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"])).alias("_entry"))
+        F.explode(F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"])).alias("_entry")), columns)
+
+
+def parse_pieces(
+    pieces: DataFrame, columns: Sequence[str] = COLUMNS, end: str = in_pieces.END, text: str = "value"
+) -> DataFrame:
+    """As ``parse_messages``, from what ``pieces.read_pieces`` reads: a long message is many tasks."""
+    return _observations(in_pieces.series_of(pieces, MESSAGE, _SERIES, end, text), columns)
+
+
+def _observations(entries: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per observation of series with the structure of their message."""
     dimensions, attributes = F.col("_structure.dimensions"), F.col("_structure.attributes")
     fits = F.size(F.split("_entry.key", ":")) == F.size(dimensions["series"])
     time = F.get(dimensions["observation"], F.lit(0))
@@ -159,20 +171,22 @@ def load_observations(
     messages: DataFrame, spec: PanelSpec, columns: Sequence[str] = COLUMNS,
     codes: Sequence[str] | None = None, codelist: DataFrame | None = None,
     code: str = "PHARMACEUTICAL", series: Sequence[str] = SERIES,
-    last_n: int | None = LAST_OBSERVATIONS, folder: str | None = None,
+    last_n: int | None = LAST_OBSERVATIONS, folder: str | None = None, end: str | None = None,
 ) -> DataFrame:
     """Typed observations of all messages, for the requested codes.
 
     One-letter codes stand for all codes of the list that start so.  ``last_n`` keeps
     the newest observations of every series.  ``folder`` names the column of the messages
     that has their code, if they lie in folders by code: the others are not read then.
+    With ``end`` the messages are pieces that end so, from ``pieces.read_pieces``.
     """
     if codes is not None and folder is not None:
         letters = [c for c in codes if len(c) == 1]
         messages = messages.where(
             F.col(folder).isin(*codes) | F.substring(folder, 1, 1).isin(*letters) if letters
             else F.col(folder).isin(*codes))
-    rows = typed(parse_messages(messages, columns), spec)
+    parsed = parse_messages(messages, columns) if end is None else parse_pieces(messages, columns, end)
+    rows = typed(parsed, spec)
     if codes is not None:
         if any(len(c) == 1 for c in codes):
             if codelist is None:

@@ -1,13 +1,14 @@
 """Messages and files with all the ways in which they can be incomplete."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from paneltide import PanelSpec
 from paneltide.plans.enrich import enrich, enrichment_report
-from paneltide.sources import observations, odata, sdmx
+from paneltide.sources import observations, odata, pieces, sdmx
 
 SPEC = PanelSpec()
 
@@ -279,3 +280,72 @@ def test_only_needed_files_are_read(spark, tmp_path):
     assert names(needed) == ["file 1.json", "file 5.json", "file 8.json", "file 9.json", "new.json", "undated.json"]
     nothing = landed.needed_files(landed.list_files(spark, path), landed.index_files(landed.list_files(spark, path), parsed(), spec), wanted.limit(0), spec)
     assert nothing.count() == 0 and parsed(nothing).count() == 0
+
+
+def _long_message(rng, layout):
+    """A message of many series, with texts that look like its own syntax, and a second data set."""
+    odd = ['}},"0:1":{"observations":{"0":[9', '\\"}}', "}}", ',"1:1":{"a":{', "{[", "x"]
+    areas = [{"id": f"A{i}", "name": rng.choice([*odd, None]), "names": {"en": rng.choice(odd)}} for i in range(40)]
+    codes = [{"id": f"J{i}", "name": rng.choice(odd)} for i in range(30)]
+
+    def series(n):
+        found = {}
+        for _ in range(n):
+            cells = {str(p): [rng.choice([1.5, None, "x"]), rng.randrange(3), rng.choice([None, *odd])] for p in rng.sample(range(6), 4)}
+            entry = {"attributes": [rng.choice([0, 1, "}}", None])], "observations": cells}
+            if layout == "swapped" or (layout == "mixed" and rng.random() < 0.2):
+                entry = dict(reversed(entry.items()))
+            elif rng.random() < 0.05:
+                entry = rng.choice([{"observations": {}}, {}, {"attributes": [0]}])
+            found[f"{rng.randrange(45)}:{rng.randrange(30)}"] = entry
+        return found
+
+    structure = {
+        "dimensions": {
+            "series": [{"id": "REF_AREA", "values": areas}, {"id": "PHARMACEUTICAL", "values": codes}],
+            "observation": [{"id": "TIME_PERIOD", "values": [{"id": str(2000 + i)} for i in range(5)]}]},
+        "attributes": ATTRIBUTES}
+    sets = [{"action": "}}", "series": series(300)}, {"series": series(40)}]
+    return {"data": {"structure": structure, "dataSets": sets} if rng.random() < 0.5 else {"dataSets": sets, "structure": structure}}
+
+
+@pytest.mark.parametrize("layout", ["plain", "mixed", "swapped", "blanks"])
+def test_pieces_of_long_messages(spark, tmp_path, layout):
+    rng = random.Random(layout)
+    for i in range(3):
+        separators = (", ", " : ") if layout == "blanks" else (",", ":")
+        (tmp_path / f"m{i}.json").write_text(json.dumps(_long_message(rng, layout), separators=separators, ensure_ascii=i > 0))
+    for i, text in enumerate(["", "{}", "not json }} at all }}", '{"data":{"dataSets":[{"series":{"0:0":{"observations":{}}']):
+        (tmp_path / f"n{i}.json").write_text(text)
+    want = sdmx.parse_messages(sdmx.read_messages(spark, str(tmp_path)), COLUMNS)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # a series may lie in several tasks
+    try:
+        read = pieces.read_pieces(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 20
+        got = sdmx.parse_pieces(read, COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+    def plain(rows):
+        return sorted(repr((tuple(r)[:-1], sorted(r.attributes.items()))) for r in rows.collect())
+
+    found = plain(got)
+    assert found == plain(want) and len(found) > 1000
+    longest = read.agg(F.max(F.length("value"))).first()[0]
+    assert layout != "plain" or longest < 20_000
+
+
+def test_series_end_with_two_braces(spark):
+    with pytest.raises(ValueError, match="two braces"):
+        pieces.read_pieces(spark, "/nowhere", "}")
+
+
+def test_pieces_with_blanks_between_the_braces(spark, tmp_path):
+    series = {f"{i % 2}:0": {"observations": {"0": [i], "1": [i]}} for i in range(2)}
+    (tmp_path / "m.json").write_text(json.dumps(message(series, ATTRIBUTES), indent=0))
+    want = sdmx.parse_messages(sdmx.read_messages(spark, str(tmp_path)), COLUMNS).collect()
+    read = pieces.read_pieces(spark, str(tmp_path), "}\n}")
+    assert read.count() > 3
+    got = sdmx.parse_pieces(read, COLUMNS, "}\n}").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 4
