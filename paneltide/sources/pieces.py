@@ -21,6 +21,8 @@ from paneltide.functions.materialize import cut
 from paneltide.functions.skew import give_back
 
 END = "}}"
+# Series that are looked up together, so the lists of a message are copied once for as many.
+BATCH = 64
 
 # A piece that is a series without its end: after a comma an index key and two braces that stay open.
 # Outside of a text such a piece, with its end, is a whole member of an object; inside of one it
@@ -84,8 +86,15 @@ def _frames(placed: DataFrame, end: str, message: str, mark: str) -> DataFrame:
         F.array_min(bound(1)).alias("_from"), F.array_max(bound(2)).alias("_to"))
 
 
+def batches(structure: Column, entries: Column) -> tuple[Column, Column]:
+    """``_structure`` and, in stretches of BATCH, the ``_entries`` of a parsed message."""
+    starts = F.when(F.size(entries) > 0, F.sequence(F.lit(1), F.size(entries), F.lit(BATCH)))
+    return structure.alias("_structure"), F.explode(
+        F.transform(starts, lambda i: F.slice(entries, i, BATCH))).alias("_entries")
+
+
 def series_of(pieces: DataFrame, message: str, series: str, end: str = END, text: str = "value") -> DataFrame:
-    """One row per series of the first data set: ``_structure`` of its message and ``_entry`` (key, value).
+    """Series of the first data set by the batch: ``_structure`` of their message and ``_entries`` (key, value).
 
     ``message`` and ``series`` are the schemas to parse with.  A message whose frame cannot be parsed gives no
     rows; a series that cannot be parsed leaves only itself out.  The pieces are written when this is
@@ -93,13 +102,18 @@ def series_of(pieces: DataFrame, message: str, series: str, end: str = END, text
     """
     placed, sizes = _placed(pieces, text)
     frames = cut(_frames(placed, end, message, uuid.uuid4().hex).join(sizes, "_file"))
-    first = frames.select("_structure", F.explode("_entries").alias("_entry"))
+    first = frames.select(*batches(F.col("_structure"), F.col("_entries")))
     facts = frames.where("_from is not null").select("_file", "_structure", "_from", "_to", "_pieces")
-    rows = placed.where("_is_series").select("_file", "_place", "_text")
     member = F.concat(F.lit("{"), F.regexp_replace("_text", r"\A\s*,", ""), F.lit(end), F.lit("}"))
-    others = (
-        give_back(rows, facts, ["_file"], "_pieces")
-        .where((F.col("_place") > F.col("_from")) & (F.col("_place") < F.col("_to")))
-        .select("_structure", F.explode(F.map_entries(F.from_json(member, f"map<string,{series}>"))).alias("_entry"))
-    )
+    parsed = placed.where("_is_series").select("_file", "_place", member.alias("_member"))
+    together = parsed.groupBy("_file", F.expr(f"_place div {BATCH}L").alias("_batch")).agg(
+        F.collect_list(F.struct("_place", "_member")).alias("_members"))
+
+    def inside(member: Column) -> Column:
+        return (member["_place"] > F.col("_from")) & (member["_place"] < F.col("_to"))
+
+    entries = F.flatten(F.transform(F.filter("_members", inside), lambda m: F.coalesce(
+        F.map_entries(F.from_json(m["_member"], f"map<string,{series}>")), F.array().cast(f"array<struct<key:string,value:{series}>>"))))
+    others = give_back(together, facts, ["_file"], "_pieces").where("_from is not null").select(
+        "_structure", entries.alias("_entries"))
     return first.unionByName(others)

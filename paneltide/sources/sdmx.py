@@ -96,11 +96,11 @@ def parse_messages(
     else of an observation is in the map ``attributes``.  Messages without data give no
     rows.
     """
-    # One row per series with its dimensions and attributes, then one per observation.
-    parsed = messages.select(F.from_json(F.col(text), MESSAGE)["data"].alias("_data"))
-    return _observations(parsed.select(
+    # A batch of series with their dimensions and attributes, then one row per observation.
+    parsed = messages.select(F.from_json(F.col(text), MESSAGE)["data"].alias("_data")).select(
         F.col("_data.structure").alias("_structure"),
-        F.explode(F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"])).alias("_entry")), columns)
+        F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"]).alias("_all"))
+    return _observations(parsed.select(*in_pieces.batches(F.col("_structure"), F.col("_all"))), columns)
 
 
 def parse_pieces(
@@ -110,10 +110,9 @@ def parse_pieces(
     return _observations(in_pieces.series_of(pieces, MESSAGE, _SERIES, end, text), columns)
 
 
-def _observations(entries: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per observation of series with the structure of their message."""
+def _observations(batches: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per observation of batches of series with the structure of their message."""
     dimensions, attributes = F.col("_structure.dimensions"), F.col("_structure.attributes")
-    fits = F.size(F.split("_entry.key", ":")) == F.size(dimensions["series"])
     time = F.get(dimensions["observation"], F.lit(0))
 
     def observation(entry: Column) -> Column:
@@ -124,13 +123,17 @@ def _observations(entries: DataFrame, columns: Sequence[str]) -> DataFrame:
             _attributes(attributes["observation"], others).alias("o"),
             period["id"].alias("time"), F.get(cells, F.lit(0)).alias("number")))
 
-    found = F.transform(F.map_entries(F.col("_entry.value.observations")), observation)
-    series = entries.where(fits).select(
-        _dimensions(dimensions["series"], F.col("_entry.key")).alias("d"),
-        _attributes(attributes["series"], F.col("_entry.value.attributes")).alias("s"),
-        time["id"].alias("time_name"),
-        F.filter(found, lambda o: o.isNotNull()).alias("_observations"))
-    rows = series.select("d", "s", "time_name", F.explode("_observations").alias("_o")).select(
+    def series(entry: Column) -> Column:
+        found = F.transform(F.map_entries(entry["value"]["observations"]), observation)
+        return F.struct(
+            _dimensions(dimensions["series"], entry["key"]).alias("d"),
+            _attributes(attributes["series"], entry["value"]["attributes"]).alias("s"),
+            time["id"].alias("time_name"),
+            F.filter(found, lambda o: o.isNotNull()).alias("observations"))
+
+    fits = F.filter("_entries", lambda e: F.size(F.split(e["key"], ":")) == F.size(dimensions["series"]))
+    rows = batches.select(F.explode(F.transform(fits, series)).alias("_s")).select(
+        "_s.d", "_s.s", "_s.time_name", F.explode("_s.observations").alias("_o")).select(
         "d", "s", "time_name", "_o.*")
 
     def column(name: str) -> Column:
