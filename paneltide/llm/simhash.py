@@ -6,11 +6,13 @@ whose first l differ in at most l t / (2 t + 1) bits, for every l. The first two
 must then be equal, so they are the key of a bucket; a pair of a bucket is dropped as soon
 as its longer chains pass their share, and the full distance is checked last.
 
-Only different fingerprints are compared. A bucket with more than `wide` of them is not
-paired: each of its members puts itself and the 64 values one bit away into groups. Members
-of a group differ in two bits at most, and all pairs that do meet in one, so hanging a group
-on its smallest member links exactly what the pairs would, in a number of rows that grows
-with the members. Links of two or fewer bits are whole either way.
+Only different fingerprints are compared. A bucket with more than `wide` of them is split by
+the next segments of its chain, all but the last one, in the one bit by which they may differ: each
+member owns the bucket of its own value and visits those one bit away, and owners are paired
+with owners and visitors. A part that is still wide is split by the last segment as well: owners go
+to their value and those one bit away in it, visitors to their value only. All that meet there are
+one bit from that value at most, so there are 65 of them at most, any two are within two bits, and hanging them on
+the smallest one links what the pairs would. So the rows of a member are bounded at any size.
 
 Results for odd input: a null text is an empty one; texts without words have fingerprint 0;
 repeated rows and ids are rows of their own; a null id never names a component unless all
@@ -87,11 +89,18 @@ def _long(value: int) -> Column:
     return F.lit(_signed(value)).cast("long")
 
 
-def _variants(fp: Column) -> Column:
-    return F.array(fp, *[fp.bitwiseXOR(_long(1 << b)) for b in range(64)])
+def _by_start(values: list) -> Column:
+    """The value of the chain's start, from one constant array."""
+    return F.element_at(F.array(*values), F.col("start") + 1)
 
 
-def links(fps: DataFrame, distance: int = 2, wide: int = 16) -> DataFrame:
+def _bits(masks: list[int]) -> Column:
+    """For the chain's start the bits of its mask, each as a mask of its own."""
+    none = F.array().cast("array<bigint>")
+    return _by_start([F.concat(none, *[F.array(_long(1 << b)) for b in range(64) if m >> b & 1]) for m in masks])
+
+
+def links(fps: DataFrame, distance: int = 2, wide: int = 64) -> DataFrame:
     """Edges (a, b) that connect all of the given different fingerprints (fp) within `distance` bits (0, 1 or 2)."""
     if distance not in (0, 1, 2):
         raise ValueError("distance is 0, 1 or 2")
@@ -109,17 +118,37 @@ def links(fps: DataFrame, distance: int = 2, wide: int = 16) -> DataFrame:
     apart = F.col("fp").bitwiseXOR(F.col("other"))
 
     def chain(step: int) -> Column:
-        mask = F.element_at(F.array(*[_long(masks[i][step]) for i in range(count)]), F.col("start") + 1)
-        return F.bit_count(apart.bitwiseAND(mask)) <= (step + 1) * distance // count
+        return F.bit_count(apart.bitwiseAND(_by_start([_long(masks[i][step]) for i in range(count)]))) <= (step + 1) * distance // count
 
     pairs = few.join(right, ["start", "key"]).filter(F.col("fp") > F.col("other"))
     for step in range(equal + 1, count):
         pairs = pairs.filter(chain(step))
     near = pairs.filter(F.bit_count(apart) <= distance).select(F.col("fp").alias("a"), F.col("other").alias("b"))
 
-    many = shared.filter(F.col("members") > wide).select("fp").distinct()
+    # Wide buckets, by the chain without its last segment.
+    before_last = [chain[-2] for chain in masks]
+    own = F.col("fp").bitwiseAND(_by_start([_long(m) for m in before_last]))
+    steps = _bits([m & ~chain[equal] for m, chain in zip(before_last, masks, strict=True)])
+    visits = F.transform(steps, lambda bit: F.struct(own.bitwiseXOR(bit).alias("value"), F.lit(False).alias("owner")))
+    places = F.concat(F.array(F.struct(own.alias("value"), F.lit(True).alias("owner"))), visits)
+    placed = shared.filter(F.col("members") > wide).select("fp", "start", F.explode(places).alias("p")).select("fp", "start", "p.value", "p.owner")
+    parts = placed.groupBy("start", "value").agg(F.count("*").alias("members"), F.count_if("owner").alias("owners")).filter("members > 1 AND owners > 0")
+    split = written(placed.join(parts, ["start", "value"]), "split")
+
+    few = split.filter(F.col("members") <= wide)
+    right = few.select("start", "value", F.col("fp").alias("other"), F.col("owner").alias("owner_too"))
+    near_too = (
+        few.filter("owner").join(right, ["start", "value"])
+        .filter(~F.col("owner_too") | (F.col("fp") > F.col("other")))
+        .filter(F.bit_count(apart) <= distance).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+    )
+
+    last = [chain[-1] ^ m for m, chain in zip(before_last, masks, strict=True)]
+    whole = F.col("value").bitwiseOR(F.col("fp").bitwiseAND(_by_start([_long(m) for m in last])))
+    around = F.transform(_bits(last), lambda bit: whole.bitwiseXOR(bit))
+    centres = F.when(F.col("owner"), F.concat(F.array(whole), around)).otherwise(F.array(whole))
     groups = (
-        many.select("fp", F.explode(_variants(F.col("fp"))).alias("centre"))
+        split.filter(F.col("members") > wide).select("fp", F.explode(centres).alias("centre"))
         .groupBy("centre").agg(F.collect_set("fp").alias("fps"))  # 65 at most: the centre and its neighbours
         .filter(F.size("fps") > 1)
     )
@@ -127,7 +156,7 @@ def links(fps: DataFrame, distance: int = 2, wide: int = 16) -> DataFrame:
         star = groups.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b"))
     else:
         star = groups.filter(F.array_contains("fps", F.col("centre"))).select(F.explode("fps").alias("a"), F.col("centre").alias("b"))
-    return near.unionByName(star.filter("a <> b")).distinct()
+    return near.unionByName(near_too).unionByName(star.filter("a <> b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

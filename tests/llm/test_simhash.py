@@ -44,7 +44,7 @@ def test_fingerprint(text):
 
 
 @pytest.mark.parametrize("distance", [0, 1, 2])
-@pytest.mark.parametrize("wide", [1, 4, 1000])
+@pytest.mark.parametrize("wide", [1, 4, 16, 1000])
 def test_links_connect_all_within_the_distance(spark, distance, wide):
     rng = random.Random(distance)
     values = set()
@@ -54,6 +54,9 @@ def test_links_connect_all_within_the_distance(spark, distance, wide):
             values.add(centre)
             flips = rng.sample(range(64), rng.randint(1, 3))
             values.add(centre := centre ^ sum(1 << f for f in flips)) if rng.random() < 0.3 else values.add(centre ^ sum(1 << f for f in flips))
+    centre = rng.getrandbits(64)  # a bucket that stays wide when it is split by all segments but one
+    values |= {centre ^ (1 << i) ^ (1 << j) for i in range(13) for j in range(13)}
+    values |= {centre ^ (1 << i) ^ (1 << j) for i in range(13) for j in range(13, 40, 5)}
     values = [signed(v) for v in values]
     found = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), distance, wide).collect()
     near = [(a, b) for a, b in itertools.combinations(values, 2) if bin((a ^ b) % (1 << 64)).count("1") <= distance]
