@@ -181,6 +181,30 @@ def _(spark, sf_dir):
     ).select("PHARMACEUTICAL", "REF_AREA", "TIME_PERIOD", "OBS_VALUE")
 
 
+@query("s4_needed_files", f"""WITH {SDMX_PANEL}, k AS (SELECT "PHARMACEUTICAL", "REF_AREA", min("TIME_PERIOD") AS a, max("TIME_PERIOD") AS b
+  FROM p WHERE n >= 3 AND "PHARMACEUTICAL" LIKE '%1' GROUP BY 1, 2)
+SELECT p."PHARMACEUTICAL", p."REF_AREA", "TIME_PERIOD", "OBS_VALUE" FROM p JOIN k USING ("PHARMACEUTICAL", "REF_AREA")
+WHERE "TIME_PERIOD" BETWEEN a AND b""")
+def _(spark, sf_dir):
+    """Of landed messages those that can have the wanted series and periods, by an index of what they have."""
+    spec = PanelSpec(group=("PHARMACEUTICAL", "REF_AREA"))
+    columns = (*spec.keys, spec.value)
+    folder = _land(spark, sf_dir)
+    files = landed.list_files(spark, folder)
+    texts = landed.with_source(sdmx.read_messages(spark, folder))
+    rows = observations.typed(sdmx.parse_messages(texts, columns, keep=["source"]), spec)
+    index = landed.index_files(files, rows, spec)
+    cells = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+        table(spark, sf_dir, "nation").where("n_name LIKE '%1'"), F.col("c_nationkey") == F.col("n_nationkey"))
+    wanted = cells.groupBy(
+        F.col("n_name").alias("PHARMACEUTICAL"), F.col("c_mktsegment").alias("REF_AREA"), month_of("o_orderdate").alias("TIME_PERIOD")
+    ).agg(F.count("*").alias("n")).where("n >= 3").drop("n")
+    needed = landed.needed_files(files, index, wanted, spec)
+    found = observations.typed(sdmx.parse_pieces(pieces.read_pieces(spark, folder, files=needed), columns), spec)
+    spans = wanted.groupBy(*spec.groups).agg(F.min(spec.time).alias("a"), F.max(spec.time).alias("b"))
+    return found.join(spans, spec.groups).where(F.col(spec.time).between(F.col("a"), F.col("b"))).select(*columns)
+
+
 def _codelist(spark, sf_dir):
     """Code lists as messages, one per brand and split of its parts: other lists, padded,
     blank and repeated ids, and other field names."""

@@ -24,6 +24,26 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
+def read_text(
+    spark: SparkSession, path: str, files: DataFrame | None = None, **options: object
+) -> DataFrame:
+    """The texts below a folder, or of some of its files (``needed_files``); all others are left alone.
+
+    The names of the files pass through the driver, as those of a listing do.
+    """
+    if files is None:
+        return spark.read.text(path, **options)
+    names = [r["path"] for r in files.select("path").collect()]
+    if not names:
+        return spark.read.text(path, **options).where(F.lit(False))
+    return spark.read.option("basePath", path).text(names, **options)
+
+
+def with_source(texts: DataFrame) -> DataFrame:
+    """Adds ``source``, the file that a text is from, by which ``index_files`` knows it."""
+    return texts.withColumn("source", F.col("_metadata.file_path"))
+
+
 def index_files(files: DataFrame, rows: DataFrame, spec: PanelSpec) -> DataFrame:
     """(source, modified, size, group, first, last) of parsed rows with their ``source``.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions.scalars import to_number, to_period
 from paneltide.operators.relational import first_rows
+from paneltide.sources import landed
 from paneltide.spec import PanelSpec
 
 # Field names of a response, and the value fields in order of preference.
@@ -48,13 +49,7 @@ def read_responses(
     their place in that part, which one task reads from its start to its end.  The numbers
     themselves depend on the tasks, their order does not.
     """
-    if files is None:
-        texts = spark.read.text(path, wholetext=not one_per_line)
-    else:
-        names = [r["path"] for r in files.select("path").collect()]
-        reader = spark.read.option("basePath", path)
-        texts = reader.text(names, wholetext=not one_per_line) if names else reader.text(
-            path, wholetext=not one_per_line).where(F.lit(False))
+    texts = landed.read_text(spark, path, files, wholetext=not one_per_line)
     place = F.struct(
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     return texts.select(

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions.materialize import cut
 from paneltide.functions.skew import give_back
+from paneltide.sources import landed
 
 END = "}}"
 # Series that are looked up together, so the lists of a message are copied once for as many.
@@ -32,14 +33,15 @@ _PLAIN = rf'(?:[^"{{}}]++|{_TEXT})*+'
 _ONE_SERIES = rf'\A\s*,\s*"\d+(?::\d+)*+"\s*:\s*\{{{_PLAIN}\{{{_PLAIN}\z'
 
 
-def read_pieces(spark: SparkSession, path: str, end: str = END) -> DataFrame:
+def read_pieces(spark: SparkSession, path: str, end: str = END, files: DataFrame | None = None) -> DataFrame:
     """Pieces of messages, one message per file, as column ``value``.
 
     ``end`` is how a series ends: two closing braces, with the blanks between them if the messages have any.
+    ``files`` are the files to read (``landed.needed_files``).
     """
     if end.split() not in (["}}"], ["}", "}"]):
         raise ValueError(f"a series ends with two braces, not with {end!r}")
-    return spark.read.option("lineSep", end).text(path)
+    return landed.read_text(spark, path, files, lineSep=end)
 
 
 def _placed(pieces: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
@@ -94,7 +96,7 @@ def batches(structure: Column, entries: Column) -> tuple[Column, Column]:
 
 
 def series_of(pieces: DataFrame, message: str, series: str, end: str = END, text: str = "value") -> DataFrame:
-    """Series of the first data set by the batch: ``_structure`` of their message and ``_entries`` (key, value).
+    """Series of the first data set by the batch: their ``_file``, the ``_structure`` of their message and ``_entries`` (key, value).
 
     ``message`` and ``series`` are the schemas to parse with.  A message whose frame cannot be parsed gives no
     rows; a series that cannot be parsed leaves only itself out.  The pieces are written when this is
@@ -102,7 +104,7 @@ def series_of(pieces: DataFrame, message: str, series: str, end: str = END, text
     """
     placed, sizes = _placed(pieces, text)
     frames = cut(_frames(placed, end, message, uuid.uuid4().hex).join(sizes, "_file"))
-    first = frames.select(*batches(F.col("_structure"), F.col("_entries")))
+    first = frames.select("_file", *batches(F.col("_structure"), F.col("_entries")))
     facts = frames.where("_from is not null").select("_file", "_structure", "_from", "_to", "_pieces")
     member = F.concat(F.lit("{"), F.regexp_replace("_text", r"\A\s*,", ""), F.lit(end), F.lit("}"))
     parsed = placed.where("_is_series").select("_file", "_place", member.alias("_member"))
@@ -115,5 +117,5 @@ def series_of(pieces: DataFrame, message: str, series: str, end: str = END, text
     entries = F.flatten(F.transform(F.filter("_members", inside), lambda m: F.coalesce(
         F.map_entries(F.from_json(m["_member"], f"map<string,{series}>")), F.array().cast(f"array<struct<key:string,value:{series}>>"))))
     others = give_back(together, facts, ["_file"], "_pieces").where("_from is not null").select(
-        "_structure", entries.alias("_entries"))
+        "_file", "_structure", entries.alias("_entries"))
     return first.unionByName(others)

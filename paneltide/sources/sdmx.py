@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions.scalars import label_of, strip
 from paneltide.operators.relational import expand_codes, last_observations
+from paneltide.sources import landed
 from paneltide.sources import pieces as in_pieces
 from paneltide.sources.observations import typed
 from paneltide.spec import PanelSpec
@@ -42,9 +43,14 @@ SERIES = ("PHARMACEUTICAL", "REF_AREA", "MEASURE", "UNIT_MEASURE", "MARKET_TYPE"
 _ENTRIES = "array<struct<key:string,value:string>>"
 
 
-def read_messages(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Message texts as column ``value``: one per file, or one per line (then files split)."""
-    return spark.read.text(path, wholetext=not one_per_line)
+def read_messages(
+    spark: SparkSession, path: str, one_per_line: bool = False, files: DataFrame | None = None,
+) -> DataFrame:
+    """Message texts as column ``value``: one per file, or one per line (then files split).
+
+    ``files`` are the files to read (``landed.needed_files``).
+    """
+    return landed.read_text(spark, path, files, wholetext=not one_per_line)
 
 
 def _entry(key: Column, value: Column) -> Column:
@@ -88,29 +94,37 @@ def _dimensions(definitions: Column, key: Column) -> Column:
 
 
 def parse_messages(
-    messages: DataFrame, columns: Sequence[str] = COLUMNS, text: str = "value"
+    messages: DataFrame, columns: Sequence[str] = COLUMNS, text: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
     """One row per observation, all columns as text.
 
     ``columns`` are taken out as columns, null where a message does not have them; all
-    else of an observation is in the map ``attributes``.  Messages without data give no
+    else of an observation is in the map ``attributes``.  ``keep`` names columns of the messages to
+    keep, as their ``source``.  Messages without data give no
     rows.
     """
     # A batch of series with their dimensions and attributes, then one row per observation.
-    parsed = messages.select(F.from_json(F.col(text), MESSAGE)["data"].alias("_data")).select(
-        F.col("_data.structure").alias("_structure"),
+    parsed = messages.select(*keep, F.from_json(F.col(text), MESSAGE)["data"].alias("_data")).select(
+        *keep, F.col("_data.structure").alias("_structure"),
         F.map_entries(F.get(F.col("_data.dataSets"), F.lit(0))["series"]).alias("_all"))
-    return _observations(parsed.select(*in_pieces.batches(F.col("_structure"), F.col("_all"))), columns)
+    return _observations(parsed.select(*keep, *in_pieces.batches(F.col("_structure"), F.col("_all"))), columns, keep)
 
 
 def parse_pieces(
-    pieces: DataFrame, columns: Sequence[str] = COLUMNS, end: str = in_pieces.END, text: str = "value"
+    pieces: DataFrame, columns: Sequence[str] = COLUMNS, end: str = in_pieces.END, text: str = "value",
+    source: str | None = None,
 ) -> DataFrame:
-    """As ``parse_messages``, from what ``pieces.read_pieces`` reads: a long message is many tasks."""
-    return _observations(in_pieces.series_of(pieces, MESSAGE, _SERIES, end, text), columns)
+    """As ``parse_messages``, from what ``pieces.read_pieces`` reads: a long message is many tasks.
+
+    ``source`` names a column for the file of a message.
+    """
+    batches = in_pieces.series_of(pieces, MESSAGE, _SERIES, end, text)
+    if source is None:
+        return _observations(batches, columns)
+    return _observations(batches.withColumnRenamed("_file", source), columns, [source])
 
 
-def _observations(batches: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _observations(batches: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per observation of batches of series with the structure of their message."""
     dimensions, attributes = F.col("_structure.dimensions"), F.col("_structure.attributes")
     time = F.get(dimensions["observation"], F.lit(0))
@@ -132,9 +146,9 @@ def _observations(batches: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.filter(found, lambda o: o.isNotNull()).alias("observations"))
 
     fits = F.filter("_entries", lambda e: F.size(F.split(e["key"], ":")) == F.size(dimensions["series"]))
-    rows = batches.select(F.explode(F.transform(fits, series)).alias("_s")).select(
-        "_s.d", "_s.s", "_s.time_name", F.explode("_s.observations").alias("_o")).select(
-        "d", "s", "time_name", "_o.*")
+    rows = batches.select(*keep, F.explode(F.transform(fits, series)).alias("_s")).select(
+        *keep, "_s.d", "_s.s", "_s.time_name", F.explode("_s.observations").alias("_o")).select(
+        *keep, "d", "s", "time_name", "_o.*")
 
     def column(name: str) -> Column:
         if name == VALUE_COLUMN:
@@ -148,7 +162,7 @@ def _observations(batches: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.map_filter("d", lambda k, v: ~F.map_contains_key("o", k) & ~F.map_contains_key("s", k)),
         F.map_filter("s", lambda k, v: ~F.map_contains_key("o", k)), F.col("o"))
     return rows.select(
-        *[column(c).alias(c) for c in columns],
+        *keep, *[column(c).alias(c) for c in columns],
         F.map_filter(rest, lambda k, v: ~F.array_contains(known, k)).alias("attributes"))
 
 

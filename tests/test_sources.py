@@ -349,3 +349,31 @@ def test_pieces_with_blanks_between_the_braces(spark, tmp_path):
     assert read.count() > 3
     got = sdmx.parse_pieces(read, COLUMNS, "}\n}").collect()
     assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 4
+
+
+def test_index_of_landed_messages(spark, tmp_path):
+    from paneltide.sources import landed
+
+    spec = PanelSpec(group=("PHARMACEUTICAL", "REF_AREA"))
+    path = str(tmp_path / "landed")
+    (tmp_path / "landed").mkdir()
+    for n in range(8):
+        series = {f"{n % 2}:0": {"observations": {"0": [n], "1": [n]}}}
+        (tmp_path / "landed" / f"m{n}.json").write_text(
+            json.dumps(message(series, observation_values=(str(2000 + 2 * n), str(2001 + 2 * n))), separators=(",", ":")))
+    (tmp_path / "landed" / "none.json").write_text("{}")
+    columns = (*spec.keys, spec.value)
+
+    def rows(files=None):
+        return observations.typed(sdmx.parse_messages(
+            landed.with_source(sdmx.read_messages(spark, path, files=files)), columns, keep=["source"]), spec)
+
+    in_pieces = observations.typed(sdmx.parse_pieces(pieces.read_pieces(spark, path), columns, source="source"), spec)
+    assert sorted(in_pieces.drop("attributes").collect()) == sorted(rows().drop("attributes").collect())
+    files = landed.list_files(spark, path)
+    index = landed.index_files(files, rows(), spec)
+    wanted = spark.createDataFrame([("J01", "AT", 2004), ("J01", "AT", 2009), ("J01", "DE", 1990)], "PHARMACEUTICAL string, REF_AREA string, TIME_PERIOD int")
+    needed = landed.needed_files(files, index, wanted, spec)
+    assert sorted(r.path.rsplit("/", 1)[1] for r in needed.collect()) == ["m2.json", "m4.json"]
+    assert {(r.REF_AREA, r.TIME_PERIOD) for r in rows(needed).collect()} == {("AT", 2004), ("AT", 2005), ("AT", 2008), ("AT", 2009)}
+    assert pieces.read_pieces(spark, path, files=needed.limit(0)).count() == 0
