@@ -6,11 +6,12 @@ occurs. Fingerprints are cut into distance + 1 blocks, and a window and an item
 where any block is equal, so no pair within `distance` bits is missed. Pairs are then held to
 the exact similarity: the shared weight of shingles over the weight of either.
 
-A window and an item without a common shingle have similarity 0 and cannot pass, so
-only the others are compared: a shingle of the item found at some word of the document fixes
-where the item would start, and the item stays with that window. So the work follows the shared
-shingles, however many items have one size. Copies of one passage are fingerprinted
-and compared once, and so are items with equal words.
+Every item-sized window counts, wherever it starts and in whatever order the shingles of the item
+stand in it. At a similarity s a window of a shingles and an item of b share at least
+s (a + b) / (1 + s), so the windows in which fewer positions hold a shingle of the item cannot
+pass; the others are found from the positions alone, and the item stays with them. So the work
+follows the shared shingles, however many items have one size. Copies of one passage are
+fingerprinted and compared once, and so are items with equal words.
 
 The index of the benchmark is broadcast up to a checked number of rows and shuffled beyond.
 
@@ -54,6 +55,24 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _starts(similarity: float) -> Column:
+    """Runs (from, to) of all starts of windows with enough positions `at`, sorted, that hold a shingle of the item."""
+    at, grams = F.col("at"), F.col("size") - F.col("wide") + 1
+    both = F.least(grams, F.col("n") - F.col("wide") + 1) + grams
+    # A little less than the bound, so that rounding loses no window; a window without a shared shingle never passes.
+    need = F.greatest(F.lit(1), F.ceil(both * F.lit(similarity / (1 + similarity)) - 1e-6).cast("int"))
+
+    def run(first: Column, i: Column) -> Column:
+        # Windows whose first such position is this one and that reach the last one they need.
+        after = F.when(i > 0, F.get(at, i - 1) + 1).otherwise(0)
+        return F.struct(
+            F.col("item"), F.col("size"), F.greatest(after, F.get(at, i + need - 1) - grams + 1, F.lit(0)).alias("from"),
+            F.least(first, F.greatest(F.lit(0), F.col("n") - F.col("size"))).alias("to"))
+
+    runs = F.transform(F.slice(at, F.lit(1), F.greatest(F.lit(0), F.size(at) - need + 1)), run)
+    return F.filter(runs, lambda r: r["from"] <= r["to"])
+
+
 def matches(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, start, words, similarity): the best window of each document for each item it holds."""
     worded = items.select(F.col("item_id"), split_words(text_of("text")).alias("words")).filter(F.size("words") > 0)
@@ -62,7 +81,7 @@ def matches(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, similar
         "item", F.size("words").alias("size"), _grams("words", F.least(F.lit(SHINGLE), F.size("words"))).alias("grams"))
     bench = written(sized.withColumn("fp", F.expr(SIMHASH)), "items")
     wide = F.least(F.lit(SHINGLE), F.col("size"))
-    anchors = written(bench.select("item", wide.alias("wide"), "size", F.posexplode("grams").alias("at", "h")), "anchors")
+    anchors = written(bench.select("item", wide.alias("wide"), "size", F.explode(F.array_distinct("grams")).alias("h")), "anchors")
     count = anchors.count()
     sizes = sorted(r[0] for r in anchors.select("wide").distinct().collect())  # five at most
 
@@ -71,22 +90,22 @@ def matches(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, similar
     rows = keyed.select("doc_id", "text_hash", split_words(F.col("text")).alias("words"))
     hits = None
     for w in sizes or [SHINGLE]:
-        here = _small(anchors.filter(F.col("wide") == w).select("h", "item", "size", "at"), count)
+        here = _small(anchors.filter(F.col("wide") == w), count)
         grams = rows.select("doc_id", "text_hash", F.size("words").alias("n"), _grams("words", F.lit(w)).alias("grams"))
         # The outer form, as the plain one adds a filter that would split the text again for each shingle.
-        found = grams.select("doc_id", "text_hash", "n", F.posexplode_outer("grams").alias("pos", "h")).join(here, "h")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("size")))
-        found = found.select("doc_id", "text_hash", "size", start.alias("start"), "item")
+        found = grams.select("doc_id", "text_hash", "n", F.posexplode_outer("grams").alias("pos", "h")).join(here, "h").drop("h")
         hits = found if hits is None else hits.unionByName(found)
+    by_item = hits.groupBy("doc_id", "text_hash", "n", "item", "size", "wide").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    runs = by_item.select("doc_id", "text_hash", _starts(similarity).alias("runs"))
     # The windows of a document in one array, so its text is split once for all of them.
-    places = written(hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "size", "item")).alias("places")), "windows")
+    places = written(runs.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("runs")).alias("places")), "windows")
 
-    place = places.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    place = places.filter(F.size("places") > 0).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
 
     def windows(words: Column) -> Column:
-        return F.transform("places", lambda p: F.struct(
-            p["start"].alias("start"), p["size"].alias("size"), p["item"].alias("item"), F.slice(words, p["start"] + 1, p["size"]).alias("words")))
+        return F.flatten(F.transform("places", lambda p: F.transform(F.sequence(p["from"], p["to"]), lambda start: F.struct(
+            start.alias("start"), p["size"].alias("size"), p["item"].alias("item"), F.slice(words, start + 1, p["size"]).alias("words")))))
 
     each = F.get(F.transform(F.array(split_words(F.col("text"))), windows), 0)
     cut = keyed.join(place, same).select("doc_id", "text_hash", F.explode(each).alias("w")).select("doc_id", "text_hash", "w.*")

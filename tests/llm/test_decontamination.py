@@ -120,3 +120,30 @@ def test_default_distance_equals_brute_force_at_the_least_similarity(spark):
     found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, r.item_id): r.similarity for r in found.collect()}
     assert len(want) == 300 and got == {k: pytest.approx(v[0]) for k, v in want.items()}
+
+
+def test_every_window_is_looked_at(spark):
+    """Passages whose parts changed places: no shared shingle stands where the item has it, and the best window starts elsewhere."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([40, 60, 80, 41, 75])]
+    docs = []
+    for k, item in items:
+        w = item.split()
+        half = len(w) // 2
+        docs.append((k, " ".join([*(word() for _ in range(50)), *w[half:], *w[:half], *(word() for _ in range(50))])))
+        docs.append((100 + k, " ".join([*w[half:], *w[:half]])))
+        docs.append((200 + k, " ".join([*(word() for _ in range(7)), *w[half:], *w[:half]])))
+    docs += [(300, " ".join([word(), *items[0][1].split()[2:], word()])), (301, items[1][1].rsplit(" ", 4)[0])]
+    want = naive(docs, items)
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()}
+    assert got == {k: (pytest.approx(v), s) for k, (v, s) in want.items()} and len(want) >= 14
+
+
+def test_matches_and_starts_equal_brute_force(spark, corpus):
+    docs, items = corpus
+    want = naive(docs, items)
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()}
+    assert got == {k: (pytest.approx(v), s) for k, (v, s) in want.items()}
