@@ -113,7 +113,8 @@ def select_indicators(
     wanted = rows.sparkSession.createDataFrame(
         [(i.code, i.col, i.dim1_filter) for i in indicators],
         "indicator string, col string, dim1_filter string")
-    kept = rows.join(wanted, "indicator", "inner").where(
+    # The list is that of the caller. A shuffle by indicator would send all rows of one to one task.
+    kept = rows.join(F.broadcast(wanted), "indicator", "inner").where(
         F.col("dim1_filter").isNull() | (F.col("dim1") == F.col("dim1_filter")))
     arrival = ["source", "line", "position"]
     tidy = kept.select("col", *spec.keys, spec.value, *arrival)

@@ -77,6 +77,23 @@ def test_reports_read_their_input_once(table, spec):
         assert count("FileScan", plan_of(df)) == 1
 
 
+def landed_rows(spark, folder):
+    spark.createDataFrame([("I", '{"value":[{"SpatialDim":"a","TimeDim":"1","value":"2"}]}')], "indicator string, value string"
+                          ).write.partitionBy("indicator").text(folder)
+    return odata.read_responses(spark, folder, one_per_line=True)
+
+
+def test_rows_of_an_indicator_are_not_sent_to_one_task(spark, tmp_path):
+    """Spark sends one side everywhere by itself where it is small; here it may not, as with many responses."""
+    rows = odata.parse_responses(landed_rows(spark, str(tmp_path / "landed")), SPEC)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(odata.select_indicators(rows, SPEC, [odata.Indicator("I", "i"), odata.Indicator("J", "j")]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(indicator" not in plan and count("BroadcastHashJoin", plan) == 1
+
+
 def test_enrichment_reads_the_panel_and_the_responses_once(spark, table, tmp_path):
     (tmp_path / "indicator=I").mkdir()
     (tmp_path / "indicator=I" / "a.json").write_text('{"value":[]}')
