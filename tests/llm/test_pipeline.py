@@ -63,6 +63,15 @@ def test_decontamination_stage(stages):
     assert rows(after) == [r for r in rows(before) if r[0] not in bad]
 
 
+def test_decontamination_stage_looks_at_every_window(spark, tmp_path):
+    words = [f"w{k}" for k in range(40)]
+    spark.createDataFrame([(1, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    around = " ".join(f"x{k}" for k in range(50))
+    rows_in = [(1, " ".join([around, *words[20:], *words[:20], around])), (2, " ".join([around, *words[:20], around]))]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_packing_stage(stages):
     before, after = stages[4]
     encoder = Encoder(vocabulary())
