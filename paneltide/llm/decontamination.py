@@ -3,8 +3,12 @@
 A window of a document has as many words as a benchmark item. Its fingerprint is the SimHash of
 its shingles (five words, or the whole of a shorter item), each weighted by how often it
 occurs. Fingerprints are cut into distance + 1 blocks, and a window and an item meet
-where any block is equal, so no pair within `distance` bits is missed. Pairs are then held to
-the exact similarity: the shared weight of shingles over the weight of either.
+where any block is equal, so no pair within `distance` bits is missed. Further apart a pair may
+still reach the similarity, above all where few shingles are repeated often. A bit can only differ
+in such a pair if the shingles of the item that have it and those that have not are about as many:
+their difference is at most the weight that the two do not share. So an item has firm bits, which
+are equal in every window that passes, and pairs beyond `distance` count if these are equal.
+Pairs are then held to the exact similarity: the shared weight of shingles over the weight of either.
 
 Every item-sized window counts, wherever it starts and in whatever order the shingles of the item
 stand in it. At a similarity s a window of a shingles and an item of b share at least
@@ -28,12 +32,16 @@ from pyspark.sql import functions as F
 from paneltide.llm.common import fresh, join_hot, split_words, text_of, written
 
 SHINGLE = 5
-DISTANCE = 24  # at similarity 0.8 a bit differs with chance 0.15: three pairs in a million lie further apart
+DISTANCE = 24  # at similarity 0.8 a bit differs with chance 0.15, so few pairs are left for the firm bits
 BROADCAST_ROWS = 500_000  # of 32 bytes or less: 16 MB
 
 SIMHASH = """aggregate(sequence(0, 63), 0L, (acc, b) -> acc + if(
     2 * aggregate(grams, 0, (n, h) -> n + cast(shiftright(h, b) & 1 as int)) > size(grams), shiftleft(1L, b), 0L))"""
 
+# For each bit, how many more shingles have it than have not; it is set if that is above 0.
+FIRM = """aggregate(sequence(0, 63), 0L, (acc, b) -> acc + if(
+    2 * aggregate(grams, 0, (n, h) -> n + cast(shiftright(h, b) & 1 as int)) - size(grams) between 1 - unshared and unshared, 0L, shiftleft(1L, b)))"""
+
 
 def _grams(words: str, wide: Column) -> Column:
     """Hashes of all runs of `wide` words."""
@@ -73,13 +81,20 @@ def _starts(similarity: float) -> Column:
     return F.filter(runs, lambda r: r["from"] <= r["to"])
 
 
+def _unshared(similarity: float) -> Column:
+    """The most weight that a window and the item, of as many shingles at least, do not share at the similarity."""
+    # A little more than the bound, so that rounding loses no window.
+    return F.floor(2 * F.size("grams") * F.lit((1 - similarity) / (1 + similarity)) + 1e-6).cast("int")
+
+
 def matches(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, start, words, similarity): the best window of each document for each item it holds."""
     worded = items.select(F.col("item_id"), split_words(text_of("text")).alias("words")).filter(F.size("words") > 0)
     named = written(worded.select("item_id", F.xxhash64("words").alias("item"), "words"), "named")
     sized = named.groupBy("item").agg(F.first("words").alias("words")).select(
         "item", F.size("words").alias("size"), _grams("words", F.least(F.lit(SHINGLE), F.size("words"))).alias("grams"))
-    bench = written(sized.withColumn("fp", F.expr(SIMHASH)), "items")
+    sized = sized.withColumn("unshared", _unshared(similarity))
+    bench = written(sized.withColumn("fp", F.expr(SIMHASH)).withColumn("firm", F.expr(FIRM)), "items")
     wide = F.least(F.lit(SHINGLE), F.col("size"))
     anchors = written(bench.select("item", wide.alias("wide"), "size", F.explode(F.array_distinct("grams")).alias("h")), "anchors")
     count = anchors.count()
@@ -116,10 +131,16 @@ def matches(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, similar
 
     items_by = bench.select("item", "size", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), distance)).alias("b")).select("item", "size", "item_fp", "b.block", "b.value")
     met = cut.select("content", "size", "item").distinct().join(contents.select("content", "size", "fp"), ["content", "size"])
+    met = written(met, "met")
     by = met.select("content", "size", "item", "fp", F.explode(_blocks(F.col("fp"), distance)).alias("b")).select("content", "size", "item", "fp", "b.block", "b.value")
-    near = by.join(_small(items_by, bench.count() * (distance + 1)), ["item", "size", "block", "value"])
-    near = near.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= distance)
-    pairs = written(near.select("content", "size", "item").distinct(), "pairs")
+    several = bench.count()
+    near = by.join(_small(items_by, several * (distance + 1)), ["item", "size", "block", "value"])
+    apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    near = near.filter(F.bit_count(apart) <= distance)
+    firm = _small(bench.select("item", F.col("fp").alias("item_fp"), "firm"), several)
+    far = met.join(firm, "item").filter((F.bit_count(apart) > distance) & (apart.bitwiseAND(F.col("firm")) == 0))
+    pairs = near.select("content", "size", "item").distinct().unionByName(far.select("content", "size", "item"))
+    pairs = written(pairs, "pairs")
 
     weights = contents.select("content", "size", F.size("grams").alias("n_window"), F.explode("grams").alias("h")).groupBy("content", "size", "n_window", "h").agg(F.count("*").alias("w"))
     item_weights = bench.select("item", F.size("grams").alias("n_item"), F.explode("grams").alias("h")).groupBy("item", "n_item", "h").agg(F.count("*").alias("v"))

@@ -147,3 +147,36 @@ def test_matches_and_starts_equal_brute_force(spark, corpus):
     found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()}
     assert got == {k: (pytest.approx(v), s) for k, (v, s) in want.items()}
+
+
+def test_no_window_is_lost_beyond_the_distance(spark):
+    """Repeated shingles weigh as much as they occur, so one copy more or less may turn half of the bits."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    pairs = [(word(), word()) for _ in range(20)]
+    items = [(k, " ".join([a, b] * 10 + [a])) for k, (a, b) in enumerate(pairs)]
+    docs = [(k, " ".join([b, a] * 10 + [b])) for k, (a, b) in enumerate(pairs)]  # 16 of 18 shingles are shared
+    want = naive(docs, items)
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()}
+    assert len(want) == 20 and got == {k: (pytest.approx(v), s) for k, (v, s) in want.items()}
+    few = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), distance=2)
+    assert {(r.doc_id, r.item_id) for r in few.collect()} == set(want)
+
+
+def test_texts_of_few_words_equal_brute_force_by_firm_bits(spark):
+    rng = random.Random(13)
+    items, docs = [], []
+    for k in range(60):
+        few = ["ab", "cd", "ef"][:rng.choice([2, 3])]
+        item = (rng.choices(few, k=rng.randint(1, 6)) * 40)[:rng.randint(6, 50)]
+        items.append((k, " ".join(item)))
+        for j in range(4):
+            turn = rng.randrange(len(item))
+            words = [*item[turn:], *item[:turn]][rng.randint(0, 2):]
+            words[rng.randrange(len(words))] = rng.choice(few)
+            docs.append((10 * k + j, " ".join([*rng.choices(few, k=rng.choice([0, 9])), *words, *rng.choices(few, k=rng.choice([0, 9]))])))
+    want = naive(docs, items)
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), distance=2)
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()}
+    assert len(want) > 200 and got == {k: (pytest.approx(v), s) for k, (v, s) in want.items()}

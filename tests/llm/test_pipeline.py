@@ -72,6 +72,13 @@ def test_decontamination_stage_looks_at_every_window(spark, tmp_path):
     assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()] == [2]
 
 
+def test_decontamination_stage_loses_no_window_of_repeated_words(spark, tmp_path):
+    item, turned = " ".join(["ab", "cd"] * 10 + ["ab"]), " ".join(["cd", "ab"] * 10 + ["cd"])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, turned), (2, "ab cd " * 3)], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_packing_stage(stages):
     before, after = stages[4]
     encoder = Encoder(vocabulary())
